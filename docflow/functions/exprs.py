@@ -160,3 +160,37 @@ def sorted_join(arr: str | Column, sep: str = ",") -> Column:
 
 def fmt_ts(c: str | Column) -> Column:
     return F.date_format(col_(c), TS_FORMAT)
+
+
+_OPS = {
+    "==": lambda a, b: a == b,
+    "!=": lambda a, b: a != b,
+    "<": lambda a, b: a < b,
+    "<=": lambda a, b: a <= b,
+    ">": lambda a, b: a > b,
+    ">=": lambda a, b: a >= b,
+}
+
+
+def compare(c: str | Column, op: str, value) -> Column:
+    """Comparison whose operator is a parameter (e.g. keep zero vs non-zero balances)."""
+    if op not in _OPS:
+        raise ValueError(f"unsupported operator {op!r}")
+    return _OPS[op](col_(c), F.lit(value))
+
+
+UUID_RE = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
+
+
+def parse_prefixed_uuid(c: str | Column, prefix: str) -> tuple[Column, Column]:
+    """(status, uuid) for ids of the form ``<prefix><uuid>``.
+
+    status: 'bad_format' (prefix missing), 'bad_uuid' (not 8-4-4-4-12 hex) or
+    'ok'; uuid is the lower-case id when ok.
+    """
+    t = F.trim(col_(c))
+    rest = F.substring(t, len(prefix) + 1, 1 << 20)
+    has_prefix = t.startswith(prefix)
+    valid = rest.rlike(UUID_RE)
+    status = F.when(~has_prefix, "bad_format").when(~valid, "bad_uuid").otherwise("ok")
+    return status, F.when(has_prefix & valid, F.lower(rest))

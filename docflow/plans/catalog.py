@@ -6,7 +6,7 @@ import importlib
 
 from docflow.plans.registry import ORACLE, QUERIES
 
-MODULES = ["reports"]
+MODULES = ["reports", "documents", "relational"]
 
 for _m in MODULES:
     importlib.import_module(f"docflow.plans.{_m}")
