@@ -36,7 +36,7 @@ def global_row_number(df: DataFrame, order: list[str], n_partitions: int | None
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__pid", F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias("__off"))
     out = staged.withColumn("__pid", pid).join(F.broadcast(offsets), "__pid")
-    return out.withColumn(name, F.col("__off") + F.bitwise_and(F.col("__mid"), F.lit(_LOW_BITS)) + 1).drop(
+    return out.withColumn(name, F.col("__off") + F.col("__mid").bitwiseAND(F.lit(_LOW_BITS)) + 1).drop(
         "__pid", "__off", "__mid"
     )
 

@@ -55,6 +55,30 @@ def field_mismatches(
     return j.select(F.col("__k").alias(key), diffs.alias("mismatch_columns"), *[c for c in j.columns if c != "__k"])
 
 
+def two_sided_counts(source: DataFrame, target: DataFrame, cols: list[str]) -> DataFrame:
+    """Multiset difference on key columns as counts: rows (value combinations)
+    whose multiplicity differs between the sides, with both multiplicities.
+
+    Each side is pre-aggregated (partial aggregation), then a null-safe full
+    outer join compares the counts — a duplicated row on one side shows up.
+    """
+    s = source.groupBy(*cols).agg(F.count(F.lit(1)).alias("source_count"))
+    t = target.groupBy(*cols).agg(F.count(F.lit(1)).alias("target_count"))
+    s = s.select(*[F.col(c).alias(f"s__{c}") for c in cols], "source_count")
+    t = t.select(*[F.col(c).alias(f"t__{c}") for c in cols], "target_count")
+    cond = None
+    for c in cols:
+        e = F.col(f"s__{c}").eqNullSafe(F.col(f"t__{c}"))
+        cond = e if cond is None else cond & e
+    j = s.join(t, cond, "full_outer")
+    sc, tc = F.coalesce("source_count", F.lit(0)), F.coalesce("target_count", F.lit(0))
+    return j.select(
+        *[F.coalesce(F.col(f"s__{c}"), F.col(f"t__{c}")).alias(c) for c in cols],
+        sc.alias("source_count"),
+        tc.alias("target_count"),
+    ).filter(F.col("source_count") != F.col("target_count"))
+
+
 def mismatch_by_field(mismatches: DataFrame) -> DataFrame:
     return mismatches.select(F.explode("mismatch_columns").alias("field")).groupBy("field").agg(
         F.count(F.lit(1)).alias("mismatch_count")
