@@ -6,7 +6,7 @@ import importlib
 
 from docflow.plans.registry import ORACLE, QUERIES
 
-MODULES = ["reports", "documents", "relational", "batching", "reconcile", "textsearch", "vectors_qa", "predictive", "io_queries"]
+MODULES = ["reports", "documents", "relational", "batching", "reconcile", "textsearch", "vectors_qa", "predictive", "io_queries", "stream_queries"]
 
 for _m in MODULES:
     importlib.import_module(f"docflow.plans.{_m}")
