@@ -88,14 +88,22 @@ def tokens_unicode(text: str | Column) -> Column:
 # -------------------------------------------------------------------- TF-IDF
 
 
-def term_counts(df: DataFrame, id_col: str, text_col: str, stop_words=None) -> DataFrame:
-    """(id, term, tf) raw counts; partial aggregation before the shuffle."""
-    toks = tokens_unicode(text_col)
+def term_counts(df: DataFrame, id_col: str, text_col: str, stop_words=None, colocate: bool = True) -> DataFrame:
+    """(id, term, tf) raw counts.
+
+    With ``colocate`` the texts are hash-partitioned by id ONCE; the (id, term)
+    count, the per-document norm window and the per-(query, doc) score sum
+    downstream all reuse that partitioning, so the postings are never
+    shuffled. (A text is one row, so this moves each text exactly once; ids
+    are unique, so there is no key skew.)
+    """
+    src = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("__text"))
+    if colocate:
+        src = src.repartition("id")
+    toks = tokens_unicode("__text")
     if stop_words is not None:
         toks = remove_stop_words(toks, stop_words)
-    return df.select(F.col(id_col).alias("id"), F.explode(toks).alias("term")).groupBy("id", "term").agg(
-        F.count(F.lit(1)).alias("tf")
-    )
+    return src.select("id", F.explode(toks).alias("term")).groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def tfidf(
@@ -130,7 +138,7 @@ def tfidf(
 
 def query_vectors(queries: DataFrame, qid: str, text_col: str, vocab: DataFrame, stop_words=None) -> DataFrame:
     """Query term weights with the corpus idf; unknown terms are ignored; L2 norm."""
-    qtf = term_counts(queries, qid, text_col, stop_words).withColumnRenamed("id", "qid")
+    qtf = term_counts(queries, qid, text_col, stop_words, colocate=False).withColumnRenamed("id", "qid")
     q = qtf.join(vocab.select("term", "idf"), "term")
     q = q.withColumn("raw", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("qid")))
@@ -161,7 +169,13 @@ def cosine_top_k(weights: DataFrame, qvec: DataFrame, k: int, query_rows: int =
 
 
 def cosine_top_k_including_query(
-    corpus_tf: DataFrame, vocab_df: DataFrame, n_docs: int, queries_tf: DataFrame, k: int, query_rows: int = 1_000_000
+    corpus_tf: DataFrame,
+    vocab_df: DataFrame,
+    n_docs: int,
+    queries_tf: DataFrame,
+    k: int,
+    query_rows: int = 1_000_000,
+    vocab_rows: int = 2_000_000,
 ) -> DataFrame:
     """Top-k when the idf is refitted on corpus + the ONE query being asked
     (per query: N + 1 documents, df + 1 for the query's terms).
@@ -178,7 +192,7 @@ def cosine_top_k_including_query(
         (F.log((F.lit(1.0) + n1) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf0"),
         (F.log((F.lit(1.0) + n1) / (F.lit(2.0) + F.col("df"))) + 1.0).alias("idfq"),
     )
-    d = corpus_tf.join(v, "term")
+    d = corpus_tf.join(bounded_broadcast(v, vocab_rows), "term")
     base = d.groupBy("id").agg(F.sum(F.pow(F.col("tf") * F.col("idf0"), 2)).alias("s0"))
     # query side: every query term gets idfq if it is in the corpus, else
     # ln((1+n1)/(1+1)) + 1 (df = 1: the query itself)
@@ -214,3 +228,55 @@ def extract_entities(text: str | Column) -> tuple[Column, Column, Column]:
     age = F.nullif(F.regexp_extract(t, AGE_PATTERN, 2), F.lit(""))
     diag = F.nullif(F.regexp_extract(t, DIAGNOSIS_PATTERN, 3), F.lit(""))
     return name, age, diag
+
+
+# ------------------------------------------------- duplicate-aware search
+
+
+def group_duplicates(df: DataFrame, id_col: str, text_col: str, k: int) -> tuple[DataFrame, DataFrame]:
+    """Collapse identical texts: (unique: id = smallest member id, text, mult)
+    and (members: id -> first ``k`` member ids, ascending).
+
+    Counting is combinable (partial aggregation), and the member lists are
+    cut to ``k`` by a windowed limit that runs map-side first, so a text
+    repeated in a third of all rows never lands in one task as a whole.
+    """
+    sig = F.sha2(F.col(text_col), 256)
+    keyed = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), sig.alias("sig"))
+    unique = keyed.groupBy("sig").agg(
+        F.min("id").alias("id"), F.first("text").alias("text"), F.count(F.lit(1)).alias("mult")
+    )
+    w = Window.partitionBy("sig").orderBy("id")
+    firsts = keyed.select("sig", "id").withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= k)
+    members = firsts.groupBy("sig").agg(F.min("id").alias("rep"), F.sort_array(F.collect_list("id")).alias("ids"))
+    return unique.drop("sig"), members.drop("sig")
+
+
+def tfidf_weighted(unique: DataFrame, vocab_broadcast_rows: int = 2_000_000) -> tuple[DataFrame, DataFrame, int]:
+    """TF-IDF over de-duplicated texts where each text stands for ``mult``
+    identical documents: N and df count the multiplicities, so the weights
+    equal those of the full corpus."""
+    tf = term_counts(unique, "id", "text")
+    mult = unique.select("id", "mult")
+    n_docs = int(unique.agg(F.sum("mult")).first()[0] or 0)
+    vocab = tf.join(mult, "id").groupBy("term").agg(F.sum("mult").alias("df"))
+    vocab = vocab.withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0)
+    w = tf.join(bounded_broadcast(vocab.select("term", "idf"), vocab_broadcast_rows), "term")
+    w = w.withColumn("raw", F.col("tf") * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("id")))
+    return w.withColumn("weight", F.col("raw") / norm).drop("raw"), vocab, n_docs
+
+
+def dedup_cosine_top_k(
+    df: DataFrame, id_col: str, text_col: str, queries: DataFrame, qid: str, qtext: str, k: int
+) -> DataFrame:
+    """Exact top-``k`` documents per query where identical documents are
+    scored once: the best k groups per query are expanded to their first k
+    member ids and re-ranked by (score desc, id asc). Any document of the
+    true top k lies in one of the best k groups among its first k members."""
+    unique, members = group_duplicates(df, id_col, text_col, k)
+    w, vocab, _ = tfidf_weighted(unique)
+    qv = query_vectors(queries, qid, qtext, vocab)
+    top_groups = cosine_top_k(w, qv, k).select("qid", F.col("id").alias("rep"), "score")
+    expanded = top_groups.join(members, "rep").select("qid", "score", F.explode("ids").alias("id"))
+    return top_k_per_group(expanded, "qid", "score", "id", k)

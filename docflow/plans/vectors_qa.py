@@ -164,9 +164,8 @@ def answer_cascade(spark, sf):
         F.format_string(ANSWER_TEMPLATE, F.col("name"), F.col("p_age"), F.col("p_diag"), F.col("hospital")).alias("answer"),
     )
     rest = ent.join(exact.select("question_id"), "question_id", "left_anti").select("question_id", "question")
-    w, vocab, _ = T.tfidf(pat, "pid", "description")
-    qv = T.query_vectors(rest, "question_id", "question", vocab)
-    top = T.cosine_top_k(w, qv, 3)
+    # many records share a description: identical texts are scored once
+    top = T.dedup_cosine_top_k(pat, "pid", "description", rest, "question_id", "question", 3)
     sim = top.groupBy(F.col("qid").alias("question_id")).agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "id"))), lambda s: s["id"].cast("string")), ",").alias("answer")
     ).select("question_id", F.lit("similar").alias("kind"), "answer")
