@@ -112,23 +112,32 @@ def reconcile_by_batch(
 ) -> DataFrame:
     """Per-batch reconciliation of two frames that both carry ``batch``.
 
-    One plan for all batches: per-batch counts (partial aggregates), a full
-    outer join on (batch, key) classifying each id as matched / mismatched /
-    missing / extra, and the reference decision rule.
+    One plan for all batches. Each side is first collapsed to one row per
+    (batch, key) with its multiplicity (partial aggregation; a duplicated row
+    is a count, never a fan-out), then a full outer join on (batch, key) —
+    co-partitioned with the collapse, no further exchange — classifies each
+    id as matched / mismatched (values or multiplicity differ) / missing /
+    extra, and the reference decision rule is applied per batch.
     """
-    s = source.select(F.col(batch).alias("batch_id"), F.col(key).alias("__k"),
-                      *[F.col(a).alias(f"s__{n}") for n, (a, _) in fields.items()], F.lit(1).alias("__s"))
-    t = target.select(F.col(batch).alias("batch_id"), F.col(key).alias("__k"),
-                      *[F.col(b).alias(f"t__{n}") for n, (_, b) in fields.items()], F.lit(1).alias("__t"))
+    names = list(fields)
+
+    def side(df, pick, tag):
+        vals = F.struct(*[F.col(pick(ab)).alias(n) for n, ab in fields.items()])
+        return df.groupBy(F.col(batch).alias("batch_id"), F.col(key).alias("__k")).agg(
+            F.count(F.lit(1)).alias(f"n_{tag}"), F.min(vals).alias(f"v_{tag}")
+        )
+
+    s = side(source, lambda ab: ab[0], "s")
+    t = side(target, lambda ab: ab[1], "t")
     j = s.join(t, ["batch_id", "__k"], "full_outer")
-    diff = F.size(differing_fields({n: (F.col(f"s__{n}"), F.col(f"t__{n}")) for n in fields})) > 0
-    both = F.col("__s").isNotNull() & F.col("__t").isNotNull()
+    diff = F.size(differing_fields({n: (F.col("v_s")[n], F.col("v_t")[n]) for n in names})) > 0
+    both = F.col("n_s").isNotNull() & F.col("n_t").isNotNull()
     per = j.groupBy("batch_id").agg(
-        F.count(F.col("__s")).alias("source_count"),
-        F.count(F.col("__t")).alias("target_count"),
-        F.sum(F.when(both & diff, 1).otherwise(0)).alias("mismatched"),
-        F.sum(F.when(F.col("__t").isNull(), 1).otherwise(0)).alias("missing"),
-        F.sum(F.when(F.col("__s").isNull(), 1).otherwise(0)).alias("extra"),
+        F.coalesce(F.sum("n_s"), F.lit(0)).alias("source_count"),
+        F.coalesce(F.sum("n_t"), F.lit(0)).alias("target_count"),
+        F.sum(F.when(both & (diff | (F.col("n_s") != F.col("n_t"))), 1).otherwise(0)).alias("mismatched"),
+        F.sum(F.when(F.col("n_t").isNull(), 1).otherwise(0)).alias("missing"),
+        F.sum(F.when(F.col("n_s").isNull(), 1).otherwise(0)).alias("extra"),
     )
     check, _ = decide(F.col("source_count"), F.col("target_count"), F.col("mismatched"))
     return per.withColumn("reconcile_check", check).withColumn(
