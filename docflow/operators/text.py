@@ -40,14 +40,25 @@ def english_stop_words() -> tuple[str, ...]:
 def word_chunks(text: str | Column, size: int = 500) -> Column:
     """Array of chunks of ``size`` whitespace-separated words joined by one space.
 
-    Built inside the row (linear in the text), then exploded once per chunk.
+    Built inside the row, then exploded once per chunk. Pass a column that
+    already holds the text; use ``explode_word_chunks`` on a frame so the
+    word split is evaluated once per row (not once per chunk).
     """
-    words = F.split(F.trim(col_(text)), WORD_SPLIT)
+    return _chunks_of_words(F.split(F.trim(col_(text)), WORD_SPLIT), size)
+
+
+def _chunks_of_words(words: Column, size: int) -> Column:
     n = F.size(words)
     starts = F.sequence(F.lit(0), F.greatest(F.ceil(n / F.lit(size)).cast("int") - 1, F.lit(0)))
     return F.transform(starts, lambda i: F.array_join(F.slice(words, i * size + 1, size), " "))
 
 
+def explode_word_chunks(df: DataFrame, id_col: str, text_col: str, size: int = 500) -> DataFrame:
+    """(id, chunk_no, chunk_text) with the words split once per text."""
+    w = df.select(F.col(id_col), F.split(F.trim(F.col(text_col)), WORD_SPLIT).alias("__words"))
+    return w.select(F.col(id_col), F.posexplode(_chunks_of_words(F.col("__words"), size)).alias("chunk_no", "chunk_text"))
+
+
 def char_chunks(text: str | Column, size: int = 500) -> Column:
     """Array of consecutive ``size``-character pieces."""
     n = F.length(col_(text))
@@ -75,11 +86,19 @@ def tokens_basic(text: str | Column) -> Column:
 
 
 def remove_stop_words(tokens: Column, stop_words=None) -> Column:
+    """Array form (per-row filter). On exploded tokens prefer ``not_stop_word``
+    (a hash-set lookup instead of a scan of the list per token)."""
     words = list(stop_words if stop_words is not None else english_stop_words())
     lit_arr = F.array(*[F.lit(w) for w in words])
     return F.filter(tokens, lambda x: ~F.array_contains(lit_arr, x))
 
 
+def not_stop_word(token: str | Column, stop_words=None) -> Column:
+    """Predicate on one token; ``isin`` over a long list is planned as InSet (hash lookup)."""
+    words = list(stop_words if stop_words is not None else english_stop_words())
+    return ~col_(token).isin(*words)
+
+
 def tokens_unicode(text: str | Column) -> Column:
     """Lower-cased word tokens of two or more letters / digits / underscores."""
     return F.regexp_extract_all(F.lower(col_(text)), F.lit(TOKEN_PATTERN), 0)
@@ -100,10 +119,10 @@ def term_counts(df: DataFrame, id_col: str, text_col: str, stop_words=None, colo
     src = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("__text"))
     if colocate:
         src = src.repartition("id")
-    toks = tokens_unicode("__text")
+    terms = src.select("id", F.explode(tokens_unicode("__text")).alias("term"))
     if stop_words is not None:
-        toks = remove_stop_words(toks, stop_words)
-    return src.select("id", F.explode(toks).alias("term")).groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
+        terms = terms.where(not_stop_word("term", stop_words))
+    return terms.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def tfidf(
@@ -121,8 +140,12 @@ def tfidf(
     ``extra_docs`` / ``extra_df`` let callers fit "including" extra documents
     (idf over N + extra with df counts augmented) without re-reading the corpus.
     """
-    tf = term_counts(df, id_col, text_col, stop_words)
-    n_docs = df.select(id_col).count() + extra_docs
+    # The postings are the index: materialise them once in the shared
+    # checkpoint folder (reliable, lineage cut; keeps the by-document
+    # partitioning) so N, the vocabulary, its size check and the weights do
+    # not each re-tokenise the corpus.
+    tf = term_counts(df, id_col, text_col, stop_words).checkpoint(eager=True)
+    n_docs = df.select(id_col).count() + extra_docs  # documents without tokens count too
     vocab = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     if extra_df is not None:
         vocab = vocab.join(extra_df, "term", "left").select(

@@ -25,7 +25,7 @@ _SW = ", ".join("'" + w.replace("'", "''") + "'" for w in T.english_stop_words()
 )
 def chunk_words(spark, sf):
     d = Tables(spark, sf).documents
-    c = T.explode_chunks(d, "doc_id", T.word_chunks("text", CHUNK))
+    c = T.explode_word_chunks(d, "doc_id", "text", CHUNK)
     return c.select(
         "doc_id", "chunk_no", F.md5("chunk_text").alias("chunk_md5"),
         F.size(F.split("chunk_text", " ")).cast("bigint").alias("n_words"),
@@ -74,8 +74,8 @@ def tokenise_basic(spark, sf):
 )
 def tokens_no_stopwords(spark, sf):
     d = Tables(spark, sf).documents
-    toks = T.remove_stop_words(T.tokens_basic("text"))
-    return d.select(F.explode(toks).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    toks = d.select(F.explode(T.tokens_basic("text")).alias("token")).where(T.not_stop_word("token"))
+    return toks.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
 _TFIDF_SQL = f"""
@@ -178,7 +178,7 @@ def best_chunk_per_doc(spark, sf):
     """Chunk-level TF-IDF search; each document is represented by its best
     chunk (highest score, earliest chunk on ties); top documents by that score."""
     t = Tables(spark, sf)
-    chunks = T.explode_chunks(t.documents, "doc_id", T.word_chunks("text", CHUNK)).select(
+    chunks = T.explode_word_chunks(t.documents, "doc_id", "text", CHUNK).select(
         (F.col("doc_id") * 1_000_000 + F.col("chunk_no")).alias("cid"), "chunk_text"
     )
     w, vocab, _ = T.tfidf(chunks, "cid", "chunk_text")
