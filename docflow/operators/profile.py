@@ -21,9 +21,14 @@ def field_value_profile(sources: Sequence[tuple[DataFrame, str, Sequence[str]]])
         pairs = F.array(*[F.struct(F.lit(f"{prefix}.{f}").alias("field"), F.col(f).cast("string").alias("value")) for f in fields])
         parts.append(df.select(F.inline(pairs)))
     allp = reduce(lambda a, b: a.unionByName(b), parts)
-    return allp.groupBy("field", "value").agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "rank", F.row_number().over(Window.partitionBy("field").orderBy(F.desc("n"), "value"))
-    )
+    return allp.groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def profile_report(profile: DataFrame, top: int | None = None) -> DataFrame:
+    """Presentation: rank values by count within each field (optionally the
+    ``top`` most frequent per field — a map-side limited window)."""
+    ranked = profile.withColumn("rank", F.row_number().over(Window.partitionBy("field").orderBy(F.desc("n"), "value")))
+    return ranked.where(F.col("rank") <= top) if top else ranked
 
 
 def collection_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
