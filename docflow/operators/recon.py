@@ -14,25 +14,27 @@ MATCHED, MISMATCHED, NOT_MATCHED = "MATCHED", "MISMATCHED", "NOT MATCHED"
 
 
 def count_recon(source: DataFrame, target: DataFrame, group: str) -> DataFrame:
-    """Per-group source / target counts with a status per group AND for the
-    totals (equal totals can hide group differences)."""
-    s = source.groupBy(F.col(group).alias("grp")).agg(F.count(F.lit(1)).alias("source_count"))
-    t = target.groupBy(F.col(group).alias("grp")).agg(F.count(F.lit(1)).alias("target_count"))
-    j = s.join(t, "grp", "full_outer").select(
-        "grp",
-        F.coalesce("source_count", F.lit(0)).alias("source_count"),
-        F.coalesce("target_count", F.lit(0)).alias("target_count"),
-    )
-    tot = Window.partitionBy()  # over the (small) per-group result
+    """Per-group AND total source / target counts with a status on each level
+    (equal totals can hide group differences).
+
+    One ROLLUP aggregate per side (partial aggregation; the total row comes
+    from the same pass), then a null-safe full outer join on (group, level).
+    """
+
+    def side(df, name):
+        return df.select(F.col(group).alias("grp")).rollup("grp").agg(
+            F.count(F.lit(1)).alias(name), F.grouping("grp").alias("lvl")
+        )
+
+    s, t = side(source, "source_count"), side(target, "target_count")
+    j = s.join(t, (s["grp"].eqNullSafe(t["grp"])) & (s["lvl"] == t["lvl"]), "full_outer")
+    sc, tc = F.coalesce(s["source_count"], F.lit(0)), F.coalesce(t["target_count"], F.lit(0))
     return j.select(
-        F.col("grp").alias(group),
-        "source_count",
-        "target_count",
-        F.when(F.col("source_count") == F.col("target_count"), "matched").otherwise("not matched").alias("group_status"),
-        F.sum("source_count").over(tot).alias("total_source"),
-        F.sum("target_count").over(tot).alias("total_target"),
-    ).withColumn(
-        "total_status", F.when(F.col("total_source") == F.col("total_target"), "matched").otherwise("not matched")
+        F.when(F.coalesce(s["lvl"], t["lvl"]) == 1, "total").otherwise("group").alias("level"),
+        F.coalesce(s["grp"], t["grp"]).alias(group),
+        sc.alias("source_count"),
+        tc.alias("target_count"),
+        F.when(sc == tc, "matched").otherwise("not matched").alias("status"),
     )
 
 

@@ -29,15 +29,12 @@ def _sides(spark, sf):
 @query(
     "recon_counts",
     f"""WITH {TARGET_SQL},
-        s AS (SELECT o_orderstatus AS g, count(*) AS n FROM orders GROUP BY 1),
-        t AS (SELECT o_orderstatus AS g, count(*) AS n FROM tgt GROUP BY 1),
-        j AS (SELECT coalesce(s.g, t.g) AS o_orderstatus, coalesce(s.n, 0) AS source_count, coalesce(t.n, 0) AS target_count
-              FROM s FULL OUTER JOIN t ON s.g = t.g)
-        SELECT *, CASE WHEN source_count = target_count THEN 'matched' ELSE 'not matched' END AS group_status,
-               sum(source_count) OVER () AS total_source, sum(target_count) OVER () AS total_target,
-               CASE WHEN sum(source_count) OVER () = sum(target_count) OVER () THEN 'matched' ELSE 'not matched' END
-                 AS total_status
-        FROM j""",
+        s AS (SELECT o_orderstatus AS g, GROUPING(o_orderstatus) AS lvl, count(*) AS n FROM orders GROUP BY ROLLUP (o_orderstatus)),
+        t AS (SELECT o_orderstatus AS g, GROUPING(o_orderstatus) AS lvl, count(*) AS n FROM tgt GROUP BY ROLLUP (o_orderstatus))
+        SELECT CASE WHEN coalesce(s.lvl, t.lvl) = 1 THEN 'total' ELSE 'group' END AS level,
+               coalesce(s.g, t.g) AS o_orderstatus, coalesce(s.n, 0) AS source_count, coalesce(t.n, 0) AS target_count,
+               CASE WHEN coalesce(s.n, 0) = coalesce(t.n, 0) THEN 'matched' ELSE 'not matched' END AS status
+        FROM s FULL OUTER JOIN t ON s.g IS NOT DISTINCT FROM t.g AND s.lvl = t.lvl""",
 )
 def recon_counts(spark, sf):
     s, t = _sides(spark, sf)

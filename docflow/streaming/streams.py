@@ -1,10 +1,13 @@
-"""Structured Streaming operators: file-source staging, micro-batch upserts
-into a versioned table, windowed counts with a watermark, ledger polling.
-
-Every sink is a ``foreachBatch`` that writes one new table version per epoch
-(``<table>/v=<epoch>``), derived only from the previous version and the
-batch: re-running an epoch after a failure rewrites the same version, so
-the sink is idempotent, and readers always see a complete version.
+"""Structured Streaming operators: file-source staging, incremental keyed
+aggregates, windowed counts with a watermark, ledger polling.
+
+Incremental state lives in Spark's state store (streaming aggregation in
+``update`` mode). Each micro-batch hands only the CHANGED keys to a
+``foreachBatch`` sink that writes them as ``<log>/epoch=<id>`` — overwriting
+its own epoch folder, so a replayed epoch is idempotent and a write costs
+O(changed keys), never O(table). Readers merge on read: per key the row of
+the highest epoch (``EpochLog.latest``); ``EpochLog.compact`` folds the log
+into one snapshot when it grows long.
 """
 
 from __future__ import annotations
@@ -15,8 +18,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.operators.upsert import upsert
-
 
 def stage_time_sliced(df: DataFrame, ts: str, path: str, parts: int = 4) -> str:
     """Write ``df`` under ``path`` as ``parts`` consecutive time slices, one
@@ -26,8 +27,7 @@ def stage_time_sliced(df: DataFrame, ts: str, path: str, parts: int = 4) -> str:
     lo, hi = b["lo"], b["hi"]
     width = (hi - lo) / parts
     for i in range(parts):
-        s_lo = lo + width * i
-        pred = F.col(ts) >= F.lit(s_lo)
+        pred = F.col(ts) >= F.lit(lo + width * i)
         if i < parts - 1:
             pred = pred & (F.col(ts) < F.lit(lo + width * (i + 1)))
         df.filter(pred).write.mode("append").parquet(path)
@@ -35,21 +35,27 @@ def stage_time_sliced(df: DataFrame, ts: str, path: str, parts: int = 4) -> str:
     return f"{hours} hours"
 
 
-class VersionedTable:
-    """A table kept as immutable versions ``v=<epoch>`` under one folder."""
+class EpochLog:
+    """Changed rows per epoch under ``<path>/epoch=<id>``; merge on read."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str]):
+        self.spark, self.path, self.keys = spark, path.rstrip("/"), keys
 
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.latest: int | None = None
+    def write(self, changed: DataFrame, epoch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{self.path}/epoch={epoch}")
 
-    def current(self) -> DataFrame:
-        if self.latest is None:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v={self.latest}")
+    def latest(self) -> DataFrame:
+        """Current table: per key the row from the highest epoch."""
+        log = self.spark.read.parquet(self.path)
+        vals = [c for c in log.columns if c not in self.keys and c != "epoch"]
+        merged = log.groupBy(*self.keys).agg(F.max_by(F.struct(*vals), F.col("epoch")).alias("__row"))
+        return merged.select(*self.keys, *[F.col(f"__row.{c}").alias(c) for c in vals])
 
-    def commit(self, df: DataFrame, epoch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/v={epoch}")
-        self.latest = epoch
+    def compact(self, epoch: int) -> None:
+        """Fold the log into one snapshot written as ``epoch`` (use the last epoch id)."""
+        snap = self.latest()
+        path = f"{self.path}-compacted/epoch={epoch}"
+        snap.write.mode("overwrite").parquet(path)
 
 
 def run_available_now(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpoint: str,
@@ -72,50 +78,27 @@ def file_stream(spark: SparkSession, path: str, schema, max_files: int = 1) -> D
 
 
 def windowed_counts(stream: DataFrame, ts: str, window: str, delay: str, key: str | None = None) -> DataFrame:
-    """Tumbling-window counts with a watermark (bounded state). Timestamps
-    without zone are read as session-zone timestamps first."""
+    """Tumbling-window counts with a watermark (state for closed windows is
+    dropped). Timestamps without zone are read as session-zone timestamps."""
     s = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
     keys = [F.window(ts, window).start.alias("bucket")] + ([F.col(key)] if key else [])
     return s.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def stream_counts_to_table(stream: DataFrame, ts: str, window: str, delay: str, table: VersionedTable,
-                           checkpoint: str) -> DataFrame:
-    """Run windowed counts in update mode; each epoch upserts the changed
-    windows into a new table version. Returns the final table."""
-    counts = windowed_counts(stream, ts, window, delay)
-
-    def handle(batch: DataFrame, epoch: int) -> None:
-        table.commit(upsert(table.current(), batch, "bucket"), epoch)
-
-    run_available_now(counts, handle, checkpoint, output_mode="update")
-    return table.current()
+def stream_to_log(agg: DataFrame, log: EpochLog, checkpoint: str) -> DataFrame:
+    """Run a streaming aggregate in update mode into an epoch log; return the merged table."""
+    run_available_now(agg, log.write, checkpoint, output_mode="update")
+    return log.latest()
 
 
-def stream_latest_per_key(stream: DataFrame, key: str, ts: str, value: str, table: VersionedTable,
-                          checkpoint: str) -> DataFrame:
-    """Micro-batch upsert: per key the latest value (by ``ts``) and a running
-    count, merged into the previous version."""
-
-    def handle(batch: DataFrame, epoch: int) -> None:
-        b = batch.groupBy(key).agg(
-            F.max_by(F.col(value), F.col(ts)).alias("last_value"),
-            F.max(ts).alias("last_ts"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        cur = table.current()
-        j = cur.alias("c").join(b.alias("b"), key, "full_outer")
-        newer = F.col("c.last_ts").isNull() | (F.col("b.last_ts") > F.col("c.last_ts"))
-        merged = j.select(
-            key,
-            F.when(F.col("b.last_ts").isNotNull() & newer, F.col("b.last_value")).otherwise(F.col("c.last_value")).alias("last_value"),
-            F.when(F.col("b.last_ts").isNotNull() & newer, F.col("b.last_ts")).otherwise(F.col("c.last_ts")).alias("last_ts"),
-            (F.coalesce(F.col("c.n"), F.lit(0)) + F.coalesce(F.col("b.n"), F.lit(0))).alias("n"),
-        )
-        table.commit(merged, epoch)
-
-    run_available_now(stream, handle, checkpoint)
-    return table.current()
+def latest_per_key(stream: DataFrame, key: str, ts: str, value: str) -> DataFrame:
+    """Streaming aggregate: per key the latest ``value`` (by ``ts``), its time
+    and the running count — kept in the state store, emitted when changed."""
+    return stream.groupBy(key).agg(
+        F.max_by(F.col(value), F.col(ts)).alias("last_value"),
+        F.max(ts).alias("last_ts"),
+        F.count(F.lit(1)).alias("n"),
+    )
 
 
 def stream_process_batches(stream: DataFrame, process: Callable[[DataFrame], DataFrame], out_path: str,
