@@ -152,7 +152,7 @@ def range_join_batches(spark, sf):
         u AS (SELECT l.batch_id, l.batch_end AS reconcile_dttm, coalesce(c.n, 0) AS source_count
               FROM ledger l LEFT JOIN c USING (batch_id) WHERE l.reconcile_dttm IS NULL)
         SELECT l.batch_id, strftime(coalesce(u.reconcile_dttm, l.reconcile_dttm), '%Y-%m-%d') AS reconcile_dttm,
-               u.source_count, u.batch_id IS NOT NULL AS updated
+               CAST(u.source_count AS VARCHAR) AS source_count, u.batch_id IS NOT NULL AS updated
         FROM ledger l LEFT JOIN u USING (batch_id)""",
 )
 def ledger_update(spark, sf):
@@ -170,7 +170,7 @@ def ledger_update(spark, sf):
     return merged.select(
         "batch_id",
         F.date_format("reconcile_dttm", "yyyy-MM-dd").alias("reconcile_dttm"),
-        "source_count",
+        F.col("source_count").cast("string").alias("source_count"),
         F.coalesce("updated", F.lit(False)).alias("updated"),
     )
 

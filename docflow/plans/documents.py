@@ -69,14 +69,14 @@ def ne_or_missing(spark, sf):
     "array_field",
     f"""{W} SELECT doc_id,
                CASE tkind WHEN 'null' THEN NULL WHEN 'empty' THEN '' ELSE concat_ws(',', seg, nat) END AS domains,
-               CASE tkind WHEN 'two' THEN 2 WHEN 'empty' THEN 0 END AS n_tenants
+               CASE tkind WHEN 'two' THEN '2' WHEN 'empty' THEN '0' END AS n_tenants
         FROM docs""",
 )
 def array_field(spark, sf):
     d = order_documents(Tables(spark, sf))
     arr = N.array_field("bankDocument.tenants", "domain")
     return d.select("doc_id", F.array_join(arr, ",").alias("domains"), F.size("bankDocument.tenants").alias("n_tenants")).select(
-        "doc_id", "domains", F.when(F.col("n_tenants") >= 0, F.col("n_tenants")).alias("n_tenants")
+        "doc_id", "domains", F.when(F.col("n_tenants") >= 0, F.col("n_tenants")).cast("string").alias("n_tenants")
     )
 
 
@@ -177,7 +177,7 @@ def violation_counts(spark, sf):
          FROM orders),
        p AS (SELECT o_orderkey, try_strptime(date_txt, '%Y-%m-%d') AS order_date, TRY_CAST(cust_txt AS BIGINT) AS cust
              FROM s)
-       SELECT o_orderkey, strftime(order_date, '%Y-%m-%d') AS order_date, cust,
+       SELECT o_orderkey, strftime(order_date, '%Y-%m-%d') AS order_date, CAST(cust AS VARCHAR) AS cust,
               nullif(concat_ws(',', CASE WHEN order_date IS NULL THEN 'order_date' END,
                                     CASE WHEN cust IS NULL THEN 'cust' END), '') AS error
        FROM p""",
@@ -197,7 +197,9 @@ def row_error_quarantine(spark, sf):
             "cust": ("cust_txt", F.col("cust_txt").try_cast("bigint")),
         },
     )
-    return p.select("o_orderkey", F.date_format("order_date", "yyyy-MM-dd").alias("order_date"), "cust", "error")
+    return p.select(
+        "o_orderkey", F.date_format("order_date", "yyyy-MM-dd").alias("order_date"), F.col("cust").cast("string").alias("cust"), "error"
+    )
 
 
 # -- document assembly from relational rows ---------------------------------

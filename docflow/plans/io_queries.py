@@ -15,7 +15,7 @@ from docflow.sources.tables import Tables
 
 _FLAT_DOC_SQL = f"""WITH {DOCS_SQL}
   SELECT doc_id, regexp_replace(md5(CAST(doc_id AS VARCHAR)), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5') AS guid,
-         url, migrated_by, CASE tkind WHEN 'two' THEN 2 WHEN 'empty' THEN 0 END AS n_tenants, bstatus AS status,
+         url, migrated_by, CASE tkind WHEN 'two' THEN '2' WHEN 'empty' THEN '0' END AS n_tenants, bstatus AS status,
          strftime(created, '%Y-%m-%d') AS created
   FROM docs"""
 
@@ -26,7 +26,7 @@ def _flatten(d):
         F.col("documentOS.documentOsGuid").alias("guid"),
         F.col("storage.documentStoreUrl").alias("url"),
         F.col("migrationHistory.migratedBy").alias("migrated_by"),
-        F.when(F.col("bankDocument.tenants").isNotNull(), F.size("bankDocument.tenants")).alias("n_tenants"),
+        F.when(F.col("bankDocument.tenants").isNotNull(), F.size("bankDocument.tenants")).cast("string").alias("n_tenants"),
         F.col("businessDocumentStatus").alias("status"),
         F.date_format("systemCreatedDateTime", "yyyy-MM-dd").alias("created"),
     )
@@ -44,7 +44,7 @@ def scan_documents(spark, sf):
 
 @query(
     "sink_documents_roundtrip",
-    f"""WITH {DOCS_SQL} SELECT bstatus AS status, count(*) AS n, sum(content_size) AS total_size FROM docs GROUP BY 1""",
+    f"""WITH {DOCS_SQL} SELECT bstatus AS status, count(*) AS n, CAST(sum(content_size) AS BIGINT) AS total_size FROM docs GROUP BY 1""",
 )
 def sink_documents_roundtrip(spark, sf):
     """Append to a parquet collection partitioned by status; read back with
@@ -60,7 +60,7 @@ def sink_documents_roundtrip(spark, sf):
 
 @query(
     "text_folder_scan",
-    "SELECT source, sum(length(text) + 1) AS total_chars FROM documents GROUP BY 1",
+    "SELECT source, CAST(sum(length(text) + 1) AS BIGINT) AS total_chars FROM documents GROUP BY 1",
 )
 def text_folder_scan(spark, sf):
     """Corpus written as a folder of text files (one folder per source), read

@@ -85,7 +85,7 @@ _CODED_SQL = """
 )
 def code_topn_by_frequency(spark, sf):
     fr = P.code_frequencies(_coded_orders(spark, sf), _FEAT, "code")
-    return fr.where(F.col("rank") <= 3).select(*_FEAT, "code", "n", F.round("probability", 6).alias("probability"), "rank")
+    return fr.where(F.col("rank") <= 3).select(*_FEAT, "code", "n", F.round("probability", 6).alias("probability"), F.col("rank").cast("bigint").alias("rank"))
 
 
 @query(

@@ -113,9 +113,9 @@ _BATCH_SQL = f"""WITH {TARGET_SQL},
                 OR s.o_custkey IS DISTINCT FROM t.o_custkey OR s.o_totalprice IS DISTINCT FROM t.o_totalprice) AS diff
         FROM s FULL OUTER JOIN t ON s.batch_id = t.batch_id AND s.o_orderkey = t.o_orderkey),
   per AS (SELECT batch_id, count(sk) AS source_count, count(tk) AS target_count,
-                 sum(CASE WHEN sk IS NOT NULL AND tk IS NOT NULL AND diff THEN 1 ELSE 0 END) AS mismatched,
-                 sum(CASE WHEN tk IS NULL THEN 1 ELSE 0 END) AS missing,
-                 sum(CASE WHEN sk IS NULL THEN 1 ELSE 0 END) AS extra
+                 CAST(sum(CASE WHEN sk IS NOT NULL AND tk IS NOT NULL AND diff THEN 1 ELSE 0 END) AS BIGINT) AS mismatched,
+                 CAST(sum(CASE WHEN tk IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing,
+                 CAST(sum(CASE WHEN sk IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS extra
           FROM j GROUP BY 1),
   dec AS (SELECT *, CASE WHEN source_count = 0 OR target_count = 0 THEN 'NOT MATCHED' WHEN mismatched = 0 THEN 'MATCHED'
                          ELSE 'MISMATCHED' END AS reconcile_check,
@@ -137,7 +137,7 @@ def recon_batch_status(spark, sf):
 @query(
     "recon_summary",
     f"""{_BATCH_SQL}
-        SELECT count(*) AS batches, sum(source_count) AS total_processed,
+        SELECT count(*) AS batches, CAST(sum(source_count) AS BIGINT) AS total_processed,
                round(avg(CASE WHEN reconcile_check = 'MATCHED' THEN 1.0 ELSE 0.0 END), 6) AS match_rate,
                round(avg(CASE WHEN reconcile_check = 'MISMATCHED' THEN 1.0 ELSE 0.0 END), 6) AS mismatch_rate,
                round(sum(source_count - mismatched - missing) / sum(source_count), 6) AS record_success_rate
@@ -168,9 +168,9 @@ def recon_summary(spark, sf):
                       OR s.o_custkey IS DISTINCT FROM t.o_custkey OR s.o_totalprice IS DISTINCT FROM t.o_totalprice) AS diff
               FROM s FULL OUTER JOIN t ON s.batch_id = t.batch_id AND s.o_orderkey = t.o_orderkey),
         per AS (SELECT batch_id, count(sk) AS source_count, count(tk) AS target_count,
-                       sum(CASE WHEN sk IS NOT NULL AND tk IS NOT NULL AND diff THEN 1 ELSE 0 END) AS mismatched,
-                       sum(CASE WHEN tk IS NULL THEN 1 ELSE 0 END) AS missing,
-                       sum(CASE WHEN sk IS NULL THEN 1 ELSE 0 END) AS extra FROM j GROUP BY 1)
+                       CAST(sum(CASE WHEN sk IS NOT NULL AND tk IS NOT NULL AND diff THEN 1 ELSE 0 END) AS BIGINT) AS mismatched,
+                       CAST(sum(CASE WHEN tk IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing,
+                       CAST(sum(CASE WHEN sk IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS extra FROM j GROUP BY 1)
         SELECT l.batch_id, coalesce(p.source_count, 0) AS source_count, coalesce(p.target_count, 0) AS target_count,
                coalesce(p.mismatched, 0) AS mismatched, coalesce(p.missing, 0) AS missing, coalesce(p.extra, 0) AS extra,
                CASE WHEN coalesce(p.source_count, 0) = 0 OR coalesce(p.target_count, 0) = 0 THEN 'NOT MATCHED'
@@ -242,7 +242,7 @@ def status_string_agg(spark, sf):
 @query(
     "retrieval_by_replica",
     f"""WITH {LISTING_SQL},
-        per AS (SELECT guid, max(length > 0) AS ok, sum(CASE WHEN length > 0 THEN 1 ELSE 0 END) AS servers_found,
+        per AS (SELECT guid, max(length > 0) AS ok, CAST(sum(CASE WHEN length > 0 THEN 1 ELSE 0 END) AS BIGINT) AS servers_found,
                        count(*) AS servers_listed FROM listing GROUP BY 1)
         SELECT d.doc_id, CASE WHEN coalesce(per.ok, false) THEN 'SUCCESS' ELSE 'FAILURE' END AS status,
                coalesce(per.servers_found, 0) AS servers_found, coalesce(per.servers_listed, 0) AS servers_listed
@@ -271,8 +271,8 @@ def lookup_by_uid(spark, sf):
 @query(
     "job_log_metrics",
     """SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS batch_id,
-              sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS migrated,
-              sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS failed,
+              CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS migrated,
+              CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS failed,
               count(*) AS source_count,
               (epoch_us(max(ts)) - epoch_us(min(ts))) // 1000000 AS duration_s,
               CASE WHEN sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) = 0 THEN 'PASS' ELSE 'FAIL' END AS outcome

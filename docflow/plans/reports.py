@@ -56,7 +56,7 @@ _FLAT_SQL = f"""
       GROUP BY 1, 2)
     SELECT strftime(b, '%Y-%m-%d %H:%M:%S') AS start_time,
            strftime(b + INTERVAL 6 HOUR, '%Y-%m-%d %H:%M:%S') AS end_time,
-           sum(n) OVER (PARTITION BY b) AS overall_count,
+           CAST(sum(n) OVER (PARTITION BY b) AS BIGINT) AS overall_count,
            system AS system_name, n AS system_count
     FROM c"""
 
@@ -77,8 +77,8 @@ def six_hour_report(spark, sf):
     f"""WITH f AS ({_FLAT_SQL}),
         b AS (SELECT start_time, sum(system_count) AS bucket_total, max(overall_count) AS overall_count
               FROM f GROUP BY 1)
-        SELECT count(*) AS n_buckets, sum(bucket_total) AS grand_total,
-               sum(CASE WHEN bucket_total = overall_count THEN 1 ELSE 0 END) AS consistent_buckets FROM b""",
+        SELECT count(*) AS n_buckets, CAST(sum(bucket_total) AS BIGINT) AS grand_total,
+               CAST(sum(CASE WHEN bucket_total = overall_count THEN 1 ELSE 0 END) AS BIGINT) AS consistent_buckets FROM b""",
 )
 def report_grand_total(spark, sf):
     return R.report_grand_total(_flat(spark, sf))
@@ -88,7 +88,7 @@ def report_grand_total(spark, sf):
     "cumulative_counts",
     """WITH c AS (SELECT date_trunc('day', ts) AS b, count(*) AS n FROM events GROUP BY 1)
        SELECT strftime(b, '%Y-%m-%d') AS bucket, n AS bucket_count,
-              sum(n) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative_count
+              CAST(sum(n) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cumulative_count
        FROM c""",
 )
 def cumulative_counts(spark, sf):
@@ -99,7 +99,7 @@ def cumulative_counts(spark, sf):
 @query(
     "bucket_system_nested",
     f"""WITH c AS (SELECT {_SIX} AS b, event_type AS system, count(*) AS n FROM events GROUP BY 1, 2)
-        SELECT strftime(b, '%Y-%m-%d %H:%M:%S') AS bucket, sum(n) AS overall_count,
+        SELECT strftime(b, '%Y-%m-%d %H:%M:%S') AS bucket, CAST(sum(n) AS BIGINT) AS overall_count,
                string_agg(system || ':' || CAST(n AS VARCHAR), ',' ORDER BY system) AS system_counts
         FROM c GROUP BY b""",
 )
@@ -117,7 +117,7 @@ def bucket_system_nested(spark, sf):
 @query(
     "system_bucket_nested",
     """WITH c AS (SELECT date_trunc('day', ts) AS b, event_type AS system, count(*) AS n FROM events GROUP BY 1, 2)
-       SELECT system, sum(n) AS overall_count, count(*) AS n_buckets,
+       SELECT system, CAST(sum(n) AS BIGINT) AS overall_count, count(*) AS n_buckets,
               string_agg(strftime(b, '%Y-%m-%d') || ':' || CAST(n AS VARCHAR), ',' ORDER BY b) AS time_buckets
        FROM c GROUP BY system""",
 )

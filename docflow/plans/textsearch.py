@@ -113,7 +113,7 @@ def tfidf_topk(spark, sf):
     w, vocab, _ = T.tfidf(t.documents, "doc_id", "text")
     q = T.query_vectors(t.benchmark, "item_id", "text", vocab)
     top = T.cosine_top_k(w, q, TOPK)
-    return top.select(F.col("qid").alias("item_id"), F.col("id").alias("doc_id"), "rank", F.round("score", 6).alias("score"))
+    return top.select(F.col("qid").alias("item_id"), F.col("id").alias("doc_id"), F.col("rank").cast("bigint").alias("rank"), F.round("score", 6).alias("score"))
 
 
 @query(
@@ -149,7 +149,7 @@ def tfidf_topk_with_query(spark, sf):
     n_docs = t.documents.count()
     qtf = T.term_counts(t.benchmark, "item_id", "text", colocate=False).withColumnRenamed("id", "qid")
     top = T.cosine_top_k_including_query(tf, vocab, n_docs, qtf, TOPK)
-    return top.select(F.col("qid").alias("item_id"), F.col("id").alias("doc_id"), "rank", F.round("score", 6).alias("score"))
+    return top.select(F.col("qid").alias("item_id"), F.col("id").alias("doc_id"), F.col("rank").cast("bigint").alias("rank"), F.round("score", 6).alias("score"))
 
 
 @query(
@@ -193,5 +193,5 @@ def best_chunk_per_doc(spark, sf):
     top = T.top_k_per_group(per_doc, "qid", "score", "doc_id", TOPK)
     return top.select(
         F.col("qid").alias("item_id"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("best_chunk").cast("bigint").alias("best_chunk"),
-        "rank", F.round("score", 6).alias("score"),
+        F.col("rank").cast("bigint").alias("rank"), F.round("score", 6).alias("score"),
     )

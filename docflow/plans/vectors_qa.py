@@ -31,7 +31,7 @@ def _emb_topk(spark, sf, group):
     e = Tables(spark, sf).embeddings
     q = V.centroids(e, group, "embedding").select(F.col("grp").cast("string").alias("qid"), "centroid")
     top = V.embedding_top_k(e, "vec_id", "embedding", q, "qid", "centroid", TOPK)
-    return top.select("qid", F.col("id").alias("vec_id"), "rank", F.round("score", 6).alias("score"))
+    return top.select("qid", F.col("id").alias("vec_id"), F.col("rank").cast("bigint").alias("rank"), F.round("score", 6).alias("score"))
 
 
 @query("embedding_topk", _emb_topk_sql("'all'"))
