@@ -130,9 +130,9 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
 def batch_status(rows: DataFrame, batch: str, error_col: str) -> DataFrame:
     """Per-batch outcome: FAILED with the first error text when any row of the
     batch failed, else DONE. Failed batches are recorded, never dropped."""
-    agg = rows.groupBy(batch).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(F.col(error_col)).alias("failed_rows"),
-        F.min(F.col(error_col)).alias("first_error"),
-    )
+    counts = rows.groupBy(batch).agg(F.count(F.lit(1)).alias("rows"), F.count(F.col(error_col)).alias("failed_rows"))
+    # the error text is aggregated over the failed rows only (string buffers
+    # cannot use the hash aggregate; the failed subset is small)
+    errors = rows.where(F.col(error_col).isNotNull()).groupBy(batch).agg(F.min(error_col).alias("first_error"))
+    agg = counts.join(errors, batch, "left")
     return agg.withColumn("status", F.when(F.col("failed_rows") > 0, "FAILED").otherwise("DONE"))

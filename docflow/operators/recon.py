@@ -105,6 +105,15 @@ def decide(src_cnt: Column, tgt_cnt: Column, mismatched: Column) -> tuple[Column
     return check, validation
 
 
+def row_fingerprint(cols: list[Column]) -> Column:
+    """64-bit fingerprint of a row's values, NULL-aware (a NULL and a value
+    never hash alike: each field contributes its null flag and its value)."""
+    parts = []
+    for c in cols:
+        parts += [c.isNull(), c]
+    return F.xxhash64(*parts)
+
+
 def reconcile_by_batch(
     source: DataFrame,
     target: DataFrame,
@@ -115,29 +124,30 @@ def reconcile_by_batch(
     """Per-batch reconciliation of two frames that both carry ``batch``.
 
     One plan for all batches. Each side is first collapsed to one row per
-    (batch, key) with its multiplicity (partial aggregation; a duplicated row
-    is a count, never a fan-out), then a full outer join on (batch, key) —
-    co-partitioned with the collapse, no further exchange — classifies each
-    id as matched / mismatched (values or multiplicity differ) / missing /
-    extra, and the reference decision rule is applied per batch.
+    (batch, key): multiplicity plus the min / max fingerprint of the compared
+    fields — fixed-width buffers, so a hash aggregate with map-side partial
+    aggregation (a duplicated row is a count, never a fan-out). A full outer
+    join on (batch, key), co-partitioned with the collapse, then classifies
+    each id as matched / mismatched (values or multiplicity differ) / missing
+    / extra, and the reference decision rule is applied per batch.
+    ``field_mismatches`` names the differing fields where that is needed.
     """
-    names = list(fields)
 
     def side(df, pick, tag):
-        vals = F.struct(*[F.col(pick(ab)).alias(n) for n, ab in fields.items()])
+        fp = row_fingerprint([F.col(pick(ab)) for ab in fields.values()])
         return df.groupBy(F.col(batch).alias("batch_id"), F.col(key).alias("__k")).agg(
-            F.count(F.lit(1)).alias(f"n_{tag}"), F.min(vals).alias(f"v_{tag}")
+            F.count(F.lit(1)).alias(f"n_{tag}"), F.min(fp).alias(f"lo_{tag}"), F.max(fp).alias(f"hi_{tag}")
         )
 
     s = side(source, lambda ab: ab[0], "s")
     t = side(target, lambda ab: ab[1], "t")
     j = s.join(t, ["batch_id", "__k"], "full_outer")
-    diff = F.size(differing_fields({n: (F.col("v_s")[n], F.col("v_t")[n]) for n in names})) > 0
     both = F.col("n_s").isNotNull() & F.col("n_t").isNotNull()
+    differs = (F.col("n_s") != F.col("n_t")) | (F.col("lo_s") != F.col("lo_t")) | (F.col("hi_s") != F.col("hi_t"))
     per = j.groupBy("batch_id").agg(
         F.coalesce(F.sum("n_s"), F.lit(0)).alias("source_count"),
         F.coalesce(F.sum("n_t"), F.lit(0)).alias("target_count"),
-        F.sum(F.when(both & (diff | (F.col("n_s") != F.col("n_t"))), 1).otherwise(0)).alias("mismatched"),
+        F.sum(F.when(both & differs, 1).otherwise(0)).alias("mismatched"),
         F.sum(F.when(F.col("n_t").isNull(), 1).otherwise(0)).alias("missing"),
         F.sum(F.when(F.col("n_s").isNull(), 1).otherwise(0)).alias("extra"),
     )

@@ -258,21 +258,21 @@ def extract_entities(text: str | Column) -> tuple[Column, Column, Column]:
 
 def group_duplicates(df: DataFrame, id_col: str, text_col: str, k: int) -> tuple[DataFrame, DataFrame]:
     """Collapse identical texts: (unique: id = smallest member id, text, mult)
-    and (members: id -> first ``k`` member ids, ascending).
+    and (members: rep -> first ``k`` member ids, ascending).
 
-    Counting is combinable (partial aggregation), and the member lists are
-    cut to ``k`` by a windowed limit that runs map-side first, so a text
-    repeated in a third of all rows never lands in one task as a whole.
+    Multiplicities come from a hash aggregate on the text digest; the first
+    ``k`` members (and the representative's text) from a windowed limit that
+    runs map-side first, so a text repeated in a third of all rows never
+    lands in one task as a whole and texts are never sorted as a group.
     """
     sig = F.sha2(F.col(text_col), 256)
     keyed = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), sig.alias("sig"))
-    unique = keyed.groupBy("sig").agg(
-        F.min("id").alias("id"), F.first("text").alias("text"), F.count(F.lit(1)).alias("mult")
-    )
+    mult = keyed.groupBy("sig").agg(F.count(F.lit(1)).alias("mult"))
     w = Window.partitionBy("sig").orderBy("id")
-    firsts = keyed.select("sig", "id").withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= k)
+    firsts = keyed.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= k)
+    unique = firsts.where(F.col("__r") == 1).join(mult, "sig").select("id", "text", "mult")
     members = firsts.groupBy("sig").agg(F.min("id").alias("rep"), F.sort_array(F.collect_list("id")).alias("ids"))
-    return unique.drop("sig"), members.drop("sig")
+    return unique, members.drop("sig")
 
 
 def tfidf_weighted(unique: DataFrame, vocab_broadcast_rows: int = 2_000_000) -> tuple[DataFrame, DataFrame, int]:

@@ -186,10 +186,14 @@ def best_chunk_per_doc(spark, sf):
     qb = T.bounded_broadcast(q, 1_000_000)
     s = w.select("id", "term", "weight").join(qb, "term")
     scores = s.groupBy("qid", "id").agg(F.sum(F.col("weight") * F.col("qweight")).alias("score"))
+    # best chunk per (query, document): one long orders by (score at 1e-9,
+    # earliest chunk) so both aggregates use fixed-width hash-aggregate buffers
+    chunk = F.col("id") % 1_000_000
+    order_key = F.round(F.round("score", 9) * 1e9).cast("long") * (1 << 20) + ((1 << 20) - 1 - chunk)
     per_doc = scores.groupBy("qid", F.floor(F.col("id") / 1_000_000).alias("doc_id")).agg(
-        F.max(F.struct(F.round("score", 9).alias("r"), (-(F.col("id") % 1_000_000)).alias("neg_chunk"), F.col("score"))).alias("best")
+        F.max(order_key).alias("__best"), F.max_by("score", order_key).alias("score")
     )
-    per_doc = per_doc.select("qid", "doc_id", F.col("best.score").alias("score"), (-F.col("best.neg_chunk")).alias("best_chunk"))
+    per_doc = per_doc.select("qid", "doc_id", "score", ((1 << 20) - 1 - F.col("__best") % (1 << 20)).alias("best_chunk"))
     top = T.top_k_per_group(per_doc, "qid", "score", "doc_id", TOPK)
     return top.select(
         F.col("qid").alias("item_id"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("best_chunk").cast("bigint").alias("best_chunk"),
