@@ -6,8 +6,7 @@ Incremental state lives in Spark's state store (streaming aggregation in
 ``foreachBatch`` sink that writes them as ``<log>/epoch=<id>`` — overwriting
 its own epoch folder, so a replayed epoch is idempotent and a write costs
 O(changed keys), never O(table). Readers merge on read: per key the row of
-the highest epoch (``EpochLog.latest``); ``EpochLog.compact`` folds the log
-into one snapshot when it grows long.
+the highest epoch (``EpochLog.latest``).
 """
 
 from __future__ import annotations
@@ -51,12 +50,6 @@ class EpochLog:
         merged = log.groupBy(*self.keys).agg(F.max_by(F.struct(*vals), F.col("epoch")).alias("__row"))
         return merged.select(*self.keys, *[F.col(f"__row.{c}").alias(c) for c in vals])
 
-    def compact(self, epoch: int) -> None:
-        """Fold the log into one snapshot written as ``epoch`` (use the last epoch id)."""
-        snap = self.latest()
-        path = f"{self.path}-compacted/epoch={epoch}"
-        snap.write.mode("overwrite").parquet(path)
-
 
 def run_available_now(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpoint: str,
                       output_mode: str = "append") -> None:
