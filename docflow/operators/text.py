@@ -125,6 +125,27 @@ def term_counts(df: DataFrame, id_col: str, text_col: str, stop_words=None, colo
     return terms.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def postings(df: DataFrame, id_col: str, text_col: str, stop_words=None) -> DataFrame:
+    """(id, term, tf) materialised once in the shared checkpoint folder.
+
+    The postings are the index: checkpointing (reliable, lineage cut; the
+    by-document partitioning is kept) means N, the vocabulary, its size check
+    and the weights do not each re-tokenise the corpus.
+    """
+    tf = term_counts(df, id_col, text_col, stop_words)
+    conf = df.sparkSession.conf
+    # An adaptive plan does not report its output partitioning to the
+    # checkpointed relation; materialise this one stage non-adaptively so the
+    # checkpoint keeps hash(id) and downstream per-document steps need no
+    # further exchange.
+    prev = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return tf.checkpoint(eager=True)
+    finally:
+        conf.set("spark.sql.adaptive.enabled", prev)
+
+
 def tfidf(
     df: DataFrame,
     id_col: str,
@@ -140,11 +161,7 @@ def tfidf(
     ``extra_docs`` / ``extra_df`` let callers fit "including" extra documents
     (idf over N + extra with df counts augmented) without re-reading the corpus.
     """
-    # The postings are the index: materialise them once in the shared
-    # checkpoint folder (reliable, lineage cut; keeps the by-document
-    # partitioning) so N, the vocabulary, its size check and the weights do
-    # not each re-tokenise the corpus.
-    tf = term_counts(df, id_col, text_col, stop_words).checkpoint(eager=True)
+    tf = postings(df, id_col, text_col, stop_words)
     n_docs = df.select(id_col).count() + extra_docs  # documents without tokens count too
     vocab = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     if extra_df is not None:
@@ -279,7 +296,7 @@ def tfidf_weighted(unique: DataFrame, vocab_broadcast_rows: int = 2_000_000) ->
     """TF-IDF over de-duplicated texts where each text stands for ``mult``
     identical documents: N and df count the multiplicities, so the weights
     equal those of the full corpus."""
-    tf = term_counts(unique, "id", "text")
+    tf = postings(unique, "id", "text")
     mult = unique.select("id", "mult")
     n_docs = int(unique.agg(F.sum("mult")).first()[0] or 0)
     vocab = tf.join(mult, "id").groupBy("term").agg(F.sum("mult").alias("df"))

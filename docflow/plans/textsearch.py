@@ -144,7 +144,7 @@ def tfidf_topk(spark, sf):
 def tfidf_topk_with_query(spark, sf):
     """Each question is fitted together with the corpus (N + 1 documents)."""
     t = Tables(spark, sf)
-    tf = T.term_counts(t.documents, "doc_id", "text")
+    tf = T.postings(t.documents, "doc_id", "text")
     vocab = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n_docs = t.documents.count()
     qtf = T.term_counts(t.benchmark, "item_id", "text", colocate=False).withColumnRenamed("id", "qid")
