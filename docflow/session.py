@@ -9,6 +9,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def _default_driver_memory() -> str:
+    """Local mode: the driver is the executor; use ~60% of RAM, at most 16g."""
+    try:
+        with open("/proc/meminfo") as fh:
+            kb = next(int(line.split()[1]) for line in fh if line.startswith("MemTotal"))
+        return f"{max(1, min(16, int(kb * 0.6 / 1024 / 1024)))}g"
+    except (OSError, StopIteration, ValueError):
+        return "4g"
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str = "docflow") -> SparkSession:
     """Local/test session: UTC, AQE with skew handling, UI off.
 
@@ -24,7 +34,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", _default_driver_memory()))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     spark = builder.getOrCreate()
