@@ -63,10 +63,16 @@ def between_bounds(c: str | Column, lo, hi, bounds: str = "[)") -> Column:
     return reduce(lambda a, b: a & b, preds, F.lit(True)) if preds else F.lit(True)
 
 
+def ts_lit(value: str) -> Column:
+    """Zone-free timestamp literal (wall clock): independent of the session
+    time zone and pushed down as-is against TIMESTAMP_NTZ columns."""
+    return F.lit(value).cast("timestamp_ntz")
+
+
 def inclusive_end_date(c: str | Column, start_date: str, end_date: str) -> Column:
     """Calendar range with an inclusive end date: start <= ts < end + 1 day."""
-    lo = F.to_timestamp(F.lit(start_date))
-    hi = F.to_timestamp(F.lit(end_date)) + F.expr("INTERVAL 1 DAY")
+    lo = ts_lit(start_date)
+    hi = ts_lit(end_date) + F.expr("INTERVAL 1 DAY")
     return (col_(c) >= lo) & (col_(c) < hi)
 
 

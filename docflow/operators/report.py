@@ -13,7 +13,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docflow.functions.exprs import SYSTEM_ALIASES, TS_FORMAT, between_bounds, col_, lookup
+from docflow.functions.exprs import SYSTEM_ALIASES, TS_FORMAT, between_bounds, col_, lookup, ts_lit
 
 UNITS = {"hour": "1 hour", "day": "1 day"}
 
@@ -34,8 +34,8 @@ def bucket_start(ts: str | Column, unit: str) -> Column:
 def _range(df: DataFrame, ts: str, start, end, bounds: str) -> DataFrame:
     if start is None and end is None:
         return df
-    lo = F.to_timestamp(F.lit(start)) if start is not None else None
-    hi = F.to_timestamp(F.lit(end)) if end is not None else None
+    lo = ts_lit(start) if start is not None else None
+    hi = ts_lit(end) if end is not None else None
     return df.filter(between_bounds(ts, lo, hi, bounds))
 
 
@@ -168,8 +168,8 @@ def gap_filled_series(
     if unit not in UNITS:
         raise ValueError(f"gap filling supports 'hour' or 'day', got {unit!r}")
     step = UNITS[unit]
-    lo = F.date_trunc(unit, F.to_timestamp(F.lit(start)))
-    hi_excl = F.to_timestamp(F.lit(end)) + F.expr("INTERVAL 1 DAY")
+    lo = F.date_trunc(unit, ts_lit(start)).cast("timestamp_ntz")
+    hi_excl = ts_lit(end) + F.expr("INTERVAL 1 DAY")
     counts = bucket_counts(
         df.filter((F.col(ts) >= lo) & (F.col(ts) < hi_excl)), ts, unit=unit, system=system
     )
@@ -209,3 +209,31 @@ def report_grand_total(flat: DataFrame) -> DataFrame:
         F.sum("bucket_total").alias("grand_total"),
         F.sum(F.when(F.col("bucket_total") == F.col("overall_count"), 1).otherwise(0)).alias("consistent_buckets"),
     )
+
+
+def time_report(
+    df: DataFrame,
+    ts: str,
+    system: str,
+    unit: str = "6 hours",
+    start: str | None = None,
+    end: str | None = None,
+    bounds: str = "[)",
+    fill: bool = False,
+    known_systems: Iterable[str] = (),
+    system_filter: str = "ALL",
+) -> DataFrame:
+    """One entry point for the activity report.
+
+    ``fill=False``: flattened (bucket, system) rows with the overall count
+    per bucket (``flat_report``). ``fill=True``: every hour / day bucket of
+    [start, end] for every system, zero where empty (``gap_filled_series``;
+    ``end`` is an inclusive calendar date there).
+    """
+    if fill:
+        if start is None or end is None:
+            raise ValueError("gap filling needs start and end")
+        if system_filter not in (None, "ALL"):
+            df = df.filter(F.col(system) == F.lit(system_filter))
+        return gap_filled_series(df, ts, system, start, end, unit=unit, known_systems=known_systems)
+    return flat_report(df, ts, system, unit=unit, start=start, end=end, bounds=bounds, system_filter=system_filter)

@@ -175,6 +175,8 @@ def recon_summary(spark, sf):
                coalesce(p.mismatched, 0) AS mismatched, coalesce(p.missing, 0) AS missing, coalesce(p.extra, 0) AS extra,
                CASE WHEN coalesce(p.source_count, 0) = 0 OR coalesce(p.target_count, 0) = 0 THEN 'NOT MATCHED'
                     WHEN coalesce(p.mismatched, 0) = 0 THEN 'MATCHED' ELSE 'MISMATCHED' END AS reconcile_check,
+               CASE WHEN coalesce(p.source_count, 0) = 0 OR coalesce(p.target_count, 0) = 0 THEN 'FAILURE' END
+                 AS retrieval_validation,
                strftime(l.batch_end, '%Y-%m-%d') AS reconcile_dttm
         FROM ledger l LEFT JOIN per p USING (batch_id) WHERE l.reconcile_dttm IS NULL""",
 )
@@ -188,11 +190,12 @@ def recon_all_batches(spark, sf):
     tj = J.range_join(t, "o_orderdate", pending, "batch_start", "batch_end", bounds="[)")
     per = R.reconcile_by_batch(sj, tj, "o_orderkey", "batch_id", FIELDS)
     out = pending.join(per, "batch_id", "left")
-    check, _ = R.decide(F.col("source_count"), F.col("target_count"), F.col("mismatched"))
+    check, validation = R.decide(F.col("source_count"), F.col("target_count"), F.col("mismatched"))
     return out.select(
         "batch_id",
         *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("source_count", "target_count", "mismatched", "missing", "extra")],
         check.alias("reconcile_check"),
+        validation.alias("retrieval_validation"),
         F.date_format("batch_end", "yyyy-MM-dd").alias("reconcile_dttm"),
     )
 

@@ -51,16 +51,20 @@ class EpochLog:
         return merged.select(*self.keys, *[F.col(f"__row.{c}").alias(c) for c in vals])
 
 
+def start_stream(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpoint: str,
+                 output_mode: str = "append", every: str | None = None):
+    """Start a ``foreachBatch`` query: ``every=None`` drains what is available
+    and stops (``availableNow``); ``every='5 minutes'`` keeps polling for new
+    input at that interval (the caller owns the returned query)."""
+    w = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint).foreachBatch(handler)
+    w = w.trigger(availableNow=True) if every is None else w.trigger(processingTime=every)
+    return w.start()
+
+
 def run_available_now(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpoint: str,
                       output_mode: str = "append") -> None:
     """Drain all available input in micro-batches, then stop."""
-    q = (
-        stream.writeStream.outputMode(output_mode)
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(handler)
-        .trigger(availableNow=True)
-        .start()
-    )
+    q = start_stream(stream, handler, checkpoint, output_mode)
     q.awaitTermination()
     if q.exception() is not None:  # pragma: no cover - surfaced to caller
         raise RuntimeError(str(q.exception()))
@@ -70,12 +74,33 @@ def file_stream(spark: SparkSession, path: str, schema, max_files: int = 1) -> D
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", str(max_files)).parquet(path)
 
 
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def wall_clock_instant(ts: str) -> "F.Column":
+    """A zone-free timestamp as an event-time instant whose epoch offset equals
+    the wall clock (so windows align to wall-clock boundaries in any session
+    time zone)."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), F.col(ts))
+    return F.timestamp_micros(micros)
+
+
+def instant_to_wall_clock(c) -> "F.Column":
+    """Inverse of ``wall_clock_instant``: back to a zone-free timestamp."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
+
+
 def windowed_counts(stream: DataFrame, ts: str, window: str, delay: str, key: str | None = None) -> DataFrame:
     """Tumbling-window counts with a watermark (state for closed windows is
-    dropped). Timestamps without zone are read as session-zone timestamps."""
-    s = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
-    keys = [F.window(ts, window).start.alias("bucket")] + ([F.col(key)] if key else [])
-    return s.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    dropped). Zone-free event times are mapped to instants without using the
+    session time zone; ``bucket`` comes back as a zone-free timestamp."""
+    is_ntz = dict(stream.dtypes).get(ts) == "timestamp_ntz"
+    et = wall_clock_instant(ts) if is_ntz else F.col(ts)
+    s = stream.withColumn("__event_time", et).withWatermark("__event_time", delay)
+    keys = [F.window("__event_time", window).start.alias("__start")] + ([F.col(key)] if key else [])
+    agg = s.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    bucket = instant_to_wall_clock(F.col("__start")) if is_ntz else F.col("__start")
+    return agg.select(bucket.alias("bucket"), *([key] if key else []), "n")
 
 
 def stream_to_log(agg: DataFrame, log: EpochLog, checkpoint: str) -> DataFrame:
