@@ -123,6 +123,20 @@ def read_text_folder(spark: SparkSession, path: str, glob: str | None = None) ->
     ])
 
 
+def object_listing(spark: SparkSession, path: str, glob: str | None = None, server: int = 0) -> DataFrame:
+    """(guid, server, length) for stored objects under ``path``: the file name
+    without extension is the guid. Only metadata is read (the ``binaryFile``
+    source skips file contents when ``content`` is not selected). Zero-length
+    files produce no split and are absent from the listing — retrieval
+    validation treats absent and empty objects alike (FAILURE)."""
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    files = r.load(path).select("path", "length")
+    name = F.regexp_extract("path", r"([^/]+?)(\.[^./]*)?$", 1)
+    return files.select(name.alias("guid"), F.lit(server).alias("server"), F.col("length").cast("bigint").alias("length"))
+
+
 # --------------------------------------------------------------------- sinks
 
 
