@@ -50,7 +50,7 @@ def embedding_topk_multi(spark, sf):
 
 _QUESTIONS_SQL = """
   pat AS (SELECT c.c_custkey AS pid, 'Cust' || CAST(c.c_custkey AS VARCHAR) AS name, c.c_nationkey + 20 AS age,
-                 c.c_mktsegment AS diagnosis, n.n_name AS hospital,
+                 c.c_mktsegment AS diagnosis, 'Dr. ' || n.n_name AS doctor, n.n_name || ' General' AS hospital,
                  lower(c.c_mktsegment) || ' ' || lower(n.n_name) || ' patient record' AS description
           FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
   qs AS (SELECT c_custkey AS question_id,
@@ -58,7 +58,7 @@ _QUESTIONS_SQL = """
                   WHEN 0 THEN 'What is the diagnosis of patient Cust' || CAST(CASE WHEN c_custkey % 7 = 0 THEN c_custkey + 1000000 ELSE c_custkey END AS VARCHAR) || '? Age is ' || CAST(c_nationkey + 20 AS VARCHAR) || '.'
                   WHEN 1 THEN 'Patient named Cust' || CAST(CASE WHEN c_custkey % 7 = 0 THEN c_custkey + 1000000 ELSE c_custkey END AS VARCHAR) || ' was diagnosed with ' || c_mktsegment
                   WHEN 2 THEN 'Tell me about the ' || lower(c_mktsegment) || ' cases'
-                  ELSE 'My name is Cust' || CAST(CASE WHEN c_custkey % 7 = 0 THEN c_custkey + 1000000 ELSE c_custkey END AS VARCHAR) || ', my age is ' || CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR)
+                  ELSE 'My name is cust' || CAST(CASE WHEN c_custkey % 7 = 0 THEN c_custkey + 1000000 ELSE c_custkey END AS VARCHAR) || ', my age is ' || CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR)
                 END AS question
          FROM customer),
   ent AS (SELECT question_id, question,
@@ -76,7 +76,8 @@ def _patients(spark, sf):
         F.concat(F.lit("Cust"), F.col("c_custkey").cast("string")).alias("name"),
         (F.col("c_nationkey") + 20).alias("age"),
         F.col("c_mktsegment").alias("diagnosis"),
-        F.col("n_name").alias("hospital"),
+        F.concat(F.lit("Dr. "), F.col("n_name")).alias("doctor"),
+        F.concat(F.col("n_name"), F.lit(" General")).alias("hospital"),
         F.concat_ws(" ", F.lower("c_mktsegment"), F.lower("n_name"), F.lit("patient record")).alias("description"),
     )
 
@@ -90,7 +91,7 @@ def _questions(spark, sf):
                                    (F.col("c_nationkey") + 20).cast("string"), F.lit(".")))
         .when(k % 4 == 1, F.concat(F.lit("Patient named Cust"), shown, F.lit(" was diagnosed with "), F.col("c_mktsegment")))
         .when(k % 4 == 2, F.concat(F.lit("Tell me about the "), F.lower("c_mktsegment"), F.lit(" cases")))
-        .otherwise(F.concat(F.lit("My name is Cust"), shown, F.lit(", my age is "), F.floor("c_acctbal").cast("bigint").cast("string")))
+        .otherwise(F.concat(F.lit("My name is cust"), shown, F.lit(", my age is "), F.floor("c_acctbal").cast("bigint").cast("string")))
     )
     return c.select(k.alias("question_id"), q.alias("question"))
 
@@ -106,24 +107,27 @@ def extract_entities(spark, sf):
     return _entities(spark, sf).select("question_id", "name", "age", "diagnosis")
 
 
-ANSWER_TEMPLATE = "Patient %s, age %d, was diagnosed with %s at %s."
+# Answer sentences of the question-answering cascade.
+ANSWER_TEMPLATE = "Patient %s is %d years old, diagnosed with %s, treated by %s at %s."
+MATCHES_PREFIX = "Here are the closest matches: "
+NOTHING = "No relevant patient information found."
 
 
-def format_answer_col(name="name", age="age", diagnosis="diagnosis", hospital="hospital"):
-    return F.format_string(ANSWER_TEMPLATE, F.col(name), F.col(age), F.col(diagnosis), F.col(hospital))
+def format_answer_col(name="name", age="age", diagnosis="diagnosis", doctor="doctor", hospital="hospital"):
+    return F.format_string(ANSWER_TEMPLATE, F.col(name), F.col(age), F.col(diagnosis), F.col(doctor), F.col(hospital))
 
 
 @query(
     "format_answer",
     f"""WITH {_QUESTIONS_SQL}
-        SELECT pid, printf('Patient %s, age %d, was diagnosed with %s at %s.', name, age, diagnosis, hospital) AS answer FROM pat""",
+        SELECT pid, printf('Patient %s is %d years old, diagnosed with %s, treated by %s at %s.', name, age, diagnosis, doctor, hospital)
+                 AS answer FROM pat""",
 )
 def format_answer(spark, sf):
     p = _patients(spark, sf)
     return p.select("pid", format_answer_col().alias("answer"))
 
 
-NOTHING = "Nothing relevant found."
 _TOK = r"'[\p{L}\p{N}_]{2,}'"
 
 
@@ -131,8 +135,9 @@ _TOK = r"'[\p{L}\p{N}_]{2,}'"
     "answer_cascade",
     f"""WITH {_QUESTIONS_SQL},
       exact AS (SELECT ent.question_id, 'exact' AS kind,
-                       printf('Patient %s, age %d, was diagnosed with %s at %s.', pat.name, pat.age, pat.diagnosis, pat.hospital) AS answer
-                FROM ent JOIN pat ON ent.name = pat.name),
+                       printf('Patient %s is %d years old, diagnosed with %s, treated by %s at %s.',
+                              pat.name, pat.age, pat.diagnosis, pat.doctor, pat.hospital) AS answer
+                FROM ent JOIN pat ON lower(ent.name) = lower(pat.name)),
       rest AS (SELECT question_id, question FROM ent WHERE question_id NOT IN (SELECT question_id FROM exact)),
       tok AS (SELECT pid AS id, unnest(regexp_extract_all(lower(description), {_TOK})) AS term FROM pat),
       tf AS (SELECT id, term, count(*) AS tf FROM tok GROUP BY 1, 2),
@@ -148,27 +153,31 @@ _TOK = r"'[\p{L}\p{N}_]{2,}'"
       sc AS (SELECT qid, id, sum(weight * qweight) AS score FROM wt JOIN qw USING (term) GROUP BY 1, 2),
       rk AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, id) AS rank FROM sc),
       sim AS (SELECT qid AS question_id, 'similar' AS kind,
-                     string_agg(CAST(id AS VARCHAR), ',' ORDER BY rank) AS answer FROM rk WHERE rank <= 3 GROUP BY 1)
+                     '{MATCHES_PREFIX}' || string_agg(pat.description, ' | ' ORDER BY rank) AS answer
+              FROM rk JOIN pat ON rk.id = pat.pid WHERE rank <= 3 GROUP BY 1)
     SELECT * FROM exact UNION ALL SELECT * FROM sim
     UNION ALL SELECT question_id, 'none', '{NOTHING}' FROM rest WHERE question_id NOT IN (SELECT question_id FROM sim)""",
 )
 def answer_cascade(spark, sf):
-    """Exact entity match first; otherwise the 3 most similar records
-    (TF-IDF cosine); otherwise 'nothing relevant' when no term is shared."""
+    """Exact (case-insensitive) name match first; otherwise the descriptions
+    of the 3 most similar records (TF-IDF cosine); otherwise the fixed
+    'no relevant information' answer when no term is shared."""
     ent = _entities(spark, sf)
     pat = _patients(spark, sf)
-    exact = ent.join(pat.select("name", "age", "diagnosis", "hospital").withColumnRenamed("age", "p_age")
-                     .withColumnRenamed("diagnosis", "p_diag"), "name")
-    exact = exact.select(
-        "question_id", F.lit("exact").alias("kind"),
-        F.format_string(ANSWER_TEMPLATE, F.col("name"), F.col("p_age"), F.col("p_diag"), F.col("hospital")).alias("answer"),
+    p = pat.select(
+        F.lower("name").alias("__name"),
+        format_answer_col().alias("answer"),
     )
+    exact = ent.join(p, F.lower(ent["name"]) == p["__name"]).select("question_id", F.lit("exact").alias("kind"), "answer")
     rest = ent.join(exact.select("question_id"), "question_id", "left_anti").select("question_id", "question")
     # many records share a description: identical texts are scored once
     top = T.dedup_cosine_top_k(pat, "pid", "description", rest, "question_id", "question", 3)
-    sim = top.groupBy(F.col("qid").alias("question_id")).agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "id"))), lambda s: s["id"].cast("string")), ",").alias("answer")
-    ).select("question_id", F.lit("similar").alias("kind"), "answer")
+    described = top.join(pat.select(F.col("pid").alias("id"), "description"), "id")
+    sim = described.groupBy(F.col("qid").alias("question_id")).agg(
+        F.array_join(
+            F.transform(F.sort_array(F.collect_list(F.struct("rank", "description"))), lambda x: x["description"]), " | "
+        ).alias("matches")
+    ).select("question_id", F.lit("similar").alias("kind"), F.concat(F.lit(MATCHES_PREFIX), "matches").alias("answer"))
     none = rest.join(sim.select("question_id"), "question_id", "left_anti").select(
         "question_id", F.lit("none").alias("kind"), F.lit(NOTHING).alias("answer")
     )
