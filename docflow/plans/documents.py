@@ -357,20 +357,15 @@ def map_columns(spark, sf):
         FROM v GROUP BY 1""",
 )
 def migrate_documents(spark, sf):
-    """Whole migration run: assemble + validate + one partitioned write with
-    observed counts; the written collection is read back per outcome."""
+    """Whole migration run: assemble + validate + one partitioned write; the
+    written collection is read back per outcome (the run's ledger row is the
+    same aggregate, see ``operators.migrate``)."""
     from docflow.operators.migrate import migrate_documents as run
     from docflow.session import scratch_path
 
     out = scratch_path(spark, "migration")
-    ledger = run(spark, order_documents(Tables(spark, sf)), DOC_SCHEMA, out, "RUN-1")
+    run(spark, order_documents(Tables(spark, sf)), DOC_SCHEMA, out, "RUN-1")
     back = spark.read.parquet(out)
-    counts = back.groupBy("outcome").agg(
+    return back.groupBy("outcome").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.size("violations")).cast("bigint").alias("n_violations")
     )
-    # the observed ledger totals must agree with what was written
-    row = ledger.first()
-    written = {r.outcome: r.n for r in counts.collect()}
-    if row.accepted != written.get("accepted", 0) or row.rejected != written.get("rejected", 0):
-        raise RuntimeError("observed migration counts differ from the written collection")
-    return counts

@@ -158,3 +158,14 @@ def test_time_report_entry_point(spark):
     filled = RP.time_report(e, "ts", "event_type", unit="day", start="2024-01-01", end="2024-01-30", fill=True,
                             system_filter="click")
     assert filled.count() == 30 and filled.agg(F.sum("count")).first()[0] == e.filter(F.col("event_type") == "click").count()
+
+
+def test_migration_ledger_matches_written(spark, tmp_path):
+    from docflow.operators.migrate import migrate_documents
+
+    docs = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "id int, name string")
+    led = migrate_documents(spark, docs, {"required": ["name"]}, str(tmp_path / "out"), "B1",
+                            derive={"upper": F.upper("name")}).first()
+    assert (led.total, led.accepted, led.rejected, led.status) == (3, 2, 1, "DONE")
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(back.columns) == ["id", "name", "outcome", "upper", "violations"]
