@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
@@ -79,6 +79,8 @@ def range_join(
     the day, then the exact bound predicate is applied: a hash join instead
     of a nested loop, so it scales with rows x (windows per day). The window
     side is broadcast only when its size is proven small.
+    ``day_bucketed=False`` is the plain non-equi join (a nested loop against
+    the checked window table) kept as a reference for tests.
     """
     lo_ok = (F.col(ts) >= F.col(start)) if bounds[0] == "[" else (F.col(ts) > F.col(start))
     hi_ok = (F.col(ts) <= F.col(end)) if bounds[1] == "]" else (F.col(ts) < F.col(end))
@@ -89,7 +91,3 @@ def range_join(
     )
     r = rows.withColumn("__day", F.to_date(F.col(ts)))
     return r.join(bounded_broadcast(days, max_window_rows), "__day", "inner").where(lo_ok & hi_ok).drop("__day")
-
-
-def side_flag(c: Column) -> Column:
-    return F.when(c.isNull(), F.lit(False)).otherwise(F.lit(True))
