@@ -351,10 +351,13 @@ def test_status_string_bounded_sample(spark):
 def test_bounded_broadcast(spark):
     small = spark.range(5)
     big = spark.range(100)
-    plan = big.join(J.bounded_broadcast(small, 10), "id")._sc._jvm.PythonSQLUtils.explainString(
-        big.join(J.bounded_broadcast(small, 10), "id")._jdf.queryExecution(), "simple"
-    )
-    assert "BroadcastHashJoin" in plan
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        big.join(J.bounded_broadcast(small, 10), "id").explain()
+    assert "BroadcastHashJoin" in buf.getvalue()
     assert J.bounded_broadcast(big, 10) is big
 
 
