@@ -17,7 +17,7 @@ def daily_totals(df: DataFrame, ts: str, amount: str | Column) -> DataFrame:
 def linear_trend(daily: DataFrame, day: str = "day", y: str = "total") -> DataFrame:
     """One-row model: slope and intercept of y over x = days since the first day
     (native regression aggregates; no data leaves the executors)."""
-    first = F.min(day).over(Window.partitionBy())
+    first = daily.agg(F.min(day)).scalar()  # scalar subquery, planned by Catalyst
     x = F.datediff(F.col(day), first)
     pts = daily.select(F.col(day), x.alias("x"), F.col(y).alias("y"))
     return pts.agg(

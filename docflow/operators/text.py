@@ -157,12 +157,13 @@ def tfidf(
 ) -> tuple[DataFrame, DataFrame, int]:
     """Fit TF-IDF on a corpus.
 
-    Returns (weights(id, term, tf, idf, weight), vocabulary(term, df, idf), N).
+    Returns (weights(id, term, tf, idf, weight), vocabulary(term, df, idf), N as a Column).
     ``extra_docs`` / ``extra_df`` let callers fit "including" extra documents
     (idf over N + extra with df counts augmented) without re-reading the corpus.
     """
     tf = postings(df, id_col, text_col, stop_words)
-    n_docs = df.select(id_col).count() + extra_docs  # documents without tokens count too
+    # N as a scalar subquery (documents without tokens count too)
+    n_docs = df.agg(F.count(F.lit(1))).scalar() + F.lit(extra_docs)
     vocab = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     if extra_df is not None:
         vocab = vocab.join(extra_df, "term", "left").select(
@@ -211,7 +212,7 @@ def cosine_top_k(weights: DataFrame, qvec: DataFrame, k: int, query_rows: int =
 def cosine_top_k_including_query(
     corpus_tf: DataFrame,
     vocab_df: DataFrame,
-    n_docs: int,
+    n_docs,
     queries_tf: DataFrame,
     k: int,
     query_rows: int = 1_000_000,
@@ -298,7 +299,7 @@ def tfidf_weighted(unique: DataFrame, vocab_broadcast_rows: int = 2_000_000) ->
     equal those of the full corpus."""
     tf = postings(unique, "id", "text")
     mult = unique.select("id", "mult")
-    n_docs = int(unique.agg(F.sum("mult")).first()[0] or 0)
+    n_docs = unique.agg(F.sum("mult")).scalar()
     vocab = tf.join(mult, "id").groupBy("term").agg(F.sum("mult").alias("df"))
     vocab = vocab.withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0)
     w = tf.join(bounded_broadcast(vocab.select("term", "idf"), vocab_broadcast_rows), "term")

@@ -146,7 +146,7 @@ def tfidf_topk_with_query(spark, sf):
     t = Tables(spark, sf)
     tf = T.postings(t.documents, "doc_id", "text")
     vocab = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    n_docs = t.documents.count()
+    n_docs = t.documents.agg(F.count(F.lit(1))).scalar()  # scalar subquery
     qtf = T.term_counts(t.benchmark, "item_id", "text", colocate=False).withColumnRenamed("id", "qid")
     top = T.cosine_top_k_including_query(tf, vocab, n_docs, qtf, TOPK)
     return top.select(F.col("qid").alias("item_id"), F.col("id").alias("doc_id"), F.col("rank").cast("bigint").alias("rank"), F.round("score", 6).alias("score"))
