@@ -51,6 +51,7 @@ def sink_documents_roundtrip(spark, sf):
     partition pruning available on the status column."""
     docs = order_documents(Tables(spark, sf))
     spec = IO.DocumentSpec("parquet", scratch_path(spark, "docs-parquet"))
+    docs = IO.cluster_for_partitioned_write(docs, ["businessDocumentStatus"], "doc_id", salt_buckets=8)
     IO.write_documents(docs, spec, mode="append", partition_by=["businessDocumentStatus"])
     back = IO.read_documents(spark, spec)
     return back.groupBy(F.col("businessDocumentStatus").alias("status")).agg(
@@ -66,7 +67,8 @@ def text_folder_scan(spark, sf):
     """Corpus written as a folder of text files (one folder per source), read
     back one row per file with its path; characters summed per source."""
     path = scratch_path(spark, "text-folder")
-    Tables(spark, sf).documents.select("source", "text").write.partitionBy("source").text(path)
+    docs = IO.cluster_for_partitioned_write(Tables(spark, sf).documents, ["source"], "doc_id", salt_buckets=8)
+    docs.select("source", "text").write.partitionBy("source").text(path)
     files = IO.read_text_folder(spark, path, glob="*.txt")
     return files.groupBy("source").agg(F.sum(F.length("text")).cast("bigint").alias("total_chars"))
 

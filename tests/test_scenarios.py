@@ -169,3 +169,18 @@ def test_migration_ledger_matches_written(spark, tmp_path):
     assert (led.total, led.accepted, led.rejected, led.status) == (3, 2, 1, "DONE")
     back = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(back.columns) == ["id", "name", "outcome", "upper", "violations"]
+
+
+def test_partitioned_write_bounds_files_per_value(spark, tmp_path):
+    from docflow.sources.io import cluster_for_partitioned_write
+
+    df = spark.range(0, 20_000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("v"), (F.col("id") % 5).cast("string"))).alias("p")
+    ).repartition(50)
+    out = str(tmp_path / "w")
+    cluster_for_partitioned_write(df, ["p"], "id", salt_buckets=4).write.partitionBy("p").parquet(out)
+    import glob
+
+    hot_files = glob.glob(f"{out}/p=HOT/*.parquet")
+    assert 1 <= len(hot_files) <= 4
+    assert spark.read.parquet(out).count() == 20_000
