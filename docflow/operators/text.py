@@ -53,6 +53,13 @@ def _chunks_of_words(words: Column, size: int) -> Column:
     return F.transform(starts, lambda i: F.array_join(F.slice(words, i * size + 1, size), " "))
 
 
+def word_chunk_count(df: DataFrame, text_col: str, size: int = 500) -> Column:
+    """Number of word chunks of a corpus as a scalar subquery, counted from the
+    word counts (no chunk texts are built)."""
+    n = F.size(F.split(F.trim(F.col(text_col)), WORD_SPLIT))
+    return df.agg(F.sum(F.greatest(F.ceil(n / F.lit(size)), F.lit(1))).cast("bigint")).scalar()
+
+
 def explode_word_chunks(df: DataFrame, id_col: str, text_col: str, size: int = 500) -> DataFrame:
     """(id, chunk_no, chunk_text) with the words split once per text."""
     w = df.select(F.col(id_col), F.split(F.trim(F.col(text_col)), WORD_SPLIT).alias("__words"))
@@ -154,16 +161,21 @@ def tfidf(
     extra_docs: int = 0,
     extra_df: DataFrame | None = None,
     vocab_broadcast_rows: int = 2_000_000,
-) -> tuple[DataFrame, DataFrame, int]:
+    n_docs: Column | None = None,
+) -> tuple[DataFrame, DataFrame, Column]:
     """Fit TF-IDF on a corpus.
 
     Returns (weights(id, term, tf, idf, weight), vocabulary(term, df, idf), N as a Column).
     ``extra_docs`` / ``extra_df`` let callers fit "including" extra documents
     (idf over N + extra with df counts augmented) without re-reading the corpus.
+    ``n_docs`` overrides the document count (a Column, e.g. a scalar subquery).
     """
     tf = postings(df, id_col, text_col, stop_words)
-    # N as a scalar subquery (documents without tokens count too)
-    n_docs = df.agg(F.count(F.lit(1))).scalar() + F.lit(extra_docs)
+    # N as a scalar subquery (documents without tokens count too); callers
+    # that can count documents more cheaply than re-deriving ``df`` pass it
+    if n_docs is None:
+        n_docs = df.agg(F.count(F.lit(1))).scalar()
+    n_docs = n_docs + F.lit(extra_docs)
     vocab = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     if extra_df is not None:
         vocab = vocab.join(extra_df, "term", "left").select(

@@ -181,7 +181,7 @@ def best_chunk_per_doc(spark, sf):
     chunks = T.explode_word_chunks(t.documents, "doc_id", "text", CHUNK).select(
         (F.col("doc_id") * 1_000_000 + F.col("chunk_no")).alias("cid"), "chunk_text"
     )
-    w, vocab, _ = T.tfidf(chunks, "cid", "chunk_text")
+    w, vocab, _ = T.tfidf(chunks, "cid", "chunk_text", n_docs=T.word_chunk_count(t.documents, "text", CHUNK))
     q = T.query_vectors(t.benchmark, "item_id", "text", vocab)
     qb = T.bounded_broadcast(q, 1_000_000)
     s = w.select("id", "term", "weight").join(qb, "term")
