@@ -184,3 +184,21 @@ def test_partitioned_write_bounds_files_per_value(spark, tmp_path):
     hot_files = glob.glob(f"{out}/p=HOT/*.parquet")
     assert 1 <= len(hot_files) <= 4
     assert spark.read.parquet(out).count() == 20_000
+
+
+def test_polling_stream_trigger(spark, tmp_path):
+    """A processing-time (polling) stream picks up files as they arrive."""
+    from docflow.streaming import streams as S
+
+    src, out, ck = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
+    schema = "k long, v string"
+    spark.createDataFrame([(1, "a"), (2, "b")], schema).write.parquet(src)
+    stream = S.file_stream(spark, src, schema)
+    q = S.start_stream(stream, lambda b, e: b.write.mode("overwrite").parquet(f"{out}/epoch={e}"), ck, every="1 second")
+    try:
+        q.processAllAvailable()
+        spark.createDataFrame([(3, "c")], schema).write.mode("append").parquet(src)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(r.k for r in spark.read.parquet(out).collect()) == [1, 2, 3]
