@@ -35,7 +35,14 @@ def stage_time_sliced(df: DataFrame, ts: str, path: str, parts: int = 4) -> str:
 
 
 class EpochLog:
-    """Changed rows per epoch under ``<path>/epoch=<id>``; merge on read."""
+    """Changed rows per epoch under ``<path>/epoch=<id>``; merge on read.
+
+    ``compact(epoch)`` rewrites the merged table into that epoch's folder and
+    records the epoch in ``<path>_compacted``; later reads prune every older
+    epoch folder (partition filter), so read cost stays bounded by the table
+    plus the deltas since the last compaction. Old folders are never needed
+    again and can be removed by a retention job.
+    """
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str]):
         self.spark, self.path, self.keys = spark, path.rstrip("/"), keys
@@ -43,13 +50,31 @@ class EpochLog:
     def write(self, changed: DataFrame, epoch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{self.path}/epoch={epoch}")
 
+    def _compacted_at(self) -> int | None:
+        try:
+            row = self.spark.read.parquet(f"{self.path}_compacted").agg(F.max("epoch")).first()
+        except Exception:  # noqa: BLE001 - no compaction recorded yet
+            return None
+        return None if row is None else row[0]
+
     def latest(self) -> DataFrame:
         """Current table: per key the row from the highest epoch."""
         log = self.spark.read.parquet(self.path)
+        since = self._compacted_at()
+        if since is not None:
+            log = log.where(F.col("epoch") >= F.lit(since))
         vals = [c for c in log.columns if c not in self.keys and c != "epoch"]
         merged = log.groupBy(*self.keys).agg(F.max_by(F.struct(*vals), F.col("epoch")).alias("__row"))
         return merged.select(*self.keys, *[F.col(f"__row.{c}").alias(c) for c in vals])
 
+    def compact(self, epoch: int) -> None:
+        """Fold everything up to ``epoch`` (the last written epoch) into it."""
+        snapshot = self.latest()
+        staged = f"{self.path}_staging/epoch={epoch}"
+        snapshot.write.mode("overwrite").parquet(staged)  # never overwrite a path being read
+        self.spark.read.parquet(staged).write.mode("overwrite").parquet(f"{self.path}/epoch={epoch}")
+        self.spark.createDataFrame([(epoch,)], "epoch long").write.mode("append").parquet(f"{self.path}_compacted")
+
 
 def start_stream(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpoint: str,
                  output_mode: str = "append", every: str | None = None):

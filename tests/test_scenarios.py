@@ -202,3 +202,16 @@ def test_polling_stream_trigger(spark, tmp_path):
     finally:
         q.stop()
     assert sorted(r.k for r in spark.read.parquet(out).collect()) == [1, 2, 3]
+
+
+def test_epoch_log_compaction(spark, tmp_path):
+    from docflow.streaming.streams import EpochLog
+
+    log = EpochLog(spark, str(tmp_path / "log"), ["k"])
+    schema = "k long, v string"
+    log.write(spark.createDataFrame([(1, "a"), (2, "b")], schema), 0)
+    log.write(spark.createDataFrame([(1, "c")], schema), 1)
+    log.compact(1)
+    log.write(spark.createDataFrame([(3, "d"), (2, "e")], schema), 2)
+    got = sorted(tuple(r) for r in log.latest().collect())
+    assert got == [(1, "c"), (2, "e"), (3, "d")]
