@@ -69,6 +69,18 @@ def read_jdbc_partitioned(
     )
 
 
+def read_jdbc_partitioned_auto(
+    spark: SparkSession, spec: JdbcSpec, table: str, column: str, num_partitions: int, fetchsize: int = 10_000
+) -> DataFrame:
+    """Partitioned read whose bounds come from a MIN/MAX probe executed by the
+    database itself (the aggregate sub-query returns one row)."""
+    probe = read_jdbc_query(spark, spec, f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}").first()
+    lo, hi = probe["lo"] if "lo" in probe else probe[0], probe["hi"] if "hi" in probe else probe[1]
+    if lo is None:
+        return read_jdbc_table(spark, spec, table, fetchsize)
+    return read_jdbc_partitioned(spark, spec, table, column, int(lo), int(hi) + 1, num_partitions, fetchsize)
+
+
 def write_jdbc(df: DataFrame, spec: JdbcSpec, table: str, mode: str = "append", batchsize: int = 10_000) -> None:
     w = df.write.format("jdbc").option("url", spec.url).option("dbtable", table).option("batchsize", str(batchsize))
     for k, v in spec.options.items():
