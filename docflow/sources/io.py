@@ -75,7 +75,7 @@ def read_jdbc_partitioned_auto(
     """Partitioned read whose bounds come from a MIN/MAX probe executed by the
     database itself (the aggregate sub-query returns one row)."""
     probe = read_jdbc_query(spark, spec, f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}").first()
-    lo, hi = probe["lo"] if "lo" in probe else probe[0], probe["hi"] if "hi" in probe else probe[1]
+    lo, hi = probe[0], probe[1]  # positional: databases may change the alias case
     if lo is None:
         return read_jdbc_table(spark, spec, table, fetchsize)
     return read_jdbc_partitioned(spark, spec, table, column, int(lo), int(hi) + 1, num_partitions, fetchsize)
