@@ -80,3 +80,17 @@ def test_children_count_needs_no_unwind(spark):
     df = spark.createDataFrame([(1, ["R", "R", "A"])], "k int, a array<string>")
     p = plan(N.children_having_count(df, "a", lambda x: x == F.lit("R"), 2))
     assert "Exchange" not in p and "Generate" not in p
+
+
+NO_PAIRS = LAZY + [
+    "recon_all_batches", "range_join_batches", "gap_filled_series", "zero_fill_systems", "recon_two_sided",
+    "recon_counts", "full_outer_merge", "embedding_topk_multi", "tfidf_topk", "tfidf_topk_with_query",
+    "answer_cascade", "global_row_number", "row_batches", "id_range_batches", "growth_forecast",
+]
+
+
+@pytest.mark.parametrize("key", NO_PAIRS)
+def test_no_cartesian_or_nested_loop(spark, key):
+    p = plan(Q[key](spark, SF_SMALL))
+    assert "CartesianProduct" not in p
+    assert "BroadcastNestedLoopJoin" not in p
