@@ -75,9 +75,10 @@ def ne_or_missing(spark, sf):
 def array_field(spark, sf):
     d = order_documents(Tables(spark, sf))
     arr = N.array_field("bankDocument.tenants", "domain")
-    return d.select("doc_id", F.array_join(arr, ",").alias("domains"), F.size("bankDocument.tenants").alias("n_tenants")).select(
-        "doc_id", "domains", F.when(F.col("n_tenants") >= 0, F.col("n_tenants")).cast("string").alias("n_tenants")
-    )
+    tenants = F.col("bankDocument.tenants")
+    # size of a NULL array is NULL here (not -1); rendered as text to keep NULL
+    n = F.when(tenants.isNotNull(), F.size(tenants)).cast("string")
+    return d.select("doc_id", F.array_join(arr, ",").alias("domains"), n.alias("n_tenants"))
 
 
 @query(

@@ -9,7 +9,7 @@ from docflow.operators import joins as J
 from docflow.operators import profile as P
 from docflow.plans.bindings import TARGET_SQL, target_orders
 from docflow.plans.registry import query
-from docflow.sources.tables import Tables
+from docflow.sources.tables import TABLES, Tables
 
 
 # ---------------------------------------------------------------- projections
@@ -606,8 +606,6 @@ def field_value_profile(spark, sf):
 )
 def collection_counts(spark, sf):
     t = Tables(spark, sf)
-    from docflow.sources.tables import TABLES
-
     return P.collection_counts({n: getattr(t, n) for n in TABLES})
 
 
