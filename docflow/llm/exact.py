@@ -82,9 +82,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text is the one of its group that stays."""
+    """The rows of ``docs`` whose text is the one of its group that stays; rows
+    without an id can't be told apart and stay."""
     dropped = exact_groups(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__drop")).distinct()
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["__drop"]), "left_anti")
+    return docs.join(dropped, docs["doc_id"] == dropped["__drop"], "left_anti")
 
 
 @query(

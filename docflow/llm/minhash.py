@@ -209,7 +209,7 @@ def near_groups(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_co
 def drop_near_copies(docs: DataFrame, width: int = 5) -> DataFrame:
     """The rows of ``docs`` that stand for their group of near-duplicates."""
     dropped = near_groups(docs, width).where(~F.col("kept")).select(F.col("doc_id").alias("__drop")).distinct()
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["__drop"]), "left_anti")
+    return docs.join(dropped, docs["doc_id"] == dropped["__drop"], "left_anti")
 
 
 @query("op1_minhash_dedup")

@@ -6,8 +6,8 @@ counts differ by at most one. In each round a linked document wants the shard
 where most of its neighbours are (for a group larger than a shard: one of as
 many shards as the group fills). Moves are exchanges under quotas: for each pair
 of shards as many documents go one way as the other, those of the largest gain
-first, and documents without links make room. So counts never change, and cut
-links only fall.
+first, and documents without links, or settled ones of a group with several
+shards, make room. So counts never change, and cut links only fall.
 
 Defined results: a null text counts as empty (size 16); null or repeated ids are
 rows like any other. An empty table gives an empty result.
@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 from docflow.llm.common import docs_of, query, written
 
 BLOCK = 100_000  # rows numbered in one task; the number of blocks follows the table
-ROUNDS = 8
+ROUNDS = 12
 FILL = 0.9  # share of a shard that one group may be given
 
 
@@ -51,13 +51,15 @@ def propagate(state: DataFrame, shards: int, n: int, rounds: int = ROUNDS) -> Da
         wide = F.greatest(F.lit(1), F.ceil(F.col("members") / F.lit(FILL * capacity)).cast("int"))
         targets = targets.select("g", F.slice("by_size", F.lit(1), F.least(wide, F.lit(shards))).alias("aims"))
         aims = F.col("aims")
-        aim = F.element_at(aims, (F.pmod(F.col("pos"), F.size(aims)) + 1).cast("int"))
+        aim = F.element_at(aims, (F.pmod(F.col("pos") + r, F.size(aims)) + 1).cast("int"))
         settled = F.exists(aims, lambda a: a["shard"] == F.col("shard"))
-        movers = (
+        # not yet settled: a wish to move; settled in a group of several shards: room for another
+        linked = (
             state.where("linked")
             .join(targets, "g")
-            .where(~settled)
-            .select("pos", F.col("shard").alias("src"), aim["shard"].alias("dst"), (-aim["less"]).alias("gain"), F.lit(True).alias("wants"))
+            .select("pos", F.col("shard").alias("src"), aim["shard"].alias("dst"), (-aim["less"]).alias("gain"), (~settled).alias("wants"))
+            .where("src <> dst")
+            .withColumn("gain", F.when(F.col("wants"), F.col("gain")).otherwise(0))
         )
         step = F.pmod(F.xxhash64("pos", F.lit(r)), F.lit(shards - 1)) + 1
         room = state.where(~F.col("linked")).select(
@@ -65,7 +67,7 @@ def propagate(state: DataFrame, shards: int, n: int, rounds: int = ROUNDS) -> Da
             F.lit(0).cast("long").alias("gain"), F.lit(False).alias("wants"),
         )
         lane = ["src", "dst", "salt"]
-        offers = movers.unionByName(room).withColumn("salt", F.pmod(F.xxhash64("pos"), F.lit(salts)))
+        offers = linked.unionByName(room).withColumn("salt", F.pmod(F.xxhash64("pos"), F.lit(salts)))
         ranked = offers.withColumn("rank", F.row_number().over(Window.partitionBy(*lane, "wants").orderBy(F.desc("gain"), "pos")))
         sums = offers.groupBy(*lane).agg(
             F.count(F.when(F.col("wants"), 1)).alias("w"), F.count(F.when(~F.col("wants"), 1)).alias("f")
