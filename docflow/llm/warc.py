@@ -8,7 +8,8 @@ identifier from file and offset, the 14-digit date as an ISO time, the type
 more has a smaller page id), and SHA-256 digests of payload and block.
 ``warc_records`` reads them back and checks every payload against its digest.
 A scan partition becomes one gzip file, so no payload is collected or dealt out
-for writing; only the join with the revisit decisions moves payloads once.
+for writing. A bitmap of fixed size tells which records can be revisits; only
+these are joined with the decisions, all others go straight to their file.
 
 Defined results: null html is an empty payload; a null url becomes
 ``urn:page:<id>``; white space and control characters in a url are percent-encoded.
@@ -25,12 +26,15 @@ import re
 from collections.abc import Iterator
 from urllib.parse import quote
 
+import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
+from xxhash import xxh3_64_intdigest
 
-from docflow.llm.common import query, written
+from docflow.llm.common import bitmap_of, in_bitmap, query, written
 from docflow.session import scratch_path
 from docflow.sources.tables import table
 
@@ -120,12 +124,13 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path).select("path", "content")
 
 
-_ARC_SCHEMA = "rec string, page_id long, uri string, date string, http string, payload string, payload_bytes long, digest string, block_digest string, head_digest string"
-_ARC_TYPES = [pa.string(), pa.int64(), *[pa.string()] * 4, pa.int64(), *[pa.string()] * 3]
+_ARC_SCHEMA = "rec string, rec_key long, page_id long, uri string, date string, http string, payload string, payload_bytes long, digest string, block_digest string, head_digest string"
+_ARC_TYPES = [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 4, pa.int64(), *[pa.string()] * 3]
 
 
-def arc_records(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
-    """The records of ARC files; ``payload`` null if it isn't asked for."""
+def arc_records(spark: SparkSession, path: str, payload: bool = True, part: tuple[Broadcast, bool] | None = None) -> DataFrame:
+    """The records of ARC files; ``payload`` null if it isn't asked for. ``part``:
+    a bitmap of record keys, and whether to give the records in it or the others."""
     names = [x.split()[0] for x in _ARC_SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,10 +138,13 @@ def arc_records(spark: SparkSession, path: str, payload: bool = True) -> DataFra
             for file, content in zip(b.column(0), b.column(1), strict=True):
                 rows, size = [], 0
                 for at, field, block in _parse_arc(content.as_py()):
+                    rec = f"{file.as_py().rsplit('/', 1)[-1]}#{at}"
+                    key = np.uint64(xxh3_64_intdigest(rec)).astype(np.int64)
+                    if part and bool(in_bitmap(part[0].value, np.array([key]))[0]) != part[1]:
+                        continue
                     http, heads, body = _split_http(block)
                     digests = (hashlib.sha256(x).hexdigest() for x in (body, block, http.encode("utf-8")))
-                    rec = f"{file.as_py().rsplit('/', 1)[-1]}#{at}"
-                    rows.append((rec, _page_id(heads), field["URL"], field["Archive-date"], http, body.decode("utf-8") if payload else None, len(body), *digests))
+                    rows.append((rec, int(key), _page_id(heads), field["URL"], field["Archive-date"], http, body.decode("utf-8") if payload else None, len(body), *digests))
                     size += len(block) if payload else 500
                     if size >= FLUSH_BYTES:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ARC_TYPES, strict=True)], names=names)
@@ -148,10 +156,10 @@ def arc_records(spark: SparkSession, path: str, payload: bool = True) -> DataFra
 
 
 def revisits(records: DataFrame) -> DataFrame:
-    """(rec, response_rec) of the records that repeat a payload of MIN_REVISIT bytes."""
-    known = records.where(F.col("payload_bytes") >= MIN_REVISIT).select("rec", "digest", F.coalesce("page_id", F.lit((1 << 63) - 1)).alias("p"))
+    """(rec, rec_key, response_rec) of the records that repeat a payload of MIN_REVISIT bytes."""
+    known = records.where(F.col("payload_bytes") >= MIN_REVISIT).select("rec", "rec_key", "digest", F.coalesce("page_id", F.lit((1 << 63) - 1)).alias("p"))
     first = known.groupBy("digest").agg(F.min(F.struct("p", "rec")).alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", F.col("first.rec").alias("response_rec"))
-    return known.join(first, "digest").where("rec <> response_rec").select("rec", "response_rec")
+    return known.join(first, "digest").where("rec <> response_rec").select("rec", "rec_key", "response_rec")
 
 
 def record_id(rec):
@@ -162,9 +170,12 @@ def record_id(rec):
 
 def arc_to_warc(spark: SparkSession, arc_path: str, warc_path: str) -> None:
     """Convert ARC files to gzip-compressed WARC files."""
-    digests = written(arc_records(spark, arc_path, payload=False).select("rec", "page_id", "payload_bytes", "digest"), "arc-digests")
-    again = revisits(digests)
-    rows = arc_records(spark, arc_path).join(again, "rec", "left")
+    digests = written(arc_records(spark, arc_path, payload=False).select("rec", "rec_key", "page_id", "payload_bytes", "digest"), "arc-digests")
+    again = written(revisits(digests), "arc-revisits")
+    bitmap = spark.sparkContext.broadcast(bitmap_of(again, "rec_key"))
+    maybe = arc_records(spark, arc_path, part=(bitmap, True)).join(again.drop("rec_key"), "rec", "left")
+    others = arc_records(spark, arc_path, part=(bitmap, False)).withColumn("response_rec", F.lit(None).cast("string"))
+    rows = others.unionByName(maybe)
     is_new = F.col("response_rec").isNull()
     block = F.when(is_new, F.concat("http", "payload")).otherwise(F.col("http"))
     d = F.col("date")
