@@ -43,7 +43,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a table in the shared checkpoint folder and read it back:
     cuts the lineage, and survives the loss of executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -93,5 +93,5 @@ def window_hashes(tokens: np.ndarray, width: int, seed: int = 7) -> np.ndarray:
     keys = odd_keys(width, seed)
     out = np.zeros(n, dtype=np.uint64)
     for k in range(width):
-        out += mix64(tokens[k : k + n]) * keys[k]
+        out += tokens[k : k + n] * keys[k]
     return mix64(out)

@@ -15,8 +15,7 @@ runs along the hit alignments are chained over short gaps, and a chain of
 Words are the stretches between ASCII white space, A-Z lower-cased.
 
 Defined results: null, empty and short texts have no passages. Repeats inside
-one document are not reported. Rows that repeat an id are one document (the
-first counts). Null ids are left out.
+one document are not reported. Rows that repeat an id are one document. Null ids are left out.
 """
 
 from __future__ import annotations
@@ -48,15 +47,15 @@ def shingles(text: str | None) -> np.ndarray:
 
 def compact_windows(hashes: np.ndarray, span: int) -> np.ndarray:
     """Rows (l, c, r) of the Cartesian tree's nodes of ``span`` or more tokens."""
-    out, todo = [], [(0, len(hashes))]
+    out, todo = [], [(0, len(hashes))] if len(hashes) >= span else []
     while todo:
         lo, hi = todo.pop()
-        if hi - lo < span:
-            continue
         c = lo + int(hashes[lo:hi].argmin())
         out.append((lo, c, hi))
-        todo.append((lo, c))
-        todo.append((c + 1, hi))
+        if c - lo >= span:
+            todo.append((lo, c))
+        if hi - c > span:
+            todo.append((c + 1, hi))
     return np.array(out, dtype=np.int64).reshape(-1, 3)
 
 
@@ -74,11 +73,12 @@ def _windows_of(doc: int, s: np.ndarray) -> list[np.ndarray]:
     key = np.concatenate([p[0] for p in parts]).view(np.int64)
     w = np.concatenate([p[1] for p in parts])
     c = w[:, 1]
-    return [key, np.full(len(key), doc), np.full(len(key), len(s), np.int32), c.astype(np.int32), (c - w[:, 0]).astype(np.int32), (w[:, 2] - c).astype(np.int32)]
+    return [key, np.full(len(key), doc), np.full(len(key), len(s), np.int32), c.astype(np.int32), np.minimum(c - w[:, 0], SPAN).astype(np.int32), np.minimum(w[:, 2] - c, SPAN).astype(np.int32)]
 
 
 def window_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Compact windows: key, doc, n (its shingles), c, tokens before c, tokens from c on."""
+    """Compact windows: key, doc, n (its shingles), c, tokens before c, tokens from
+    c on (both up to the length of a passage, which is all that matters)."""
     names = [x.split()[0] for x in _WINDOW.split(", ")]
     types = [pa.int64(), pa.int64(), *[pa.int32()] * 4]
 
@@ -105,9 +105,7 @@ def document_pairs(windows: DataFrame) -> DataFrame:
     """(doc, other, hits): documents that share window groups, other being the
     shortest document (then the smallest id) of a group; hits are the distinct
     (c, c of other)."""
-    shared = written(
-        windows.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("key"), "shared-windows"
-    )
+    shared = written(windows.groupBy("key").count().where("count > 1").select("key"), "shared-windows")
     bitmap = windows.sparkSession.sparkContext.broadcast(bitmap_of(shared, "key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +180,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             yield b.filter(pa.array(in_bitmap(bitmap.value, b.column(0).to_numpy())))
 
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    texts = written(rows.mapInArrow(pick, "id long, text string").join(ids, "id").dropDuplicates(["id"]), "passage-texts")
+    texts = written(rows.mapInArrow(pick, "id long, text string"), "passage-texts")
     both = pairs.join(texts.toDF("doc", "text"), "doc").join(texts.toDF("other", "other_text"), "other").select("doc", "other", "hits", "text", "other_text")
     names = [x.split()[0] for x in _PASSAGE.split(", ")]
     types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
@@ -199,7 +197,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types, strict=True)], names=names)
 
-    return both.mapInArrow(verify, _PASSAGE)
+    return both.mapInArrow(verify, _PASSAGE).distinct()
 
 
 @query("op9_substring_dedup")
