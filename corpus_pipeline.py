@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm.bpe_codec import decode_documents, encode_documents
+from docflow.llm.bpe_codec import round_trip
 from docflow.llm.common import docs_of, query, written
 from docflow.llm.decontam import drop_contaminated
 from docflow.llm.exact import drop_exact_copies
@@ -46,8 +46,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, the ids (little-endian unsigned 32-bit) and the hash of the decoded text."""
-    path = public_tokenizers.path(VOCABULARY)
-    both = decode_documents(encode_documents(docs, path), path)
+    both = round_trip(docs, public_tokenizers.path(VOCABULARY))
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

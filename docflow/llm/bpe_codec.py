@@ -23,6 +23,7 @@ import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import ahocorasick
 import numpy as np
@@ -34,9 +35,9 @@ from tokenizers import Tokenizer
 
 from docflow.llm.common import docs_of, query
 
-CACHE_WORDS = 700_000  # encoded words kept by a worker
+CACHE_WORDS = 300_000  # encoded words kept by a worker
 PAIRS = 1_000_000  # pair decisions kept by a worker
-FLUSH_BYTES = 8 << 20  # size of an output batch
+FLUSH_BYTES = 4 << 20  # size of an output batch
 _END = 0xE000  # a word's last byte b is the symbol chr(_END + b)
 _BIG = 1 << 60
 # fixed values: the pre-tokenizer pattern of the vocabulary file; {L}, {N} and
@@ -83,8 +84,6 @@ class WordCodec(dict):
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_re = re.compile("(" + "|".join(re.escape(s) for s in self.specials) + ")")
         self.library = Tokenizer.from_file(path)
-        strings = sorted([*model["vocab"].items(), *self.specials.items()], key=lambda x: x[1])
-        self.offsets, self.blob = self._offset_table(strings)
         symbols = {tok: self._symbols(tok) for tok in model["vocab"]}
         self.id_of = {symbols[tok]: i for tok, i in model["vocab"].items()}
         self.rank: dict[tuple[int, int], int] = {}
@@ -113,14 +112,6 @@ class WordCodec(dict):
             return body[:-1] + chr(_END + self.byte_of[body[-1]])
         return token
 
-    @staticmethod
-    def _offset_table(strings: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray]:
-        parts = [b""] * (strings[-1][1] + 1)
-        for tok, i in strings:
-            parts[i] = tok.encode("utf-8") + b" "
-        ends = np.cumsum([len(p) for p in parts])
-        return np.concatenate([[0], ends]).astype(np.int64), np.frombuffer(b"".join(parts), dtype=np.uint8)
-
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """(token, rank of the merge that ends its life) along one edge of ``token``."""
         out, until = [(token, _BIG)], _BIG
@@ -216,6 +207,21 @@ class WordCodec(dict):
                 out.extend(map(self.__getitem__, self.words(part)))
         return b"".join(out)
 
+
+class OffsetTable:
+    """All token strings of a vocabulary file in one blob, each followed by a
+    space, and where they start."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as fh:
+            spec = json.load(fh)
+        ids = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+        parts = [b""] * (max(ids.values()) + 1)
+        for token, i in ids.items():
+            parts[i] = token.encode("utf-8") + b" "
+        self.offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
+        self.blob = np.frombuffer(b"".join(parts), dtype=np.uint8)
+
     def decode(self, ids: bytes) -> bytes:
         """Token strings joined by a space, as UTF-8."""
         i = np.frombuffer(ids, dtype="<u4").astype(np.int64)
@@ -227,14 +233,18 @@ class WordCodec(dict):
 
 
 _BYTES = byte_symbols()
-_CODECS: dict[str, WordCodec] = {}
 
 
+@cache
 def codec(path: str) -> WordCodec:
-    """The worker's tables for a vocabulary file."""
-    if path not in _CODECS:
-        _CODECS[path] = WordCodec(path)
-    return _CODECS[path]
+    """The worker's encoder for a vocabulary file."""
+    return WordCodec(path)
+
+
+@cache
+def offset_table(path: str) -> OffsetTable:
+    """The worker's decoder for a vocabulary file."""
+    return OffsetTable(path)
 
 
 def _batched(rows: Iterator[tuple], names: list[str], types: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
@@ -267,23 +277,31 @@ def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id") -> D
     """id, ``decoded`` (the text of ``ids``) and ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path)
-        rows = (
-            (i.as_py(), (raw := ids.as_py() or b"") and c.decode(raw).decode("utf-8"), raw)
-            for b in batches
-            for i, ids in zip(b.column(0), b.column(1), strict=True)
-        )
-        rows = ((i, text or "", raw) for i, text, raw in rows)
+        c = offset_table(path)
+        raws = ((i.as_py(), ids.as_py() or b"") for b in batches for i, ids in zip(b.column(0), b.column(1), strict=True))
+        rows = ((i, c.decode(raw).decode("utf-8"), raw) for i, raw in raws)
         yield from _batched(rows, [id_col, "decoded", "ids"], [pa.int64(), pa.string(), pa.binary()])
 
     return encoded.select(id_col, "ids").mapInArrow(run, f"`{id_col}` long, decoded string, ids binary")
 
 
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Encoding and decoding in one pass: id, ``decoded`` and ``ids``."""
+    pairs = docs.select(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = codec(path), offset_table(path)
+        raws = ((i.as_py(), encoder.encode(t.as_py())) for b in batches for i, t in zip(b.column(0), b.column(1), strict=True))
+        rows = ((i, decoder.decode(raw).decode("utf-8"), raw) for i, raw in raws)
+        yield from _batched(rows, [id_col, "decoded", "ids"], [pa.int64(), pa.string(), pa.binary()])
+
+    return pairs.mapInArrow(run, f"`{id_col}` long, decoded string, ids binary")
+
+
 @query("op4_bpe_codec")
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract columns for every row of documents."""
-    path = public_tokenizers.path("word_bpe_49k.json")
-    both = decode_documents(encode_documents(docs_of(spark, sf_dir, "doc_id", "text"), path), path)
+    both = round_trip(docs_of(spark, sf_dir, "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
     return both.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

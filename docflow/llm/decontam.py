@@ -33,7 +33,7 @@ from docflow.sources.tables import table
 
 WIDTH, ANCHORS = 5, 2
 COVER, RUN = 0.8, 9
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 _TOKENS = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*|\d+(?:[.,:/]\d+)*|[.!?:\n]")
 _UNITS = set(
     "mm cm m km in ft yd mi inch inches foot feet yard yards mile miles meter meters metre metres kilometer kilometers kilometre kilometres "

@@ -25,7 +25,7 @@ from tokenizers import Tokenizer
 from docflow.llm.bpe_codec import byte_symbols, latin_pattern, plain
 from docflow.llm.common import docs_of, query
 
-CACHE_WORDS = 1_000_000  # counted words kept by a worker
+CACHE_WORDS = 800_000  # counted words kept by a worker
 LIMIT = 512
 # fixed values: the byte-level pre-tokenizer's pattern
 _WORDS = latin_pattern("'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+")

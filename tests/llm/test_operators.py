@@ -171,6 +171,9 @@ def test_bpe_codec_matches_library(spark, rows):
         ids = lib.encode(text[r.doc_id] or "", add_special_tokens=False).ids
         assert np.frombuffer(r.ids, "<u4").tolist() == ids
         assert r.decoded == lib.decode(ids, skip_special_tokens=False)
+    both = {r.doc_id: (r.ids, r.decoded) for r in bpe_codec.round_trip(frame(spark, docs), path).collect() if r.doc_id is not None}
+    assert len(both) == len(text) - (None in text)
+    assert all(np.frombuffer(ids, "<u4").tolist() == lib.encode(text[i] or "", add_special_tokens=False).ids for i, (ids, _) in both.items())
     assert bpe_codec.decode_documents(bpe_codec.encode_documents(frame(spark, []), path), path).count() == 0
 
 
