@@ -143,15 +143,15 @@ def split_title(title: str | Column, mime: str | Column, mime_map: Mapping = MIM
     t = col_(title)
     has_dot = F.instr(t, ".") > 0
     base = F.when(t.isNull(), F.lit(None).cast("string")).when(
-        has_dot, F.regexp_extract(t, r"^(.*)\.[^.]*$", 1)
+        has_dot, F.regexp_extract(t, r"(?s)^(.*)\.[^.]*$", 1)
     ).otherwise(t)
     ext = F.when(has_dot, F.substring_index(t, ".", -1)).otherwise(lookup(mime_map, mime))
     return base, ext
 
 
 def split_list(c: str | Column, sep: str = ",") -> Column:
-    """Delimited string -> trimmed array, empty pieces dropped; NULL/'' -> []."""
-    parts = F.transform(F.split(F.coalesce(col_(c), F.lit("")), sep), lambda x: F.trim(x))
+    """Delimited string -> trimmed array, empty pieces dropped; NULL/'' -> []. ``sep`` is taken literally."""
+    parts = F.transform(F.split(F.coalesce(col_(c), F.lit("")), rf"\Q{sep}\E"), lambda x: F.trim(x))
     return F.filter(parts, lambda x: x != F.lit(""))
 
 
@@ -195,7 +195,7 @@ def parse_prefixed_uuid(c: str | Column, prefix: str) -> tuple[Column, Column]:
     'ok'; uuid is the lower-case id when ok.
     """
     t = F.trim(col_(c))
-    rest = F.substring(t, len(prefix) + 1, 1 << 20)
+    rest = F.substring(t, F.lit(len(prefix) + 1), F.length(t))
     has_prefix = t.startswith(prefix)
     valid = rest.rlike(UUID_RE)
     status = F.when(~has_prefix, "bad_format").when(~valid, "bad_uuid").otherwise("ok")

@@ -75,7 +75,7 @@ def char_chunks(text: str | Column, size: int = 500) -> Column:
 
 def line_chunks(text: str | Column, sep: str = "\n") -> Column:
     """Pieces split on ``sep`` ('\\n' lines, '\\n\\n' paragraphs); blank pieces dropped."""
-    return F.filter(F.split(col_(text), sep), lambda x: F.trim(x) != F.lit(""))
+    return F.filter(F.split(col_(text), rf"\Q{sep}\E"), lambda x: F.trim(x) != F.lit(""))
 
 
 def explode_chunks(df: DataFrame, id_col: str, chunks: Column) -> DataFrame:

@@ -12,7 +12,7 @@ def upsert(target: DataFrame, updates: DataFrame, key: str | list[str], order_co
     Columns present in ``updates`` replace the target value — including with
     NULL (an update marker decides, not ``coalesce``). Columns missing from
     ``updates`` keep the target value. Duplicate update keys are resolved to
-    the row with the greatest ``order_col`` (required when keys repeat).
+    the row with the greatest ``order_col``; without it a repeated key is an error.
     Re-applying the same updates gives the same result (idempotent).
     """
     keys = [key] if isinstance(key, str) else list(key)
@@ -22,6 +22,10 @@ def upsert(target: DataFrame, updates: DataFrame, key: str | list[str], order_co
             F.max_by(F.struct(*upd_cols), F.col(order_col)).alias("__u")
         )
         updates = latest.select(*keys, *[F.col(f"__u.{c}").alias(c) for c in upd_cols])
+    elif upd_cols:
+        once = updates.groupBy(*keys).agg(F.first(F.struct(*upd_cols)).alias("__u"), F.count(F.lit(1)).alias("__n"))
+        checked = F.when(F.col("__n") > 1, F.raise_error(F.lit("update keys repeat: give order_col"))).otherwise(F.col("__u"))
+        updates = once.withColumn("__u", checked).select(*keys, *[F.col(f"__u.{c}").alias(c) for c in upd_cols])
     u = updates.select(*keys, *[F.col(c).alias(f"__u_{c}") for c in upd_cols], F.lit(True).alias("__upd"))
     j = target.join(u, keys, "full_outer")
     out = []

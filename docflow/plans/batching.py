@@ -210,6 +210,8 @@ def union_all_batches(spark, sf):
         .withColumn("o_orderstatus", F.lit(s))
         for s in ("F", "O", "P")
     ]
+    rest = o.filter(F.col("o_orderstatus").isNull() | ~F.col("o_orderstatus").isin("F", "O", "P"))
+    parts.append(rest.groupBy("batch_no", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")))
     return B.union_all(parts)
 
 

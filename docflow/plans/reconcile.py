@@ -220,10 +220,10 @@ def _sample_checked(spark, sf):
     ids = R.sample_per_group(
         t.documents.select("doc_id", "source"),
         "source",
-        F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("bigint"),
+        # doc_id breaks ties of the hash
+        F.struct(F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("bigint").alias("h"), "doc_id"),
         SAMPLE,
     )
-    # tie-break on doc_id for a total order
     return R.retrieval_validation(ids, object_listing(t), "doc_id")
 
 

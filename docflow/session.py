@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -59,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
         if not current:
+            if not re.fullmatch(r"local(\[.*\])?", sc.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             current = tempfile.mkdtemp(prefix="docflow-ckpt-")
             spark.conf.set("spark.checkpoint.dir", current)
         sc.setCheckpointDir(current)
@@ -75,11 +78,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Cluster settings sized from the data: scan splits of ``target`` bytes,
     initial shuffle partitions so each holds about ``target`` bytes (at least
-    2 waves of the cores, at most 65 536; AQE coalesces them at run time),
+    2 waves of the cores; AQE coalesces them at run time),
     skew handling on. Apply with ``SparkSession.builder.config(map=...)``."""
-    # capped: beyond ~64k reducers the per-map status tracking dominates;
-    # AQE splits skewed partitions and coalesces small ones at run time
-    shuffle = min(65_536, max(2 * total_cores, -(-input_bytes // target_partition_bytes)))
+    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(shuffle),

@@ -138,7 +138,7 @@ def latest_per_key(stream: DataFrame, key: str, ts: str, value: str) -> DataFram
     """Streaming aggregate: per key the latest ``value`` (by ``ts``), its time
     and the running count — kept in the state store, emitted when changed."""
     return stream.groupBy(key).agg(
-        F.max_by(F.col(value), F.col(ts)).alias("last_value"),
+        F.max_by(F.col(value), F.struct(ts, value)).alias("last_value"),
         F.max(ts).alias("last_ts"),
         F.count(F.lit(1)).alias("n"),
     )
