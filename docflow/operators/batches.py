@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docflow.functions.exprs import short_id
-from docflow.operators.joins import bounded_broadcast
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -42,11 +41,6 @@ def global_row_number(df: DataFrame, order: list[str], n_partitions: int | None
     )
 
 
-def row_number_window(df: DataFrame, order: list[str], name: str = "rn") -> DataFrame:
-    """Plain single-window row number (test oracle for small inputs only)."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
-
-
 def row_batches(
     df: DataFrame,
     order: list[str],
@@ -64,9 +58,8 @@ def row_batches(
     stats = numbered.groupBy("batch_no").agg(
         F.min(ts).alias("batch_start_date"), F.max(ts).alias("batch_end_date"), F.count(F.lit(1)).alias("batch_size")
     )
-    # one stats row per batch: broadcast when the batch count is proven small,
-    # otherwise a shuffle join (AQE handles the rest)
-    return numbered.join(bounded_broadcast(stats, 1_000_000), "batch_no").withColumns(
+    # one stats row per batch: Spark broadcasts it while it is small (AQE)
+    return numbered.join(stats, "batch_no").withColumns(
         {
             "batch_id": short_id(F.lit(run_id), F.col("batch_no")),
             "batch_create_date": create_date if create_date is not None else F.current_timestamp(),

@@ -5,19 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only after proving it has at most ``max_rows`` rows.
-
-    The proof is a ``limit(max_rows + 1).count()`` (stops early on large inputs).
-    Above the bound the frame is returned unchanged and Spark/AQE picks a
-    shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def semi_join(df: DataFrame, keys: DataFrame, on, negate: bool = False) -> DataFrame:
     """``IN (SELECT DISTINCT ...)`` / collected-key filters as a semi (anti) join."""
@@ -70,24 +57,19 @@ def range_join(
     start: str,
     end: str,
     bounds: str = "(]",
-    day_bucketed: bool = True,
-    max_window_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Assign each row to the window(s) whose bounds contain ``ts``.
 
     Windows are expanded to the calendar days they touch and equi-joined on
     the day, then the exact bound predicate is applied: a hash join instead
-    of a nested loop, so it scales with rows x (windows per day). The window
-    side is broadcast only when its size is proven small.
-    ``day_bucketed=False`` is the plain non-equi join (a nested loop against
-    the checked window table) kept as a reference for tests.
+    of a nested loop, so it scales with rows x (windows per day). Spark
+    broadcasts the windows while they are under its own byte threshold; beyond
+    it AQE splits a hot day.
     """
     lo_ok = (F.col(ts) >= F.col(start)) if bounds[0] == "[" else (F.col(ts) > F.col(start))
     hi_ok = (F.col(ts) <= F.col(end)) if bounds[1] == "]" else (F.col(ts) < F.col(end))
-    if not day_bucketed:
-        return rows.join(bounded_broadcast(windows, max_window_rows), lo_ok & hi_ok, "inner")
     days = windows.withColumn(
         "__day", F.explode(F.sequence(F.to_date(F.col(start)), F.to_date(F.col(end)), F.expr("INTERVAL 1 DAY")))
     )
     r = rows.withColumn("__day", F.to_date(F.col(ts)))
-    return r.join(bounded_broadcast(days, max_window_rows), "__day", "inner").where(lo_ok & hi_ok).drop("__day")
+    return r.join(days, "__day", "inner").where(lo_ok & hi_ok).drop("__day")

@@ -5,22 +5,28 @@ TF-IDF follows the common smooth-idf definition: raw term counts,
 ``idf = ln((1 + N) / (1 + df)) + 1``, L2-normalised document vectors.
 (MLlib's ``IDF`` omits the ``+ 1`` and is therefore not used.)
 
-Scale notes: every step is an explode / aggregate / join keyed by
-(doc, term) or term; frequent terms are pre-aggregated map-side; the
-query side of a search is broadcast only after a row-count check; only
-postings of query terms are read.
+Scale notes: terms are counted inside the row, document frequencies with
+partial aggregates; a search scores blocks of texts against blocks of queries
+and keeps k rows per query and block, never a row per (query, text). Spark
+picks the joins from its own size estimates.
 """
 
 from __future__ import annotations
 
 import os
+import re
+from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docflow.functions.exprs import col_
-from docflow.operators.joins import bounded_broadcast
+from docflow.session import written
 
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 WORD_SPLIT = r"\s+"
@@ -53,13 +59,6 @@ def _chunks_of_words(words: Column, size: int) -> Column:
     return F.transform(starts, lambda i: F.array_join(F.slice(words, i * size + 1, size), " "))
 
 
-def word_chunk_count(df: DataFrame, text_col: str, size: int = 500) -> Column:
-    """Number of word chunks of a corpus as a scalar subquery, counted from the
-    word counts (no chunk texts are built)."""
-    n = F.size(F.split(F.trim(F.col(text_col)), WORD_SPLIT))
-    return df.agg(F.sum(F.greatest(F.ceil(n / F.lit(size)), F.lit(1))).cast("bigint")).scalar()
-
-
 def explode_word_chunks(df: DataFrame, id_col: str, text_col: str, size: int = 500) -> DataFrame:
     """(id, chunk_no, chunk_text) with the words split once per text."""
     w = df.select(F.col(id_col), F.split(F.trim(F.col(text_col)), WORD_SPLIT).alias("__words"))
@@ -113,89 +112,89 @@ def tokens_unicode(text: str | Column) -> Column:
 
 # -------------------------------------------------------------------- TF-IDF
 
-
-def term_counts(df: DataFrame, id_col: str, text_col: str, stop_words=None, colocate: bool = True) -> DataFrame:
-    """(id, term, tf) raw counts.
-
-    With ``colocate`` the texts are hash-partitioned by id ONCE; the (id, term)
-    count, the per-document norm window and the per-(query, doc) score sum
-    downstream all reuse that partitioning, so the postings are never
-    shuffled. (A text is one row, so this moves each text exactly once; ids
-    are unique, so there is no key skew.)
-    """
-    src = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("__text"))
-    if colocate:
-        src = src.repartition("id")
-    terms = src.select("id", F.explode(tokens_unicode("__text")).alias("term"))
-    if stop_words is not None:
-        terms = terms.where(not_stop_word("term", stop_words))
-    return terms.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
+DOC_BLOCK, QUERY_BLOCK = 8192, 256  # texts and queries scored together in one group
+_TOKEN = re.compile(r"\w{2,}")
+_SPACE = re.compile(r"[ \t\n\x0b\f\r]+")
+_INDEX_SLICE = 256  # index rows per output batch
 
 
-def postings(df: DataFrame, id_col: str, text_col: str, stop_words=None) -> DataFrame:
-    """(id, term, tf) materialised once in the shared checkpoint folder.
+def term_index(
+    df: DataFrame, id_col: str, text_col: str, stop_words=None, words_per_chunk: int | None = None, mult_col: str | None = None
+) -> DataFrame:
+    """(id, sub, mult, terms, tfs): the distinct terms of every text and their counts.
 
-    The postings are the index: checkpointing (reliable, lineage cut; the
-    by-document partitioning is kept) means N, the vocabulary, its size check
-    and the weights do not each re-tokenise the corpus.
+    Counted inside the row (no shuffle of texts or tokens). With
+    ``words_per_chunk`` there is a row per chunk of so many words, numbered by
+    ``sub``; otherwise ``sub`` is 0. ``mult`` is the number of documents that a
+    row stands for. Texts without terms (also null ones) keep a row.
     """
-    tf = term_counts(df, id_col, text_col, stop_words)
-    conf = df.sparkSession.conf
-    # An adaptive plan does not report its output partitioning to the
-    # checkpointed relation; materialise this one stage non-adaptively so the
-    # checkpoint keeps hash(id) and downstream per-document steps need no
-    # further exchange.
-    prev = conf.get("spark.sql.adaptive.enabled")
-    conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return tf.checkpoint(eager=True)
-    finally:
-        conf.set("spark.sql.adaptive.enabled", prev)
-
-
-def tfidf(
-    df: DataFrame,
-    id_col: str,
-    text_col: str,
-    stop_words=None,
-    extra_docs: int = 0,
-    extra_df: DataFrame | None = None,
-    vocab_broadcast_rows: int = 2_000_000,
-    n_docs: Column | None = None,
-) -> tuple[DataFrame, DataFrame, Column]:
-    """Fit TF-IDF on a corpus.
-
-    Returns (weights(id, term, tf, idf, weight), vocabulary(term, df, idf), N as a Column).
-    ``extra_docs`` / ``extra_df`` let callers fit "including" extra documents
-    (idf over N + extra with df counts augmented) without re-reading the corpus.
-    ``n_docs`` overrides the document count (a Column, e.g. a scalar subquery).
-    """
-    tf = postings(df, id_col, text_col, stop_words)
-    # N as a scalar subquery (documents without tokens count too); callers
-    # that can count documents more cheaply than re-deriving ``df`` pass it
-    if n_docs is None:
-        n_docs = df.agg(F.count(F.lit(1))).scalar()
-    n_docs = n_docs + F.lit(extra_docs)
-    vocab = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    if extra_df is not None:
-        vocab = vocab.join(extra_df, "term", "left").select(
-            "term", (F.col("df") + F.coalesce(F.col("extra"), F.lit(0))).alias("df")
-        )
-    vocab = vocab.withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0)
-    w = tf.join(bounded_broadcast(vocab.select("term", "idf"), vocab_broadcast_rows), "term")
+    id_type = df.schema[id_col].dataType
+    stop = frozenset(stop_words or ())
+
+    def pieces(text: str) -> Iterator[str]:
+        if words_per_chunk is None:
+            yield text
+            return
+        words = _SPACE.split(text.strip(" "))
+        for at in range(0, len(words), words_per_chunk):
+            yield " ".join(words[at : at + words_per_chunk])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, subs, terms, tfs = [], [], [], []
+
+            def flush(b=b):
+                take = pa.array(at, pa.int64())
+                cols = [b.column(0).take(take), pa.array(subs, pa.int32()), b.column(1).take(take)]
+                cols += [pa.array(terms, pa.list_(pa.string())), pa.array(tfs, pa.list_(pa.int32()))]
+                out = pa.RecordBatch.from_arrays(cols, names=["id", "sub", "mult", "terms", "tfs"])
+                for x in (at, subs, terms, tfs):
+                    x.clear()
+                return out
+
+            for row, text in enumerate(b.column(2)):
+                for sub, piece in enumerate(pieces(text.as_py() or "")):
+                    counts = Counter(_TOKEN.findall(piece))
+                    kept = [t for t in counts if t not in stop]
+                    at.append(row)
+                    subs.append(sub)
+                    terms.append(kept)
+                    tfs.append([counts[t] for t in kept])
+                    if len(at) >= _INDEX_SLICE:
+                        yield flush()
+            if at:
+                yield flush()
+
+    mult = F.lit(1) if mult_col is None else F.col(mult_col)
+    src = df.select(F.col(id_col).alias("id"), mult.cast("bigint").alias("mult"), F.lower(text_col).alias("text"))
+    return src.mapInArrow(run, f"id {id_type.simpleString()}, sub int, mult bigint, terms array<string>, tfs array<int>")
+
+
+def postings(index: DataFrame) -> DataFrame:
+    """(id, sub, term, tf) of an index."""
+    pairs = index.select("id", "sub", F.explode(F.arrays_zip("terms", "tfs")).alias("p"))
+    return pairs.select("id", "sub", F.col("p.terms").alias("term"), F.col("p.tfs").alias("tf"))
+
+
+def smooth_idf(n_docs, df) -> Column:
+    return F.log((F.lit(1.0) + F.lit(n_docs)) / (F.lit(1.0) + df)) + 1.0
+
+
+def vocabulary(index: DataFrame) -> tuple[DataFrame, int, int]:
+    """((term, df), number of documents, number of index rows)."""
+    total = index.agg(F.coalesce(F.sum("mult"), F.lit(0)).alias("docs"), F.count(F.lit(1)).alias("rows")).first()
+    df = index.select("mult", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("mult").alias("df"))
+    return df, total["docs"], total["rows"]
+
+
+def tfidf(df: DataFrame, id_col: str, text_col: str, stop_words=None) -> DataFrame:
+    """(id, term, tf, idf, weight): smooth idf, vectors of length one."""
+    index = written(term_index(df, id_col, text_col, stop_words), "term-index")
+    vocab, n_docs, _ = vocabulary(index)
+    w = postings(index).join(vocab.select("term", smooth_idf(n_docs, F.col("df")).alias("idf")), "term")
     w = w.withColumn("raw", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("id")))
-    weights = w.withColumn("weight", F.col("raw") / norm).drop("raw")
-    return weights, vocab, n_docs
-
-
-def query_vectors(queries: DataFrame, qid: str, text_col: str, vocab: DataFrame, stop_words=None) -> DataFrame:
-    """Query term weights with the corpus idf; unknown terms are ignored; L2 norm."""
-    qtf = term_counts(queries, qid, text_col, stop_words, colocate=False).withColumnRenamed("id", "qid")
-    q = qtf.join(vocab.select("term", "idf"), "term")
-    q = q.withColumn("raw", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("qid")))
-    return q.select("qid", "term", (F.col("raw") / norm).alias("qweight"))
+    return w.select("id", "term", "tf", "idf", (F.col("raw") / norm).alias("weight"))
 
 
 def top_k_per_group(df: DataFrame, group: str, score: str, tie: str, k: int) -> DataFrame:
@@ -209,61 +208,107 @@ def top_k_per_group(df: DataFrame, group: str, score: str, tie: str, k: int) ->
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def cosine_top_k(weights: DataFrame, qvec: DataFrame, k: int, query_rows: int = 1_000_000) -> DataFrame:
-    """(qid, id, score, rank): cosine of normalised vectors via the inverted
-    index (join on term), summed per (query, doc), top ``k`` per query.
-
-    Only documents sharing at least one term with the query are scored.
+def query_terms(queries: DataFrame, qid: str, text_col: str, vocab: DataFrame, n_docs: int, stop_words, include_query: bool) -> DataFrame:
+    """(qid, term, x, y): what a posting of the term with count tf adds to a
+    query's score, tf * x, and to the squared norm of its text, tf * tf * y."""
+    qtf = postings(term_index(queries, qid, text_col, stop_words)).select(F.col("id").alias("qid"), "term", "tf")
+    n = n_docs + 1 if include_query else n_docs
+    idf = smooth_idf(n, F.coalesce("df", F.lit(0)) + (1 if include_query else 0))
+    q = qtf.join(vocab, "term", "left" if include_query else "inner").withColumn("idf", idf)
+    norm = F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2)).over(Window.partitionBy("qid")))
+    x = F.col("tf") * F.col("idf") * F.col("idf") / norm
+    y = F.pow("idf", 2) - F.pow(smooth_idf(n, F.col("df")), 2) if include_query else F.lit(0.0)
+    return q.select("qid", "term", x.alias("x"), F.coalesce(y, F.lit(0.0)).alias("y"))
+
+
+def tfidf_top_k(index: DataFrame, queries: DataFrame, qid: str, qtext: str, k: int, stop_words=None, include_query: bool = False) -> DataFrame:
+    """(qid, id, sub, score, rank): best ``k`` ids per query by TF-IDF cosine, of
+    each id its best row (the smallest ``sub`` on ties).
+
+    With ``include_query`` the idf is that of the corpus and the ONE query being
+    asked (N + 1 documents, df + 1 for its terms). Every text's squared norm is
+    computed once; for a query only its shared terms change, so the norm is
+    corrected on them.
+
+    Only postings of query terms leave the index. Texts and queries are cut into
+    blocks by a hash of their ids; a group scores one block of texts against one
+    block of queries and returns ``k`` rows per query, so no row per (query,
+    text) ever exists. Rows of one id share a block. Only texts that share a
+    term with the query are scored.
     """
-    q = bounded_broadcast(qvec, query_rows)
-    s = weights.select("id", "term", "weight").join(q, "term")
-    scores = s.groupBy("qid", "id").agg(F.sum(F.col("weight") * F.col("qweight")).alias("score"))
-    return top_k_per_group(scores, "qid", "score", "id", k)
-
-
-def cosine_top_k_including_query(
-    corpus_tf: DataFrame,
-    vocab_df: DataFrame,
-    n_docs,
-    queries_tf: DataFrame,
-    k: int,
-    query_rows: int = 1_000_000,
-    vocab_rows: int = 2_000_000,
-) -> DataFrame:
-    """Top-k when the idf is refitted on corpus + the ONE query being asked
-    (per query: N + 1 documents, df + 1 for the query's terms).
-
-    Exact without re-fitting per query: with idf' = ln((N+2)/(1+df)) + 1 every
-    document's squared norm S(d) is computed once; for a query only its shared
-    terms change (df + 1), so the per-(query, doc) norm is S(d) corrected on
-    the shared terms — which the inverted-index join yields anyway.
-    """
-    n1 = n_docs + 1
-    v = vocab_df.select(
-        "term",
-        "df",
-        (F.log((F.lit(1.0) + n1) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf0"),
-        (F.log((F.lit(1.0) + n1) / (F.lit(2.0) + F.col("df"))) + 1.0).alias("idfq"),
-    )
-    d = corpus_tf.join(bounded_broadcast(v, vocab_rows), "term")
-    base = d.groupBy("id").agg(F.sum(F.pow(F.col("tf") * F.col("idf0"), 2)).alias("s0"))
-    # query side: every query term gets idfq if it is in the corpus, else
-    # ln((1+n1)/(1+1)) + 1 (df = 1: the query itself)
-    qv = queries_tf.join(v.select("term", "idfq"), "term", "left").select(
-        "qid",
-        "term",
-        "tf",
-        F.coalesce("idfq", F.log((F.lit(1.0) + n1) / F.lit(2.0)) + 1.0).alias("idfq"),
-    )
-    qn = qv.groupBy("qid").agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idfq"), 2))).alias("qnorm"))
-    qw = qv.join(qn, "qid").select("qid", "term", "idfq", (F.col("tf") * F.col("idfq") / F.col("qnorm")).alias("qw"))
-    shared = d.select("id", "term", "tf", "idf0").join(bounded_broadcast(qw, query_rows), "term")
-    per = shared.groupBy("qid", "id").agg(
-        F.sum(F.col("tf") * F.col("idfq") * F.col("qw")).alias("dot"),
-        F.sum(F.pow(F.col("tf") * F.col("idfq"), 2) - F.pow(F.col("tf") * F.col("idf0"), 2)).alias("delta"),
+    vocab, n_docs, n_rows = vocabulary(index)
+    q = written(query_terms(queries, qid, qtext, vocab, n_docs, stop_words, include_query), "query-terms")
+    n_q = q.agg(F.count_distinct("qid")).first()[0]
+    d_blocks, q_blocks = max(1, -(-n_rows // DOC_BLOCK)), max(1, -(-n_q // QUERY_BLOCK))
+
+    asked = q.select("term").distinct().withColumn("asked", F.lit(True))
+    idf = smooth_idf(n_docs + 1 if include_query else n_docs, F.col("df"))
+    terms = vocab.join(asked, "term", "left").select("term", idf.alias("idf"), "asked")
+    hit = F.col("asked").isNotNull()
+    texts = (
+        postings(index)
+        .join(terms, "term")
+        .groupBy("id", "sub")
+        .agg(
+            F.sum(F.pow(F.col("tf") * F.col("idf"), 2)).alias("s0"),
+            F.collect_list(F.when(hit, F.struct("term", "tf"))).alias("hits"),
+        )
+        .where(F.size("hits") > 0)
     )
-    scored = per.join(base, "id").select("qid", "id", (F.col("dot") / F.sqrt(F.col("s0") + F.col("delta"))).alias("score"))
-    return top_k_per_group(scored, "qid", "score", "id", k)
+    texts = texts.select("id", "sub", "s0", F.col("hits.term").alias("terms"), F.col("hits.tf").alias("tfs"))
+    texts = texts.withColumn("__d", F.pmod(F.xxhash64("id"), F.lit(d_blocks))).withColumn("__q", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
+    asks = q.withColumn("__q", F.pmod(F.xxhash64("qid"), F.lit(q_blocks)).cast("int")).withColumn("__d", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(d_blocks - 1).cast("bigint"))))
+
+    types = f"qid {q.schema['qid'].dataType.simpleString()}, id {index.schema['id'].dataType.simpleString()}"
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        return score_block(left, right, k)
+
+    local = texts.groupBy("__d", "__q").cogroup(asks.groupBy("__d", "__q")).applyInArrow(score, f"{types}, sub int, score double")
+    return top_k_per_group(local, "qid", "score", "id", k)
+
+
+def score_block(texts: pa.Table, asks: pa.Table, k: int) -> pa.Table:
+    """Best ``k`` ids of one block of texts for every query of one block."""
+    id_type, qid_type = texts.schema.field("id").type, asks.schema.field("qid").type
+    out_q, out_row, out_score = [], [], []
+    if texts.num_rows and asks.num_rows:
+        ids = pc.rank(texts.column("id"), tiebreaker="dense").to_numpy().astype(np.int64)  # order of ids of any type
+        subs, s0 = texts.column("sub").to_numpy(), texts.column("s0").to_numpy()
+        lists = texts.column("terms").combine_chunks()
+        rows = np.repeat(np.arange(texts.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        tf = texts.column("tfs").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        known = pc.unique(asks.column("term"))
+        codes = pc.fill_null(pc.index_in(lists.flatten(), value_set=known), -1).to_numpy(zero_copy_only=False)
+        order = np.argsort(codes, kind="stable")
+        codes, rows, tf = codes[order], rows[order], tf[order]
+        starts = np.searchsorted(codes, np.arange(len(known) + 1))
+        qids = asks.column("qid").combine_chunks().dictionary_encode()
+        qno = qids.indices.to_numpy(zero_copy_only=False)
+        qterm = pc.index_in(asks.column("term"), value_set=known).to_numpy()
+        x, y = asks.column("x").to_numpy(), asks.column("y").to_numpy()
+        by_query = np.lexsort((qterm, qno))
+        for part in np.split(by_query, np.flatnonzero(np.diff(qno[by_query])) + 1):
+            dot, norm, shared = np.zeros(len(ids)), s0.copy(), np.zeros(len(ids), dtype=bool)
+            for j in part:
+                at = slice(starts[qterm[j]], starts[qterm[j] + 1])
+                dot[rows[at]] += tf[at] * x[j]
+                norm[rows[at]] += tf[at] * tf[at] * y[j]
+                shared[rows[at]] = True
+            found = np.flatnonzero(shared)
+            cosine = dot[found] / np.sqrt(norm[found])
+            level = np.round(cosine, 9)
+            best = np.lexsort((subs[found], ids[found], -level))
+            _, first = np.unique(ids[found][best], return_index=True)  # the best row of every id
+            best = best[np.sort(first)][:k]
+            out_q += [qno[part[0]]] * len(best)
+            out_row += found[best].tolist()
+            out_score += cosine[best].tolist()
+        qid_col = qids.dictionary.take(pa.array(out_q, pa.int64()))
+        picked = texts.take(pa.array(out_row, pa.int64()))
+        return pa.table({"qid": qid_col, "id": picked.column("id"), "sub": picked.column("sub"), "score": pa.array(out_score, pa.float64())})
+    empty = {"qid": pa.array([], qid_type), "id": pa.array([], id_type), "sub": pa.array([], pa.int32()), "score": pa.array([], pa.float64())}
+    return pa.table(empty)
 
 
 # ----------------------------------------------------------------- entities
@@ -305,31 +350,15 @@ def group_duplicates(df: DataFrame, id_col: str, text_col: str, k: int) -> tuple
     return unique, members.drop("sig")
 
 
-def tfidf_weighted(unique: DataFrame, vocab_broadcast_rows: int = 2_000_000) -> tuple[DataFrame, DataFrame, int]:
-    """TF-IDF over de-duplicated texts where each text stands for ``mult``
-    identical documents: N and df count the multiplicities, so the weights
-    equal those of the full corpus."""
-    tf = postings(unique, "id", "text")
-    mult = unique.select("id", "mult")
-    n_docs = unique.agg(F.sum("mult")).scalar()
-    vocab = tf.join(mult, "id").groupBy("term").agg(F.sum("mult").alias("df"))
-    vocab = vocab.withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0)
-    w = tf.join(bounded_broadcast(vocab.select("term", "idf"), vocab_broadcast_rows), "term")
-    w = w.withColumn("raw", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("id")))
-    return w.withColumn("weight", F.col("raw") / norm).drop("raw"), vocab, n_docs
-
-
 def dedup_cosine_top_k(
-    df: DataFrame, id_col: str, text_col: str, queries: DataFrame, qid: str, qtext: str, k: int
+    df: DataFrame, id_col: str, text_col: str, queries: DataFrame, qid: str, qtext: str, k: int, stop_words=None
 ) -> DataFrame:
     """Exact top-``k`` documents per query where identical documents are
     scored once: the best k groups per query are expanded to their first k
     member ids and re-ranked by (score desc, id asc). Any document of the
     true top k lies in one of the best k groups among its first k members."""
     unique, members = group_duplicates(df, id_col, text_col, k)
-    w, vocab, _ = tfidf_weighted(unique)
-    qv = query_vectors(queries, qid, qtext, vocab)
-    top_groups = cosine_top_k(w, qv, k).select("qid", F.col("id").alias("rep"), "score")
+    index = written(term_index(unique, "id", "text", stop_words, mult_col="mult"), "term-index")
+    top_groups = tfidf_top_k(index, queries, qid, qtext, k, stop_words).select("qid", F.col("id").alias("rep"), "score")
     expanded = top_groups.join(members, "rep").select("qid", "score", F.explode("ids").alias("id"))
     return top_k_per_group(expanded, "qid", "score", "id", k)

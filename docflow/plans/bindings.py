@@ -50,7 +50,7 @@ def order_documents(t: Tables) -> DataFrame:
         F.struct(uuid_from_key(K).alias("documentOsGuid"), F.concat(F.lit("doc-"), K.cast("string")).alias("documentOsName")).alias("documentOS"),
         F.struct(F.concat(F.lit("T"), K.cast("string")).alias("TUPLEID")).alias("tuple"),
         F.struct(
-            F.lit("HCP").alias("documentStoreType"),
+            F.lit("archive").alias("documentStoreType"),
             F.when(K % 29 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("store://"), K.cast("string"))).alias(
                 "documentStoreUrl"
             ),
@@ -59,7 +59,7 @@ def order_documents(t: Tables) -> DataFrame:
         F.struct(F.col("o_orderpriority").alias("originationSystemName")).alias("adminDocument"),
         F.when(K % 11 == 0, F.lit(None)).otherwise(
             F.struct(
-                F.when(K % 7 == 0, F.lit("cdlmdbmp")).when(K % 5 == 0, F.lit(None).cast("string")).otherwise(F.lit("docflow")).alias("migratedBy"),
+                F.when(K % 7 == 0, F.lit("loader")).when(K % 5 == 0, F.lit(None).cast("string")).otherwise(F.lit("docflow")).alias("migratedBy"),
                 F.concat(F.lit("B"), F.floor(K / 5000).cast("string")).alias("migrationBatchId"),
             )
         ).alias("migrationHistory"),
@@ -81,7 +81,7 @@ docs AS (
          CASE WHEN o.o_orderkey % 23 = 0 THEN NULL ELSE o.o_orderpriority END AS t1_code,
          CASE WHEN o.o_orderkey % 29 = 0 THEN NULL ELSE 'store://' || CAST(o.o_orderkey AS VARCHAR) END AS url,
          o.o_orderkey % 11 = 0 AS mh_null,
-         CASE WHEN o.o_orderkey % 11 = 0 THEN NULL WHEN o.o_orderkey % 7 = 0 THEN 'cdlmdbmp'
+         CASE WHEN o.o_orderkey % 11 = 0 THEN NULL WHEN o.o_orderkey % 7 = 0 THEN 'loader'
               WHEN o.o_orderkey % 5 = 0 THEN NULL ELSE 'docflow' END AS migrated_by,
          CASE WHEN o.o_orderkey % 11 = 0 THEN NULL ELSE 'B' || CAST(floor(o.o_orderkey / 5000) AS BIGINT) END AS mig_batch,
          CAST(round(o.o_totalprice * 100) AS BIGINT) AS content_size,

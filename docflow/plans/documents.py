@@ -52,7 +52,7 @@ def elem_match(spark, sf):
 @query(
     "ne_or_missing",
     f"""{W} SELECT doc_id,
-               migrated_by IS DISTINCT FROM 'cdlmdbmp' AS migrated_by_ne,
+               migrated_by IS DISTINCT FROM 'loader' AS migrated_by_ne,
                NOT (tkind = 'two' AND (seg = 'BUILDING' OR nat = 'BUILDING')) AS domain_ne
         FROM docs""",
 )
@@ -60,7 +60,7 @@ def ne_or_missing(spark, sf):
     d = order_documents(Tables(spark, sf))
     return d.select(
         "doc_id",
-        ne_expr("migrationHistory.migratedBy", "cdlmdbmp").alias("migrated_by_ne"),
+        ne_expr("migrationHistory.migratedBy", "loader").alias("migrated_by_ne"),
         ne_or_missing_array(N.array_field("bankDocument.tenants", "domain"), "BUILDING").alias("domain_ne"),
     )
 

@@ -243,9 +243,9 @@ _IDS_SQL = """
           FROM orders),
   raw AS (SELECT o_orderkey, u,
                  CASE WHEN o_orderkey % 7 = 0 THEN 'XYZ::' || u
-                      WHEN o_orderkey % 11 = 0 THEN 'CDL::' || substr(u, 1, 30)
-                      WHEN o_orderkey % 3 = 0 THEN ' CDL::' || upper(u) || ' '
-                      ELSE 'CDL::' || u END AS q
+                      WHEN o_orderkey % 11 = 0 THEN 'DOC::' || substr(u, 1, 30)
+                      WHEN o_orderkey % 3 = 0 THEN ' DOC::' || upper(u) || ' '
+                      ELSE 'DOC::' || u END AS q
           FROM ids)"""
 
 
@@ -255,9 +255,9 @@ def _raw_ids(spark, sf):
     u = X.uuid_from_key("o_orderkey")
     q = (
         F.when(K % 7 == 0, F.concat(F.lit("XYZ::"), u))
-        .when(K % 11 == 0, F.concat(F.lit("CDL::"), F.substring(u, 1, 30)))
-        .when(K % 3 == 0, F.concat(F.lit(" CDL::"), F.upper(u), F.lit(" ")))
-        .otherwise(F.concat(F.lit("CDL::"), u))
+        .when(K % 11 == 0, F.concat(F.lit("DOC::"), F.substring(u, 1, 30)))
+        .when(K % 3 == 0, F.concat(F.lit(" DOC::"), F.upper(u), F.lit(" ")))
+        .otherwise(F.concat(F.lit("DOC::"), u))
     )
     return o.select("o_orderkey", u.alias("u"), q.alias("q"))
 
@@ -276,17 +276,17 @@ def normalise_id(spark, sf):
     f"""WITH {_IDS_SQL},
         p AS (SELECT o_orderkey, trim(q) AS t FROM raw)
         SELECT o_orderkey,
-               CASE WHEN NOT starts_with(t, 'CDL::') THEN 'bad_format'
+               CASE WHEN NOT starts_with(t, 'DOC::') THEN 'bad_format'
                     WHEN NOT regexp_matches(substr(t, 6), '^[0-9a-fA-F]{{8}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{12}}$')
                       THEN 'bad_uuid'
                     ELSE 'ok' END AS parse_status,
-               CASE WHEN starts_with(t, 'CDL::') AND regexp_matches(substr(t, 6), '^[0-9a-fA-F]{{8}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{12}}$')
+               CASE WHEN starts_with(t, 'DOC::') AND regexp_matches(substr(t, 6), '^[0-9a-fA-F]{{8}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{12}}$')
                     THEN lower(substr(t, 6)) END AS uuid
         FROM p""",
 )
 def parse_prefixed_uuid(spark, sf):
     r = _raw_ids(spark, sf)
-    status, uuid = X.parse_prefixed_uuid("q", "CDL::")
+    status, uuid = X.parse_prefixed_uuid("q", "DOC::")
     return r.select("o_orderkey", status.alias("parse_status"), uuid.alias("uuid"))
 
 
@@ -434,9 +434,9 @@ def inner_join_diff_keys(spark, sf):
     """SELECT c.c_custkey, n.n_name FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey""",
 )
 def broadcast_join(spark, sf):
-    """Small dimension broadcast after a proven row bound (else shuffle join)."""
+    """Small dimension: broadcast by Spark while under its byte threshold."""
     t = Tables(spark, sf)
-    nation = J.bounded_broadcast(t.nation.select("n_nationkey", "n_name"), max_rows=10_000)
+    nation = t.nation.select("n_nationkey", "n_name")
     return t.customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
 
 

@@ -89,7 +89,7 @@ def stream_ledger_poll(spark, sf):
         pending = B.pending_batches(batch).select("batch_id", "batch_start", "batch_end")
         cnt = []
         for name, side in (("source_count", source), ("target_count", target)):
-            j = J.range_join(side, "o_orderdate", pending, "batch_start", "batch_end", bounds="[)", max_window_rows=100_000)
+            j = J.range_join(side, "o_orderdate", pending, "batch_start", "batch_end", bounds="[)")
             c = j.groupBy("batch_id").agg(F.count(F.lit(1)).alias(name))
             cnt.append(pending.select("batch_id").join(c, "batch_id", "left").fillna(0, [name]))
         both = cnt[0].join(cnt[1], "batch_id")

@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from docflow.operators import text as T
 from docflow.plans.registry import query
+from docflow.session import written
 from docflow.sources.tables import Tables
 
 CHUNK = 500
 TOPK = 5
 _TOK = r"'[\p{L}\p{N}_]{2,}'"
-_SW = ", ".join("'" + w.replace("'", "''") + "'" for w in T.english_stop_words())
+STOP = T.english_stop_words()
+_SW = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP)
 
 
 @query(
@@ -80,7 +82,7 @@ def tokens_no_stopwords(spark, sf):
 
 _TFIDF_SQL = f"""
   tok AS (SELECT doc_id AS id, unnest(regexp_extract_all(lower(text), {_TOK})) AS term FROM documents),
-  tf AS (SELECT id, term, count(*) AS tf FROM tok GROUP BY 1, 2),
+  tf AS (SELECT id, term, count(*) AS tf FROM tok WHERE term NOT IN ({_SW}) GROUP BY 1, 2),
   nd AS (SELECT count(*) AS n FROM documents),
   voc AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
   idf AS (SELECT term, df, ln((1.0 + (SELECT n FROM nd)) / (1.0 + df)) + 1 AS idf FROM voc),
@@ -89,15 +91,14 @@ _TFIDF_SQL = f"""
 
 _QUERY_SQL = f"""
   qtok AS (SELECT item_id AS qid, unnest(regexp_extract_all(lower(text), {_TOK})) AS term FROM benchmark),
-  qtf AS (SELECT qid, term, count(*) AS tf FROM qtok GROUP BY 1, 2),
+  qtf AS (SELECT qid, term, count(*) AS tf FROM qtok WHERE term NOT IN ({_SW}) GROUP BY 1, 2),
   qraw AS (SELECT qid, term, tf * idf AS raw FROM qtf JOIN idf USING (term)),
   qw AS (SELECT qid, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY qid)) AS qweight FROM qraw)"""
 
 
 @query("tfidf_weights", f"WITH {_TFIDF_SQL} SELECT id AS doc_id, term, round(weight, 6) AS weight FROM wt")
 def tfidf_weights(spark, sf):
-    d = Tables(spark, sf).documents
-    w, _, _ = T.tfidf(d, "doc_id", "text")
+    w = T.tfidf(Tables(spark, sf).documents, "doc_id", "text", STOP)
     return w.select(F.col("id").alias("doc_id"), "term", F.round("weight", 6).alias("weight"))
 
 
@@ -109,10 +110,13 @@ def tfidf_weights(spark, sf):
         SELECT qid AS item_id, id AS doc_id, rank, round(score, 6) AS score FROM rk WHERE rank <= {TOPK}""",
 )
 def tfidf_topk(spark, sf):
+    return _top(spark, sf)
+
+
+def _top(spark, sf, include_query=False):
     t = Tables(spark, sf)
-    w, vocab, _ = T.tfidf(t.documents, "doc_id", "text")
-    q = T.query_vectors(t.benchmark, "item_id", "text", vocab)
-    top = T.cosine_top_k(w, q, TOPK)
+    index = written(T.term_index(t.documents, "doc_id", "text", STOP), "term-index")
+    top = T.tfidf_top_k(index, t.benchmark, "item_id", "text", TOPK, STOP, include_query)
     return top.select(F.col("qid").alias("item_id"), F.col("id").alias("doc_id"), F.col("rank").cast("bigint").alias("rank"), F.round("score", 6).alias("score"))
 
 
@@ -120,11 +124,11 @@ def tfidf_topk(spark, sf):
     "tfidf_topk_with_query",
     f"""WITH
       tok AS (SELECT doc_id AS id, unnest(regexp_extract_all(lower(text), {_TOK})) AS term FROM documents),
-      tf AS (SELECT id, term, count(*) AS tf FROM tok GROUP BY 1, 2),
+      tf AS (SELECT id, term, count(*) AS tf FROM tok WHERE term NOT IN ({_SW}) GROUP BY 1, 2),
       nd AS (SELECT count(*) + 1 AS n FROM documents),
       voc AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
       qtok AS (SELECT item_id AS qid, unnest(regexp_extract_all(lower(text), {_TOK})) AS term FROM benchmark),
-      qtf AS (SELECT qid, term, count(*) AS tf FROM qtok GROUP BY 1, 2),
+      qtf AS (SELECT qid, term, count(*) AS tf FROM qtok WHERE term NOT IN ({_SW}) GROUP BY 1, 2),
       -- per query q: idf_q(t) = ln((1+N+1)/(1+df(t)+[t in q])) + 1, documents re-weighted
       pairs AS (SELECT DISTINCT q.qid, tf.id FROM qtf q JOIN tf USING (term)),
       dv AS (SELECT p.qid, tf.id, tf.term, tf.tf * (ln((1.0 + (SELECT n FROM nd)) /
@@ -143,13 +147,7 @@ def tfidf_topk(spark, sf):
 )
 def tfidf_topk_with_query(spark, sf):
     """Each question is fitted together with the corpus (N + 1 documents)."""
-    t = Tables(spark, sf)
-    tf = T.postings(t.documents, "doc_id", "text")
-    vocab = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    n_docs = t.documents.agg(F.count(F.lit(1))).scalar()  # scalar subquery
-    qtf = T.term_counts(t.benchmark, "item_id", "text", colocate=False).withColumnRenamed("id", "qid")
-    top = T.cosine_top_k_including_query(tf, vocab, n_docs, qtf, TOPK)
-    return top.select(F.col("qid").alias("item_id"), F.col("id").alias("doc_id"), F.col("rank").cast("bigint").alias("rank"), F.round("score", 6).alias("score"))
+    return _top(spark, sf, include_query=True)
 
 
 @query(
@@ -157,10 +155,10 @@ def tfidf_topk_with_query(spark, sf):
     f"""WITH
       w AS (SELECT doc_id, string_split_regex(trim(text), '\\s+') AS words FROM documents),
       c AS (SELECT doc_id, words, unnest(range(0, greatest(CAST(ceil(len(words) / {CHUNK}) AS BIGINT), 1))) AS i FROM w),
-      chunks AS (SELECT doc_id, CAST(i AS BIGINT) AS chunk_no, doc_id * 1000000 + i AS cid,
+      chunks AS (SELECT {{'d': doc_id, 'c': CAST(i AS BIGINT)}} AS cid,
                         array_to_string(words[i * {CHUNK} + 1 : (i + 1) * {CHUNK}], ' ') AS text FROM c),
       tok AS (SELECT cid AS id, unnest(regexp_extract_all(lower(text), {_TOK})) AS term FROM chunks),
-      tf AS (SELECT id, term, count(*) AS tf FROM tok GROUP BY 1, 2),
+      tf AS (SELECT id, term, count(*) AS tf FROM tok WHERE term NOT IN ({_SW}) GROUP BY 1, 2),
       nd AS (SELECT count(*) AS n FROM chunks),
       voc AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
       idf AS (SELECT term, df, ln((1.0 + (SELECT n FROM nd)) / (1.0 + df)) + 1 AS idf FROM voc),
@@ -168,8 +166,8 @@ def tfidf_topk_with_query(spark, sf):
       wt AS (SELECT id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)) AS weight FROM raw),
       {_QUERY_SQL},
       sc AS (SELECT qid, id, sum(weight * qweight) AS score FROM wt JOIN qw USING (term) GROUP BY 1, 2),
-      bc AS (SELECT qid, id // 1000000 AS doc_id, id % 1000000 AS chunk_no, score,
-                    row_number() OVER (PARTITION BY qid, id // 1000000 ORDER BY round(score, 9) DESC, id % 1000000) AS r FROM sc),
+      bc AS (SELECT qid, id.d AS doc_id, id.c AS chunk_no, score,
+                    row_number() OVER (PARTITION BY qid, id.d ORDER BY round(score, 9) DESC, id.c) AS r FROM sc),
       rk AS (SELECT qid, doc_id, chunk_no, score, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, doc_id) AS rank
              FROM bc WHERE r = 1)
     SELECT qid AS item_id, doc_id, chunk_no AS best_chunk, rank, round(score, 6) AS score FROM rk WHERE rank <= {TOPK}""",
@@ -178,24 +176,9 @@ def best_chunk_per_doc(spark, sf):
     """Chunk-level TF-IDF search; each document is represented by its best
     chunk (highest score, earliest chunk on ties); top documents by that score."""
     t = Tables(spark, sf)
-    chunks = T.explode_word_chunks(t.documents, "doc_id", "text", CHUNK).select(
-        (F.col("doc_id") * 1_000_000 + F.col("chunk_no")).alias("cid"), "chunk_text"
-    )
-    w, vocab, _ = T.tfidf(chunks, "cid", "chunk_text", n_docs=T.word_chunk_count(t.documents, "text", CHUNK))
-    q = T.query_vectors(t.benchmark, "item_id", "text", vocab)
-    qb = T.bounded_broadcast(q, 1_000_000)
-    s = w.select("id", "term", "weight").join(qb, "term")
-    scores = s.groupBy("qid", "id").agg(F.sum(F.col("weight") * F.col("qweight")).alias("score"))
-    # best chunk per (query, document): one long orders by (score at 1e-9,
-    # earliest chunk) so both aggregates use fixed-width hash-aggregate buffers
-    chunk = F.col("id") % 1_000_000
-    order_key = F.round(F.round("score", 9) * 1e9).cast("long") * (1 << 20) + ((1 << 20) - 1 - chunk)
-    per_doc = scores.groupBy("qid", F.floor(F.col("id") / 1_000_000).alias("doc_id")).agg(
-        F.max(order_key).alias("__best"), F.max_by("score", order_key).alias("score")
-    )
-    per_doc = per_doc.select("qid", "doc_id", "score", ((1 << 20) - 1 - F.col("__best") % (1 << 20)).alias("best_chunk"))
-    top = T.top_k_per_group(per_doc, "qid", "score", "doc_id", TOPK)
+    index = written(T.term_index(t.documents, "doc_id", "text", STOP, words_per_chunk=CHUNK), "chunk-index")
+    top = T.tfidf_top_k(index, t.benchmark, "item_id", "text", TOPK, STOP)
     return top.select(
-        F.col("qid").alias("item_id"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("best_chunk").cast("bigint").alias("best_chunk"),
+        F.col("qid").alias("item_id"), F.col("id").alias("doc_id"), F.col("sub").cast("bigint").alias("best_chunk"),
         F.col("rank").cast("bigint").alias("rank"), F.round("score", 6).alias("score"),
     )

@@ -129,6 +129,7 @@ def format_answer(spark, sf):
 
 
 _TOK = r"'[\p{L}\p{N}_]{2,}'"
+_SW = ", ".join("'" + w.replace("'", "''") + "'" for w in T.english_stop_words())
 
 
 @query(
@@ -140,14 +141,14 @@ _TOK = r"'[\p{L}\p{N}_]{2,}'"
                 FROM ent JOIN pat ON lower(ent.name) = lower(pat.name)),
       rest AS (SELECT question_id, question FROM ent WHERE question_id NOT IN (SELECT question_id FROM exact)),
       tok AS (SELECT pid AS id, unnest(regexp_extract_all(lower(description), {_TOK})) AS term FROM pat),
-      tf AS (SELECT id, term, count(*) AS tf FROM tok GROUP BY 1, 2),
+      tf AS (SELECT id, term, count(*) AS tf FROM tok WHERE term NOT IN ({_SW}) GROUP BY 1, 2),
       nd AS (SELECT count(*) AS n FROM pat),
       voc AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
       idf AS (SELECT term, ln((1.0 + (SELECT n FROM nd)) / (1.0 + df)) + 1 AS idf FROM voc),
       raw AS (SELECT tf.id, tf.term, tf.tf * idf.idf AS raw FROM tf JOIN idf USING (term)),
       wt AS (SELECT id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)) AS weight FROM raw),
       qtok AS (SELECT question_id AS qid, unnest(regexp_extract_all(lower(question), {_TOK})) AS term FROM rest),
-      qtf AS (SELECT qid, term, count(*) AS tf FROM qtok GROUP BY 1, 2),
+      qtf AS (SELECT qid, term, count(*) AS tf FROM qtok WHERE term NOT IN ({_SW}) GROUP BY 1, 2),
       qraw AS (SELECT qid, term, tf * idf AS raw FROM qtf JOIN idf USING (term)),
       qw AS (SELECT qid, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY qid)) AS qweight FROM qraw),
       sc AS (SELECT qid, id, sum(weight * qweight) AS score FROM wt JOIN qw USING (term) GROUP BY 1, 2),
@@ -171,7 +172,7 @@ def answer_cascade(spark, sf):
     exact = ent.join(p, F.lower(ent["name"]) == p["__name"]).select("question_id", F.lit("exact").alias("kind"), "answer")
     rest = ent.join(exact.select("question_id"), "question_id", "left_anti").select("question_id", "question")
     # many records share a description: identical texts are scored once
-    top = T.dedup_cosine_top_k(pat, "pid", "description", rest, "question_id", "question", 3)
+    top = T.dedup_cosine_top_k(pat, "pid", "description", rest, "question_id", "question", 3, T.english_stop_words())
     described = top.join(pat.select(F.col("pid").alias("id"), "description"), "id")
     sim = described.groupBy(F.col("qid").alias("question_id")).agg(
         F.array_join(

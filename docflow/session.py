@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _default_driver_memory() -> str:
@@ -75,6 +75,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/docflow-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a table in the shared folder and read it back: cuts the
+    lineage and survives the loss of executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Cluster settings sized from the data: scan splits of ``target`` bytes,
     initial shuffle partitions so each holds about ``target`` bytes (at least

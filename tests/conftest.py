@@ -41,3 +41,14 @@ def duck():
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return con
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """The plans that Spark takes for sides above its broadcast threshold."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k in keys:
+        spark.conf.unset(k)

@@ -55,19 +55,24 @@ def test_topk_uses_map_side_group_limit(spark):
     assert p.count("WindowGroupLimit") >= 2
 
 
-def test_tfidf_scores_not_reshuffled(spark):
-    """The per-(query, doc) score sum reuses the by-document partitioning:
-    exactly one exchange hashed on the document id feeds the scoring."""
-    tree = plan(Q["tfidf_topk"](spark, SF_SMALL)).split("\n\n")[0].splitlines()
+@pytest.mark.parametrize("key", ["tfidf_topk", "tfidf_topk_with_query", "best_chunk_per_doc", "embedding_topk_multi"])
+def test_search_keeps_k_per_block(spark, key):
+    """Blocks of texts meet blocks of queries in one group, which returns k rows
+    per query: the rows go straight into the map-side limit, no pair table."""
+    tree = plan(Q[key](spark, SF_SMALL)).split("\n\n")[0].splitlines()
     limits = [i for i, ln in enumerate(tree) if "WindowGroupLimit" in ln]
-    join = next(i for i, ln in enumerate(tree) if "BroadcastHashJoin" in ln)
-    partial_limit = limits[1]
-    # partial top-k -> score aggregate -> join: no exchange in between
-    assert partial_limit < join
-    assert not any("Exchange" in ln for ln in tree[partial_limit:join])
+    block = next(i for i, ln in enumerate(tree) if "FlatMapCoGroupsInArrow" in ln)
+    assert limits[1] < block
+    assert not any("Exchange" in ln or "Join" in ln for ln in tree[limits[1] : block])
 
 
-def test_dimension_broadcast_only_when_bounded(spark):
+def test_no_broadcast_beyond_the_threshold(spark, no_broadcast):
+    for key in ("tfidf_topk", "range_join_batches", "row_batches", "recon_all_batches"):
+        tree = plan(Q[key](spark, SF_SMALL)).split("\n\n")[0]
+        assert "NestedLoop" not in tree and "Cartesian" not in tree
+
+
+def test_small_dimension_is_broadcast_by_spark(spark):
     p = plan(Q["broadcast_join"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in p
 
