@@ -69,6 +69,20 @@ def ts_lit(value: str) -> Column:
     return F.lit(value).cast("timestamp_ntz")
 
 
+def wall_text(c: str | Column) -> Column:
+    """A zone-free timestamp of whole seconds as 'yyyy-MM-dd HH:mm:ss'
+    (``date_format`` would go through the session time zone)."""
+    return col_(c).cast("timestamp_ntz").cast("string")
+
+
+def wall_hour(c: str | Column, hours: int = 1) -> Column:
+    """Start of the ``hours`` long part of the day (a divisor of 24) that holds
+    ``c``, by the wall clock, in any session time zone; NULL stays NULL."""
+    t = col_(c).cast("timestamp_ntz")
+    part = F.floor(F.hour(t) / F.lit(hours)).cast("int") * hours
+    return t.cast("date").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), part)
+
+
 def inclusive_end_date(c: str | Column, start_date: str, end_date: str) -> Column:
     """Calendar range with an inclusive end date: start <= ts < end + 1 day."""
     lo = ts_lit(start_date)

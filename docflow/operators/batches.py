@@ -101,13 +101,18 @@ def batch_ledger(rows: DataFrame, batch: str, ts: str) -> DataFrame:
 
 def time_window_ledger(df: DataFrame, ts: str, unit: str = "month") -> DataFrame:
     """Contiguous ``[start, end)`` calendar windows covering the data."""
-    b = df.agg(F.date_trunc(unit, F.min(ts)).alias("lo"), F.date_trunc(unit, F.max(ts)).alias("hi"))
+    if unit not in ("day", "month"):
+        raise ValueError(f"unsupported window unit {unit!r}; use 'day' or 'month'")
+    # calendar dates: no session time zone is involved
+    first, last = (F.trunc(c, "month") if unit == "month" else c for c in (F.col("lo"), F.col("hi")))
+    b = df.agg(F.min(ts).cast("date").alias("lo"), F.max(ts).cast("date").alias("hi"))
     step = F.expr(f"INTERVAL 1 {unit.upper()}")
-    w = b.select(F.explode(F.sequence("lo", "hi", step)).alias("batch_start"))
+    w = b.select(F.explode(F.sequence(first, last, step)).alias("day"))
+    after = F.add_months("day", 1) if unit == "month" else F.date_add("day", 1)
     return w.select(
-        F.date_format("batch_start", "yyyyMM" if unit == "month" else "yyyyMMdd").alias("batch_id"),
-        F.col("batch_start"),
-        (F.col("batch_start") + step).alias("batch_end"),
+        F.date_format("day", "yyyyMM" if unit == "month" else "yyyyMMdd").alias("batch_id"),
+        F.col("day").cast("timestamp_ntz").alias("batch_start"),
+        after.cast("timestamp_ntz").alias("batch_end"),
     )
 
 

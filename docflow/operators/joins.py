@@ -42,12 +42,13 @@ def full_outer_diff(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def except_all_both(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
-    """Multiset difference both ways with a side tag (duplicates count)."""
-    a = left.select(*cols)
-    b = right.select(*cols)
-    return a.exceptAll(b).withColumn("side", F.lit("source_only")).unionByName(
-        b.exceptAll(a).withColumn("side", F.lit("target_only"))
-    )
+    """Multiset difference both ways with a side tag (duplicates count): one scan
+    per side and one aggregate of +1 / -1; NULLs are equal."""
+    both = left.select(*cols, F.lit(1).alias("__n")).unionByName(right.select(*cols, F.lit(-1).alias("__n")))
+    surplus = both.groupBy(*cols).agg(F.sum("__n").alias("__n")).where(F.col("__n") != 0)
+    side = F.when(F.col("__n") > 0, "source_only").otherwise("target_only")
+    copies = F.sequence(F.lit(1).cast("bigint"), F.abs("__n"))
+    return surplus.select(*cols, side.alias("side"), F.explode(copies).alias("__copy")).drop("__copy")
 
 
 def range_join(

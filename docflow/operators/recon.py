@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docflow.functions.exprs import differing_fields
+from docflow.operators.joins import full_outer_diff
 
 MATCHED, MISMATCHED, NOT_MATCHED = "MATCHED", "MISMATCHED", "NOT MATCHED"
 
@@ -88,12 +89,9 @@ def mismatch_by_field(mismatches: DataFrame) -> DataFrame:
 
 
 def missing_extra(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """Ids missing in the target and extra in the target (anti joins both ways)."""
-    s = source.select(F.col(key).alias("__k"))
-    t = target.select(F.col(key).alias("__k"))
-    missing = s.join(t, "__k", "left_anti").select(F.col("__k").alias(key), F.lit("missing").alias("side"))
-    extra = t.join(s, "__k", "left_anti").select(F.col("__k").alias(key), F.lit("extra").alias("side"))
-    return missing.unionByName(extra)
+    """Distinct ids missing in the target and extra in the target: one full outer join."""
+    side = F.when(F.col("side") == "left_only", "missing").otherwise("extra")
+    return full_outer_diff(source, target, key).select(key, side.alias("side"))
 
 
 def decide(src_cnt: Column, tgt_cnt: Column, mismatched: Column) -> tuple[Column, Column]:

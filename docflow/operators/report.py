@@ -8,26 +8,32 @@ many rows one system or bucket holds.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docflow.functions.exprs import SYSTEM_ALIASES, TS_FORMAT, between_bounds, col_, lookup, ts_lit
+from docflow.functions.exprs import SYSTEM_ALIASES, between_bounds, col_, lookup, ts_lit, wall_hour, wall_text
 
 UNITS = {"hour": "1 hour", "day": "1 day"}
 
 
 def bucket_start(ts: str | Column, unit: str) -> Column:
-    """Start of the epoch-aligned bucket holding ``ts``.
+    """Start of the epoch-aligned bucket holding ``ts``, by the wall clock: the
+    session time zone and its clock changes play no part.
 
     ``unit`` is 'hour', 'day' or an interval such as '6 hours'. An invalid unit
     raises ValueError (the report type is validated, never silently ignored).
+    A NULL time has a NULL bucket, or none where the interval does not divide a day.
     """
-    if unit in ("hour", "day"):
-        return F.date_trunc(unit, col_(ts))
+    hours = re.fullmatch(r"(\d+) hours?", UNITS.get(unit, unit))
+    if unit == "day":
+        return col_(ts).cast("timestamp_ntz").cast("date").cast("timestamp_ntz")
+    if hours and int(hours[1]) and 24 % int(hours[1]) == 0:
+        return wall_hour(ts, int(hours[1]))
     if unit.endswith("hours") or unit.endswith("minutes") or unit.endswith("hour"):
-        return F.window(col_(ts), unit).start
+        return F.window(col_(ts).cast("timestamp_ntz"), unit).start
     raise ValueError(f"unsupported bucket unit {unit!r}; use 'hour', 'day' or 'N hours'")
 
 
@@ -63,7 +69,7 @@ def six_hour_counts(df: DataFrame, ts: str, **kw) -> DataFrame:
     """N-hour bucket label (yyyy-MM-dd HH:00:00) and document count, bucket order."""
     unit = kw.pop("unit", "6 hours")
     c = bucket_counts(df, ts, unit=unit, **kw)
-    return c.select(F.date_format("bucket", TS_FORMAT).alias("bucket"), F.col("n").alias("document_count"))
+    return c.select(wall_text("bucket").alias("bucket"), F.col("n").alias("document_count"))
 
 
 def flat_report(
@@ -87,8 +93,8 @@ def flat_report(
     c = bucket_counts(df, ts, unit=unit, system=system, start=start, end=end, bounds=bounds, where=where)
     step = UNITS.get(unit, unit)
     return c.select(
-        F.date_format("bucket", TS_FORMAT).alias("start_time"),
-        F.date_format(F.col("bucket") + F.expr(f"INTERVAL {step}"), TS_FORMAT).alias("end_time"),
+        wall_text("bucket").alias("start_time"),
+        wall_text(F.col("bucket") + F.expr(f"INTERVAL {step}")).alias("end_time"),
         F.sum("n").over(Window.partitionBy("bucket")).alias("overall_count"),
         F.col("system").alias("system_name"),
         F.col("n").alias("system_count"),
@@ -168,20 +174,26 @@ def gap_filled_series(
     if unit not in UNITS:
         raise ValueError(f"gap filling supports 'hour' or 'day', got {unit!r}")
     step = UNITS[unit]
-    lo = F.date_trunc(unit, ts_lit(start)).cast("timestamp_ntz")
+    lo = bucket_start(ts_lit(start), unit)
     hi_excl = ts_lit(end) + F.expr("INTERVAL 1 DAY")
     counts = bucket_counts(
         df.filter((F.col(ts) >= lo) & (F.col(ts) < hi_excl)), ts, unit=unit, system=system
     )
     last = hi_excl - F.expr(f"INTERVAL {step}")
     systems = system_dimension(df, system, known_systems)
-    calendar = systems.select(
-        "system", F.explode(F.sequence(lo, last, F.expr(f"INTERVAL {step}"))).alias("bucket")
-    )
-    fmt = "yyyy-MM-dd'T'HH:mm:ss" if unit == "hour" else "yyyy-MM-dd"
+    # steps are counted and added by the wall clock (a sequence of timestamps
+    # would follow the session zone's clock changes)
+    days = F.datediff(last.cast("date"), lo.cast("date"))
+    if unit == "hour":
+        steps, added = days * 24 + F.hour(last) - F.hour(lo), F.make_dt_interval(F.lit(0), F.col("__i"))
+    else:
+        steps, added = days, F.make_dt_interval(F.col("__i"))
+    calendar = systems.select("system", F.explode(F.sequence(F.lit(0), steps)).alias("__i"))
+    calendar = calendar.select("system", (lo + added).alias("bucket"))
+    label = F.translate(wall_text("bucket"), " ", "T") if unit == "hour" else F.col("bucket").cast("date").cast("string")
     return calendar.join(counts, ["system", "bucket"], "left").select(
         lookup(aliases, "system", keep_unknown=True).alias("system_name"),
-        F.date_format("bucket", fmt).alias("time_bucket"),
+        label.alias("time_bucket"),
         F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("count"),
     )
 

@@ -104,7 +104,7 @@ def target_orders(t: Tables) -> DataFrame:
         F.when(K % 101 == 0, F.lit(None).cast("string")).otherwise(F.col("o_orderpriority")).alias("o_orderpriority"),
     )
     extra = o.filter(K % 211 == 0).select(
-        (K + 1_000_000).alias("o_orderkey"), "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
+        (-K - 1).alias("o_orderkey"), "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
     )
     return base.unionByName(extra)
 
@@ -117,7 +117,7 @@ tgt AS (
          CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority
   FROM orders WHERE o_orderkey % 97 <> 0
   UNION ALL
-  SELECT o_orderkey + 1000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+  SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
   FROM orders WHERE o_orderkey % 211 = 0
 )"""
 

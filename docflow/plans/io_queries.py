@@ -13,6 +13,8 @@ from docflow.session import scratch_path
 from docflow.sources import io as IO
 from docflow.sources.tables import Tables
 
+TEXTS_PER_FILE = 200
+
 _FLAT_DOC_SQL = f"""WITH {DOCS_SQL}
   SELECT doc_id, regexp_replace(md5(CAST(doc_id AS VARCHAR)), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5') AS guid,
          url, migrated_by, CASE tkind WHEN 'two' THEN '2' WHEN 'empty' THEN '0' END AS n_tenants, bstatus AS status,
@@ -51,7 +53,7 @@ def sink_documents_roundtrip(spark, sf):
     partition pruning available on the status column."""
     docs = order_documents(Tables(spark, sf))
     spec = IO.DocumentSpec("parquet", scratch_path(spark, "docs-parquet"))
-    docs = IO.cluster_for_partitioned_write(docs, ["businessDocumentStatus"], "doc_id", salt_buckets=8)
+    docs = IO.cluster_for_partitioned_write(docs, ["businessDocumentStatus"])
     IO.write_documents(docs, spec, mode="append", partition_by=["businessDocumentStatus"])
     back = IO.read_documents(spark, spec)
     return back.groupBy(F.col("businessDocumentStatus").alias("status")).agg(
@@ -64,11 +66,12 @@ def sink_documents_roundtrip(spark, sf):
     "SELECT source, CAST(sum(length(text) + 1) AS BIGINT) AS total_chars FROM documents GROUP BY 1",
 )
 def text_folder_scan(spark, sf):
-    """Corpus written as a folder of text files (one folder per source), read
-    back one row per file with its path; characters summed per source."""
+    """Corpus written as a folder of text files (one folder per source, a bounded
+    number of texts per file), read back one row per file with its path;
+    characters summed per source."""
     path = scratch_path(spark, "text-folder")
-    docs = IO.cluster_for_partitioned_write(Tables(spark, sf).documents, ["source"], "doc_id", salt_buckets=8)
-    docs.select("source", "text").write.partitionBy("source").text(path)
+    docs = IO.cluster_for_partitioned_write(Tables(spark, sf).documents, ["source"])
+    docs.select("source", "text").write.option("maxRecordsPerFile", str(TEXTS_PER_FILE)).partitionBy("source").text(path)
     files = IO.read_text_folder(spark, path, glob="*.txt")
     return files.groupBy("source").agg(F.sum(F.length("text")).cast("bigint").alias("total_chars"))
 
@@ -91,6 +94,7 @@ def sink_pipe_csv_roundtrip(spark, sf):
     s = Tables(spark, sf).supplier.select(
         "s_suppkey", "s_name", "s_acctbal", F.floor(F.col("s_suppkey") / 25).cast("int").alias("batch_no")
     )
+    s = IO.cluster_for_partitioned_write(s, ["batch_no"])
     IO.write_csv(s, path, sep="|", mode="append", partition_by=["batch_no"])
     back = IO.read_csv(spark, path, "s_suppkey bigint, s_name string, s_acctbal double, batch_no int", sep="|")
     return back.select("s_suppkey", "s_name", "s_acctbal", "batch_no")
@@ -114,7 +118,7 @@ def to_json_records(spark, sf):
     """WITH u AS (SELECT o_orderkey, 'X' AS o_orderstatus,
                          CASE WHEN o_orderkey % 178 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority
                   FROM orders WHERE o_orderkey % 89 = 0
-                  UNION ALL SELECT o_orderkey + 1000000, 'N', '9-NEW' FROM orders WHERE o_orderkey % 211 = 0)
+                  UNION ALL SELECT -o_orderkey - 1, 'N', '9-NEW' FROM orders WHERE o_orderkey % 211 = 0)
        SELECT coalesce(t.o_orderkey, u.o_orderkey) AS o_orderkey,
               CASE WHEN u.o_orderkey IS NOT NULL THEN u.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
               CASE WHEN u.o_orderkey IS NOT NULL THEN u.o_orderpriority ELSE t.o_orderpriority END AS o_orderpriority,
@@ -131,7 +135,7 @@ def keyed_upsert(spark, sf):
         "o_orderkey", F.lit("X").alias("o_orderstatus"),
         F.when(k % 178 == 0, F.lit(None).cast("string")).otherwise(F.col("o_orderpriority")).alias("o_orderpriority"),
     ).unionByName(
-        o.filter(k % 211 == 0).select((k + 1_000_000).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"),
+        o.filter(k % 211 == 0).select((-k - 1).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"),
                                       F.lit("9-NEW").alias("o_orderpriority"))
     )
     new = U.write_upsert(spark, f"{base}/v0", upd, "o_orderkey", f"{base}/v1")

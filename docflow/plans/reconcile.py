@@ -74,8 +74,8 @@ def recon_mismatch_by_field(spark, sf):
 @query(
     "recon_missing_extra",
     f"""WITH {TARGET_SQL}
-        SELECT o_orderkey, 'missing' AS side FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM tgt)
-        UNION ALL SELECT o_orderkey, 'extra' FROM tgt WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)""",
+        SELECT DISTINCT o_orderkey, 'missing' AS side FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM tgt)
+        UNION ALL SELECT DISTINCT o_orderkey, 'extra' FROM tgt WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)""",
 )
 def recon_missing_extra(spark, sf):
     s, t = _sides(spark, sf)

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from docflow.functions.exprs import wall_text
 from docflow.operators import batches as B
 from docflow.operators import joins as J
 from docflow.plans.batching import monthly_ledger
@@ -19,8 +20,8 @@ from docflow.streaming import streams as S
 def _staged_events(spark, sf):
     e = Tables(spark, sf).events
     src = scratch_path(spark, "events-stream")
-    delay = S.stage_time_sliced(e, "ts", src, parts=4)
-    return S.file_stream(spark, src, e.schema, max_files=1), delay
+    delay = S.stage_files(e, "ts", src)
+    return S.file_stream(spark, src, e.schema), delay
 
 
 @query(
@@ -30,12 +31,12 @@ def _staged_events(spark, sf):
 )
 def stream_six_hour_counts(spark, sf):
     """Six-hour counts computed incrementally (watermark + update mode; each
-    epoch logs only the changed windows); equals the batch result once the
+    micro-batch upserts the changed windows); equals the batch result once the
     input is drained."""
     stream, delay = _staged_events(spark, sf)
-    log = S.EpochLog(spark, scratch_path(spark, "six-hour-log"), ["bucket"])
-    out = S.stream_to_log(S.windowed_counts(stream, "ts", "6 hours", delay), log, scratch_path(spark, "ckpt-six"))
-    return out.select(F.date_format("bucket", "yyyy-MM-dd HH:mm:ss").alias("bucket"), F.col("n").alias("document_count"))
+    counts = S.windowed_counts(stream, "ts", "6 hours", delay)
+    out = S.upsert_stream(counts, ["bucket"], scratch_path(spark, "six-hour"), scratch_path(spark, "ckpt-six"))
+    return out.select(wall_text("bucket").alias("bucket"), F.col("n").alias("document_count"))
 
 
 @query(
@@ -45,10 +46,11 @@ def stream_six_hour_counts(spark, sf):
 )
 def stream_upsert(spark, sf):
     """Micro-batches of updates applied to a keyed target (latest event per
-    user): state in the state store, changed keys logged per epoch."""
+    user; of equal times the larger type): state in the state store, changed
+    keys upserted per micro-batch."""
     stream, _ = _staged_events(spark, sf)
-    log = S.EpochLog(spark, scratch_path(spark, "latest-log"), ["user_id"])
-    out = S.stream_to_log(S.latest_per_key(stream, "user_id", "ts", "event_type"), log, scratch_path(spark, "ckpt-latest"))
+    latest = S.latest_per_key(stream, "user_id", "ts", "event_type")
+    out = S.upsert_stream(latest, ["user_id"], scratch_path(spark, "latest"), scratch_path(spark, "ckpt-latest"))
     return out.select(
         "user_id",
         F.col("last_value").alias("last_event_type"),
@@ -64,7 +66,7 @@ def stream_upsert(spark, sf):
             ledger AS (SELECT strftime(batch_start, '%Y%m') AS batch_id, batch_start, batch_start + INTERVAL 1 MONTH AS batch_end,
                               month(batch_start) % 3 = 0 AS done FROM months),
             tgt AS (SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderkey % 97 <> 0
-                    UNION ALL SELECT o_orderkey + 1000000, o_orderdate FROM orders WHERE o_orderkey % 211 = 0),
+                    UNION ALL SELECT -o_orderkey - 1, o_orderdate FROM orders WHERE o_orderkey % 211 = 0),
             s AS (SELECT l.batch_id, count(o.o_orderkey) AS n FROM ledger l LEFT JOIN orders o
                   ON o.o_orderdate >= l.batch_start AND o.o_orderdate < l.batch_end WHERE NOT l.done GROUP BY 1),
             t AS (SELECT l.batch_id, count(o.o_orderkey) AS n FROM ledger l LEFT JOIN tgt o
@@ -78,18 +80,19 @@ def stream_ledger_poll(spark, sf):
     counted on both sides (stream-static range join) and recorded."""
     ledger = monthly_ledger(spark, sf)
     src = scratch_path(spark, "ledger-stream")
-    # ledger rows arrive in three waves
-    for wave in range(3):
-        ledger.filter(F.pmod(F.month("batch_start"), F.lit(3)) == wave).write.mode("append").parquet(src)
-    stream = S.file_stream(spark, src, ledger.schema, max_files=1)
+    ledger.write.parquet(src)
+    stream = S.file_stream(spark, src, ledger.schema)
     t = Tables(spark, sf)
     source, target = t.orders.select("o_orderkey", "o_orderdate"), target_orders(t).select("o_orderkey", "o_orderdate")
 
     def process(batch):
         pending = B.pending_batches(batch).select("batch_id", "batch_start", "batch_end")
+        # the span of the pending windows is pushed down to the scans
+        span = pending.agg(F.min("batch_start").alias("lo"), F.max("batch_end").alias("hi")).first()
+        in_span = (F.col("o_orderdate") >= F.lit(span["lo"])) & (F.col("o_orderdate") < F.lit(span["hi"]))
         cnt = []
         for name, side in (("source_count", source), ("target_count", target)):
-            j = J.range_join(side, "o_orderdate", pending, "batch_start", "batch_end", bounds="[)")
+            j = J.range_join(side.where(in_span), "o_orderdate", pending, "batch_start", "batch_end", bounds="[)")
             c = j.groupBy("batch_id").agg(F.count(F.lit(1)).alias(name))
             cnt.append(pending.select("batch_id").join(c, "batch_id", "left").fillna(0, [name]))
         both = cnt[0].join(cnt[1], "batch_id")

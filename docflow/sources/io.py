@@ -152,14 +152,11 @@ def object_listing(spark: SparkSession, path: str, glob: str | None = None, serv
 # --------------------------------------------------------------------- sinks
 
 
-def cluster_for_partitioned_write(df: DataFrame, by: list[str], salt_col: str, salt_buckets: int = 64) -> DataFrame:
-    """Shuffle rows so each output partition value is written by at most
-    ``salt_buckets`` tasks (files), instead of every task writing a small file
-    for every value. The salt (a hash of ``salt_col``) splits a hot value — one
-    holding a third of all rows — over ``salt_buckets`` tasks."""
-    salt = F.pmod(F.xxhash64(F.col(salt_col)), F.lit(salt_buckets))
-    return df.repartition(*[F.col(c) for c in by], salt)
-
+def cluster_for_partitioned_write(df: DataFrame, by: list[str]) -> DataFrame:
+    """Bring the rows of an output partition together, so that not every task
+    writes a small file for every value. AQE sizes the tasks from the data: it
+    splits a hot value (one holding a third of all rows) and joins small ones."""
+    return df.hint("rebalance", *[F.col(c) for c in by])
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True, mode: str = "overwrite",

@@ -1,12 +1,10 @@
-"""Structured Streaming operators: file-source staging, incremental keyed
-aggregates, windowed counts with a watermark, ledger polling.
+"""Structured Streaming operators: file sources, windowed counts with a
+watermark, keyed upserts, ledger polling.
 
 Incremental state lives in Spark's state store (streaming aggregation in
-``update`` mode). Each micro-batch hands only the CHANGED keys to a
-``foreachBatch`` sink that writes them as ``<log>/epoch=<id>`` — overwriting
-its own epoch folder, so a replayed epoch is idempotent and a write costs
-O(changed keys), never O(table). Readers merge on read: per key the row of
-the highest epoch (``EpochLog.latest``).
+``update`` mode). Each micro-batch hands only the changed keys to a
+``foreachBatch`` sink, which merges them into the keyed table and writes the
+next version of it; a replayed micro-batch writes its own version again.
 """
 
 from __future__ import annotations
@@ -17,63 +15,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docflow.operators.upsert import upsert
 
-def stage_time_sliced(df: DataFrame, ts: str, path: str, parts: int = 4) -> str:
-    """Write ``df`` under ``path`` as ``parts`` consecutive time slices, one
-    write per slice (later slices get later file times). Returns a watermark
-    delay (one slice width) under which no staged row can arrive late."""
+
+def stage_files(df: DataFrame, ts: str, path: str) -> str:
+    """Write ``df`` as the files of a stream. Returns a watermark delay (the time
+    that the data span) under which no row is late, in whatever order files come."""
+    df.write.parquet(path)
     b = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
-    lo, hi = b["lo"], b["hi"]
-    width = (hi - lo) / parts
-    for i in range(parts):
-        pred = F.col(ts) >= F.lit(lo + width * i)
-        if i < parts - 1:
-            pred = pred & (F.col(ts) < F.lit(lo + width * (i + 1)))
-        df.filter(pred).write.mode("append").parquet(path)
-    hours = max(1, math.ceil(width.total_seconds() / 3600))
+    hours = 1 if b["lo"] is None else math.ceil((b["hi"] - b["lo"]).total_seconds() / 3600) + 1
     return f"{hours} hours"
 
 
-class EpochLog:
-    """Changed rows per epoch under ``<path>/epoch=<id>``; merge on read.
-
-    ``compact(epoch)`` rewrites the merged table into that epoch's folder and
-    records the epoch in ``<path>_compacted``; later reads prune every older
-    epoch folder (partition filter), so read cost stays bounded by the table
-    plus the deltas since the last compaction. Old folders are never needed
-    again and can be removed by a retention job.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, keys: list[str]):
-        self.spark, self.path, self.keys = spark, path.rstrip("/"), keys
-
-    def write(self, changed: DataFrame, epoch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{self.path}/epoch={epoch}")
-
-    def _compacted_at(self) -> int | None:
-        try:
-            row = self.spark.read.parquet(f"{self.path}_compacted").agg(F.max("epoch")).first()
-        except Exception:  # noqa: BLE001 - no compaction recorded yet
-            return None
-        return None if row is None else row[0]
-
-    def latest(self) -> DataFrame:
-        """Current table: per key the row from the highest epoch."""
-        log = self.spark.read.parquet(self.path)
-        since = self._compacted_at()
-        if since is not None:
-            log = log.where(F.col("epoch") >= F.lit(since))
-        vals = [c for c in log.columns if c not in self.keys and c != "epoch"]
-        merged = log.groupBy(*self.keys).agg(F.max_by(F.struct(*vals), F.col("epoch")).alias("__row"))
-        return merged.select(*self.keys, *[F.col(f"__row.{c}").alias(c) for c in vals])
-
-    def compact(self, epoch: int) -> None:
-        """Fold everything up to ``epoch`` (the last written epoch) into it."""
-        snapshot = self.latest()
-        staged = f"{self.path}_staging/epoch={epoch}"
-        snapshot.write.mode("overwrite").parquet(staged)  # never overwrite a path being read
-        self.spark.read.parquet(staged).write.mode("overwrite").parquet(f"{self.path}/epoch={epoch}")
-        self.spark.createDataFrame([(epoch,)], "epoch long").write.mode("append").parquet(f"{self.path}_compacted")
+def upsert_stream(agg: DataFrame, keys: list[str], path: str, checkpoint: str) -> DataFrame:
+    """Drain a streaming aggregate in update mode into a keyed table, kept as
+    ``<path>/v<micro-batch>``; returns the last version. Each version is the one
+    before with the changed keys updated or inserted, so a replay is idempotent."""
+    spark, last = agg.sparkSession, []
+
+    def handle(changed: DataFrame, batch: int) -> None:
+        new = changed if batch == 0 else upsert(spark.read.parquet(f"{path}/v{batch - 1}"), changed, keys)
+        new.write.mode("overwrite").parquet(f"{path}/v{batch}")
+        last[:] = [batch]
+
+    run_available_now(agg, handle, checkpoint, output_mode="update")
+    return spark.read.parquet(f"{path}/v{last[0]}") if last else spark.createDataFrame([], agg.schema)
 
 
 def start_stream(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpoint: str,
@@ -95,8 +61,10 @@ def run_available_now(stream: DataFrame, handler: Callable[[DataFrame, int], Non
         raise RuntimeError(str(q.exception()))
 
 
-def file_stream(spark: SparkSession, path: str, schema, max_files: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", str(max_files)).parquet(path)
+def file_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
+    """Files as they arrive; all that are there form one micro-batch unless ``max_files`` limits it."""
+    r = spark.readStream.schema(schema)
+    return (r if max_files is None else r.option("maxFilesPerTrigger", str(max_files))).parquet(path)
 
 
 _EPOCH_NTZ = "1970-01-01 00:00:00"
@@ -106,13 +74,17 @@ def wall_clock_instant(ts: str) -> "F.Column":
     """A zone-free timestamp as an event-time instant whose epoch offset equals
     the wall clock (so windows align to wall-clock boundaries in any session
     time zone)."""
-    micros = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), F.col(ts))
-    return F.timestamp_micros(micros)
+    t = F.col(ts)
+    days = F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    # seconds with their fraction as decimals: exact to the microsecond
+    seconds = days * 86_400 + F.hour(t) * 3600 + F.minute(t) * 60
+    return F.timestamp_micros(seconds * 1_000_000 + (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("bigint"))
 
 
 def instant_to_wall_clock(c) -> "F.Column":
     """Inverse of ``wall_clock_instant``: back to a zone-free timestamp."""
-    return F.timestamp_add("MICROSECOND", F.unix_micros(c), F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
+    seconds = F.unix_micros(c).cast("decimal(20, 0)") / F.lit(1_000_000).cast("decimal(7, 0)")
+    return F.lit(_EPOCH_NTZ).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18, 6)"))
 
 
 def windowed_counts(stream: DataFrame, ts: str, window: str, delay: str, key: str | None = None) -> DataFrame:
@@ -128,12 +100,6 @@ def windowed_counts(stream: DataFrame, ts: str, window: str, delay: str, key: st
     return agg.select(bucket.alias("bucket"), *([key] if key else []), "n")
 
 
-def stream_to_log(agg: DataFrame, log: EpochLog, checkpoint: str) -> DataFrame:
-    """Run a streaming aggregate in update mode into an epoch log; return the merged table."""
-    run_available_now(agg, log.write, checkpoint, output_mode="update")
-    return log.latest()
-
-
 def latest_per_key(stream: DataFrame, key: str, ts: str, value: str) -> DataFrame:
     """Streaming aggregate: per key the latest ``value`` (by ``ts``), its time
     and the running count — kept in the state store, emitted when changed."""

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from docflow.functions import exprs as X
@@ -171,18 +172,17 @@ def test_migration_ledger_matches_written(spark, tmp_path):
     assert sorted(back.columns) == ["id", "name", "outcome", "upper", "violations"]
 
 
-def test_partitioned_write_bounds_files_per_value(spark, tmp_path):
+def test_partitioned_write_is_clustered_by_value(spark, tmp_path):
     from docflow.sources.io import cluster_for_partitioned_write
 
     df = spark.range(0, 20_000).select(
         F.col("id"), F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("v"), (F.col("id") % 5).cast("string"))).alias("p")
     ).repartition(50)
     out = str(tmp_path / "w")
-    cluster_for_partitioned_write(df, ["p"], "id", salt_buckets=4).write.partitionBy("p").parquet(out)
+    cluster_for_partitioned_write(df, ["p"]).write.partitionBy("p").parquet(out)
     import glob
 
-    hot_files = glob.glob(f"{out}/p=HOT/*.parquet")
-    assert 1 <= len(hot_files) <= 4
+    assert len(glob.glob(f"{out}/p=v1/*.parquet")) == 1  # not one per task
     assert spark.read.parquet(out).count() == 20_000
 
 
@@ -204,14 +204,49 @@ def test_polling_stream_trigger(spark, tmp_path):
     assert sorted(r.k for r in spark.read.parquet(out).collect()) == [1, 2, 3]
 
 
-def test_epoch_log_compaction(spark, tmp_path):
-    from docflow.streaming.streams import EpochLog
+def test_upsert_stream_over_many_micro_batches(spark, tmp_path):
+    """One file per micro-batch: the table equals the batch result; ties by value."""
+    from docflow.streaming import streams as S
 
-    log = EpochLog(spark, str(tmp_path / "log"), ["k"])
-    schema = "k long, v string"
-    log.write(spark.createDataFrame([(1, "a"), (2, "b")], schema), 0)
-    log.write(spark.createDataFrame([(1, "c")], schema), 1)
-    log.compact(1)
-    log.write(spark.createDataFrame([(3, "d"), (2, "e")], schema), 2)
-    got = sorted(tuple(r) for r in log.latest().collect())
-    assert got == [(1, "c"), (2, "e"), (3, "d")]
+    src = str(tmp_path / "in")
+    t = dt.datetime(2024, 1, 1)
+    rows = [(k % 3, t + dt.timedelta(hours=k // 2), f"v{k}") for k in range(12)]
+    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, v string")
+    delay = S.stage_files(df.repartition(4), "ts", src)
+    latest = S.latest_per_key(S.file_stream(spark, src, df.schema, max_files=1), "k", "ts", "v")
+    out = S.upsert_stream(latest, ["k"], str(tmp_path / "latest"), str(tmp_path / "c1"))
+    want = {k: max((ts, v) for kk, ts, v in rows if kk == k) for k in range(3)}
+    assert {r.k: (r.last_ts, r.last_value, r.n) for r in out.collect()} == {k: (*w, 4) for k, w in want.items()}
+    counts = S.windowed_counts(S.file_stream(spark, src, df.schema, max_files=1), "ts", "6 hours", delay)
+    n = S.upsert_stream(counts, ["bucket"], str(tmp_path / "counts"), str(tmp_path / "c2"))
+    assert {r.bucket: r.n for r in n.collect()} == {t: 12}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles", "Europe/Berlin"])
+def test_buckets_follow_the_wall_clock_on_clock_change_days(spark, tmp_path, zone):
+    from docflow.streaming import streams as S
+
+    spring = [dt.datetime(2024, 3, d, h, 30, 0, 123457) for d in (10, 31) for h in (1, 2, 3)]
+    autumn = [dt.datetime(2024, 11, 3, h, 30) for h in (0, 1, 2)] + [dt.datetime(2024, 10, 27, h, 30) for h in (1, 2)]
+    times = spring + autumn
+    df = spark.createDataFrame([(t, "ABC") for t in times] + [(None, "ABC")], "ts timestamp_ntz, sys string")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        hours = RP.bucket_counts(df, "ts", unit="hour").select(X.wall_text("bucket").alias("b"), "n")
+        assert dict(hours.collect()) == {None: 1, **{t.strftime("%Y-%m-%d %H:00:00"): 1 for t in times}}
+        days = dict(RP.bucket_counts(df, "ts", unit="day").select(X.wall_text("bucket"), "n").collect())
+        assert days == {None: 1, "2024-03-10 00:00:00": 3, "2024-03-31 00:00:00": 3, "2024-11-03 00:00:00": 3, "2024-10-27 00:00:00": 2}
+        for unit, per_day in (("hour", 24), ("day", 1)):
+            g = RP.gap_filled_series(df, "ts", "sys", "2024-03-09", "2024-03-11", unit=unit)
+            labels = [r.time_bucket for r in g.collect()]
+            assert len(labels) == len(set(labels)) == 3 * per_day
+            assert g.agg(F.sum("count")).first()[0] == 3
+        led = B.time_window_ledger(df, "ts", "day")
+        assert led.count() == (max(times).date() - min(times).date()).days + 1
+        src = str(tmp_path / "in")
+        delay = S.stage_files(df.where("ts is not null"), "ts", src)
+        counts = S.windowed_counts(S.file_stream(spark, src, df.schema), "ts", "1 hour", delay)
+        n = S.upsert_stream(counts, ["bucket"], str(tmp_path / "t"), str(tmp_path / "c")).select(X.wall_text("bucket"), "n")
+        assert dict(n.collect()) == {t.strftime("%Y-%m-%d %H:00:00"): 1 for t in times}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
