@@ -71,18 +71,16 @@ def id_range_batches(df: DataFrame, key: str, size: int) -> tuple[DataFrame, Dat
     """Id-range batches ``[start, start + size - 1]`` from the MIN/MAX of ``key``.
 
     Returns (rows with ``batch_no``, batch table with every range incl. empty
-    ones). Both stay lazy: MIN is a scalar subquery, rows are assigned by
-    arithmetic (no join, no shuffle) and the batch table is generated from
-    the one-row MIN/MAX aggregate.
+    ones). MIN and MAX are read once (two scalars); rows are assigned by
+    arithmetic (no join, no shuffle), the batch table is a distributed range.
     """
-    lo = df.agg(F.min(key)).scalar()
-    rows = df.withColumn("batch_no", F.floor((F.col(key) - lo) / F.lit(size)).cast("bigint"))
-    bounds = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).where(F.col("lo").isNotNull())
-    n_last = F.floor((F.col("hi") - F.col("lo")) / F.lit(size)).cast("bigint")
-    table = bounds.select("lo", F.explode(F.sequence(F.lit(0).cast("bigint"), n_last)).alias("batch_no")).select(
-        "batch_no",
-        (F.col("lo") + F.col("batch_no") * size).alias("start_id"),
-        (F.col("lo") + F.col("batch_no") * size + size - 1).alias("end_id"),
+    b = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+    lo, hi = (b["lo"], b["hi"]) if b["lo"] is not None else (0, -1)
+    rows = df.withColumn("batch_no", F.floor((F.col(key) - F.lit(lo)) / F.lit(size)).cast("bigint"))
+    table = df.sparkSession.range(-(-(hi - lo + 1) // size)).select(
+        F.col("id").alias("batch_no"),
+        (F.col("id") * size + lo).alias("start_id"),
+        (F.col("id") * size + (lo + size - 1)).alias("end_id"),
     )
     return rows, table
 

@@ -11,11 +11,11 @@ def semi_join(df: DataFrame, keys: DataFrame, on, negate: bool = False) -> DataF
     return df.join(keys, on, "left_anti" if negate else "left_semi")
 
 
-def copartitioned_join(left: DataFrame, right: DataFrame, key: str, n: int, how: str = "inner") -> DataFrame:
-    """Both sides hash-partitioned on ``key`` into ``n`` partitions before the
+def copartitioned_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Both sides hash-partitioned on ``key`` (AQE sizes the partitions) before the
     join, so the join itself adds no exchange and both partitionings can be
     reused by later operators on the same key."""
-    return left.repartition(n, key).join(right.repartition(n, key), key, how)
+    return left.repartition(key).join(right.repartition(key), key, how)
 
 
 def full_outer_merge(left: DataFrame, right: DataFrame, key: str, suffix: str = "_right") -> DataFrame:

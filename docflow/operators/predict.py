@@ -72,10 +72,14 @@ def forest_pipeline(features: list[str], label: str, seed: int = 42, num_trees:
     return Pipeline(stages=[*idx, ohe, asm, lab, rf])
 
 
-def top_n_classes(pred: DataFrame, id_col: str, n: int = 3) -> DataFrame:
-    """Top-n (class index, probability) per row from the model's probability vector."""
+def top_n_classes(pred: DataFrame, id_col: str, codes: list[str], n: int = 3) -> DataFrame:
+    """(id, rank, code, probability): the n likeliest codes per row; ``codes`` names the
+    entries of the model's probability vector. Equal probabilities: by code."""
     from pyspark.ml.functions import vector_to_array
 
-    p = pred.select(id_col, F.posexplode(vector_to_array("probability")).alias("class_index", "probability"))
-    w = Window.partitionBy(id_col).orderBy(F.desc("probability"), "class_index")
-    return p.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    named = F.zip_with(
+        vector_to_array("probability"), F.array(*[F.lit(c) for c in codes]), lambda p, c: F.struct((-p).alias("p"), c.alias("code"))
+    )
+    best = F.slice(F.sort_array(named), 1, n)  # sorted inside the row: no shuffle
+    ranked = pred.select(id_col, F.posexplode(best).alias("i", "b"))
+    return ranked.select(id_col, (F.col("i") + 1).alias("rank"), F.col("b.code").alias("code"), (-F.col("b.p")).alias("probability"))

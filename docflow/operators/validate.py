@@ -26,6 +26,9 @@ _TYPES: dict[str, tuple[type, ...]] = {
 }
 
 
+_KEYWORDS = {"bsonType", "enum", "required", "properties", "minItems", "items", "description"}
+
+
 def _type_ok(dt: T.DataType, bson) -> bool:
     names = bson if isinstance(bson, (list, tuple)) else [bson]
     for n in names:
@@ -44,6 +47,9 @@ def _field(dt: T.StructType, name: str) -> T.DataType | None:
 
 
 def _rules(node: Column, dt: T.DataType | None, spec: Mapping, path: str) -> list[tuple[str, Column]]:
+    unknown = set(spec) - _KEYWORDS
+    if unknown:
+        raise ValueError(f"unsupported rule keywords at {path}: {sorted(unknown)}")
     out: list[tuple[str, Column]] = []
     present = node.isNotNull()
     if "bsonType" in spec and dt is not None and not _type_ok(dt, spec["bsonType"]):
@@ -91,6 +97,9 @@ def _item_fn(elem_dt, items, rule_name, path):
 
 def compile_schema(df_schema: T.StructType, schema: Mapping) -> list[tuple[str, Column]]:
     """(rule name, Column that is true when the rule is violated) for a frame schema."""
+    unknown = set(schema) - {"bsonType", "required", "properties", "description"}
+    if unknown:
+        raise ValueError(f"unsupported rule keywords: {sorted(unknown)}")
     rules = []
     for req in schema.get("required", []):
         if _field(df_schema, req) is None:

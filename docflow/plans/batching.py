@@ -87,13 +87,16 @@ def id_range_batches(spark, sf):
 @query(
     "scan_id_range",
     """WITH b AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders)
-       SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey BETWEEN (SELECT lo FROM b) AND (SELECT hi FROM b)""",
+       SELECT o_orderkey, o_orderstatus FROM orders
+       WHERE o_orderkey BETWEEN (SELECT lo + (hi - lo) // 4 FROM b) AND (SELECT lo + (hi - lo) // 2 FROM b)""",
 )
 def scan_id_range(spark, sf):
-    """BETWEEN slice whose bounds come from a MIN/MAX probe (two scalars)."""
+    """BETWEEN slice, the second quarter of the ids (the range is the feature),
+    with bounds from a MIN/MAX probe (two scalars)."""
     o = Tables(spark, sf).orders
     b = o.agg(F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi")).first()
-    return B.read_id_range(o, "o_orderkey", b["lo"], b["hi"]).select("o_orderkey", "o_orderstatus")
+    lo, hi = (b["lo"], b["hi"]) if b["lo"] is not None else (0, 0)
+    return B.read_id_range(o, "o_orderkey", lo + (hi - lo) // 4, lo + (hi - lo) // 2).select("o_orderkey", "o_orderstatus")
 
 
 # ---------------------------------------------------------- monthly ledger
@@ -251,3 +254,21 @@ def hash_sample(spark, sf):
 def bernoulli_sample(spark, sf):
     """10% Bernoulli sample without replacement (random -> rows-only check)."""
     return Tables(spark, sf).orders.sample(False, 0.1, seed=42).select("o_orderkey")
+
+
+@query(
+    "bernoulli_sample_invariants",
+    "SELECT true AS all_in_table, true AS no_repeats, true AS rate_in_bounds",
+)
+def bernoulli_sample_invariants(spark, sf):
+    """Sampled keys are keys of the table, none twice, and their share is
+    within six standard deviations of the rate."""
+    o = Tables(spark, sf).orders.select("o_orderkey")
+    picked = bernoulli_sample(spark, sf).groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("times"))
+    j = o.withColumn("here", F.lit(True)).join(picked, "o_orderkey", "full_outer")
+    n, taken = F.count("here"), F.coalesce(F.sum("times"), F.lit(0))
+    return j.agg(
+        (F.count_if(F.col("here").isNull()) == 0).alias("all_in_table"),
+        (F.coalesce(F.max("times"), F.lit(1)) == 1).alias("no_repeats"),
+        (F.abs(taken - n * 0.1) <= 6 * F.sqrt(n * 0.09)).alias("rate_in_bounds"),
+    )

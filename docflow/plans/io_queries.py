@@ -113,6 +113,20 @@ def to_json_records(spark, sf):
     return IO.to_json_records(s, ["s_suppkey", "s_name", "s_nationkey", note], keep=["s_suppkey"])
 
 
+@query(
+    "from_json_records",
+    """SELECT s_suppkey, s_name, s_nationkey, CASE WHEN s_nationkey % 2 = 0 THEN 'even' END AS note,
+              CAST(s_nationkey AS VARCHAR) AS nation_text FROM supplier""",
+)
+def from_json_records(spark, sf):
+    """JSON objects read back with a schema (absent fields are NULL) and by path."""
+    j = to_json_records(spark, sf)
+    r = F.from_json("json", "s_name string, s_nationkey bigint, note string")
+    return j.select("s_suppkey", r.alias("r"), F.get_json_object("json", "$.s_nationkey").alias("nation_text")).select(
+        "s_suppkey", "r.s_name", "r.s_nationkey", "r.note", "nation_text"
+    )
+
+
 @query(
     "keyed_upsert",
     """WITH u AS (SELECT o_orderkey, 'X' AS o_orderstatus,

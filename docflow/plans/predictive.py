@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from docflow.functions.exprs import compare
 from docflow.operators import predict as P
+from docflow.plans.batching import hash_bucket
 from docflow.plans.registry import query
 from docflow.sources.tables import Tables
 
@@ -100,28 +101,84 @@ def autopopulate_codes(spark, sf):
     return P.autopopulate(co, _FEAT, "code", fr).select("o_orderkey", "code", "filled")
 
 
+_FOREST_FEAT = ["nation", "segment", "status", "month"]
+
+
 def _forest(spark, sf):
+    """(model, codes by class, labelled test rows, rows without a code).
+
+    Four categorical features. Rows are split by a hash of the key, so a run
+    repeats. Some test rows have a segment that training never saw.
+    """
     t = Tables(spark, sf)
-    data = t.documents.select("doc_id", "lang", "source").join(t.labels.select("doc_id", "quality"), "doc_id", "left")
-    data = data.dropna(subset=["quality"]).withColumn("quality", F.col("quality").cast("string"))
-    train, test = data.randomSplit([0.8, 0.2], seed=42)
-    model = P.forest_pipeline(["lang", "source"], "quality").fit(train)
-    return model.transform(test)
+    k = F.col("o_orderkey")
+    o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    test = hash_bucket("o_orderkey", 5) == 0
+    segment = F.when(test & (k % 7 == 0), F.lit("NEVER SEEN")).otherwise(F.col("c_mktsegment"))
+    rows = o.select(
+        "o_orderkey",
+        F.col("c_nationkey").cast("string").alias("nation"),
+        segment.alias("segment"),
+        F.col("o_orderstatus").alias("status"),
+        F.month("o_orderdate").cast("string").alias("month"),
+        F.when(k % 101 != 0, F.col("o_orderpriority")).alias("code"),
+        test.alias("test"),
+    ).fillna("", _FOREST_FEAT)
+    coded = rows.where(F.col("code").isNotNull())
+    model = P.forest_pipeline(_FOREST_FEAT, "code").fit(coded.where(~F.col("test")))
+    return model, model.stages[-2].labels, coded.where("test"), rows.where(F.col("code").isNull())
 
 
-@query("code_classifier_accuracy")
+@query(
+    "code_classifier_accuracy",
+    """SELECT count(*) AS n_test, count(*) FILTER (WHERE o_orderkey % 7 = 0) AS n_unseen, true AS accuracy_in_range
+       FROM orders JOIN customer ON o_custkey = c_custkey
+       WHERE o_orderkey % 101 <> 0 AND o_orderpriority IS NOT NULL
+         AND CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8)) AS BIGINT) % 5 = 0""",
+)
 def code_classifier_accuracy(spark, sf):
-    """Random forest on (lang, source) -> quality; accuracy on a 20% split (rows-only)."""
-    pred = _forest(spark, sf)
-    return pred.agg(
-        F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"), F.count(F.lit(1)).alias("n_test")
+    """Random forest from four features to a code: held-out accuracy, test rows
+    (hash split) and test rows with a category that training never saw."""
+    model, _, test, _ = _forest(spark, sf)
+    hit = F.avg((F.col("prediction") == F.col("label")).cast("double"))
+    return model.transform(test).agg(
+        F.count(F.lit(1)).alias("n_test"),
+        F.count_if(F.col("segment") == "NEVER SEEN").alias("n_unseen"),
+        hit.between(0.0, 1.0).alias("accuracy_in_range"),
     )
 
 
+def _forest_codes(spark, sf):
+    model, codes, _, empty = _forest(spark, sf)
+    # every row is scored, also those whose code the model cannot know
+    scored = model.transform(empty.withColumn("code", F.lit(codes[0])))
+    return P.top_n_classes(scored, "o_orderkey", codes, 3)
+
+
 @query("code_topn_forest")
 def code_topn_forest(spark, sf):
-    """Top-3 predicted classes with probabilities per test document (rows-only)."""
-    return P.top_n_classes(_forest(spark, sf), "doc_id", 3)
+    """The three likeliest codes of every row without one (rows-only; invariants below)."""
+    return _forest_codes(spark, sf)
+
+
+@query(
+    "code_forest_invariants",
+    """WITH e AS (SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey
+                  WHERE o_orderkey % 101 = 0 OR o_orderpriority IS NULL)
+       SELECT o_orderkey, CAST(3 AS BIGINT) AS n_codes, true AS distinct_known_codes, true AS falling_probabilities FROM e""",
+)
+def code_forest_invariants(spark, sf):
+    """Per filled row: three different codes of the code list, probabilities falling and at most 1 together."""
+    top = _forest_codes(spark, sf)
+    known = Tables(spark, sf).orders.select(F.col("o_orderpriority").alias("code")).distinct().withColumn("known", F.lit(True))
+    j = top.join(known, "code", "left")
+    p = F.transform(F.sort_array(F.collect_list(F.struct("rank", "probability"))), lambda x: x["probability"])
+    falling = (p[0] >= p[1]) & (p[1] >= p[2]) & (p[2] >= 0) & (p[0] + p[1] + p[2] <= 1 + 1e-9)
+    return j.groupBy("o_orderkey").agg(
+        F.count(F.lit(1)).alias("n_codes"),
+        ((F.count_distinct("code") == 3) & (F.count("known") == 3)).alias("distinct_known_codes"),
+        falling.alias("falling_probabilities"),
+    )
 
 
 # ------------------------------------------------------- enrichment (J14)

@@ -131,6 +131,18 @@ def row_uuid(spark, sf):
     return o.select("o_orderkey", F.uuid().alias("_id"))
 
 
+@query(
+    "row_uuid_invariants",
+    "SELECT count(*) AS n_rows, count(*) AS n_ids, count(*) AS n_well_formed FROM orders",
+)
+def row_uuid_invariants(spark, sf):
+    """Every row has an id of its own, of the canonical form."""
+    form = "^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
+    return row_uuid(spark, sf).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("_id").alias("n_ids"), F.count_if(F.col("_id").rlike(form)).alias("n_well_formed")
+    )
+
+
 _TITLE_SQL = """
   p AS (SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host,
                regexp_extract(url, '/([^/?#]*)([?#].*)?$', 1) AS seg,
@@ -310,11 +322,9 @@ def decode_binary(spark, sf):
        FROM lineitem WHERE l_returnflag IN ('R', 'A') GROUP BY 1""",
 )
 def split_by_code(spark, sf):
-    li = Tables(spark, sf).lineitem.select("l_orderkey", "l_returnflag")
-    cc = li.filter(F.col("l_returnflag") == "R").withColumn("branch", F.lit("CC"))
-    sb = li.filter(F.col("l_returnflag") == "A").withColumn("branch", F.lit("SB"))
-    both = cc.unionByName(sb)
-    return both.groupBy("branch").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("l_orderkey").alias("n_orders"))
+    li = Tables(spark, sf).lineitem.select("l_orderkey", "l_returnflag").where(F.col("l_returnflag").isin("R", "A"))
+    branch = F.when(F.col("l_returnflag") == "R", "CC").otherwise("SB")  # one scan for both branches
+    return li.groupBy(branch.alias("branch")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("l_orderkey").alias("n_orders"))
 
 
 @query(
@@ -386,11 +396,9 @@ def in_list_filter(spark, sf):
 def optional_filter(spark, sf):
     """'ALL' disables the predicate; a concrete value filters."""
     e = Tables(spark, sf).events
-    a = e.filter(X.optional_filter({"event_type": "ALL"})).agg(F.count(F.lit(1)).alias("n")).select(F.lit("ALL").alias("requested"), "n")
-    p = e.filter(X.optional_filter({"event_type": "purchase"})).agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("purchase").alias("requested"), "n"
-    )
-    return a.unionByName(p)
+    asked = ("ALL", "purchase")
+    counts = e.agg(*[F.count_if(X.optional_filter({"event_type": a})).alias(a) for a in asked])  # one scan
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(a).alias("requested"), F.col(a).alias("n")) for a in asked])).alias("r")).select("r.*")
 
 
 @query(
@@ -468,10 +476,9 @@ def anti_join_missing(spark, sf):
 )
 def copartitioned_join(spark, sf):
     t = Tables(spark, sf)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     li = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity")
     # the aggregate reuses the key partitioning: one exchange per side
-    j = J.copartitioned_join(t.orders.select("o_orderkey", "o_orderpriority"), li, "o_orderkey", n)
+    j = J.copartitioned_join(t.orders.select("o_orderkey", "o_orderpriority"), li, "o_orderkey")
     return j.groupBy("o_orderkey", "o_orderpriority").agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("qty")
     )

@@ -186,6 +186,25 @@ def test_validate_rules(spark):
     assert got == [[], ["enum:state", "required:family.spouse", "required:name"], []]
 
 
+def test_validate_rejects_unknown_keywords(spark):
+    df = spark.createDataFrame([("a",)], "name string")
+    for schema in ({"properties": {"name": {"pattern": "^b"}}}, {"maxProperties": 1}):
+        with pytest.raises(ValueError):
+            V.validate(df, schema)
+
+
+def test_id_range_batches_of_an_empty_table(spark):
+    rows, table = B.id_range_batches(spark.createDataFrame([], "k long"), "k", 10)
+    assert rows.count() == table.count() == 0
+
+
+def test_except_all_both_counts_copies_and_nulls(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None)], "k int, v string")
+    b = spark.createDataFrame([(1, "x"), (2, None), (3, "z"), (3, "z")], "k int, v string")
+    got = sorted(tuple(r) for r in J.except_all_both(a, b, ["k", "v"]).collect())
+    assert got == [(1, "x", "source_only"), (3, "z", "target_only"), (3, "z", "target_only")]
+
+
 def test_parse_with_errors_keeps_rows(spark):
     df = spark.createDataFrame([("2024-01-01",), ("bad",), (None,)], "d string")
     p = V.parse_with_errors(df, {"dd": ("d", F.try_to_timestamp("d", F.lit("yyyy-MM-dd")))})
