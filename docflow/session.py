@@ -77,9 +77,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a table in the shared folder and read it back: cuts the
-    lineage and survives the loss of executors."""
+    lineage and survives the loss of executors. Row groups are small, so that
+    tasks which unfold the rows (an index into postings) share a file."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", str(4 << 20)).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
