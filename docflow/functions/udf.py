@@ -12,25 +12,26 @@ from pyspark.sql import functions as F
 from docflow.functions.exprs import col_
 
 
-def decode_column(c: str | Column, fn: Callable[[bytes], str | None], return_type: str = "string") -> Column:
-    """Apply ``fn`` to each non-null value of a binary column in Arrow batches.
+def decode_column(c: str | Column, fn: Callable[[bytes], str | None]) -> Column:
+    """Struct (value, error) of ``fn`` applied to a binary column in Arrow batches.
 
     ``fn`` replaces an external per-row decoder process; it must be a pure,
-    picklable function. Exceptions become NULL so one bad value cannot fail
-    the task (pair with a NULL check to quarantine such rows).
+    picklable function. A value it fails on has a NULL value and the exception's
+    name as error, so one bad value neither fails the task nor is lost silently.
+    NULL input gives (NULL, NULL).
     """
 
-    def safe(v):
+    def one(v):
         if v is None:
-            return None
+            return None, None
         try:
-            return fn(v)
-        except Exception:  # noqa: BLE001 - quarantined as NULL by design
-            return None
+            return fn(v), None
+        except Exception as e:  # noqa: BLE001 - reported in the error field
+            return None, type(e).__name__
 
-    @F.pandas_udf(return_type)
-    def _decode(s: pd.Series) -> pd.Series:
-        return s.map(safe)
+    @F.pandas_udf("struct<value: string, error: string>")
+    def _decode(s: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([one(v) for v in s], columns=["value", "error"], dtype=object)
 
     return _decode(col_(c))
 

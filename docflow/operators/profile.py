@@ -5,8 +5,17 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _as_text(df: DataFrame, path: str) -> Column:
+    """The value at a dotted path as text; arrays and structs as JSON."""
+    kind = df.select(path).schema[0].dataType
+    if isinstance(kind, (T.ArrayType, T.StructType)):
+        return F.to_json(F.col(path), {"ignoreNullFields": "false"})
+    return F.col(path).cast("string")
 
 
 def field_value_profile(sources: Sequence[tuple[DataFrame, str, Sequence[str]]]) -> DataFrame:
@@ -15,10 +24,12 @@ def field_value_profile(sources: Sequence[tuple[DataFrame, str, Sequence[str]]])
     Each row is unpivoted to (field, value) pairs with ``inline`` and counted
     with a partial aggregate, so a field with few values ships few rows per
     task. NULL is a value of its own. Sort by ``n`` desc within field to read.
+    A field may be a dotted path; through an array of structs it gives the
+    array of the values, counted by its JSON text (NULL elements kept).
     """
     parts = []
     for df, prefix, fields in sources:
-        pairs = F.array(*[F.struct(F.lit(f"{prefix}.{f}").alias("field"), F.col(f).cast("string").alias("value")) for f in fields])
+        pairs = F.array(*[F.struct(F.lit(f"{prefix}.{f}").alias("field"), _as_text(df, f).alias("value")) for f in fields])
         parts.append(df.select(F.inline(pairs)))
     allp = reduce(lambda a, b: a.unionByName(b), parts)
     return allp.groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))

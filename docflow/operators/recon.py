@@ -58,15 +58,21 @@ def field_mismatches(
     return j.select(F.col("__k").alias(key), diffs.alias("mismatch_columns"), *[c for c in j.columns if c != "__k"])
 
 
-def two_sided_counts(source: DataFrame, target: DataFrame, cols: list[str]) -> DataFrame:
+def two_sided_counts(source: DataFrame, target: DataFrame, cols: list[str] | Mapping[str, tuple[str, str]]) -> DataFrame:
     """Multiset difference on key columns as counts: rows (value combinations)
     whose multiplicity differs between the sides, with both multiplicities.
+    ``cols``: column names of both sides, or name -> (source path, target path),
+    where a path may lead into a struct.
 
     Each side is pre-aggregated (partial aggregation), then a null-safe full
     outer join compares the counts — a duplicated row on one side shows up.
     """
-    s = source.groupBy(*cols).agg(F.count(F.lit(1)).alias("source_count"))
-    t = target.groupBy(*cols).agg(F.count(F.lit(1)).alias("target_count"))
+    paths = cols if isinstance(cols, Mapping) else {c: (c, c) for c in cols}
+    cols = list(paths)
+    s = source.select(*[F.col(a).alias(c) for c, (a, _) in paths.items()])
+    t = target.select(*[F.col(b).alias(c) for c, (_, b) in paths.items()])
+    s = s.groupBy(*cols).agg(F.count(F.lit(1)).alias("source_count"))
+    t = t.groupBy(*cols).agg(F.count(F.lit(1)).alias("target_count"))
     s = s.select(*[F.col(c).alias(f"s__{c}") for c in cols], "source_count")
     t = t.select(*[F.col(c).alias(f"t__{c}") for c in cols], "target_count")
     cond = None
@@ -185,6 +191,48 @@ def retrieval_validation(ids: DataFrame, listing: DataFrame, id_col: str, path_c
     )
 
 
+def batch_results(pending: DataFrame, per: DataFrame, checked: DataFrame, finished: Column) -> DataFrame:
+    """Ledger rows of the pending batches, ready for one upsert by batch_id.
+
+    ``per``: ``reconcile_by_batch``; ``checked``: (batch_id, id, status) of the
+    retrieval sample, bounded per batch; ``finished``: completion time of a batch.
+    A batch with an empty side is NOT MATCHED and its validation FAILURE.
+    """
+    ok = F.sum(F.when(F.col("status") == "SUCCESS", 1).otherwise(0))
+    sampled = checked.groupBy("batch_id").agg(F.count(F.lit(1)).alias("sampled"), ok.alias("retrieved"))
+    results = status_string(checked, "batch_id", "id", "status")
+    j = pending.join(per, "batch_id", "left").join(sampled, "batch_id", "left").join(results, "batch_id", "left")
+    check, failed = decide(F.col("source_count"), F.col("target_count"), F.col("mismatched"))
+    counts = ("source_count", "target_count", "mismatched", "missing", "sampled", "retrieved")
+    return j.select(
+        "batch_id",
+        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts],
+        check.alias("reconcile_check"),
+        F.coalesce(failed, F.col("validation_results")).alias("retrieval_validation"),
+        finished.alias("reconcile_dttm"),
+    )
+
+
+def reconciliation_report(ledger: DataFrame, started: Column) -> DataFrame:
+    """The key figures of the reconciled batches of a ledger, as one row: records
+    processed, match and mismatch rate, share of sampled objects that could be
+    retrieved, mean seconds from ``started`` to completion. Rates over nothing are NULL."""
+    done = ledger.where(F.col("reconcile_check").isNotNull())
+    seconds = (F.col("reconcile_dttm") - started).cast("interval second").cast("decimal(20,6)")
+
+    def rate(value: str) -> Column:
+        return F.round(F.avg(F.when(F.col("reconcile_check") == value, 1.0).otherwise(0.0)), 6)
+
+    return done.agg(
+        F.count(F.lit(1)).alias("batches"),
+        F.sum(F.greatest("source_count", "target_count")).alias("total_processed"),
+        rate(MATCHED).alias("match_rate"),
+        rate(MISMATCHED).alias("mismatch_rate"),
+        F.round(F.try_divide(F.sum("retrieved"), F.sum("sampled")), 6).alias("validation_success_rate"),
+        F.round(F.avg(seconds), 3).cast("double").alias("avg_reconcile_seconds"),
+    )
+
+
 def status_string(df: DataFrame, group: str, id_col: str, status_col: str, sep: str = ":") -> DataFrame:
     """Comma-joined ``id<sep>STATUS`` per group, sorted (use on bounded groups,
     e.g. a retrieval sample of at most 100 ids per batch)."""

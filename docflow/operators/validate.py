@@ -123,6 +123,67 @@ def validate(df: DataFrame, schema: Mapping, out: str = "violations") -> DataFra
     return df.withColumn(out, arr)
 
 
+# Kinds that ``schema_of_variant`` reports for the values of a JSON text.
+_JSON_KINDS = {
+    "int": r"BIGINT",
+    "long": r"BIGINT",
+    "double": r"(BIGINT|DOUBLE|DECIMAL.*)",
+    "decimal": r"(BIGINT|DECIMAL.*)",
+    "string": r"STRING",
+    "bool": r"BOOLEAN",
+    "object": r"OBJECT.*",
+    "array": r"ARRAY.*",
+}
+_JSON_KEYWORDS = {"bsonType", "enum", "required", "properties", "description"}
+
+
+def _json_rules(doc: Column, spec: Mapping, path: str) -> list[tuple[str, Column]]:
+    unknown = set(spec) - _JSON_KEYWORDS
+    if unknown:
+        raise ValueError(f"unsupported rule keywords at {path or '$'}: {sorted(unknown)}")
+
+    def at(p: str) -> Column:
+        return F.try_variant_get(doc, "$" + "".join(f"['{k}']" for k in p.split(".") if k), "variant")
+
+    node = at(path)
+    present = node.isNotNull() & ~F.is_variant_null(node)
+    out = []
+    if "bsonType" in spec:
+        names = spec["bsonType"] if isinstance(spec["bsonType"], (list, tuple)) else [spec["bsonType"]]
+        bad = sorted(set(names) - set(_JSON_KINDS))
+        if bad:
+            raise ValueError(f"unsupported bsonType {bad}")
+        kinds = "|".join(_JSON_KINDS[n] for n in names)
+        out.append((f"type:{path or '$'}", present & ~F.schema_of_variant(node).rlike(f"^({kinds})$")))
+    if "enum" in spec:
+        # a value that is no text is left to the type rule
+        text = F.when(F.schema_of_variant(node) == "STRING", F.try_variant_get(node, "$", "string"))
+        out.append((f"enum:{path}", F.coalesce(~text.isin(*spec["enum"]), F.lit(False))))
+    is_object = F.schema_of_variant(node).startswith("OBJECT")
+    for req in spec.get("required", []):
+        sub = f"{path}.{req}" if path else req
+        child = at(sub)
+        out.append((f"required:{sub}", present & is_object & (child.isNull() | F.is_variant_null(child))))
+    for name, child_spec in spec.get("properties", {}).items():
+        out += _json_rules(doc, child_spec, f"{path}.{name}" if path else name)
+    return out
+
+
+def validate_json(df: DataFrame, json_col: str, schema: Mapping, out: str = "violations") -> DataFrame:
+    """Like ``validate`` for documents held as JSON text: types are those of each
+    row's own values, not of a frame schema. Adds ``violations``; text that is no
+    JSON breaks ``json:$``, a NULL text ``required:$``. Fields that are JSON null
+    count as missing. Rules on array items are not supported here and raise."""
+    doc = F.col("__doc")
+    rules = _json_rules(doc, schema, "")
+    checks = [
+        F.when(F.col(json_col).isNull(), F.lit("required:$")),
+        F.when(F.col(json_col).isNotNull() & doc.isNull(), F.lit("json:$")),
+        *[F.when(rc, F.lit(rn)) for rn, rc in rules],
+    ]
+    return df.withColumn("__doc", F.try_parse_json(json_col)).withColumn(out, F.array_compact(F.array(*checks))).drop("__doc")
+
+
 def validation_split(validated: DataFrame, col: str = "violations") -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) — rejected rows keep their violation list (quarantine)."""
     ok = F.size(F.col(col)) == 0

@@ -9,6 +9,7 @@ from docflow.functions.exprs import elem_match as elem_match_expr
 from docflow.functions.exprs import ne_or_missing as ne_expr
 from docflow.functions.exprs import ne_or_missing_array
 from docflow.operators import nesting as N
+from docflow.operators import profile as P
 from docflow.operators import validate as V
 from docflow.plans.bindings import DOCS_SQL, order_documents
 from docflow.plans.registry import query
@@ -149,6 +150,43 @@ def validate_documents(spark, sf):
     )
 
 
+# Rule set of the JSON documents below (fixed values).
+JSON_SCHEMA = {
+    "bsonType": "object",
+    "required": ["status", "owner"],
+    "properties": {
+        "status": {"bsonType": "string", "enum": ["F", "O"]},
+        "amount": {"bsonType": ["int", "long"]},
+        "owner": {"bsonType": "object", "required": ["ref"], "properties": {"ref": {"bsonType": "string"}}},
+    },
+}
+
+
+@query(
+    "validate_json_values",
+    """WITH o AS (SELECT o_orderkey AS k, o_orderstatus AS s FROM orders)
+       SELECT k AS doc_id, array_to_string(list_sort(list_filter(CASE WHEN k % 47 = 0 THEN ['required:$'] WHEN k % 43 = 0 THEN ['json:$'] ELSE [
+           CASE WHEN k % 31 = 0 THEN 'type:status' WHEN s NOT IN ('F', 'O') THEN 'enum:status' END,
+           CASE WHEN k % 29 = 0 THEN 'type:amount' END,
+           CASE WHEN k % 37 = 0 THEN 'required:owner' WHEN k % 41 = 0 THEN 'required:owner.ref' WHEN k % 11 = 0 THEN 'type:owner.ref' END
+         ] END, lambda x: x IS NOT NULL)), ',') AS violations
+       FROM o""",
+)
+def validate_json_values(spark, sf):
+    """Per-value type, enum and presence rules on documents held as JSON text, with
+    malformed, missing and wrongly typed values by key arithmetic over all orders."""
+    k = F.col("o_orderkey")
+    status = F.when(k % 31 == 0, F.lit("7")).otherwise(F.concat(F.lit('"'), "o_orderstatus", F.lit('"')))
+    amount = F.when(k % 29 == 0, F.lit('"n/a"')).otherwise(F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string"))
+    ref = F.when(k % 41 == 0, F.lit("null")).when(k % 11 == 0, F.col("o_custkey").cast("string")).otherwise(F.concat(F.lit('"c'), F.col("o_custkey").cast("string"), F.lit('"')))
+    owner = F.when(k % 37 == 0, F.lit("")).otherwise(F.concat(F.lit(',"owner":{"ref":'), ref, F.lit("}")))
+    body = F.concat(F.lit('{"status":'), status, F.lit(',"amount":'), amount, owner, F.lit("}"))
+    body = F.when(k % 47 == 0, F.lit(None)).when(k % 43 == 0, F.lit('{"status": ')).otherwise(body)
+    docs = Tables(spark, sf).orders.select(k.alias("doc_id"), body.alias("body"))
+    v = V.validate_json(docs, "body", JSON_SCHEMA)
+    return v.select("doc_id", F.array_join(F.sort_array("violations"), ",").alias("violations"))
+
+
 @query(
     "validation_split",
     f"""{_VIOL_SQL} SELECT CASE WHEN len(viol) = 0 THEN 'accepted' ELSE 'rejected' END AS outcome, count(*) AS n
@@ -220,6 +258,23 @@ def _assembled(spark, sf):
     )
 
 
+@query(
+    "nested_value_profile",
+    f"""{W}, p AS (
+         SELECT unnest([{{'field': 'document.businessDocumentStatus', 'value': bstatus}},
+                        {{'field': 'document.migrationHistory.migratedBy', 'value': CASE WHEN mh_null THEN NULL ELSE migrated_by END}},
+                        {{'field': 'document.bankDocument.tenants.domain',
+                          'value': CASE tkind WHEN 'null' THEN NULL WHEN 'empty' THEN '[]'
+                                   ELSE CAST(to_json([seg, nat]) AS VARCHAR) END}}], recursive := true) FROM docs)
+       SELECT field, value, count(*) AS n FROM p GROUP BY 1, 2""",
+)
+def nested_value_profile(spark, sf):
+    """Value frequencies at dotted paths of the nested documents, also through an array."""
+    d = order_documents(Tables(spark, sf))
+    paths = ["businessDocumentStatus", "migrationHistory.migratedBy", "bankDocument.tenants.domain"]
+    return P.field_value_profile([(d, "document", paths)]).select("field", "value", "n")
+
+
 @query(
     "collect_children",
     """SELECT l_orderkey AS o_orderkey, count(*) AS n_children,

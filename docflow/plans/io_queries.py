@@ -168,9 +168,14 @@ def scan_time_window(spark, sf):
 
 @query(
     "pandas_decode",
-    "SELECT c_custkey, c_name AS decoded FROM customer",
+    """SELECT c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN c_name END AS decoded,
+              CASE WHEN c_custkey % 7 = 0 THEN 'UnicodeDecodeError' END AS error FROM customer""",
 )
 def pandas_decode(spark, sf):
-    """Binary column decoded by a user-supplied Python function in Arrow batches."""
-    c = Tables(spark, sf).customer.select("c_custkey", F.encode("c_name", "UTF-8").alias("blob"))
-    return c.select("c_custkey", decode_column("blob", utf8_decode).alias("decoded"))
+    """Binary column decoded by a user-supplied Python function in Arrow batches;
+    every seventh value is cut within a character and is reported as an error."""
+    blob = F.encode("c_name", "UTF-8")
+    broken = F.concat(blob, F.unhex(F.lit("E2")))
+    c = Tables(spark, sf).customer.select("c_custkey", F.when(F.col("c_custkey") % 7 == 0, broken).otherwise(blob).alias("blob"))
+    d = c.select("c_custkey", decode_column("blob", utf8_decode).alias("d"))
+    return d.select("c_custkey", F.col("d.value").alias("decoded"), F.col("d.error").alias("error"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docflow.operators import batches as B
 from docflow.operators import joins as J
 from docflow.operators import recon as R
+from docflow.operators import upsert as U
 from docflow.plans.batching import _LEDGER_SQL, monthly_ledger
 from docflow.plans.bindings import LISTING_SQL, TARGET_SQL, object_listing, target_orders
 from docflow.plans.registry import query
@@ -103,6 +104,53 @@ def recon_two_sided(spark, sf):
     return R.two_sided_counts(s, t, _KEY_COLS)
 
 
+_NESTED_KEYS = {
+    "domain": ("c_mktsegment", "owner.domain"),
+    "division": ("n_name", "owner.division"),
+    "subdivision": ("o_orderstatus", "owner.subdivision"),
+    "cust_ref_key": ("o_orderpriority", "customerRef.name"),
+    "cust_ref_value": ("o_custkey", "customerRef.value"),
+    "ext_ref_key": ("o_day", "externalRef.name"),
+    "ext_ref_value": ("cents", "externalRef.value"),
+}
+
+
+@query(
+    "recon_nested_keys",
+    f"""WITH {TARGET_SQL},
+        own AS (SELECT c_custkey, c_mktsegment, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey),
+        s AS (SELECT c_mktsegment AS domain, n_name AS division, o_orderstatus AS subdivision, o_orderpriority AS cust_ref_key,
+                     o_custkey AS cust_ref_value, strftime(o_orderdate, '%Y-%m-%d') AS ext_ref_key,
+                     CAST(round(o_totalprice * 100) AS BIGINT) AS ext_ref_value, count(*) AS n
+              FROM orders LEFT JOIN own ON o_custkey = c_custkey GROUP BY ALL),
+        t AS (SELECT c_mktsegment AS domain, n_name AS division, o_orderstatus AS subdivision, o_orderpriority AS cust_ref_key,
+                     o_custkey AS cust_ref_value, strftime(o_orderdate, '%Y-%m-%d') AS ext_ref_key,
+                     CAST(round(o_totalprice * 100) AS BIGINT) AS ext_ref_value, count(*) AS n
+              FROM tgt LEFT JOIN own ON o_custkey = c_custkey GROUP BY ALL),
+        u AS (SELECT * EXCLUDE (n), n AS sn, 0 AS tn FROM s UNION ALL SELECT * EXCLUDE (n), 0, n FROM t)
+        SELECT domain, division, subdivision, cust_ref_key, cust_ref_value, ext_ref_key, ext_ref_value,
+               CAST(sum(sn) AS BIGINT) AS source_count, CAST(sum(tn) AS BIGINT) AS target_count
+        FROM u GROUP BY ALL HAVING sum(sn) <> sum(tn)""",
+)
+def recon_nested_keys(spark, sf):
+    """Seven key columns, flat on the source side and inside structs on the target side."""
+    t = Tables(spark, sf)
+    own = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select("c_custkey", "c_mktsegment", "n_name")
+
+    def flat(orders):
+        return orders.join(own, F.col("o_custkey") == F.col("c_custkey"), "left").select(
+            "c_mktsegment", "n_name", "o_orderstatus", "o_orderpriority", "o_custkey",
+            F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_day"), F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"),
+        )
+
+    nested = flat(target_orders(t)).select(
+        F.struct(F.col("c_mktsegment").alias("domain"), F.col("n_name").alias("division"), F.col("o_orderstatus").alias("subdivision")).alias("owner"),
+        F.struct(F.col("o_orderpriority").alias("name"), F.col("o_custkey").alias("value")).alias("customerRef"),
+        F.struct(F.col("o_day").alias("name"), F.col("cents").alias("value")).alias("externalRef"),
+    )
+    return R.two_sided_counts(flat(t.orders), nested, _NESTED_KEYS)
+
+
 # ------------------------------------------------------------ per batch
 
 _BATCH_SQL = f"""WITH {TARGET_SQL},
@@ -256,6 +304,93 @@ def retrieval_by_replica(spark, sf):
     return R.retrieval_validation(t.documents.select("doc_id"), object_listing(t), "doc_id")
 
 
+# -------------------------------------------- ledger write-back and report
+
+# Objects of the orders: absent, empty or present by key arithmetic. A batch is
+# finished one second after its end per source record.
+_RESULTS_SQL = f"""WITH {_LEDGER_SQL}, {TARGET_SQL},
+  s AS (SELECT strftime(o_orderdate, '%Y%m') AS batch_id, * FROM orders),
+  t AS (SELECT strftime(o_orderdate, '%Y%m') AS batch_id, * FROM tgt),
+  j AS (SELECT coalesce(s.batch_id, t.batch_id) AS batch_id, s.o_orderkey AS sk, t.o_orderkey AS tk,
+               (s.o_orderstatus IS DISTINCT FROM t.o_orderstatus OR s.o_orderpriority IS DISTINCT FROM t.o_orderpriority
+                OR s.o_custkey IS DISTINCT FROM t.o_custkey OR s.o_totalprice IS DISTINCT FROM t.o_totalprice) AS diff
+        FROM s FULL OUTER JOIN t ON s.batch_id = t.batch_id AND s.o_orderkey = t.o_orderkey),
+  per AS (SELECT batch_id, count(sk) AS source_count, count(tk) AS target_count,
+                 count(*) FILTER (sk IS NOT NULL AND tk IS NOT NULL AND diff) AS mismatched, count(*) FILTER (tk IS NULL) AS missing
+          FROM j GROUP BY 1),
+  smp AS (SELECT batch_id, o_orderkey FROM (
+            SELECT batch_id, o_orderkey, row_number() OVER (PARTITION BY batch_id
+                     ORDER BY CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8)) AS BIGINT), o_orderkey) AS rn
+            FROM t) WHERE rn <= {SAMPLE}),
+  chk AS (SELECT smp.batch_id, smp.o_orderkey, o.o_orderkey IS NOT NULL AND o.o_orderkey % 13 <> 0 AND o.o_orderkey % 17 <> 0 AS ok
+          FROM smp LEFT JOIN orders o ON smp.o_orderkey = o.o_orderkey),
+  val AS (SELECT batch_id, count(*) AS sampled, count(*) FILTER (ok) AS retrieved,
+                 string_agg(CAST(o_orderkey AS VARCHAR) || ':' || CASE WHEN ok THEN 'SUCCESS' ELSE 'FAILURE' END, ','
+                            ORDER BY CAST(o_orderkey AS VARCHAR) || ':' || CASE WHEN ok THEN 'SUCCESS' ELSE 'FAILURE' END) AS txt
+          FROM chk GROUP BY 1),
+  res AS (SELECT l.batch_id, l.batch_end, coalesce(source_count, 0) AS source_count, coalesce(target_count, 0) AS target_count,
+                 coalesce(mismatched, 0) AS mismatched, coalesce(missing, 0) AS missing,
+                 coalesce(sampled, 0) AS sampled, coalesce(retrieved, 0) AS retrieved,
+                 CASE WHEN coalesce(source_count, 0) = 0 OR coalesce(target_count, 0) = 0 THEN 'NOT MATCHED'
+                      WHEN mismatched = 0 THEN 'MATCHED' ELSE 'MISMATCHED' END AS reconcile_check,
+                 CASE WHEN coalesce(source_count, 0) = 0 OR coalesce(target_count, 0) = 0 THEN 'FAILURE' ELSE txt END AS retrieval_validation,
+                 l.batch_end + to_seconds(coalesce(source_count, 0)) AS reconcile_dttm
+          FROM ledger l LEFT JOIN per USING (batch_id) LEFT JOIN val USING (batch_id) WHERE l.reconcile_dttm IS NULL)"""
+
+
+def _written_back(spark, sf):
+    """The ledger after one upsert of the results of all pending batches."""
+    t = Tables(spark, sf)
+    ledger = monthly_ledger(spark, sf)
+    pending = B.pending_batches(ledger)
+    month = F.date_format("o_orderdate", "yyyyMM").alias("batch_id")
+    todo = pending.select("batch_id")
+    s, tg = (df.select("*", month).join(todo, "batch_id", "left_semi") for df in (t.orders, target_orders(t)))
+    per = R.reconcile_by_batch(s, tg, "o_orderkey", "batch_id", FIELDS)
+    order = F.struct(F.conv(F.substring(F.md5(F.col("id").cast("string")), 1, 8), 16, 10).cast("bigint").alias("h"), "id")
+    sample = R.sample_per_group(tg.select("batch_id", F.col("o_orderkey").alias("id")), "batch_id", order, SAMPLE)
+    k = F.col("o_orderkey")
+    listing = t.orders.where(k % 13 != 0).select(k.alias("guid"), F.lit(0).alias("server"), F.when(k % 17 == 0, 0).otherwise(1).alias("length"))
+    checked = R.retrieval_validation(sample, listing, "id")
+    finished = F.timestamp_add("SECOND", F.coalesce("source_count", F.lit(0)), F.col("batch_end"))
+    return U.upsert(ledger, R.batch_results(pending, per, checked, finished), "batch_id")
+
+
+@query(
+    "ledger_write_back",
+    f"""{_RESULTS_SQL}
+        SELECT l.batch_id, strftime(coalesce(r.reconcile_dttm, l.reconcile_dttm), '%Y-%m-%d %H:%M:%S') AS reconcile_dttm,
+               CAST(r.source_count AS VARCHAR) AS source_count, CAST(r.target_count AS VARCHAR) AS target_count,
+               r.reconcile_check, r.retrieval_validation
+        FROM ledger l LEFT JOIN res r USING (batch_id)""",
+)
+def ledger_write_back(spark, sf):
+    """Counts, decision, retrieval results and completion time of every pending batch in one upsert."""
+    return _written_back(spark, sf).select(
+        "batch_id",
+        F.date_format("reconcile_dttm", "yyyy-MM-dd HH:mm:ss").alias("reconcile_dttm"),
+        F.col("source_count").cast("string").alias("source_count"),
+        F.col("target_count").cast("string").alias("target_count"),
+        "reconcile_check",
+        "retrieval_validation",
+    )
+
+
+@query(
+    "recon_report",
+    f"""{_RESULTS_SQL}
+        SELECT count(*) AS batches, CAST(sum(greatest(source_count, target_count)) AS BIGINT) AS total_processed,
+               round(avg(CASE WHEN reconcile_check = 'MATCHED' THEN 1.0 ELSE 0.0 END), 6) AS match_rate,
+               round(avg(CASE WHEN reconcile_check = 'MISMATCHED' THEN 1.0 ELSE 0.0 END), 6) AS mismatch_rate,
+               round(sum(retrieved) / sum(sampled), 6) AS validation_success_rate,
+               round(avg(epoch_us(reconcile_dttm) - epoch_us(batch_end)) / 1000000, 3) AS avg_reconcile_seconds
+        FROM res""",
+)
+def recon_report(spark, sf):
+    """Key figures over the written-back ledger, validation rate and mean time included."""
+    return R.reconciliation_report(_written_back(spark, sf), F.col("batch_end"))
+
+
 @query(
     "lookup_by_uid",
     """WITH ids AS (SELECT doc_id AS uid FROM labels UNION ALL SELECT doc_id + 1000000000 FROM labels)
