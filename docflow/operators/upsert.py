@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docflow.session import written
+
 
 def upsert(target: DataFrame, updates: DataFrame, key: str | list[str], order_col: str | None = None) -> DataFrame:
     """Apply ``updates`` to ``target`` by key (update matching rows, insert new keys).
@@ -48,3 +50,27 @@ def write_upsert(spark, target_path: str, updates: DataFrame, key, out_path: str
     merged = upsert(spark.read.format(fmt).load(target_path), updates, key)
     merged.write.mode("errorifexists").format(fmt).save(out_path)
     return out_path
+
+
+def key_range_part(key: str | Column, low: int, width: int) -> Column:
+    """Number of the key range of ``width`` keys that holds ``key``, counted from ``low``."""
+    return F.floor((F.col(key) if isinstance(key, str) else key) / F.lit(width) - F.lit(low / width)).cast("int")
+
+
+def write_upsert_touched(spark: SparkSession, path: str, updates: DataFrame, key: str, part: Column, part_col: str = "part", order_col: str | None = None) -> int:
+    """Upsert into the Parquet table at ``path``, partitioned by the int column
+    ``part_col`` = ``part`` of the key, reading and rewriting only the partitions
+    that hold an update key; returns their number. The merged rows are written to
+    the shared folder first, so a write that fails can be repeated from there.
+    Readers should not run meanwhile: partitions are swapped one by one. A NULL
+    key in the updates is an error; without updates nothing is written."""
+    known = F.when(part.isNull(), F.raise_error(F.lit("update key is null"))).otherwise(part)
+    updates = written(updates.withColumn(part_col, known.cast("int")), "upsert-updates")
+    # at most one number per partition of the table
+    touched = sorted(r[0] for r in updates.select(part_col).distinct().collect())
+    if not touched:
+        return 0
+    old = spark.read.parquet(path).where(F.col(part_col).isin(touched))
+    merged = written(upsert(old, updates, [part_col, key], order_col), "upsert-merged")
+    merged.hint("rebalance", part_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path)
+    return len(touched)

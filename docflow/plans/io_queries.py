@@ -156,6 +156,31 @@ def keyed_upsert(spark, sf):
     return spark.read.parquet(new)
 
 
+KEY_RANGES = 32  # partitions of the table that is updated in place
+
+
+@query(
+    "keyed_upsert_touched",
+    """WITH m AS (SELECT max(o_orderkey) AS hi FROM orders),
+            u AS (SELECT o_orderkey, 'X' AS o_orderstatus FROM orders, m WHERE o_orderkey > hi - hi // 10 AND o_orderkey % 3 = 0
+                  UNION ALL SELECT o_orderkey + hi, 'N' FROM orders, m WHERE o_orderkey <= hi // 50)
+       SELECT coalesce(t.o_orderkey, u.o_orderkey) AS o_orderkey, coalesce(u.o_orderstatus, t.o_orderstatus) AS o_orderstatus, t.o_totalprice
+       FROM orders t FULL OUTER JOIN u ON t.o_orderkey = u.o_orderkey""",
+)
+def keyed_upsert_touched(spark, sf):
+    """Updates of the newest keys and inserts after them; only their key ranges are rewritten."""
+    o = Tables(spark, sf).orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    lo, hi = o.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    part = U.key_range_part("o_orderkey", lo or 0, max(1, ((hi or 0) - (lo or 0)) // KEY_RANGES))
+    path = scratch_path(spark, "upsert-ranges")
+    o.withColumn("part", part).hint("rebalance", "part").write.partitionBy("part").parquet(path)
+    k, hi = F.col("o_orderkey"), hi or 0
+    upd = o.where((k > hi - hi // 10) & (k % 3 == 0)).select("o_orderkey", F.lit("X").alias("o_orderstatus"))
+    new = o.where(k <= hi // 50).select((k + hi).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"))
+    U.write_upsert_touched(spark, path, upd.unionByName(new), "o_orderkey", part)
+    return spark.read.schema("o_orderkey long, o_orderstatus string, o_totalprice double, part int").parquet(path).drop("part")
+
+
 @query(
     "scan_time_window",
     """SELECT o_orderkey, o_orderstatus FROM orders

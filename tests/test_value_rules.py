@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from docflow.functions.udf import decode_column, utf8_decode
 from docflow.operators import profile as P
 from docflow.operators import recon as R
+from docflow.operators import upsert as U
 from docflow.operators import validate as V
 
 SCHEMA = {
@@ -98,3 +99,27 @@ def test_report_of_an_empty_ledger_has_null_rates(spark):
     pending, res = _results(spark, [], [])
     rep = R.reconciliation_report(res.join(pending, "batch_id").where("false"), F.col("batch_end")).first()
     assert tuple(rep) == (0, None, None, None, None, None)
+
+
+def test_upsert_rewrites_only_touched_ranges(spark, tmp_path):
+    path = str(tmp_path / "t")
+    part = U.key_range_part("k", 0, 10)
+    spark.createDataFrame([(1, "a"), (11, "b"), (12, "c"), (21, "d")], "k long, v string").withColumn("part", part).write.partitionBy("part").parquet(path)
+
+    def files(p):
+        return sorted(f.name for f in (tmp_path / "t" / f"part={p}").glob("*.parquet"))
+
+    before = {p: files(p) for p in (0, 1, 2)}
+    upd = spark.createDataFrame([(11, None), (15, "n"), (35, "m"), (-5, "z")], "k long, v string")
+    for _ in range(2):  # the same updates again change nothing
+        assert U.write_upsert_touched(spark, path, upd, "k", part) == 3
+        got = {r["k"]: (r["v"], r["part"]) for r in spark.read.parquet(path).collect()}
+        assert got == {1: ("a", 0), 11: (None, 1), 12: ("c", 1), 15: ("n", 1), 21: ("d", 2), 35: ("m", 3), -5: ("z", -1)}
+    assert (files(0), files(2)) == (before[0], before[2])
+    assert files(1) != before[1]
+    assert U.write_upsert_touched(spark, path, upd.limit(0), "k", part) == 0
+    with pytest.raises(Exception, match="update key is null"):
+        U.write_upsert_touched(spark, path, spark.createDataFrame([(None, "q")], "k long, v string"), "k", part)
+    with pytest.raises(Exception, match="update keys repeat"):
+        U.write_upsert_touched(spark, path, upd.union(upd), "k", part)
+    assert spark.read.parquet(path).count() == 7

@@ -12,7 +12,7 @@ SPECIAL = {
     "2.16": "Realised as Column builders in `docflow/functions/exprs.py` and the operator modules; "
     "every family in the checklist maps to built-in Spark SQL functions (no Python UDF).",
     "2.17": "UD1 / UD3 are replaced by native expressions (`split_title`, `lookup`, `normalise_id`, "
-    "`parse_with_errors`); UD2 is `docflow.functions.udf.decode_column` (Arrow-batched pandas UDF, key "
+    "`parse_with_errors`); UD2 is `docflow.functions.udf.decode_column` (Arrow-batched pandas UDF with value and error, key "
     "`pandas_decode`); UD4: none, as in the reference.",
 }
 
