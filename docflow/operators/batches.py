@@ -41,6 +41,12 @@ def global_row_number(df: DataFrame, order: list[str], n_partitions: int | None
     )
 
 
+def number_batches(df: DataFrame, order: list[str], size: int, n_partitions: int | None = None) -> DataFrame:
+    """``rn`` by global order and ``batch_no``: batch k holds ``(k-1)*size < rn <= k*size``."""
+    numbered = global_row_number(df, order, n_partitions)
+    return numbered.withColumn("batch_no", F.ceil(F.col("rn") / F.lit(size)).cast("bigint"))
+
+
 def row_batches(
     df: DataFrame,
     order: list[str],
@@ -53,8 +59,7 @@ def row_batches(
     """Cut rows into batches of ``size`` by global order: batch k holds
     ``(k-1)*size < rn <= k*size`` (ceil; no empty trailing batch). Each row is
     stamped with batch id, the batch's min / max ``ts`` and a create date."""
-    numbered = global_row_number(df, order, n_partitions)
-    numbered = numbered.withColumn("batch_no", F.ceil(F.col("rn") / F.lit(size)).cast("bigint"))
+    numbered = number_batches(df, order, size, n_partitions)
     stats = numbered.groupBy("batch_no").agg(
         F.min(ts).alias("batch_start_date"), F.max(ts).alias("batch_end_date"), F.count(F.lit(1)).alias("batch_size")
     )

@@ -66,9 +66,10 @@ def collect_children(
 ) -> DataFrame:
     """Child rows -> one array of structs per parent key (sorted, deterministic).
 
-    The grouping shuffles child rows on ``key``; AQE splits oversized partitions.
-    A single parent holding a huge share of all children necessarily produces a
-    huge document: that is the document model, not an artefact of the plan.
+    The grouping shuffles child rows on ``key``, and a parent is one row in one
+    task: a parent holding a huge share of all children makes a huge document.
+    That is the document model; where only the presence or the number of children
+    matters, use ``flag_children`` or a plain aggregate instead.
     """
     s = F.struct(*[col_(c).alias(n) for n, c in fields.items()])
     return child.groupBy(key).agg(F.sort_array(F.collect_list(s)).alias(as_field))
@@ -93,6 +94,20 @@ def assemble_documents(
     return out
 
 
+def flag_children(main: DataFrame, key: str, children: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Main rows + one boolean per kind of child: does the row have any?
+
+    ``children``: flag name -> (child frame, child key column). Only distinct keys
+    are joined (partial aggregation), so a hot parent is one row and no child
+    array is built.
+    """
+    out = main
+    for flag, (child, ckey) in children.items():
+        keys = child.select(F.col(ckey).alias(key)).where(F.col(key).isNotNull()).distinct().withColumn(flag, F.lit(True))
+        out = out.join(keys, key, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    return out
+
+
 def unwind(df: DataFrame, arr: str, as_field: str, keep_empty: bool = False) -> DataFrame:
     """One row per array element (``$unwind``); empty/missing arrays are dropped
     unless ``keep_empty``."""

@@ -58,7 +58,8 @@ def row_batches(spark, sf):
         SELECT batch_no, batch_size, strftime(s, '%Y-%m-%d') AS from_date, strftime(e, '%Y-%m-%d') AS to_date FROM bs""",
 )
 def batch_ledger(spark, sf):
-    led = B.batch_ledger(_row_batches(spark, sf), "batch_no", "o_orderdate")
+    o = Tables(spark, sf).orders.select("o_orderkey", "o_orderdate")
+    led = B.batch_ledger(B.number_batches(o, ["o_orderdate", "o_orderkey"], BATCH), "batch_no", "o_orderdate")
     return led.select(
         "batch_no",
         "batch_size",

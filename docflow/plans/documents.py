@@ -242,22 +242,28 @@ def _child_fields():
     return {"domain": F.lit("ORDERS"), "name": F.col("l_returnflag"), "value": F.col("l_partkey").cast("string")}
 
 
-def _assembled(spark, sf):
+def _assembled(spark, sf, *fields: str):
+    """Orders with their child arrays (all of them, or the named ones)."""
     t = Tables(spark, sf)
+    children = {
+        "customerReferenceKeys": (t.lineitem, "l_orderkey", _child_fields()),
+        "externalReferenceKeys": (
+            t.lineitem.filter(F.col("l_linestatus") == "F"),
+            "l_orderkey",
+            {"domain": F.lit("EXT"), "name": F.col("l_linestatus"), "value": F.col("l_suppkey").cast("string")},
+        ),
+    }
     return N.assemble_documents(
         t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority"),
         "o_orderkey",
-        {
-            "customerReferenceKeys": (t.lineitem, "l_orderkey", _child_fields()),
-            "externalReferenceKeys": (
-                t.lineitem.filter(F.col("l_linestatus") == "F"),
-                "l_orderkey",
-                {"domain": F.lit("EXT"), "name": F.col("l_linestatus"), "value": F.col("l_suppkey").cast("string")},
-            ),
-        },
+        {k: v for k, v in children.items() if not fields or k in fields},
     )
 
 
+def _refs_text(field: str):
+    return F.array_join(F.transform(field, lambda x: F.concat_ws("/", x["domain"], x["name"], x["value"])), ",")
+
+
 @query(
     "nested_value_profile",
     f"""{W}, p AS (
@@ -293,9 +299,13 @@ def collect_children(spark, sf):
 
 @query(
     "assemble_documents",
-    """WITH c AS (SELECT l_orderkey, count(*) AS n, min(l_partkey) AS mn FROM lineitem GROUP BY 1),
-            e AS (SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1)
-       SELECT o.o_orderkey, o.o_orderstatus, coalesce(c.n, 0) AS n_customer_refs, coalesce(e.n, 0) AS n_external_refs
+    """WITH c AS (SELECT l_orderkey, count(*) AS n, string_agg('ORDERS/' || l_returnflag || '/' || CAST(l_partkey AS VARCHAR), ','
+                                                          ORDER BY l_returnflag, CAST(l_partkey AS VARCHAR)) AS refs
+                  FROM lineitem GROUP BY 1),
+            e AS (SELECT l_orderkey, count(*) AS n, string_agg('EXT/F/' || CAST(l_suppkey AS VARCHAR), ',' ORDER BY CAST(l_suppkey AS VARCHAR)) AS refs
+                  FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1)
+       SELECT o.o_orderkey, o.o_orderstatus, coalesce(c.n, 0) AS n_customer_refs, coalesce(e.n, 0) AS n_external_refs,
+              coalesce(c.refs, '') AS customer_refs, coalesce(e.refs, '') AS external_refs
        FROM orders o LEFT JOIN c ON o.o_orderkey = c.l_orderkey LEFT JOIN e ON o.o_orderkey = e.l_orderkey""",
 )
 def assemble_documents(spark, sf):
@@ -305,6 +315,8 @@ def assemble_documents(spark, sf):
         "o_orderstatus",
         F.size("customerReferenceKeys").cast("bigint").alias("n_customer_refs"),
         F.size("externalReferenceKeys").cast("bigint").alias("n_external_refs"),
+        _refs_text("customerReferenceKeys").alias("customer_refs"),
+        _refs_text("externalReferenceKeys").alias("external_refs"),
     )
 
 
@@ -319,12 +331,10 @@ def assemble_documents(spark, sf):
 )
 def left_join_chain(spark, sf):
     """main ⟕ ext ⟕ cust: parents without children survive both left joins."""
-    d = _assembled(spark, sf)
-    shape = (
-        F.when(F.size("customerReferenceKeys") == 0, "no_children")
-        .when(F.size("externalReferenceKeys") == 0, "customer_only")
-        .otherwise("both")
-    )
+    t = Tables(spark, sf)
+    flags = {"has_customer": (t.lineitem, "l_orderkey"), "has_external": (t.lineitem.filter(F.col("l_linestatus") == "F"), "l_orderkey")}
+    d = N.flag_children(t.orders.select("o_orderkey"), "o_orderkey", flags)
+    shape = F.when(~F.col("has_customer"), "no_children").when(~F.col("has_external"), "customer_only").otherwise("both")
     return d.groupBy(shape.alias("shape")).agg(F.count(F.lit(1)).alias("n_documents"))
 
 
@@ -333,7 +343,7 @@ def left_join_chain(spark, sf):
     """SELECT l_orderkey AS o_orderkey, l_returnflag AS name, l_partkey AS value FROM lineitem""",
 )
 def unwind(spark, sf):
-    d = _assembled(spark, sf)
+    d = _assembled(spark, sf, "customerReferenceKeys")
     u = N.unwind(d.select("o_orderkey", "customerReferenceKeys"), "customerReferenceKeys", "ref")
     return u.select("o_orderkey", F.col("ref.name").alias("name"), F.col("ref.value").cast("bigint").alias("value"))
 
@@ -344,7 +354,7 @@ def unwind(spark, sf):
        WHERE l_returnflag = 'R' GROUP BY 1 HAVING count(*) = 3""",
 )
 def children_having_count(spark, sf):
-    d = _assembled(spark, sf)
+    d = _assembled(spark, sf, "customerReferenceKeys")
     r = N.children_having_count(d, "customerReferenceKeys", lambda x: x["name"] == "R", 3)
     return r.select("o_orderkey", F.col("matching_children").cast("bigint").alias("matching_children"))
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docflow.functions.udf import decode_column, utf8_decode
+from docflow.operators import nesting as N
 from docflow.operators import profile as P
 from docflow.operators import recon as R
 from docflow.operators import upsert as U
@@ -123,3 +124,10 @@ def test_upsert_rewrites_only_touched_ranges(spark, tmp_path):
     with pytest.raises(Exception, match="update keys repeat"):
         U.write_upsert_touched(spark, path, upd.union(upd), "k", part)
     assert spark.read.parquet(path).count() == 7
+
+
+def test_child_flags(spark):
+    main = spark.createDataFrame([(1,), (2,), (3,), (None,)], "k int")
+    a = spark.createDataFrame([(1, "x"), (1, "y"), (None, "z")], "pk int, v string")
+    got = {r["k"]: (r["a"], r["b"]) for r in N.flag_children(main, "k", {"a": (a, "pk"), "b": (a.where("v = 'q'"), "pk")}).collect()}
+    assert got == {1: (True, False), 2: (False, False), 3: (False, False), None: (False, False)}
