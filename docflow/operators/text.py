@@ -230,7 +230,8 @@ def tfidf_top_k(index: DataFrame, queries: DataFrame, qid: str, qtext: str, k: i
     computed once; for a query only its shared terms change, so the norm is
     corrected on them.
 
-    Only postings of query terms leave the index. Texts and queries are cut into
+    The postings meet the vocabulary once, for the norms; only those of query
+    terms go on to the scoring. Texts and queries are cut into
     blocks by a hash of their ids; a group scores one block of texts against one
     block of queries and returns ``k`` rows per query, so no row per (query,
     text) ever exists. Rows of one id share a block. Only texts that share a
