@@ -10,7 +10,8 @@ where both windows leave room for a passage (an interval join on the distances
 to c), never with all the others; the hits of one document pair are merged over
 all functions. The texts of such pairs are then compared word by word: equal
 runs along the hit alignments are chained over short gaps, and a chain of
-``MIN_WORDS`` or more words whose shingles are 0.8 similar is reported.
+``MIN_WORDS`` or more words whose shingles are 0.8 similar is reported; of a
+chain that is less similar, the longest parts that are.
 
 Words are the stretches between ASCII white space, A-Z lower-cased.
 
@@ -131,38 +132,69 @@ def _runs(a: np.ndarray, b: np.ndarray, hits: np.ndarray) -> list[tuple[int, int
     return sorted(out)
 
 
+def _chains(runs: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
+    """Each run in one chain: behind the run that ends at most ``GAP`` before it in
+    both documents, whatever its alignment, and brings most equal shingles for
+    what is skipped. Where chains part, the one with most equal shingles goes on."""
+    equal, behind, near = [], [], []
+    for k, (x, y, n) in enumerate(runs):
+        near = [j for j in near if x - runs[j][0] - runs[j][2] <= GAP]
+        best = None
+        for j in near:
+            gap, other_gap = x - runs[j][0] - runs[j][2], y - runs[j][1] - runs[j][2]
+            if gap >= 0 and 0 <= other_gap <= GAP and (best is None or equal[j] - gap - other_gap > best[0]):
+                best = equal[j] - gap - other_gap, j
+        behind.append(best and best[1])
+        equal.append(n + (equal[best[1]] if best else 0))
+        near.append(k)
+    out, used = [], set()
+    for k in sorted(set(range(len(runs))) - set(behind), key=lambda k: -equal[k]):
+        chain = []
+        while k is not None and k not in used:
+            used.add(k)
+            chain.append(runs[k])
+            k = behind[k]
+        out.append(chain[::-1])
+    return out
+
+
+def _longest(chain: list[tuple[int, int, int]]) -> tuple[int, int]:
+    """The runs [i, j) of a chain that are 0.8 similar by their aligned shingles and
+    span most. Equal / (all of both - equal) >= 0.8 is a sum over runs and gaps: a
+    run adds 0.2 of its length, a gap takes 0.8 of its shingles on both sides."""
+    r = np.array(chain, dtype=np.int64)
+    ends = r[:, :2] + r[:, 2:]
+    gaps = (r[1:, :2] - ends[:-1]).sum(axis=1)
+    start = np.concatenate([[0], np.cumsum(r[:-1, 2] - 4 * gaps)])  # in fifths
+    most = np.maximum.accumulate((start + r[:, 2])[::-1])  # the highest end from each run on, last run first
+    last = len(r) - 1 - np.searchsorted(most, start)
+    i = int((ends[last, 0] - r[:, 0]).argmax())
+    return i, int(last[i]) + 1
+
+
 def passages(a: np.ndarray, b: np.ndarray, hits: np.ndarray) -> list[tuple[int, int, int, int, float]]:
     """(start, end, other start, other end, similarity) of the near-equal passages,
-    in words, from the shingles of two documents."""
-    found, chain = [], []
-
-    def close() -> None:
-        # a chain is kept whole if similar enough, else its longest run on its own
-        for part in (chain, [max(chain, key=lambda r: r[2])] if chain else []):
-            if not part:
-                return
-            s, os_ = part[0][0], part[0][1]
-            e, oe = part[-1][0] + part[-1][2], part[-1][1] + part[-1][2]
-            x, y = np.unique(a[s:e]), np.unique(b[os_:oe])
-            inter = len(np.intersect1d(x, y, assume_unique=True))
-            similarity = inter / max(1, len(x) + len(y) - inter)
-            if min(e - s, oe - os_) >= SPAN and similarity >= 0.8:
-                found.append((s, e + WIDTH - 1, os_, oe + WIDTH - 1, similarity))
-                return
-
-    for run in _runs(a, b, hits):
-        if chain:
-            last = chain[-1]
-            gap, other_gap = run[0] - last[0] - last[2], run[1] - last[1] - last[2]
-            if 0 <= gap <= GAP and 0 <= other_gap <= GAP:
-                chain.append(run)
-                continue
-            if gap < 0 and run[2] <= last[2]:
-                continue  # a shorter run beside the chain
-            close()
-        chain = [run]
-    close()
-    return found
+    in words, from the shingles of two documents. A chain that is not similar
+    enough is cut into its longest similar parts, so that every run of ``SPAN``
+    shingles is in one."""
+    found, todo = [], _chains(_runs(a, b, hits))
+    while todo:
+        part = todo.pop()
+        s, os_ = part[0][0], part[0][1]
+        e, oe = part[-1][0] + part[-1][2], part[-1][1] + part[-1][2]
+        if min(e - s, oe - os_) < SPAN:
+            continue
+        x, y = np.unique(a[s:e]), np.unique(b[os_:oe])
+        inter = len(np.intersect1d(x, y, assume_unique=True))
+        similarity = inter / max(1, len(x) + len(y) - inter)
+        if similarity >= 0.8:
+            found.append((s, e + WIDTH - 1, os_, oe + WIDTH - 1, similarity))
+            continue
+        i, j = _longest(part)
+        if (i, j) == (0, len(part)):  # similar but for repeated shingles: cut at the widest gap
+            j = 1 + max(range(len(part) - 1), key=lambda k: part[k + 1][0] + part[k + 1][1] - part[k][0] - part[k][1] - 2 * part[k][2])
+        todo += [p for p in (part[:i], part[i:j], part[j:]) if p]
+    return sorted(found)
 
 
 _PASSAGE = "doc_id long, start_word int, end_word int, other_id long, other_start int, other_end int, similarity double"

@@ -297,6 +297,34 @@ def test_repeated_passages(spark):
     assert substring.repeated_passages(frame(spark, [])).count() == 0
 
 
+def both_ways(left, right, at=0):
+    """Passages of two word lists with one hit at word ``at`` of both."""
+    return substring.passages(*(substring.shingles(" ".join(w)) for w in (left, right)), np.array([[at, at]]))
+
+
+def test_every_exact_passage_of_a_dissimilar_chain():
+    rng = random.Random(12)
+    new = lambda n: words(rng, n, 10**6).split()
+    for parts, differing in ((3, 5), (10, 3)):
+        same = [new(50) for _ in range(parts)]
+        left, right = ([w for p in same for w in p + new(differing)] for _ in range(2))
+        got = both_ways(left, right)
+        for k in range(parts):
+            lo = k * (50 + differing)
+            assert any(s <= lo and lo + 50 <= e for s, e, *_ in got), (parts, k)
+        assert all(x >= 0.8 for *_, x in got)
+    # runs of 40 shingles on both sides of a replaced word, then text with every sixth word replaced
+    left = new(89) + new(120)
+    right = [w if k != 44 and (k < 89 or k % 6) else "edited" for k, w in enumerate(left)]
+    assert any(s == 0 and e >= 89 for s, e, *_ in both_ways(left, right))
+    # a phrase that stands elsewhere too starts no new chain
+    phrase = new(7)
+    left = new(36) + ["one"] + phrase + new(36)
+    right = left[:36] + ["two"] + left[37:] + new(5) + phrase
+    a, b = (substring.shingles(" ".join(w)) for w in (left, right))
+    assert any(e - s == 80 for s, e, *_ in substring.passages(a, b, np.array([[0, 0], [37, 85]])))
+
+
 ASSIGN = re.compile(r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
