@@ -9,7 +9,8 @@ to it form a group. Each member is joined with the group's smallest document
 where both windows leave room for a passage (an interval join on the distances
 to c), never with all the others; the hits of one document pair are merged over
 all functions. The texts of such pairs are then compared word by word: equal
-runs along the hit alignments are chained over short gaps, and a chain of
+runs along the hit alignments, and those that go on from their ends on another
+one where words were inserted or left out, are chained over short gaps, and a chain of
 ``MIN_WORDS`` or more words whose shingles are 0.8 similar is reported; of a
 chain that is less similar, the longest parts that are.
 
@@ -122,16 +123,45 @@ def document_pairs(windows: DataFrame) -> DataFrame:
 
 
 def _runs(a: np.ndarray, b: np.ndarray, hits: np.ndarray) -> list[tuple[int, int, int]]:
-    """Maximal equal runs (start in a, start in b, length) on the hits' alignments."""
-    out = []
+    """Maximal equal runs (start in a, start in b, length) on the hits' alignments,
+    and those that go on from a run's ends within ``GAP`` on other alignments (a
+    word inserted or left out)."""
+    out = set()
     for shift in np.unique(hits[:, 1] - hits[:, 0]).tolist():
         lo, hi = max(0, -shift), min(len(a), len(b) - shift)
         same = np.concatenate([[False], a[lo:hi] == b[lo + shift : hi + shift], [False]])
         edges = np.flatnonzero(same[1:] != same[:-1])
-        out += [(lo + int(s), lo + shift + int(s), int(e - s)) for s, e in zip(edges[::2], edges[1::2], strict=True)]
+        out.update((lo + int(s), lo + shift + int(s), int(e - s)) for s, e in zip(edges[::2], edges[1::2], strict=True))
+    todo = list(out)
+    while todo:
+        x, y, n = todo.pop()
+        for i, j, step in ((x + n, y + n, 1), (x - 1, y - 1, -1)):
+            run = _beside(a, b, i, j, step)
+            if run and run not in out:
+                out.add(run)
+                todo.append(run)
     return sorted(out)
 
 
+def _beside(a: np.ndarray, b: np.ndarray, i: int, j: int, step: int) -> tuple[int, int, int] | None:
+    """The longest run that begins at most ``GAP`` from (i, j) in direction ``step``,
+    on any alignment; it reaches back no further than (i, j)."""
+    x, y = (a[i:], b[j:]) if step > 0 else (a[: i + 1][::-1], b[: j + 1][::-1])
+    if not np.isin(x[: GAP + 1], y[: GAP + 1]).any():
+        return None
+    firsts = {}
+    for p, q in np.argwhere(x[: GAP + 1, None] == y[None, : GAP + 1]).tolist():
+        firsts.setdefault(q - p, (p, q))
+    best = 0, 0, 0
+    for p, q in firsts.values():
+        n = min(len(x) - p, len(y) - q)
+        same = x[p : p + n] == y[q : q + n]
+        n = n if same.all() else int(same.argmin())
+        best = max(best, (n, p, q), key=lambda r: r[0])
+    n, p, q = best
+    return (i + p, j + q, n) if step > 0 else (i - p - n + 1, j - q - n + 1, n)
+
+
 def _chains(runs: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
     """Each run in one chain: behind the run that ends at most ``GAP`` before it in
     both documents, whatever its alignment, and brings most equal shingles for
@@ -194,7 +224,11 @@ def passages(a: np.ndarray, b: np.ndarray, hits: np.ndarray) -> list[tuple[int,
         if (i, j) == (0, len(part)):  # similar but for repeated shingles: cut at the widest gap
             j = 1 + max(range(len(part) - 1), key=lambda k: part[k + 1][0] + part[k + 1][1] - part[k][0] - part[k][1] - 2 * part[k][2])
         todo += [p for p in (part[:i], part[i:j], part[j:]) if p]
-    return sorted(found)
+    out = []
+    for f in sorted(found, key=lambda f: (f[0], -f[1], f[2], -f[3])):
+        if not any(k[1] >= f[1] and k[2] <= f[2] and f[3] <= k[3] for k in out):  # not inside another
+            out.append(f)
+    return out
 
 
 _PASSAGE = "doc_id long, start_word int, end_word int, other_id long, other_start int, other_end int, similarity double"

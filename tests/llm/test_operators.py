@@ -325,6 +325,19 @@ def test_every_exact_passage_of_a_dissimilar_chain():
     assert any(e - s == 80 for s, e, *_ in substring.passages(a, b, np.array([[0, 0], [37, 85]])))
 
 
+def test_passages_with_inserted_words():
+    rng = random.Random(14)
+    for n in (55, 60, 100):
+        left = words(rng, n, 10**6).split()
+        for at in range(10, n - 10, 7):
+            for right, back in ((left[:at] + ["new"] + left[at:], 0), (left[:at] + left[at + 1 :], 1), (left[:at] + left[at - 1 :], 0)):
+                if n - back < 55:
+                    continue
+                for hit in ([[0, 0]], [[n - 5, len(right) - 5]]):
+                    got = substring.passages(*(substring.shingles(" ".join(w)) for w in (left, right)), np.array(hit))
+                    assert [(s, e, o, oe) for s, e, o, oe, _ in got] == [(0, n, 0, len(right))], (n, at, back, hit)
+
+
 ASSIGN = re.compile(r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
