@@ -8,7 +8,10 @@ two per passage length. Windows with the same function, minimum and words next
 to it form a group. Each member is joined with the group's smallest document
 where both windows leave room for a passage (an interval join on the distances
 to c), never with all the others; the hits of one document pair are merged over
-all functions. The texts of such pairs are then compared word by word: equal
+all functions. A group of more than two, a member of which has no room or no
+verified passage with its head, is divided by the stretches of ``LEVELS`` shingles
+around the minimum: members with the same 50 words meet in a smaller group all of
+whose members have them, whatever shorter documents quote. The texts of such pairs are then compared word by word: equal
 runs along the hit alignments, and those that go on from their ends on another
 one where words were inserted or left out, are chained over short gaps, and a chain of
 ``MIN_WORDS`` or more words whose shingles are 0.8 similar is reported; of a
@@ -26,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -38,6 +41,10 @@ SPAN = MIN_WORDS - WIDTH + 1  # shingles of a passage
 HASHES = 4
 NEXT_TO = 4  # shingles on either side of a minimum that must agree too
 GAP = 12  # words that a chain may skip
+# Shingles of the stretches by which a group is divided whose head is not in all
+# of its members' passages: a whole passage; and what a passage of 0.8 with
+# replaced words always has on one side of them
+LEVELS = (SPAN, 20)
 _SEEDS = odd_keys(HASHES, 21)
 
 
@@ -103,23 +110,86 @@ def window_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(run, _WINDOW)
 
 
-def document_pairs(windows: DataFrame) -> DataFrame:
-    """(doc, other, hits): documents that share window groups, other being the
-    shortest document (then the smallest id) of a group; hits are the distinct
-    (c, c of other)."""
-    shared = written(windows.groupBy("key").count().where("count > 1").select("key"), "shared-windows")
+def shared_windows(windows: DataFrame, name: str) -> DataFrame:
+    """Members of the groups of two or more windows, with their number ``size``."""
+    shared = written(windows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), f"shared-{name}")
     bitmap = windows.sparkSession.sparkContext.broadcast(bitmap_of(shared, "key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield b.filter(pa.array(in_bitmap(bitmap.value, b.column(0).to_numpy())))
 
-    members = written(windows.mapInArrow(run, _WINDOW).join(shared, "key"), "window-members")
+    return written(windows.mapInArrow(run, _WINDOW).join(shared, "key"), f"{name}-members")
+
+
+def _room() -> Column:
+    """Whether a member's window and its head's leave room for a passage."""
+    return F.least("before", "head.before") + F.least("after", "head.after") >= SPAN
+
+
+def with_heads(members: DataFrame) -> DataFrame:
+    """Members with the head of their group, its shortest document (then the
+    smallest id), without those of that document."""
     heads = members.groupBy("key").agg(F.min(F.struct("n", "doc", "c", "before", "after")).alias("head"))
-    near = members.join(heads, "key").where(
-        (F.col("doc") != F.col("head.doc")) & (F.least("before", "head.before") + F.least("after", "head.after") >= SPAN)
-    )
-    return near.groupBy("doc", F.col("head.doc").alias("other")).agg(F.collect_set(F.struct(F.col("c"), F.col("head.c").alias("oc"))).alias("hits"))
+    return members.join(heads, "key").where(F.col("doc") != F.col("head.doc"))
+
+
+def document_pairs(members: DataFrame) -> DataFrame:
+    """(doc, other, hits): documents and heads of their groups; hits are the
+    distinct (c, c of other, key of a group of more than two)."""
+    key = F.when(F.col("size") > 2, F.col("key"))
+    near = with_heads(members).where(_room())
+    return near.groupBy("doc", F.col("head.doc").alias("other")).agg(F.collect_set(F.struct(F.col("c"), F.col("head.c").alias("oc"), key.alias("key"))).alias("hits"))
+
+
+def _stretches(s: np.ndarray, key: np.ndarray, c: np.ndarray, before: np.ndarray, after: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(key, row): a key for each stretch of ``LEVELS`` shingles that holds the
+    minimum of window ``row``, made of the window's key, the stretch and its place."""
+    at = np.arange(len(key))
+    for level in LEVELS:
+        hashes = window_hashes(s, level, seed=31)
+        for k in range(level):
+            fits = (k <= before) & (level - k <= after) & (c - k >= 0) & (c - k < len(hashes))
+            yield mix64(key[fits] ^ mix64(hashes[c[fits] - k] + np.uint64(level * SPAN + k))), at[fits]
+
+
+def stretch_table(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Windows of smaller groups, one for each stretch of a member."""
+    names = [x.split()[0] for x in _WINDOW.split(", ")]
+    per_doc = members.groupBy("doc", "n").agg(F.collect_set(F.struct("key", "c", "before", "after")).alias("w"))
+    both = per_doc.join(texts.toDF("doc", "text"), "doc").select("doc", "n", "w", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for doc, n, w, text in zip(*b.columns, strict=True):
+                key, c, before, after = (w.values.field(f).to_numpy() for f in ("key", "c", "before", "after"))
+                s = shingles(text.as_py())
+                for sub, at in _stretches(s, key.view(np.uint64), c, before, after) if len(s) == n.as_py() else ():
+                    if len(at):
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(sub.view(np.int64)),
+                                pa.array(np.full(len(at), doc.as_py()), pa.int64()),
+                                pa.array(np.full(len(at), n.as_py()), pa.int32()),
+                                *(pa.array(x[at], pa.int32()) for x in (c, before, after)),
+                            ],
+                            names=names,
+                        )
+
+    return both.mapInArrow(lambda it: joined(run(it)), _WINDOW)
+
+
+def joined(batches: Iterator[pa.RecordBatch], rows: int = 100_000) -> Iterator[pa.RecordBatch]:
+    """Fewer, larger batches."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.num_rows
+        if size >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 def _runs(a: np.ndarray, b: np.ndarray, hits: np.ndarray) -> list[tuple[int, int, int]]:
@@ -237,8 +307,12 @@ _PASSAGE = "doc_id long, start_word int, end_word int, other_id long, other_star
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Verified pairs of passages: doc_id, its words [start_word, end_word), the
     document with the same passage, its words, and the shingles' similarity."""
-    pairs = written(document_pairs(written(window_table(docs, id_col, text_col), "compact-windows")), "passage-pairs")
-    ids = pairs.select(F.col("doc").alias("id")).unionByName(pairs.select(F.col("other").alias("id"))).distinct()
+    members = shared_windows(written(window_table(docs, id_col, text_col), "compact-windows"), "window")
+    pairs = written(document_pairs(members), "passage-pairs")
+    # members of larger groups whose head leaves no room for a passage
+    apart = written(with_heads(members).where(~_room() & (F.col("size") > 2)).select("key").distinct(), "groups-without-room")
+    ids = pairs.select(F.col("doc").alias("id")).unionByName(pairs.select(F.col("other").alias("id")))
+    ids = ids.unionByName(members.join(apart, "key", "left_semi").select(F.col("doc").alias("id"))).distinct()
     bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(ids, "id"))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,23 +321,38 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     texts = written(rows.mapInArrow(pick, "id long, text string"), "passage-texts")
+    first = written(verified(pairs, texts), "verified-passages")
+    open_keys = first.where(F.col("open_key").isNotNull()).select(F.col("open_key").alias("key")).unionByName(apart).distinct()
+    parts = written(stretch_table(members.join(open_keys, "key", "left_semi"), texts), "stretches")
+    second = verified(written(document_pairs(shared_windows(parts, "stretch")), "stretch-pairs"), texts)
+    return first.unionByName(second).where(F.col("open_key").isNull()).drop("open_key").distinct()
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Passages of the pairs, and rows with the key of each larger group that has a
+    member whose hit is in none of them (``open_key``)."""
     both = pairs.join(texts.toDF("doc", "text"), "doc").join(texts.toDF("other", "other_text"), "other").select("doc", "other", "hits", "text", "other_text")
-    names = [x.split()[0] for x in _PASSAGE.split(", ")]
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
+    names = [*(x.split()[0] for x in _PASSAGE.split(", ")), "open_key"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int64()]
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_id, held = None, None
         for b in batches:
-            out = []
+            out, opened = [], set()
             for doc, other, hits, text, other_text in zip(*b.columns, strict=True):
                 if other.as_py() != held_id:
                     held_id, held = other.as_py(), shingles(other_text.as_py())
-                at = np.array([(h["c"], h["oc"]) for h in hits.as_py()], dtype=np.int64)
-                out += [(doc.as_py(), s, e, held_id, os_, oe, x) for s, e, os_, oe, x in passages(shingles(text.as_py()), held, at)]
+                hits = hits.as_py()
+                found = passages(shingles(text.as_py()), held, np.array([(h["c"], h["oc"]) for h in hits], dtype=np.int64))
+                out += [(doc.as_py(), s, e, held_id, os_, oe, x, None) for s, e, os_, oe, x in found]
+                opened.update(
+                    h["key"] for h in hits if h["key"] is not None and not any(s <= h["c"] <= e - WIDTH and os_ <= h["oc"] <= oe - WIDTH for s, e, os_, oe, _ in found)
+                )
+            out += [(*[None] * 7, k) for k in opened]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types, strict=True)], names=names)
 
-    return both.mapInArrow(verify, _PASSAGE).distinct()
+    return both.mapInArrow(verify, f"{_PASSAGE}, open_key long")
 
 
 @query("op9_substring_dedup")

@@ -338,6 +338,19 @@ def test_passages_with_inserted_words():
                     assert [(s, e, o, oe) for s, e, o, oe, _ in got] == [(0, n, 0, len(right))], (n, at, back, hit)
 
 
+def test_passages_beside_shorter_quotes(spark):
+    """Shorter documents with pieces of a passage become the heads of its groups."""
+    rng = random.Random(16)
+    docs = []
+    for t in range(15):
+        passage = words(rng, 60, 10**6).split()
+        texts = [passage, passage, passage[:45], passage[15:]]
+        docs += [(4 * t + k, " ".join([words(rng, size, 10**6), *p, words(rng, size + 7, 10**6)])) for k, (p, size) in enumerate(zip(texts, (150, 160, 20, 25), strict=True))]
+    got = substring.repeated_passages(frame(spark, docs)).collect()
+    linked = {frozenset((r.doc_id, r.other_id)) for r in got if r.end_word - r.start_word >= 60}
+    assert linked == {frozenset((4 * t, 4 * t + 1)) for t in range(15)}
+
+
 ASSIGN = re.compile(r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
