@@ -5,8 +5,8 @@ words inside a sentence) turn into typed placeholders, other words are
 lower-cased. Windows of ``WIDTH`` template tokens are hash-joined with the
 windows of the benchmark items. An item counts as leaked into a document when
 ``COVER`` of its windows occur there, or ``RUN`` windows at one alignment, and
-the slots agree: on the best alignment each value of the item stands for one
-value of the document. So re-parameterised questions are found, and texts that
+the slots agree: on an alignment each value of the item stands for one value of
+the document; the best alignment that agrees counts. So re-parameterised questions are found, and texts that
 only share a pattern of placeholders are not.
 
 A window with fewer than ``ANCHORS`` ordinary words keeps its raw values.
@@ -174,12 +174,23 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item
         .groupBy("id", "item", "windows", (F.col("doc_pos") - F.col("pos")).alias("shift"))
         .agg(F.collect_set("pos").alias("places"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
     )
-    best = F.max_by(F.struct("places", "pairs"), F.struct(F.size("places"), -F.col("shift")))
-    per_item = lined.groupBy("id", "item", "windows").agg(best.alias("best"), F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n_matched"))
-    slots = F.col("best.pairs")
-    values = F.size(F.array_distinct(F.transform(slots, lambda s: s["a"])))
-    run = F.size("best.places")
-    return per_item.where(((F.col("n_matched") >= COVER * F.col("windows")) | (run >= RUN)) & (F.size(slots) == values)).select(
+    # the slot test is each alignment's own: a look-alike elsewhere hides no leak
+    agrees = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda s: s["a"])))
+    size, shift = F.size("places"), -F.col("shift")
+    places = F.collect_list("places"), F.collect_list(F.when(F.col("agrees"), F.col("places")))
+    matched = [F.size(F.array_distinct(F.flatten(p))) for p in places]
+    per_item = (
+        lined.withColumn("agrees", agrees)
+        .groupBy("id", "item", "windows")
+        .agg(
+            F.max_by(F.struct("places", "pairs", "agrees"), F.struct("agrees", size, shift)).alias("best"),
+            # all alignments cover the item if the largest agrees, else those that do
+            F.when(F.max_by("agrees", F.struct(size, shift)), matched[0]).otherwise(matched[1]).alias("n_matched"),
+        )
+        .where("best.agrees")
+    )
+    slots, run = F.col("best.pairs"), F.size("best.places")
+    return per_item.where((F.col("n_matched") >= COVER * F.col("windows")) | (run >= RUN)).select(
         F.col("id").alias(id_col),
         F.col("item").alias(item_col),
         F.col("windows").alias("n_windows"),

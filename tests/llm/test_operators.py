@@ -270,6 +270,15 @@ def test_contamination(spark):
     assert decontam.contaminated(frame(spark, []), items).count() == 0
 
 
+def test_leak_behind_an_inconsistent_variant(spark):
+    item = ITEMS[0][1]
+    olga = item.replace("to Maria", "to Olga")
+    docs = [(1, f"x. {olga} Then. {item}"), (2, f"x. {item} Then. {olga}"), (3, f"x. {olga} Then. {olga}")]
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.n_changed for r in decontam.contaminated(frame(spark, docs), items).collect()}
+    assert got == {(1, 1): 0, (2, 1): 0}
+
+
 def test_compact_windows_cover_every_stretch_once():
     h = np.random.default_rng(1).integers(0, 1000, 300).astype(np.uint64)
     w = substring.compact_windows(h, 10)
