@@ -9,6 +9,11 @@ the slots agree: on an alignment each value of the item stands for one value of
 the document; the best alignment that agrees counts. So re-parameterised questions are found, and texts that
 only share a pattern of placeholders are not.
 
+Two more forms of the windows are matched beside the template, each by the same
+rules: capitalised words as names at the start of a sentence too (a changed name
+there), and lower-cased words with numbers as the only slots (copies in capitals
+or title case).
+
 A window with fewer than ``ANCHORS`` ordinary words keeps its raw values.
 Documents are filtered by a bitmap of fixed size before the join.
 
@@ -33,6 +38,7 @@ from docflow.sources.tables import table
 
 WIDTH, ANCHORS = 5, 2
 COVER, RUN = 0.8, 9
+FORMS = ("template", "names", "caseless")
 CACHE_WORDS = 300_000
 _TOKENS = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*|\d+(?:[.,:/]\d+)*|[.!?:\n]")
 _UNITS = set(
@@ -69,17 +75,23 @@ class _Tokens(dict):
 _KNOWN = _Tokens()
 
 
-def template(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes of template tokens, hashes of raw tokens, which are slots)."""
+def template(text: str | None, form: str = "template") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of template tokens, hashes of raw tokens, which are slots). In form
+    "names" capitalised words are names at the start of a sentence too, in form
+    "caseless" only numbers are slots."""
     found = _TOKENS.findall(text or "")
     packed = np.fromiter(map(_KNOWN.__getitem__, found), dtype=np.uint64, count=len(found))
     kind = (packed & np.uint64(7)).astype(np.int8)
     raw = packed & ~np.uint64(7)
     before = np.concatenate([[_STOP], kind[:-1]]) if len(kind) else kind
-    kind[(kind == _CAPITAL) & (before == _STOP)] = _WORD
+    first = (kind == _CAPITAL) & (before == _STOP)
+    if form == "template":
+        kind[first] = _WORD
     kind[(kind == _UNIT) & (before != _NUMBER)] = _WORD
     words = kind != _STOP
     kind, raw = kind[words], raw[words]
+    if form == "caseless":
+        kind[kind != _NUMBER] = _WORD
     typed = raw.copy()
     for k, h in _SLOTS.items():
         typed[kind == k] = h
@@ -87,17 +99,19 @@ def template(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def windows(text: str | None, widths: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each width (width, window hashes, slot values of the tokens; 0: no slot)."""
-    typed, raw, slot = template(text)
-    values = np.where(slot, raw, np.uint64(0)).view(np.int64)
-    for width in widths:
-        if len(typed) < width:
-            continue
-        hashes = window_hashes(typed, width)
-        plain = np.convolve(~slot, np.ones(width, dtype=int), "valid") < min(ANCHORS, width)
-        if plain.any():
-            hashes = np.where(plain, mix64(window_hashes(raw, width)), hashes)
-        yield width, hashes ^ np.uint64(width), values
+    """For each form and width (width, window hashes, slot values of the tokens; 0:
+    no slot); the last two bits of a hash are the form's number."""
+    for f, form in enumerate(FORMS):
+        typed, raw, slot = template(text, form)
+        values = np.where(slot, raw, np.uint64(0)).view(np.int64)
+        for width in widths:
+            if len(typed) < width:
+                continue
+            hashes = window_hashes(typed, width)
+            plain = np.convolve(~slot, np.ones(width, dtype=int), "valid") < min(ANCHORS, width)
+            if plain.any():
+                hashes = np.where(plain, mix64(window_hashes(raw, width)), hashes)
+            yield width, mix64(hashes ^ np.uint64(width)) & ~np.uint64(3) | np.uint64(f), values
 
 
 _SCHEMA = "id long, pos int, windows int, h long, slots array<long>"
@@ -171,7 +185,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item
     )
     lined = (
         hits.join(known.withColumnRenamed("id", "item"), "h")
-        .groupBy("id", "item", "windows", (F.col("doc_pos") - F.col("pos")).alias("shift"))
+        .groupBy("id", "item", "windows", F.col("h").bitwiseAND(3).alias("form"), (F.col("doc_pos") - F.col("pos")).alias("shift"))
         .agg(F.collect_set("pos").alias("places"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
     )
     # the slot test is each alignment's own: a look-alike elsewhere hides no leak
@@ -181,24 +195,29 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item
     matched = [F.size(F.array_distinct(F.flatten(p))) for p in places]
     per_item = (
         lined.withColumn("agrees", agrees)
-        .groupBy("id", "item", "windows")
+        .groupBy("id", "item", "windows", "form")
         .agg(
             F.max_by(F.struct("places", "pairs", "agrees"), F.struct("agrees", size, shift)).alias("best"),
             # all alignments cover the item if the largest agrees, else those that do
             F.when(F.max_by("agrees", F.struct(size, shift)), matched[0]).otherwise(matched[1]).alias("n_matched"),
+            F.max(size).alias("largest"),
         )
-        .where("best.agrees")
     )
     slots, run = F.col("best.pairs"), F.size("best.places")
-    return per_item.where((F.col("n_matched") >= COVER * F.col("windows")) | (run >= RUN)).select(
-        F.col("id").alias(id_col),
-        F.col("item").alias(item_col),
-        F.col("windows").alias("n_windows"),
-        "n_matched",
-        run.alias("longest_run"),
-        F.size(slots).alias("n_slots"),
-        F.size(F.filter(slots, lambda s: s["a"] != s["b"])).alias("n_changed"),
+    leaked = F.col("best.agrees") & ((F.col("n_matched") >= COVER * F.col("windows")) | (run >= RUN))
+    names = ["n_windows", "n_matched", "longest_run", "n_slots", "n_changed"]
+    changed = F.size(F.filter(slots, lambda s: s["a"] != s["b"]))
+    columns = (F.col("windows"), F.col("n_matched"), run, F.size(slots), changed)
+    leak = F.struct(-F.col("form"), *(c.alias(n) for c, n in zip(columns, names, strict=True)))  # the first form that finds the item
+    caseless = F.col("form") == FORMS.index("caseless")
+    forms = per_item.groupBy(F.col("id").alias(id_col), F.col("item").alias(item_col)).agg(
+        F.max(F.when(leaked & ~caseless, leak)).alias("typed"),
+        F.max(F.when(leaked & caseless, leak)).alias("caseless"),
+        F.coalesce(F.max(F.when(~caseless, F.col("largest"))), F.lit(0)).alias("largest"),
     )
+    # names are no slots without case: where the other forms see more, they decide
+    found = F.coalesce("typed", F.when(F.col("caseless.longest_run") >= F.col("largest"), F.col("caseless")))
+    return forms.select(id_col, item_col, found.alias("leak")).where("leak is not null").select(id_col, item_col, *(F.col(f"leak.{n}") for n in names))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -279,6 +279,16 @@ def test_leak_behind_an_inconsistent_variant(spark):
     assert got == {(1, 1): 0, (2, 1): 0}
 
 
+def test_leaks_in_other_case_and_with_other_first_names(spark):
+    tom = "Tom has 12 red apples. Tom gives 5 apples to Maria. How many apples are left?"
+    anna = "Anna drives 60 miles in 2 hours. Anna stops to eat. Anna then drives 30 miles. How long is the trip?"
+    docs = [(1, tom.upper()), (2, anna.upper()), (3, ITEMS[0][1].title()), (4, tom.replace("Tom", "Ben")), (5, anna.replace("Anna", "Lena"))]
+    docs += [(6, tom.replace("Tom gives", "Ben gives")), (7, "Ben has red shoes. How many hours is the drive?")]
+    items = spark.createDataFrame([(1, ITEMS[0][1]), (2, tom), (3, anna)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(frame(spark, docs), items).collect()}
+    assert got - {(6, 2)} == {(1, 2), (2, 3), (3, 1), (4, 2), (5, 3)}
+
+
 def test_compact_windows_cover_every_stretch_once():
     h = np.random.default_rng(1).integers(0, 1000, 300).astype(np.uint64)
     w = substring.compact_windows(h, 10)
