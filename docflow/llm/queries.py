@@ -11,5 +11,6 @@ from docflow.llm import (  # noqa: F401
     token_count,
     toxicity,
     warc,
+    whitening,
 )
 from docflow.llm.common import ORACLE, QUERIES  # noqa: F401
