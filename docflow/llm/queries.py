@@ -5,6 +5,7 @@ from docflow.llm import (  # noqa: F401
     decontam,
     exact,
     minhash,
+    phrases,
     secret_scan,
     sharding,
     substring,
