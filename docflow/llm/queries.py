@@ -4,6 +4,7 @@ from docflow.llm import (  # noqa: F401
     bpe_codec,
     decontam,
     exact,
+    fingerprints,
     minhash,
     phrases,
     secret_scan,
