@@ -51,6 +51,7 @@ CONTAINED = 80  # percent of a phrase's occurrences inside a longer candidate
 BLOCK_WORDS = 1 << 18
 SLICE_BYTES = 1 << 20
 SEEDS = 8
+PARTS_OF_A_LANGUAGE = 64
 _END = b"\xff"  # no byte of UTF-8
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + _END * 10)
 _PARTS = ["w1", "w2", "w3", "w4"]
@@ -293,10 +294,19 @@ def without_contained(items: DataFrame, g2: DataFrame, g3: DataFrame, g4: DataFr
 
 
 def _frontier(alive: DataFrame, k: int) -> DataFrame:
-    """(lang, least): the score of each language's ``k``-th phrase; none where there are fewer."""
-    by = Window.partitionBy("lang").orderBy(F.desc("s"))
-    ranked = alive.select("lang", F.col("cut.s").alias("s")).withColumn("rn", F.row_number().over(by)).where(F.col("rn") <= k)
-    return ranked.groupBy("lang").agg(F.max(F.when(F.col("rn") == k, F.col("s"))).alias("least"))
+    """(lang, least): the score of each language's ``k``-th phrase, null where there are
+    fewer. Scores are counted first, so a language has at most 1,000,001 rows here."""
+    by = Window.partitionBy("lang").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    scores = alive.groupBy("lang", F.col("cut.s").alias("s")).agg(F.count("*").alias("times")).withColumn("sofar", F.sum("times").over(by))
+    return scores.groupBy("lang").agg(F.max(F.when(F.col("sofar") >= k, F.col("s"))).alias("least"))
+
+
+def _first(df: DataFrame, k: int, key: Column, order: list[Column], ties: bool = False) -> DataFrame:
+    """Each language's first ``k`` rows, found in ``PARTS_OF_A_LANGUAGE`` parts before
+    they meet; with ``ties`` all rows of a part that equal its last one stay."""
+    rank = F.rank() if ties else F.row_number()
+    part = Window.partitionBy("lang", F.pmod(F.xxhash64(key), F.lit(PARTS_OF_A_LANGUAGE))).orderBy(*order)
+    return df.withColumn("__in_part", rank.over(part)).where(F.col("__in_part") <= k).drop("__in_part")
 
 
 def _to_open(items: DataFrame, least: DataFrame, opened: DataFrame) -> DataFrame:
@@ -346,7 +356,8 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
         width *= 2
 
     best = alive.join(_frontier(alive, top), "lang", "left").where(F.col("cut.s") >= F.coalesce("least", F.lit(0)))
-    best = written(best.drop("least").withColumn("id", F.struct("lang", *_PARTS)), "phrase-best")
+    best = best.drop("least").withColumn("id", F.struct("lang", *_PARTS))
+    best = written(_first(best, top, F.col("id"), [F.desc("cut.s"), F.desc("f")], ties=True), "phrase-best")
     each = best.select("id", "lang", F.posexplode(F.array_compact(F.array(*_PARTS))).alias("pos", "w"))
     wanted = each.select("lang", "w").distinct()
     spelled = (
@@ -355,8 +366,9 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     )
     text = each.join(spelled, ["lang", "w"]).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", "word"))).alias("p"))
     named = best.join(text, "id").select("lang", F.array_join(F.col("p.word"), " ").alias("phrase"), F.col("f").alias("a"), "cut")
-    by = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = named.select("lang", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("cut.s").alias("score")).withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    few = _first(named.select("lang", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("cut.s").alias("score")), top, F.col("phrase"), order)
+    ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return ranked.join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
