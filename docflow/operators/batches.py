@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterable
 from functools import reduce
 
@@ -9,36 +10,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docflow.functions.exprs import short_id
+from docflow.operators.intervals import from_number
+from docflow.operators.selection import CELLS, range_number, select_keys
 
-_LOW_BITS = (1 << 33) - 1
+ROWS_PER_GROUP = 200_000
 
 
 def global_row_number(df: DataFrame, order: list[str], n_partitions: int | None = None, name: str = "rn") -> DataFrame:
-    """1-based row number over the whole frame in ``order`` (ascending; the
-    last column must make the order unique).
-
-    Scale path (no single-partition window): range-partition on the order,
-    sort within partitions, number rows locally, checkpoint (reliable, in the
-    shared checkpoint folder) so partition contents cannot change on recompute,
-    then add each partition's offset = rows in all earlier partitions. The
-    offsets table has one row per partition and is broadcast.
+    """1-based row number over the whole frame in ``order`` (ascending, nulls first;
+    the last column must make the order unique).
+
+    The keys that cut the order into ``n_partitions`` groups (about ``ROWS_PER_GROUP`` rows
+    each if left out, at most ``CELLS`` groups) are selected exactly by counting, without
+    sorting or storing the rows. Rows find their group by search and are numbered
+    inside it; a group's offset is known from the selection.
     """
-    spark = df.sparkSession
-    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    staged = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("__mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
-    pid = F.shiftright(F.col("__mid"), 33)
-    counts = staged.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__cnt"))
-    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias("__off"))
-    out = staged.withColumn("__pid", pid).join(F.broadcast(offsets), "__pid")
-    return out.withColumn(name, F.col("__off") + F.col("__mid").bitwiseAND(F.lit(_LOW_BITS)) + 1).drop(
-        "__pid", "__off", "__mid"
-    )
+    n = df.count()
+    groups = n_partitions or min(CELLS, n // ROWS_PER_GROUP + 1)
+    cuts = select_keys(df, order, [n * k // groups for k in range(1, groups)])
+    if not cuts:  # one group, no larger than ROWS_PER_GROUP
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
+    offsets = df.sparkSession.createDataFrame([(0, 0), *[(k + 1, below) for k, (_, below) in enumerate(cuts)]], "__g int, __off long")
+    w = Window.partitionBy("__g").orderBy(*order)
+    numbered = df.withColumn("__g", range_number(df, order, [c for c, _ in cuts])).withColumn("__rn", F.row_number().over(w))
+    return numbered.join(F.broadcast(offsets), "__g").withColumn(name, F.col("__off") + F.col("__rn")).drop("__g", "__off", "__rn")
 
 
 def number_batches(df: DataFrame, order: list[str], size: int, n_partitions: int | None = None) -> DataFrame:
@@ -102,6 +97,24 @@ def batch_ledger(rows: DataFrame, batch: str, ts: str) -> DataFrame:
     )
 
 
+def ledger_by_selection(df: DataFrame, order: list[str], size: int) -> DataFrame:
+    """The ledger of ``number_batches`` (batch_no, batch_size, from_date, to_date by the
+    first order column) from the keys at the batches' first and last ranks: rows
+    are counted, never moved. Ledgers of more than ``CELLS`` / 2 batches number the rows."""
+    n = df.count()
+    batches = -(-n // size)
+    if 2 * batches > CELLS:
+        return batch_ledger(number_batches(df, order, size), "batch_no", order[0])
+    ends = [(b + 1, b * size + 1, min((b + 1) * size, n)) for b in range(batches)]
+    cuts = select_keys(df, order, sorted({r for _, lo, hi in ends for r in (lo, hi)}))
+    counts = [below for _, below in cuts]
+    rows = [(b, hi - lo + 1, *(cuts[bisect_left(counts, r)][0][0] for r in (lo, hi))) for b, lo, hi in ends]
+    kind = dict(df.dtypes)[order[0]]
+    ledger = df.sparkSession.createDataFrame(rows, "batch_no long, batch_size long, lo long, hi long")
+    dates = [F.when(F.col(c) != F.lit(-(1 << 63)), from_number(F.col(c), kind)).alias(a) for c, a in (("lo", "from_date"), ("hi", "to_date"))]
+    return ledger.select("batch_no", "batch_size", *dates)
+
+
 def time_window_ledger(df: DataFrame, ts: str, unit: str = "month") -> DataFrame:
     """Contiguous ``[start, end)`` calendar windows covering the data."""
     if unit not in ("day", "month"):

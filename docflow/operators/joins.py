@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docflow.operators.intervals import interval_join
+
 
 def semi_join(df: DataFrame, keys: DataFrame, on, negate: bool = False) -> DataFrame:
     """``IN (SELECT DISTINCT ...)`` / collected-key filters as a semi (anti) join."""
@@ -59,18 +61,5 @@ def range_join(
     end: str,
     bounds: str = "(]",
 ) -> DataFrame:
-    """Assign each row to the window(s) whose bounds contain ``ts``.
-
-    Windows are expanded to the calendar days they touch and equi-joined on
-    the day, then the exact bound predicate is applied: a hash join instead
-    of a nested loop, so it scales with rows x (windows per day). Spark
-    broadcasts the windows while they are under its own byte threshold; beyond
-    it AQE splits a hot day.
-    """
-    lo_ok = (F.col(ts) >= F.col(start)) if bounds[0] == "[" else (F.col(ts) > F.col(start))
-    hi_ok = (F.col(ts) <= F.col(end)) if bounds[1] == "]" else (F.col(ts) < F.col(end))
-    days = windows.withColumn(
-        "__day", F.explode(F.sequence(F.to_date(F.col(start)), F.to_date(F.col(end)), F.expr("INTERVAL 1 DAY")))
-    )
-    r = rows.withColumn("__day", F.to_date(F.col(ts)))
-    return r.join(days, "__day", "inner").where(lo_ok & hi_ok).drop("__day")
+    """Assign each row to the window(s) whose bounds contain ``ts``: see ``intervals``."""
+    return interval_join(rows, ts, windows, start, end, bounds)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from docflow.operators import batches as B
 from docflow.operators import upsert as U
 from docflow.operators import validate as V
+from docflow.operators.intervals import from_number, interval_join
+from docflow.operators.selection import select_keys
 from docflow.plans.registry import query
 from docflow.sources.tables import Tables
 
@@ -21,6 +23,20 @@ def global_row_number(spark, sf):
     return B.global_row_number(o, ["o_orderdate", "o_orderkey"]).select("o_orderkey", "rn")
 
 
+@query(
+    "order_statistics",
+    f"""SELECT rn AS rank, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderkey
+        FROM (SELECT o_orderkey, o_orderdate, {_RN_SQL} AS rn FROM orders) WHERE rn % {BATCH} = 0""",
+)
+def order_statistics(spark, sf):
+    """The keys that end each batch of rows, selected by counting."""
+    o = Tables(spark, sf).orders.select("o_orderkey", "o_orderdate")
+    cuts = select_keys(o, ["o_orderdate", "o_orderkey"], list(range(BATCH, o.count() + 1, BATCH)))
+    keys = spark.createDataFrame([(below, *key) for key, below in cuts], "rank long, k long, o_orderkey long")
+    day = from_number(F.col("k"), dict(o.dtypes)["o_orderdate"])
+    return keys.select("rank", F.date_format(day, "yyyy-MM-dd").alias("o_orderdate"), "o_orderkey")
+
+
 _ROWB_SQL = f"""
   rb AS (SELECT o_orderkey, o_orderdate, {_RN_SQL} AS rn FROM orders),
   rb2 AS (SELECT *, CAST(ceil(rn / {BATCH}) AS BIGINT) AS batch_no FROM rb),
@@ -59,7 +75,7 @@ def row_batches(spark, sf):
 )
 def batch_ledger(spark, sf):
     o = Tables(spark, sf).orders.select("o_orderkey", "o_orderdate")
-    led = B.batch_ledger(B.number_batches(o, ["o_orderdate", "o_orderkey"], BATCH), "batch_no", "o_orderdate")
+    led = B.ledger_by_selection(o, ["o_orderdate", "o_orderkey"], BATCH)
     return led.select(
         "batch_no",
         "batch_size",
@@ -149,6 +165,47 @@ def range_join_batches(spark, sf):
     )
 
 
+_OVERLAP_SQL = """
+  WITH w AS (
+    SELECT p_partkey,
+           TIMESTAMP '2024-01-01' + to_minutes((p_partkey * 7919) % 43200)
+             - CASE WHEN p_partkey % 100 = 0 THEN INTERVAL 20 YEAR ELSE INTERVAL 0 YEAR END AS s,
+           TIMESTAMP '2024-01-01' + to_minutes((p_partkey * 7919) % 43200)
+             + CASE WHEN p_partkey % 100 = 0 THEN INTERVAL 10 YEAR WHEN p_partkey % 10 = 1 THEN INTERVAL 3 DAY
+                    ELSE to_minutes(p_partkey % 60) END AS e
+    FROM part)
+  SELECT p_partkey, count(*) AS n, min(event_id) AS first_event, max(event_id) AS last_event
+  FROM events JOIN w ON ts > s AND ts <= e GROUP BY 1"""
+
+
+def _overlapping(spark, sf, **form):
+    """Windows of minutes, days and decades (start after, end included), one per part, over the events."""
+    t = Tables(spark, sf)
+    k = F.col("p_partkey")
+    at = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), (k * 7919 % 43200).cast("int"))
+    years = F.when(k % 100 == 0, F.expr("INTERVAL 20 YEAR")).otherwise(F.expr("INTERVAL 0 YEAR"))
+    end = (
+        F.when(k % 100 == 0, F.col("at") + F.expr("INTERVAL 10 YEAR"))
+        .when(k % 10 == 1, F.col("at") + F.expr("INTERVAL 3 DAY"))
+        .otherwise(F.col("at") + F.make_dt_interval(F.lit(0), F.lit(0), (k % 60).cast("int")))
+    )
+    w = t.part.select("p_partkey", at.alias("at")).select("p_partkey", (F.col("at") - years).alias("s"), end.alias("e"))
+    j = interval_join(t.events.select("event_id", "ts"), "ts", w, "s", "e", "(]", **form)
+    return j.groupBy("p_partkey").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event"))
+
+
+@query("interval_join_overlapping", _OVERLAP_SQL)
+def interval_join_overlapping(spark, sf):
+    """Overlapping windows of any length; the size of the window table decides the form."""
+    return _overlapping(spark, sf)
+
+
+@query("interval_sweep_overlapping", _OVERLAP_SQL)
+def interval_sweep_overlapping(spark, sf):
+    """The same by the sweep over ranges of time, as for window tables of any size."""
+    return _overlapping(spark, sf, max_windows=0, ranges=16)
+
+
 @query(
     "ledger_update",
     f"""WITH {_LEDGER_SQL},
@@ -205,18 +262,9 @@ def batch_status(spark, sf):
                round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1, 2""",
 )
 def union_all_batches(spark, sf):
-    """Per-status partial results unioned by name into one plan."""
+    """The results of all batches and statuses as one table: one scan, one aggregate."""
     o = Tables(spark, sf).orders.withColumn("batch_no", F.floor(F.col("o_orderkey") / BATCH).cast("bigint"))
-    parts = [
-        o.filter(F.col("o_orderstatus") == s)
-        .groupBy("batch_no")
-        .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
-        .withColumn("o_orderstatus", F.lit(s))
-        for s in ("F", "O", "P")
-    ]
-    rest = o.filter(F.col("o_orderstatus").isNull() | ~F.col("o_orderstatus").isin("F", "O", "P"))
-    parts.append(rest.groupBy("batch_no", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")))
-    return B.union_all(parts)
+    return o.groupBy("batch_no", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
 # ------------------------------------------------------ order / limit / sample

@@ -9,6 +9,7 @@ from docflow.operators import batches as B
 from docflow.operators import joins as J
 from docflow.operators import recon as R
 from docflow.operators import upsert as U
+from docflow.operators.digests import digest_differences
 from docflow.plans.batching import _LEDGER_SQL, monthly_ledger
 from docflow.plans.bindings import LISTING_SQL, TARGET_SQL, object_listing, target_orders
 from docflow.plans.registry import query
@@ -83,6 +84,24 @@ def recon_missing_extra(spark, sf):
     return R.missing_extra(s, t, "o_orderkey")
 
 
+@query(
+    "recon_digest_tree",
+    f"""WITH {TARGET_SQL}
+        SELECT coalesce(s.o_orderkey, t.o_orderkey) AS o_orderkey,
+               CASE WHEN t.o_orderkey IS NULL THEN 'missing' WHEN s.o_orderkey IS NULL THEN 'extra' ELSE 'changed' END AS side,
+               CASE WHEN s.o_orderkey IS NULL THEN 0 ELSE 1 END AS source_rows,
+               CASE WHEN t.o_orderkey IS NULL THEN 0 ELSE 1 END AS target_rows
+        FROM orders s FULL OUTER JOIN tgt t ON s.o_orderkey = t.o_orderkey
+        WHERE t.o_orderkey IS NULL OR s.o_orderkey IS NULL
+           OR s.o_orderstatus IS DISTINCT FROM t.o_orderstatus OR s.o_orderpriority IS DISTINCT FROM t.o_orderpriority
+           OR s.o_custkey IS DISTINCT FROM t.o_custkey OR s.o_totalprice IS DISTINCT FROM t.o_totalprice""",
+)
+def recon_digest_tree(spark, sf):
+    """Missing, extra and changed keys; only ranges whose digests differ are compared by row."""
+    s, t = _sides(spark, sf)
+    return digest_differences(s, t, "o_orderkey", FIELDS)
+
+
 _KEY_COLS = ["o_custkey", "o_orderstatus", "o_orderpriority"]
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docflow.operators import text as T
+from docflow.operators import vector_cells as VC
 from docflow.operators import vectors as V
 from docflow.plans.registry import query
 from docflow.sources.tables import Tables
@@ -46,6 +47,22 @@ def embedding_topk_multi(spark, sf):
     return _emb_topk(spark, sf, "label")
 
 
+_NEAR_SQL = """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL),
+  s AS (SELECT a.vec_id AS qid, b.vec_id, list_cosine_similarity(a.v, b.v) AS score FROM e a, e b
+        WHERE a.vec_id % 50 = 0),
+  r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, vec_id) AS rank FROM s)
+SELECT CAST(qid AS VARCHAR) AS qid, vec_id, rank, round(score, 6) AS score FROM r WHERE rank <= 5"""
+
+
+@query("embedding_topk_cells", _NEAR_SQL)
+def embedding_topk_cells(spark, sf):
+    """Nearest stored vectors of every 50th vector among all, exact, cells opened by their bound."""
+    e = Tables(spark, sf).embeddings
+    q = e.where(F.col("vec_id") % 50 == 0).select(F.col("vec_id").cast("string").alias("qid"), F.col("embedding").alias("q"))
+    top = VC.cell_top_k(e, "vec_id", "embedding", q, "qid", "q", TOPK)
+    return top.select("qid", F.col("id").alias("vec_id"), F.col("rank").cast("bigint").alias("rank"), F.round("score", 6).alias("score"))
+
+
 # ------------------------------------------------------------- questions
 
 _QUESTIONS_SQL = """
