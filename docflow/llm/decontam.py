@@ -50,6 +50,8 @@ _UNITS = set(
 _WORD, _STOP, _NUMBER, _CAPITAL, _UNIT = range(5)
 _SLOTS = {k: np.uint64(xxh3_64_intdigest(f"<{name}>") & ~7) for k, name in ((_NUMBER, "num"), (_UNIT, "unit"), (_CAPITAL, "name"))}
 
+_SLOT_OF = np.array([_SLOTS.get(k, np.uint64(0)) for k in range(5)], dtype=np.uint64)
+
 
 class _Tokens(dict):
     """token -> 61 bits of its hash and 3 bits of its kind."""
@@ -75,42 +77,49 @@ class _Tokens(dict):
 _KNOWN = _Tokens()
 
 
-def template(text: str | None, form: str = "template") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes of template tokens, hashes of raw tokens, which are slots). In form
-    "names" capitalised words are names at the start of a sentence too, in form
-    "caseless" only numbers are slots."""
+def tokens(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(kinds, hashes, which capitalised words start a sentence) of the words of a text."""
     found = _TOKENS.findall(text or "")
     packed = np.fromiter(map(_KNOWN.__getitem__, found), dtype=np.uint64, count=len(found))
     kind = (packed & np.uint64(7)).astype(np.int8)
-    raw = packed & ~np.uint64(7)
     before = np.concatenate([[_STOP], kind[:-1]]) if len(kind) else kind
     first = (kind == _CAPITAL) & (before == _STOP)
-    if form == "template":
-        kind[first] = _WORD
     kind[(kind == _UNIT) & (before != _NUMBER)] = _WORD
     words = kind != _STOP
-    kind, raw = kind[words], raw[words]
+    return kind[words], (packed & ~np.uint64(7))[words], first[words]
+
+
+def template(kind: np.ndarray, raw: np.ndarray, first: np.ndarray, form: str) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of template tokens, which are slots). In form "names" capitalised words
+    are names at the start of a sentence too, in form "caseless" only numbers are slots."""
     if form == "caseless":
-        kind[kind != _NUMBER] = _WORD
-    typed = raw.copy()
-    for k, h in _SLOTS.items():
-        typed[kind == k] = h
-    return typed, raw, kind != _WORD
+        slot = kind == _NUMBER
+        return np.where(slot, _SLOTS[_NUMBER], raw), slot
+    slot = kind != _WORD
+    if form == "template":
+        slot &= ~first
+    return np.where(slot, _SLOT_OF[kind], raw), slot
 
 
 def windows(text: str | None, widths: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each form and width (width, window hashes, slot values of the tokens; 0:
-    no slot); the last two bits of a hash are the form's number."""
+    no slot); the last two bits of a hash are the form's number. The text is
+    tokenised once for all of them."""
+    kind, raw, first = tokens(text)
+    plain_hashes: dict[int, np.ndarray] = {}
     for f, form in enumerate(FORMS):
-        typed, raw, slot = template(text, form)
+        typed, slot = template(kind, raw, first, form)
         values = np.where(slot, raw, np.uint64(0)).view(np.int64)
+        ordinary = np.concatenate([[0], np.cumsum(~slot)])
         for width in widths:
             if len(typed) < width:
                 continue
             hashes = window_hashes(typed, width)
-            plain = np.convolve(~slot, np.ones(width, dtype=int), "valid") < min(ANCHORS, width)
+            plain = ordinary[width:] - ordinary[:-width] < min(ANCHORS, width)
             if plain.any():
-                hashes = np.where(plain, mix64(window_hashes(raw, width)), hashes)
+                if width not in plain_hashes:
+                    plain_hashes[width] = mix64(window_hashes(raw, width))
+                hashes = np.where(plain, plain_hashes[width], hashes)
             yield width, mix64(hashes ^ np.uint64(width)) & ~np.uint64(3) | np.uint64(f), values
 
 
@@ -155,7 +164,7 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
     """Windows of the benchmark items: id, pos, windows (their number), h, slots."""
 
     def cut(text):
-        n = len(template(text)[0])
+        n = len(tokens(text)[0])
         for width, hashes, values in windows(text, [min(WIDTH, n)] if n else []):
             yield width, hashes, values, np.arange(len(hashes))
 
