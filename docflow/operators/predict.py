@@ -56,6 +56,17 @@ def autopopulate(df: DataFrame, features: list[str], code: str, freq: DataFrame)
     ).drop("__pred")
 
 
+def autopopulate_from_model(df: DataFrame, code: str, model) -> DataFrame:
+    """Fill NULL codes with the likeliest code of a fitted ``forest_pipeline`` and mark
+    them ``filled``; existing codes are never touched. Scored inside the rows: no shuffle."""
+    labels = model.stages[-2].labels
+    scored = model.transform(df.withColumn("__given", F.col(code)).withColumn(code, F.coalesce(F.col(code), F.lit(labels[0]))))
+    best = F.element_at(F.array(*[F.lit(c) for c in labels]), F.col("prediction").cast("int") + 1)
+    return scored.select(
+        *[c for c in df.columns if c != code], F.coalesce("__given", best).alias(code), F.col("__given").isNull().alias("filled")
+    )
+
+
 def forest_pipeline(features: list[str], label: str, seed: int = 42, num_trees: int = 20):
     """StringIndexer(keep unseen) -> OneHot (no drop) -> assemble -> random forest."""
     from pyspark.ml import Pipeline

@@ -134,19 +134,25 @@ _JSON_KINDS = {
     "object": r"OBJECT.*",
     "array": r"ARRAY.*",
 }
-_JSON_KEYWORDS = {"bsonType", "enum", "required", "properties", "description"}
+_JSON_KEYWORDS = {"bsonType", "enum", "required", "properties", "description", "items", "minItems", "maxItems"}
 
 
-def _json_rules(doc: Column, spec: Mapping, path: str) -> list[tuple[str, Column]]:
+def _json_rules(node: Column, spec: Mapping, path: Column | None = None) -> list[Column]:
+    """Arrays of the rules that ``node`` breaks. ``path`` leads to it, None for the whole
+    document; inside arrays it holds positions, so it is a value of the row."""
     unknown = set(spec) - _JSON_KEYWORDS
     if unknown:
-        raise ValueError(f"unsupported rule keywords at {path or '$'}: {sorted(unknown)}")
+        raise ValueError(f"unsupported rule keywords: {sorted(unknown)}")
+    here = F.lit("$") if path is None else path
+    kind, present = F.schema_of_variant(node), node.isNotNull() & ~F.is_variant_null(node)
+
+    def child(name: str) -> tuple[Column, Column]:
+        sub = F.lit(name) if path is None else F.concat(path, F.lit(f".{name}"))
+        return F.try_variant_get(node, f"$['{name}']", "variant"), sub
 
-    def at(p: str) -> Column:
-        return F.try_variant_get(doc, "$" + "".join(f"['{k}']" for k in p.split(".") if k), "variant")
+    def broken(rule: str, condition: Column, at: Column = here) -> Column:
+        return F.when(condition, F.array(F.concat(F.lit(f"{rule}:"), at)))
 
-    node = at(path)
-    present = node.isNotNull() & ~F.is_variant_null(node)
     out = []
     if "bsonType" in spec:
         names = spec["bsonType"] if isinstance(spec["bsonType"], (list, tuple)) else [spec["bsonType"]]
@@ -154,34 +160,48 @@ def _json_rules(doc: Column, spec: Mapping, path: str) -> list[tuple[str, Column
         if bad:
             raise ValueError(f"unsupported bsonType {bad}")
         kinds = "|".join(_JSON_KINDS[n] for n in names)
-        out.append((f"type:{path or '$'}", present & ~F.schema_of_variant(node).rlike(f"^({kinds})$")))
+        out.append(broken("type", present & ~kind.rlike(f"^({kinds})$")))
     if "enum" in spec:
         # a value that is no text is left to the type rule
-        text = F.when(F.schema_of_variant(node) == "STRING", F.try_variant_get(node, "$", "string"))
-        out.append((f"enum:{path}", F.coalesce(~text.isin(*spec["enum"]), F.lit(False))))
-    is_object = F.schema_of_variant(node).startswith("OBJECT")
+        text = F.when(kind == "STRING", F.try_variant_get(node, "$", "string"))
+        out.append(broken("enum", F.coalesce(~text.isin(*spec["enum"]), F.lit(False))))
     for req in spec.get("required", []):
-        sub = f"{path}.{req}" if path else req
-        child = at(sub)
-        out.append((f"required:{sub}", present & is_object & (child.isNull() | F.is_variant_null(child))))
+        value, sub = child(req)
+        out.append(broken("required", present & kind.startswith("OBJECT") & (value.isNull() | F.is_variant_null(value)), sub))
     for name, child_spec in spec.get("properties", {}).items():
-        out += _json_rules(doc, child_spec, f"{path}.{name}" if path else name)
+        out += _json_rules(child(name)[0], child_spec, child(name)[1])
+    elements = F.when(kind.startswith("ARRAY"), F.try_variant_get(node, "$", "array<variant>"))
+    if "minItems" in spec:
+        out.append(broken("minItems", F.size(elements) < spec["minItems"]))
+    if "maxItems" in spec:
+        out.append(broken("maxItems", F.size(elements) > spec["maxItems"]))
+    if "items" in spec:
+
+        def of_element(x: Column, i: Column) -> Column:
+            return _together(_json_rules(x, spec["items"], F.concat(here, F.lit("["), i.cast("string"), F.lit("]"))))
+
+        out.append(F.flatten(F.transform(elements, of_element)))
     return out
 
 
+def _together(checks: list[Column]) -> Column:
+    none = F.array().cast("array<string>")
+    return F.flatten(F.array(*[F.coalesce(c, none) for c in checks])) if checks else none
+
+
 def validate_json(df: DataFrame, json_col: str, schema: Mapping, out: str = "violations") -> DataFrame:
     """Like ``validate`` for documents held as JSON text: types are those of each
     row's own values, not of a frame schema. Adds ``violations``; text that is no
     JSON breaks ``json:$``, a NULL text ``required:$``. Fields that are JSON null
-    count as missing. Rules on array items are not supported here and raise."""
+    count as missing. Array items are checked one by one, arrays in arrays too, and
+    named with their position from 0 (``type:lines[2].qty``)."""
     doc = F.col("__doc")
-    rules = _json_rules(doc, schema, "")
     checks = [
-        F.when(F.col(json_col).isNull(), F.lit("required:$")),
-        F.when(F.col(json_col).isNotNull() & doc.isNull(), F.lit("json:$")),
-        *[F.when(rc, F.lit(rn)) for rn, rc in rules],
+        F.when(F.col(json_col).isNull(), F.array(F.lit("required:$"))),
+        F.when(F.col(json_col).isNotNull() & doc.isNull(), F.array(F.lit("json:$"))),
+        *_json_rules(doc, schema),
     ]
-    return df.withColumn("__doc", F.try_parse_json(json_col)).withColumn(out, F.array_compact(F.array(*checks))).drop("__doc")
+    return df.withColumn("__doc", F.try_parse_json(json_col)).withColumn(out, _together(checks)).drop("__doc")
 
 
 def validation_split(validated: DataFrame, col: str = "violations") -> tuple[DataFrame, DataFrame]:

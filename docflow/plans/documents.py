@@ -187,6 +187,46 @@ def validate_json_values(spark, sf):
     return v.select("doc_id", F.array_join(F.sort_array("violations"), ",").alias("violations"))
 
 
+# Rule set of the JSON documents with arrays below (fixed values).
+JSON_ARRAY_SCHEMA = {
+    "bsonType": "object",
+    "properties": {
+        "lines": {
+            "bsonType": "array",
+            "minItems": 1,
+            "items": {
+                "bsonType": "object",
+                "required": ["qty"],
+                "properties": {"qty": {"bsonType": ["int", "long"]}, "tags": {"bsonType": "array", "minItems": 1, "items": {"bsonType": "string"}}},
+            },
+        }
+    },
+}
+
+
+@query(
+    "validate_json_arrays",
+    """SELECT o_orderkey AS doc_id, array_to_string(list_sort(list_filter(
+         CASE WHEN o_orderkey % 41 = 0 THEN ['minItems:lines'] WHEN o_orderkey % 43 = 0 THEN ['type:lines'] ELSE [
+           CASE WHEN o_orderkey % 47 = 0 THEN 'required:lines[0].qty' END,
+           CASE WHEN o_orderkey % 29 = 0 THEN 'type:lines[1].qty' END,
+           CASE WHEN o_orderkey % 31 = 0 THEN 'minItems:lines[1].tags' WHEN o_orderkey % 37 = 0 THEN 'type:lines[1].tags[1]' END
+         ] END, lambda x: x IS NOT NULL)), ',') AS violations
+       FROM orders""",
+)
+def validate_json_arrays(spark, sf):
+    """Rules on array items, arrays in arrays and their lengths, each with its position;
+    broken values by key arithmetic over all orders."""
+    k = F.col("o_orderkey")
+    qty0 = F.when(k % 47 == 0, F.lit("")).otherwise(F.concat(F.lit('"qty":'), k.cast("string"), F.lit(",")))
+    qty1 = F.when(k % 29 == 0, F.lit('"five"')).otherwise(F.lit("5"))
+    tags = F.when(k % 31 == 0, F.lit("[]")).when(k % 37 == 0, F.lit('["a",7]')).otherwise(F.lit('["c"]'))
+    lines = F.concat(F.lit("[{"), qty0, F.lit('"tags":["a","b"]},{"qty":'), qty1, F.lit(',"tags":'), tags, F.lit("}]"))
+    body = F.concat(F.lit('{"lines":'), F.when(k % 41 == 0, F.lit("[]")).when(k % 43 == 0, F.lit('"none"')).otherwise(lines), F.lit("}"))
+    v = V.validate_json(Tables(spark, sf).orders.select(k.alias("doc_id"), body.alias("body")), "body", JSON_ARRAY_SCHEMA)
+    return v.select("doc_id", F.array_join(F.sort_array("violations"), ",").alias("violations"))
+
+
 @query(
     "validation_split",
     f"""{_VIOL_SQL} SELECT CASE WHEN len(viol) = 0 THEN 'accepted' ELSE 'rejected' END AS outcome, count(*) AS n

@@ -148,6 +148,65 @@ def code_classifier_accuracy(spark, sf):
     )
 
 
+def _learnable(spark, sf):
+    """(model, labelled test rows, all rows): codes that follow from segment and status but for
+    one row in twenty; every hundred-and-first row has none."""
+    t = Tables(spark, sf)
+    k = F.col("o_orderkey")
+    o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    rule = F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("F-"), F.substring("c_mktsegment", 1, 4))).otherwise(F.lit("GENERAL"))
+    rows = o.select(
+        "o_orderkey",
+        F.col("c_nationkey").cast("string").alias("nation"),
+        F.col("c_mktsegment").alias("segment"),
+        F.col("o_orderstatus").alias("status"),
+        F.month("o_orderdate").cast("string").alias("month"),
+        rule.alias("rule"),
+        F.when(k % 101 == 0, F.lit(None)).when(k % 20 == 7, F.lit("OTHER")).otherwise(rule).alias("code"),
+        (hash_bucket("o_orderkey", 5) == 0).alias("test"),
+    ).fillna("", _FOREST_FEAT)
+    coded = rows.where(F.col("code").isNotNull())
+    model = P.forest_pipeline(_FOREST_FEAT, "code").fit(coded.where(~F.col("test")))
+    return model, coded.where("test"), rows
+
+
+@query(
+    "code_classifier_beats_majority",
+    """SELECT count(*) AS n_test, true AS beats_majority FROM orders JOIN customer ON o_custkey = c_custkey
+       WHERE o_orderkey % 101 <> 0
+         AND CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8)) AS BIGINT) % 5 = 0""",
+)
+def code_classifier_beats_majority(spark, sf):
+    """Held-out accuracy of the forest on codes that follow from two features: at least
+    half of what always naming the most frequent code of the same rows gets wrong is right."""
+    model, test, _ = _learnable(spark, sf)
+    scored = model.transform(test).select("code", (F.col("prediction") == F.col("label")).alias("hit"))
+    per_code = scored.groupBy("code").agg(F.count(F.lit(1)).alias("n"), F.count_if("hit").alias("hits"))
+    n = F.sum("n")
+    return per_code.agg(n.alias("n_test"), (F.sum("hits") >= (n + F.max("n")) / 2).alias("beats_majority"))
+
+
+@query(
+    "autopopulate_from_model",
+    """SELECT count(*) AS n, count(*) FILTER (WHERE o_orderkey % 101 = 0) AS filled, true AS others_untouched, true AS mostly_right
+       FROM orders JOIN customer ON o_custkey = c_custkey""",
+)
+def autopopulate_from_model(spark, sf):
+    """Missing codes filled with the model's likeliest code, given ones untouched; four of
+    five filled codes are those that the rule behind the codes gives."""
+    model, _, rows = _learnable(spark, sf)
+    done = P.autopopulate_from_model(rows, "code", model)
+    filled = F.col("filled")
+    right = F.count_if(filled & (F.col("code") == F.col("rule")))
+    given = F.when(F.col("o_orderkey") % 20 == 7, F.lit("OTHER")).otherwise(F.col("rule"))
+    return done.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(filled).alias("filled"),
+        (F.count_if(~filled & ~F.col("code").eqNullSafe(given)) == 0).alias("others_untouched"),
+        (right >= 0.8 * F.count_if(filled)).alias("mostly_right"),
+    )
+
+
 def _forest_codes(spark, sf):
     model, codes, _, empty = _forest(spark, sf)
     # every row is scored, also those whose code the model cannot know

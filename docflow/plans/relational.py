@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docflow.functions import exprs as X
+from docflow.operators import bucketed as BU
 from docflow.operators import joins as J
 from docflow.operators import profile as P
 from docflow.plans.bindings import TARGET_SQL, target_orders
@@ -484,6 +485,19 @@ def copartitioned_join(spark, sf):
     )
 
 
+@query(
+    "bucketed_join",
+    """WITH l AS (SELECT l_orderkey, count(*) AS n_lines, sum(l_quantity) AS qty FROM lineitem GROUP BY 1)
+       SELECT o.o_orderkey, l.n_lines, l.qty, o.o_orderpriority FROM orders o JOIN l ON o.o_orderkey = l.l_orderkey""",
+)
+def bucketed_join(spark, sf):
+    """Both sides stored in buckets once; joins and aggregates on the key then shuffle neither."""
+    t = Tables(spark, sf)
+    li = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity")
+    with_lines = BU.store_pair(li, t.orders.select("o_orderkey", "o_orderpriority"), "o_orderkey").join()
+    return with_lines.groupBy("o_orderkey", "o_orderpriority").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("qty"))
+
+
 @query(
     "full_outer_merge",
     f"""WITH {TARGET_SQL}
