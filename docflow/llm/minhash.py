@@ -8,9 +8,12 @@
 3. Star links: in every bucket each member meets the smallest one. Pairs whose
    signatures agree in fewer than ``SKETCH`` of the places are dropped (0.8 lies
    more than five standard errors above), the rest is confirmed on the full sets.
-4. Buckets that still hold several components are compared whole, in blocks of
-   bounded size, and give only links that join components. No list of all pairs
-   is made, and no bucket is cut.
+4. In buckets that still hold several components the star is repeated: each
+   member meets ``PIVOTS`` members of other components, anew as long as a round
+   halves the components that are left. What then stays apart is compared whole,
+   in blocks of bounded size that give only links between components; the members
+   of a bucket's largest component are not compared with one another. No list of
+   all pairs is made, and no bucket is cut.
 5. Components by alternating large-star and small-star.
 
 Defined results: a document without words (or null) has no shingles, is linked
@@ -36,7 +39,8 @@ from docflow.llm.components import connected_components
 HASHES, BANDS = 128, 32
 ROWS = HASHES // BANDS
 SKETCH = 0.6
-BLOCK_DOCS, BLOCK_SHINGLES = 512, 500_000
+PIVOTS = 8
+BLOCK_DOCS, BLOCK_SHINGLES = 4096, 4_000_000
 _MULTIPLY, _ADD = odd_keys(HASHES, 11), odd_keys(HASHES, 12)
 
 
@@ -146,6 +150,58 @@ def _block_links(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
+def _confirmed(pairs: DataFrame, sigs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are similar on their full sets."""
+    pairs = pairs.join(sigs.toDF("a", "sig_a"), "a").join(sigs.toDF("b", "sig_b"), "b").select("a", "b", "sig_a", "sig_b")
+    inter = F.size(F.array_intersect("set_a", "set_b"))
+    return (
+        _agreeing(pairs)
+        .join(sets.toDF("a", "n_a", "set_a"), "a")
+        .join(sets.toDF("b", "n_b", "set_b"), "b")
+        .where(_similar(inter, F.col("n_a"), F.col("n_b")))
+        .select("a", "b")
+    )
+
+
+def _open_members(placed: DataFrame, found: DataFrame) -> DataFrame:
+    """(band, key, rep, n, component, members, weight of the component, big) of
+    the buckets that hold several components; ``big`` marks the largest of each."""
+    labelled = placed.join(found, placed["rep"] == found["node"], "left").select("band", "key", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    held = labelled.groupBy("band", "key", "component").agg(F.count("*").alias("members"), F.sum("n").alias("weight"))
+    largest = held.groupBy("band", "key").agg(F.max_by("component", F.struct("members", "component")).alias("largest"), F.count("*").alias("kinds")).where("kinds > 1")
+    held = held.join(largest, ["band", "key"]).select("band", "key", "component", "members", "weight", (F.col("component") == F.col("largest")).alias("big"))
+    return labelled.join(held, ["band", "key", "component"]).select("band", "key", "rep", "n", "component", "members", "weight", "big")
+
+
+def _pivot_pairs(rest: DataFrame, turn: int) -> DataFrame:
+    """(a, b): every member beside up to ``PIVOTS`` members of other components of
+    its bucket, other ones each turn. One pivot a slice of the components."""
+    drawn = F.xxhash64("rep", F.lit(turn))
+    slices = rest.groupBy("band", "key", F.pmod(F.xxhash64("component", F.lit(turn)), F.lit(PIVOTS)).alias("slice")).agg(
+        F.min_by(F.struct(F.col("rep").alias("pivot"), F.col("component").alias("of")), F.struct(drawn, "rep")).alias("p")
+    )
+    pivots = slices.groupBy("band", "key").agg(F.collect_list("p").alias("pivots"))  # PIVOTS at most
+    met = rest.join(pivots, ["band", "key"]).select("rep", "component", F.inline("pivots")).where("component <> of")
+    return met.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
+
+
+def _blocks(rest: DataFrame) -> DataFrame:
+    """Members by block pair (i, j) of their bucket: the largest component in the
+    first blocks, all others in the last; the former meet the latter only."""
+    parts = F.greatest(F.ceil(F.col("m") / BLOCK_DOCS), F.ceil(F.col("w") / BLOCK_SHINGLES)).cast("int")
+    sides = rest.groupBy("band", "key", "big", "component").agg(F.first("members").alias("m"), F.first("weight").alias("w"))
+    sides = sides.groupBy("band", "key", "big").agg(F.sum("m").alias("m"), F.sum("w").alias("w")).withColumn("parts", parts)
+    sides = sides.groupBy("band", "key").agg(F.max(F.when(F.col("big"), F.col("parts"))).alias("first"), F.max(F.when(~F.col("big"), F.col("parts"))).alias("last"))
+    part = F.when(F.col("big"), F.pmod(F.xxhash64("rep"), F.col("first"))).otherwise(F.col("first") + F.pmod(F.xxhash64("rep"), F.col("last")))
+    start = F.when(F.col("big"), F.col("first")).otherwise(F.lit(0))
+    return (
+        rest.join(sides, ["band", "key"])
+        .withColumn("part", part.cast("int"))
+        .withColumn("other", F.explode(F.sequence(start, F.col("first") + F.col("last") - 1)))
+        .select("band", "key", "rep", "component", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+    )
+
+
 def near_groups(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles, component_id (smallest id reachable), kept; one row per row."""
     feats = written(features(docs, width, id_col, text_col), "minhash-features")
@@ -163,39 +219,28 @@ def near_groups(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_co
         .where("size > 1")
     )
     # buckets of the same members count once, in their first band
-    buckets = buckets.groupBy("size", "weight", "center", "top", "members").agg(F.min(F.struct("band", "key")).alias("k")).select("size", "weight", "center", "k.band", "k.key")
-    placed = written(bands.select("band", "key", "rep").join(buckets, ["band", "key"]), "minhash-buckets")
+    buckets = buckets.groupBy("size", "weight", "center", "top", "members").agg(F.min(F.struct("band", "key")).alias("k")).select("center", "k.band", "k.key")
+    placed = written(bands.select("band", "key", "rep", "n").join(buckets, ["band", "key"]), "minhash-buckets")
 
     wanted = placed.select("rep").distinct().join(classes, "rep")
     sets = written(candidate_sets(docs, wanted, width, id_col, text_col), "minhash-sets")
     sigs = classes.select("rep", "sig")
 
     stars = placed.where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
-    stars = stars.join(sigs.toDF("a", "sig_a"), "a").join(sigs.toDF("b", "sig_b"), "b").select("a", "b", "sig_a", "sig_b")
-    inter = F.size(F.array_intersect("set_a", "set_b"))
-    links = written(
-        _agreeing(stars)
-        .join(sets.toDF("a", "n_a", "set_a"), "a")
-        .join(sets.toDF("b", "n_b", "set_b"), "b")
-        .where(_similar(inter, F.col("n_a"), F.col("n_b")))
-        .select("a", "b"),
-        "minhash-links",
-    )
-    found = connected_components(links)
-    labelled = placed.join(found, placed["rep"] == found["node"], "left").withColumn("component", F.coalesce("component", "rep")).drop("node")
-    open_buckets = labelled.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("band", "key")
-    parts = F.greatest(F.ceil(F.col("size") / BLOCK_DOCS), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int")
-    rest = (
-        labelled.join(open_buckets, ["band", "key"], "left_semi")
-        .withColumn("parts", parts)
-        .withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("band", "key", "rep", "component", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
-        .join(sigs, "rep")
-        .join(sets, "rep")
-    )
-    more = rest.groupBy("band", "key", "i", "j").applyInPandas(_block_links, "a long, b long")
-    linked = connected_components(links.unionByName(written(more, "minhash-more-links")))
+    links = written(_confirmed(stars, sigs, sets), "minhash-links")
+    linked = connected_components(links)
+    left, turn = None, 0
+    while True:
+        rest = written(_open_members(placed, linked), "minhash-open")
+        before, left = left, rest.select("component").distinct().count()
+        if not left or (before is not None and 2 * left > before):
+            break
+        turn += 1
+        more = written(_confirmed(_pivot_pairs(rest, turn), sigs, sets), "minhash-pivot-links")
+        linked = connected_components(linked.toDF("a", "b").unionByName(more))
+    if left:
+        more = _blocks(rest).join(sigs, "rep").join(sets, "rep").groupBy("band", "key", "i", "j").applyInPandas(_block_links, "a long, b long")
+        linked = connected_components(linked.toDF("a", "b").unionByName(written(more, "minhash-more-links")))
 
     member = feats.select("id", "n", "digest").join(classes.select("digest", "rep"), "digest", "left")
     component = F.when(F.col("n") > 0, F.coalesce("component", "rep")).otherwise(F.col("id"))
