@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -77,69 +78,97 @@ class _Tokens(dict):
 _KNOWN = _Tokens()
 
 
-def tokens(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(kinds, hashes, which capitalised words start a sentence) of the words of a text."""
-    found = _TOKENS.findall(text or "")
-    packed = np.fromiter(map(_KNOWN.__getitem__, found), dtype=np.uint64, count=len(found))
-    kind = (packed & np.uint64(7)).astype(np.int8)
-    before = np.concatenate([[_STOP], kind[:-1]]) if len(kind) else kind
-    first = (kind == _CAPITAL) & (before == _STOP)
-    kind[(kind == _UNIT) & (before != _NUMBER)] = _WORD
-    words = kind != _STOP
-    return kind[words], (packed & ~np.uint64(7))[words], first[words]
-
-
-def template(kind: np.ndarray, raw: np.ndarray, first: np.ndarray, form: str) -> tuple[np.ndarray, np.ndarray]:
+class Tokens:
+    """The words of several texts in one row of arrays: kind, hash, whether a
+    capitalised word starts a sentence, and where each text starts and ends."""
+
+    def __init__(self, texts: list[str | None]):
+        found = [_TOKENS.findall(t or "") for t in texts]
+        ends = np.cumsum([len(f) for f in found], dtype=np.int64)
+        packed = np.fromiter(map(_KNOWN.__getitem__, chain.from_iterable(found)), dtype=np.uint64, count=int(ends[-1]) if len(ends) else 0)
+        kind = (packed & np.uint64(7)).astype(np.int8)
+        before = np.empty_like(kind)
+        before[1:] = kind[:-1]
+        begins = np.concatenate([[0], ends[:-1]])
+        before[begins[begins < len(kind)]] = _STOP  # each text's own start
+        first = (kind == _CAPITAL) & (before == _STOP)
+        kind[(kind == _UNIT) & (before != _NUMBER)] = _WORD
+        words = kind != _STOP
+        kept = np.concatenate([[0], np.cumsum(words)])
+        self.kind, self.raw, self.first = kind[words], (packed & ~np.uint64(7))[words], first[words]
+        self.starts, self.ends = kept[begins], kept[ends]
+        # the words left in a word's text, from it on
+        self.left = np.repeat(self.ends, self.ends - self.starts) - np.arange(len(self.kind))
+
+
+def template(words: Tokens, form: str) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of template tokens, which are slots). In form "names" capitalised words
     are names at the start of a sentence too, in form "caseless" only numbers are slots."""
     if form == "caseless":
-        slot = kind == _NUMBER
-        return np.where(slot, _SLOTS[_NUMBER], raw), slot
-    slot = kind != _WORD
+        slot = words.kind == _NUMBER
+        return np.where(slot, _SLOTS[_NUMBER], words.raw), slot
+    slot = words.kind != _WORD
     if form == "template":
-        slot &= ~first
-    return np.where(slot, _SLOT_OF[kind], raw), slot
+        slot &= ~words.first
+    return np.where(slot, _SLOT_OF[words.kind], words.raw), slot
 
 
-def windows(text: str | None, widths: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each form and width (width, window hashes, slot values of the tokens; 0:
-    no slot); the last two bits of a hash are the form's number. The text is
-    tokenised once for all of them."""
-    kind, raw, first = tokens(text)
+def windows(words: Tokens, widths: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each form and width (width, window hashes, slot values of the tokens (0:
+    no slot), places of the windows that lie in one text); the last two bits of a
+    hash are the form's number."""
     plain_hashes: dict[int, np.ndarray] = {}
     for f, form in enumerate(FORMS):
-        typed, slot = template(kind, raw, first, form)
-        values = np.where(slot, raw, np.uint64(0)).view(np.int64)
+        typed, slot = template(words, form)
+        values = np.where(slot, words.raw, np.uint64(0)).view(np.int64)
         ordinary = np.concatenate([[0], np.cumsum(~slot)])
         for width in widths:
             if len(typed) < width:
                 continue
             hashes = window_hashes(typed, width)
-            plain = ordinary[width:] - ordinary[:-width] < min(ANCHORS, width)
-            if plain.any():
+            plain = np.flatnonzero(ordinary[width:] - ordinary[:-width] < min(ANCHORS, width))
+            if len(plain):
                 if width not in plain_hashes:
-                    plain_hashes[width] = mix64(window_hashes(raw, width))
-                hashes = np.where(plain, plain_hashes[width], hashes)
-            yield width, mix64(hashes ^ np.uint64(width)) & ~np.uint64(3) | np.uint64(f), values
+                    plain_hashes[width] = mix64(window_hashes(words.raw, width))
+                hashes[plain] = plain_hashes[width][plain]
+            places = np.flatnonzero(words.left[: len(hashes)] >= width)
+            yield width, mix64(hashes ^ np.uint64(width)) & ~np.uint64(3) | np.uint64(f), values, places
+
+
+def _slices(b: pa.RecordBatch, chars: int = 1_000_000) -> Iterator[tuple[np.ndarray, list[str | None]]]:
+    """(ids, texts) of a batch, in parts of about ``chars`` characters; longer texts alone."""
+    ids = b.column(0).to_numpy(zero_copy_only=False)
+    lo, texts, size = 0, [], 0
+    for k, t in enumerate(b.column(1)):
+        texts.append(t.as_py())
+        size += len(texts[-1] or "")
+        if size >= chars:
+            yield ids[lo : k + 1], texts
+            lo, texts, size = k + 1, [], 0
+    if texts:
+        yield ids[lo:], texts
 
 
 _SCHEMA = "id long, pos int, windows int, h long, slots array<long>"
 
 
 def _rows(batches: Iterator[pa.RecordBatch], cut) -> Iterator[pa.RecordBatch]:
-    """A row per window that ``cut(text)`` gives as (width, hashes, values, places)."""
+    """A row per window that ``cut(words)`` gives as (width, hashes, values, places)."""
     names = ["id", "pos", "windows", "h", "slots"]
     for b in batches:
-        for i, t in zip(b.column(0), b.column(1), strict=True):
-            for width, hashes, values, places in cut(t.as_py()):
+        for ids, texts in _slices(b):
+            words = Tokens(texts)
+            text_of = np.repeat(np.arange(len(texts)), words.ends - words.starts)
+            for width, hashes, values, places in cut(words):
                 for lo in range(0, len(places), 50_000):
                     at = places[lo : lo + 50_000]
+                    whose = text_of[at]
                     slots = values[at[:, None] + np.arange(width)]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.full(len(at), i.as_py()), pa.int64()),
-                            pa.array(at, pa.int32()),
-                            pa.array(np.full(len(at), len(hashes)), pa.int32()),
+                            pa.array(ids[whose], pa.int64()),
+                            pa.array(at - words.starts[whose], pa.int32()),
+                            pa.array((words.ends - words.starts)[whose] - width + 1, pa.int32()),
                             pa.array(hashes[at].view(np.int64)),
                             pa.ListArray.from_arrays(np.arange(len(at) + 1, dtype=np.int32) * width, slots.ravel()),
                         ],
@@ -163,10 +192,12 @@ def _joined(batches: Iterator[pa.RecordBatch], rows: int = 20_000) -> Iterator[p
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """Windows of the benchmark items: id, pos, windows (their number), h, slots."""
 
-    def cut(text):
-        n = len(tokens(text)[0])
-        for width, hashes, values in windows(text, [min(WIDTH, n)] if n else []):
-            yield width, hashes, values, np.arange(len(hashes))
+    def cut(words):
+        # an item's own width: WIDTH, or all its words if it has fewer
+        own = np.minimum(WIDTH, words.ends - words.starts)
+        own = np.repeat(own, words.ends - words.starts)
+        for width, hashes, values, places in windows(words, sorted(set(own.tolist()))):
+            yield width, hashes, values, places[own[places] == width]
 
     rows = items.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long"), text_col)
     return rows.mapInArrow(lambda it: _joined(_rows(it, cut)), _SCHEMA)
@@ -180,11 +211,9 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item
     # at most WIDTH widths: those of items that are shorter, and WIDTH
     widths = sorted(r[0] for r in known.select(F.size("slots")).distinct().collect())
 
-    def cut(text):
-        for width, hashes, values in windows(text, widths):
-            places = np.flatnonzero(in_bitmap(bitmap.value, hashes))
-            if len(places):
-                yield width, hashes, values, places
+    def cut(words):
+        for width, hashes, values, places in windows(words, widths):
+            yield width, hashes, values, places[in_bitmap(bitmap.value, hashes[places])]
 
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long"), "text")
     hits = rows.mapInArrow(lambda it: _joined(_rows(it, cut)), _SCHEMA).select("id", F.col("pos").alias("doc_pos"), "h", F.col("slots").alias("doc_slots"))
