@@ -9,8 +9,8 @@
    signatures agree in fewer than ``SKETCH`` of the places are dropped (0.8 lies
    more than five standard errors above), the rest is confirmed on the full sets.
 4. In buckets that still hold several components the star is repeated: each
-   member meets ``PIVOTS`` members of other components, anew as long as a round
-   halves the components that are left. What then stays apart is compared whole,
+   member outside the bucket's largest component meets ``PIVOTS`` members of other
+   components, anew as long as a round halves the components that are left. What then stays apart is compared whole,
    in blocks of bounded size that give only links between components; the members
    of a bucket's largest component are not compared with one another. No list of
    all pairs is made, and no bucket is cut.
@@ -174,14 +174,15 @@ def _open_members(placed: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _pivot_pairs(rest: DataFrame, turn: int) -> DataFrame:
-    """(a, b): every member beside up to ``PIVOTS`` members of other components of
-    its bucket, other ones each turn. One pivot a slice of the components."""
+    """(a, b): every member outside the largest component of its bucket beside up to
+    ``PIVOTS`` members of other components there, other ones each turn. One pivot a
+    slice of the components."""
     drawn = F.xxhash64("rep", F.lit(turn))
     slices = rest.groupBy("band", "key", F.pmod(F.xxhash64("component", F.lit(turn)), F.lit(PIVOTS)).alias("slice")).agg(
         F.min_by(F.struct(F.col("rep").alias("pivot"), F.col("component").alias("of")), F.struct(drawn, "rep")).alias("p")
     )
     pivots = slices.groupBy("band", "key").agg(F.collect_list("p").alias("pivots"))  # PIVOTS at most
-    met = rest.join(pivots, ["band", "key"]).select("rep", "component", F.inline("pivots")).where("component <> of")
+    met = rest.where(~F.col("big")).join(pivots, ["band", "key"]).select("rep", "component", F.inline("pivots")).where("component <> of")
     return met.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
 
 
