@@ -1,16 +1,18 @@
 """Toxicity scores from the nearest labelled examples.
 
-Fit, on a bounded sample of labelled rows (``MAX_EXAMPLES``): the terms that
-carry label evidence (lower Wilson bound of the toxic rate over one half, at
-most ``MAX_TERMS``), and an inverted index of the examples over these terms.
+Fit, on a bounded sample of labelled rows: which terms carry label evidence
+(lower Wilson bound of the toxic rate over one half, from ``MAX_SAMPLE`` rows),
+and an inverted index of ``MAX_EXAMPLES`` of them over all their terms.
 Document frequencies are counted over all documents.
 
-Score: TF-IDF cosine (1 + log tf, smoothed idf) to the ``K`` nearest examples,
-exactly, by block-max pruning: postings are grouped in blocks of examples, each
-block's term maxima bound its cosines, blocks are opened from the largest bound
-down until no bound exceeds the K-th cosine. The votes are weighted by cosine
-and smoothed with the toxic rate of examples without evidence, which is also the
-score of a text without evidence. The nearest ids and terms are the evidence.
+Score: TF-IDF cosine (1 + log tf, smoothed idf, ``LIFT`` times as much for
+terms with label evidence) to the ``K`` nearest examples, exactly, by block-max
+pruning: postings are grouped in blocks of examples, each block's term maxima
+bound its cosines, blocks are opened from the largest bound down until no bound
+exceeds the K-th cosine. Every example can be a neighbour, and every term of the
+examples counts. The votes are weighted by cosine and smoothed with the toxic
+rate of examples without evidence, which is also the score of a text that shares
+no term with an example. The nearest ids and terms are the evidence.
 
 Defined results: null or empty text has the base score. Rows are scored
 independently; ids may be null (then never held out, as crc32 of null is null)
@@ -34,9 +36,10 @@ from pyspark.sql import functions as F
 from docflow.llm.common import docs_of, query, written
 from docflow.sources.tables import table
 
-MAX_EXAMPLES = 20_000
-MAX_TERMS = 5_000
+MAX_SAMPLE = 20_000  # labelled rows that evidence is learned from
+MAX_EXAMPLES = 4_000  # labelled rows in the index
 MIN_EXAMPLES = 5  # labelled examples that a term needs
+LIFT = 16.0  # weight of a term with label evidence
 WILSON_Z = 2.58
 K, BLOCK, SMOOTH, PRIOR = 25, 64, 1.0, 0.1
 FOLDS = 5
@@ -48,7 +51,7 @@ def held_out(id_col):
     return F.coalesce(F.pmod(F.crc32(F.encode(id_col.cast("string"), "UTF-8")), F.lit(FOLDS)) == 0, F.lit(False))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> DataFrame:
+def training_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_SAMPLE) -> DataFrame:
     """(id, toxic, terms): about ``most`` labelled texts outside the held-out fold,
     chosen by a hash of the id (a sample of that rate, so ``most`` is its mean)."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -68,27 +71,23 @@ def training_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES
     return picked.mapInArrow(run, "id long, toxic int, terms array<string>, tf array<int>")
 
 
-def evidence_terms(sample: DataFrame, most: int = MAX_TERMS) -> list[str]:
-    """The terms whose examples are toxic more often than not, beyond chance."""
+def example_terms(sample: DataFrame) -> DataFrame:
+    """(term, evidence): every term of the sample, and whether its examples are
+    toxic more often than not, beyond chance."""
     n, p = F.col("n"), F.col("toxic") / F.col("n")
     z2 = WILSON_Z * WILSON_Z
     low = (p + z2 / (2 * n) - WILSON_Z * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
-    rows = (
-        sample.select(F.explode("terms").alias("term"), F.col("toxic").alias("y"))
+    counted = (
+        sample.select(F.explode("terms").alias("term"), F.col("toxic").alias("y"), "indexed")
         .groupBy("term")
-        .agg(F.count("*").alias("n"), F.sum("y").alias("toxic"))
-        .where(n >= MIN_EXAMPLES)
-        .withColumn("low", low)
-        .where("low > 0.5")
-        .orderBy(F.desc("low"), "term")
-        .limit(most)
-        .collect()
+        .agg(F.count("*").alias("n"), F.sum("y").alias("toxic"), F.max("indexed").alias("indexed"))
+        .withColumn("evidence", (n >= MIN_EXAMPLES) & (low > 0.5))
     )
-    return [r["term"] for r in rows]
+    return counted.where("indexed OR evidence").select("term", "evidence")
 
 
 def term_counts(docs: DataFrame, terms: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, terms, tf): numbers and frequencies of the evidence terms of every text."""
+    """(id, terms, tf): numbers and frequencies of the given terms in every text."""
     number = docs.sparkSession.sparkContext.broadcast({t: k for k, t in enumerate(terms)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,8 +101,8 @@ def term_counts(docs: DataFrame, terms: list[str], id_col: str = "doc_id", text_
     return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "id long, terms array<int>, tf array<int>")
 
 
-def evidence_only(sample: DataFrame, terms: list[str]) -> DataFrame:
-    """(id, toxic, terms, tf) of the sample with the numbers of the evidence terms."""
+def numbered(sample: DataFrame, terms: list[str]) -> DataFrame:
+    """(id, toxic, terms, tf) of the sample with the numbers of the given terms."""
     number = sample.sparkSession.sparkContext.broadcast({t: k for k, t in enumerate(terms)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +112,7 @@ def evidence_only(sample: DataFrame, terms: list[str]) -> DataFrame:
             cols = [pa.array([[x[k] for x in z] for z in kept], pa.list_(pa.int32())) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=["id", "toxic", "terms", "tf"])
 
-    return sample.mapInArrow(run, "id long, toxic int, terms array<int>, tf array<int>")
+    return sample.select("id", "toxic", "terms", "tf").mapInArrow(run, "id long, toxic int, terms array<int>, tf array<int>")
 
 
 def unit_weights(terms: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -122,65 +121,79 @@ def unit_weights(terms: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> np.ndarr
     return w / np.sqrt((w * w).sum())
 
 
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, lengths): the positions of all ranges, one after the other."""
+    n = hi - lo
+    return np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum())), n
+
+
 @dataclass
 class BlockMaxIndex:
-    """Postings of the examples by term, with the largest weight of each block."""
+    """Postings of the examples by term and block, with the largest weight of each."""
 
     idf: np.ndarray
     ids: np.ndarray
     toxic: np.ndarray
     base: float
-    starts: np.ndarray  # (terms, blocks + 1): where a block's postings start
-    examples: np.ndarray
+    starts: np.ndarray  # by term: where its entries start
+    blocks: np.ndarray  # by entry: block, largest weight, where its postings start
+    most: np.ndarray
+    posts: np.ndarray
+    examples: np.ndarray  # by posting: example, weight
     weights: np.ndarray
-    most: np.ndarray  # (terms, blocks)
 
     @classmethod
     def build(cls, examples: list[tuple[int, int, list[int], list[int]]], idf: np.ndarray, base: float) -> BlockMaxIndex:
-        """``examples``: (id, toxic, terms, tf) of the examples with evidence."""
-        rows = [(i, y, np.array(ts), unit_weights(np.array(ts), np.array(tf), idf)) for i, y, ts, tf in examples]
+        """``examples``: (id, toxic, terms, tf) of the examples that have terms."""
+        rows = [(i, y, np.asarray(ts), unit_weights(np.asarray(ts), np.asarray(tf), idf)) for i, y, ts, tf in examples]
         # examples of the same strongest terms share blocks, which makes bounds tight
         rows.sort(key=lambda r: (*r[2][np.argsort(-r[3], kind="stable")][:3].tolist(), r[0]))
-        blocks = -(-len(rows) // BLOCK)
-        postings: list[list[tuple[int, float]]] = [[] for _ in idf]
-        most = np.zeros((len(idf), blocks))
-        for e, (_, _, ts, w) in enumerate(rows):
-            for t, x in zip(ts.tolist(), w.tolist(), strict=True):
-                postings[t].append((e, x))
-                most[t, e // BLOCK] = max(most[t, e // BLOCK], x)
-        starts = np.zeros((len(idf), blocks + 1), dtype=np.int64)
-        at = 0
-        for t, post in enumerate(postings):
-            edges = np.searchsorted([e for e, _ in post], np.arange(blocks + 1) * BLOCK)
-            starts[t] = at + edges
-            at += len(post)
-        flat = [p for post in postings for p in post]
+        none = np.zeros(0)
+        example = np.repeat(np.arange(len(rows)), [len(r[2]) for r in rows])
+        term = np.concatenate([r[2] for r in rows] or [none]).astype(np.int64)
+        weight = np.concatenate([r[3] for r in rows] or [none])
+        order = np.lexsort((example, term))
+        example, term, weight = example[order], term[order], weight[order]
+        block = example // BLOCK
+        first = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])]) if len(term) else none)
         return cls(
             idf, np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.int64), base,
-            starts, np.array([e for e, _ in flat], dtype=np.int64), np.array([x for _, x in flat]), most,
+            np.searchsorted(term[first], np.arange(len(idf) + 1)), block[first].astype(np.int32),
+            np.maximum.reduceat(weight, first) if len(first) else none, np.append(first, len(term)), example.astype(np.int32), weight,
         )
 
     def nearest(self, terms: np.ndarray, tf: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
         """(example numbers, cosines) of the k nearest, exactly; of equal cosines
-        those of blocks with the larger bound come first."""
+        those of the lower example number among the opened blocks come first."""
         if not len(self.ids) or not len(terms):
             return np.zeros(0, dtype=np.int64), np.zeros(0)
         q = unit_weights(terms, tf, self.idf)
-        bounds = q @ self.most[terms]
-        best_e, best_s = np.zeros(0, dtype=np.int64), np.zeros(0)
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or (len(best_s) == k and bounds[block] <= best_s[-1]):
+        entries, n = _ranges(self.starts[terms], self.starts[terms + 1])
+        share, of_block = np.repeat(q, n), self.blocks[entries]
+        bounds = np.bincount(of_block, share * self.most[entries], -(-len(self.ids) // BLOCK))
+        # a margin for the rounding of sums in another order
+        order, bounds = np.argsort(-bounds, kind="stable"), bounds + 1e-12
+        scores, opened, step = np.zeros(len(self.ids)), 0, 4
+        while opened < len(order):
+            kth = np.partition(scores, -k)[-k] if len(scores) >= k else 0.0
+            if bounds[order[opened]] <= max(kth, 1e-12):
                 break
-            scores = np.zeros(BLOCK)
-            for t, x in zip(terms, q, strict=True):
-                lo, hi = self.starts[t, block], self.starts[t, block + 1]
-                scores[self.examples[lo:hi] - block * BLOCK] += x * self.weights[lo:hi]
-            hit = np.flatnonzero(scores > 0)
-            best_e = np.concatenate([best_e, hit + block * BLOCK])
-            best_s = np.concatenate([best_s, scores[hit]])
-            order = np.argsort(-best_s, kind="stable")[:k]
-            best_e, best_s = best_e[order], best_s[order]
-        return best_e, best_s
+            chosen = np.zeros(len(order), dtype=bool)
+            chosen[order[opened : opened + step]] = True
+            here = chosen[of_block]
+            e = entries[here]
+            posts, m = _ranges(self.posts[e], self.posts[e + 1])
+            scores += np.bincount(self.examples[posts], np.repeat(share[here], m) * self.weights[posts], len(scores))
+            opened, step = opened + step, step * 2
+        near = np.argsort(-scores, kind="stable")[:k] if len(scores) <= 4 * k else self._largest(scores, k)
+        near = near[scores[near] > 0]
+        return near, scores[near]
+
+    @staticmethod
+    def _largest(scores: np.ndarray, k: int) -> np.ndarray:
+        """Numbers of the k largest scores, the lower number first among equal ones."""
+        some = np.flatnonzero(scores >= np.partition(scores, -k)[-k])
+        return some[np.argsort(-scores[some], kind="stable")][:k]
 
     def score(self, terms: np.ndarray, tf: np.ndarray) -> tuple[float, list[int]]:
         """Smoothed distance-weighted vote, and the ids of the nearest examples."""
@@ -189,38 +202,61 @@ class BlockMaxIndex:
         return min(1.0, max(0.0, vote)), self.ids[near][:5].tolist()
 
 
-def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted, neighbours (ids), evidence (terms)."""
-    spark = docs.sparkSession
-    sample = written(training_sample(docs, labels), "toxicity-sample")
-    terms = evidence_terms(sample)
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[BlockMaxIndex, list[str], np.ndarray, DataFrame]:
+    """(index, terms, has evidence by term, counted terms of every text)."""
+    sample = training_sample(docs, labels)
+    sample = written(sample.withColumn("__h", F.xxhash64("id", F.lit(11))), "toxicity-sample")
+    rate = min(1.0, MAX_EXAMPLES / max(1, sample.count()))
+    sample = sample.withColumn("indexed", F.pmod("__h", F.lit(1 << 30)) < int(rate * (1 << 30)))
+    # the terms of a bounded sample of rows
+    found = sorted(map(tuple, example_terms(sample).collect()))
+    terms, evidence = [t for t, _ in found], np.array([e for _, e in found], dtype=bool)
     counted = written(term_counts(docs, terms), "toxicity-terms")
     n = counted.count()
+
+    def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(terms), dtype=np.int64)
+        for b in batches:
+            total += np.bincount(b.column(0).flatten().to_numpy(), minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["t", "n"])
+
     df = np.zeros(len(terms))
-    # a number per evidence term
-    for t, c in counted.select(F.explode("terms").alias("t")).groupBy("t").count().collect():
+    # a number per term of the sample
+    for t, c in counted.select("terms").mapInArrow(present, "t int, n long").groupBy("t").agg(F.sum("n")).collect():
         df[t] = c
-    idf = np.log((n + 1) / (df + 1)) + 1
-    used = written(evidence_only(sample, terms), "toxicity-examples")
-    # the bounded sample, reduced to its evidence terms
-    rows = used.where(F.size("terms") > 0).collect()
-    bare = used.where(F.size("terms") == 0).agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("y")).first()
-    base = (bare["y"] + 1) / (bare["n"] + 1 / PRIOR)
-    examples = sorted((r["id"], r["toxic"], r["terms"], r["tf"]) for r in rows)
-    index = spark.sparkContext.broadcast(BlockMaxIndex.build(examples, idf, base))
-    words = spark.sparkContext.broadcast(terms)
+    weight = (np.log((n + 1) / (df + 1)) + 1) * np.where(evidence, LIFT, 1.0)
+    rows = numbered(sample.where("indexed"), terms).collect()
+    bare = [r["toxic"] for r in rows if not evidence[r["terms"]].any()]
+    base = (sum(bare) + 1) / (len(bare) + 1 / PRIOR)
+    examples = sorted((r["id"], r["toxic"], r["terms"], r["tf"]) for r in rows if r["terms"])
+    return BlockMaxIndex.build(examples, weight, base), terms, evidence, counted
+
+
+def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score, predicted, neighbours (ids), evidence (terms)."""
+    spark = docs.sparkSession
+    fitted, terms, has_evidence, counted = fit(docs, labels)
+    index = spark.sparkContext.broadcast(fitted)
+    words = spark.sparkContext.broadcast({int(k): terms[k] for k in np.flatnonzero(has_evidence)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[tuple, tuple[float, list[int]]] = {}
+        seen: dict[tuple[bytes, bytes], tuple[float, list[int], list[str]]] = {}
+        evidence = np.zeros(len(index.value.idf), dtype=bool)
+        evidence[list(words.value)] = True
         for b in batches:
             out = []
-            for ts, tf in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                key = (*ts, *tf)
+            ends = b.column(1).offsets.to_numpy()
+            all_terms, all_tf = b.column(1).values.to_numpy(), b.column(2).values.to_numpy()
+            tf_ends = b.column(2).offsets.to_numpy()
+            for i in range(b.num_rows):
+                ts, tf = all_terms[ends[i] : ends[i + 1]], all_tf[tf_ends[i] : tf_ends[i + 1]]
+                key = (ts.tobytes(), tf.tobytes())
                 if key not in seen:
-                    if len(seen) > 100_000:
+                    if len(seen) > 5_000:
                         seen.clear()
-                    seen[key] = index.value.score(np.array(ts, dtype=np.int64), np.array(tf, dtype=np.int64))
-                out.append((*seen[key], [words.value[t] for t in ts]))
+                    seen[key] = (*index.value.score(ts, tf), [words.value[t] for t in ts[evidence[ts]].tolist()])
+                out.append(seen[key])
             cols = [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.float64(), pa.list_(pa.int64()), pa.list_(pa.string())))]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=["doc_id", "score", "neighbours", "evidence"])
 

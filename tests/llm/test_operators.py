@@ -3,8 +3,10 @@ trip, with nulls, empty and long texts, ties, repeated rows, empty tables and
 further columns."""
 
 import hashlib
+import math
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -206,6 +208,44 @@ def test_nearest_examples_are_exact():
         assert np.allclose(dense[index.ids[near]] @ q, cosine)
 
 
+def test_toxicity_votes_of_all_examples(spark):
+    """Scores, neighbours and counts against dense cosines over every term, with
+    equal texts, equal cosines, a very long text and texts without known terms."""
+    rng = random.Random(12)
+    texts = [words(rng, rng.randrange(3, 60), 30) + (" vile" * (i % 3 + 1) if i % 6 == 0 else "") for i in range(420)]
+    texts += ["baba1 kuku2"] * 90 + [words(rng, 20_000, 30) + " vile", "zzz qqq", "", None]
+    docs = list(enumerate(texts))
+    labels = spark.createDataFrame([(i, int(i < 420 and i % 6 == 0)) for i in range(510)], "doc_id long, toxic int")
+    index, terms, evidence, _ = toxicity.fit(frame(spark, docs), labels)
+    assert [t for t, e in zip(terms, evidence) if e] == ["vile"]
+    counts = {i: Counter(re.findall(r"[^\W_]+", (t or "").lower())) for i, t in docs}
+    learned = [i for i in range(510) if zlib.crc32(str(i).encode()) % 5]
+    assert sorted(index.ids.tolist()) == learned and set(terms) == set().union(*(counts[i] for i in learned))
+    number = {t: k for k, t in enumerate(terms)}
+    lift = np.array([(math.log((len(docs) + 1) / (sum(t in c for c in counts.values()) + 1)) + 1) * (16 if t == "vile" else 1) for t in terms])
+
+    def dense(i):
+        v = np.zeros(len(terms))
+        for t, f in counts[i].items():
+            if t in number:
+                v[number[t]] = (1 + math.log(f)) * lift[number[t]]
+        return v / (np.linalg.norm(v) or 1)
+
+    matrix, toxic = np.array([dense(i) for i in index.ids]), index.toxic
+    got = {r.doc_id: r for r in toxicity.score_documents(frame(spark, docs), labels).collect()}
+    for i, _ in docs:
+        cosine = matrix @ dense(i)
+        last = np.sort(cosine)[-toxicity.K]
+        # votes of equal cosines at the end of the list may be any of theirs
+        sure, tied = cosine > last + 1e-9, abs(cosine - last) <= 1e-9
+        seats = toxicity.K - sure.sum()
+        low, high = np.sort(toxic[tied])[:seats].sum(), np.sort(toxic[tied])[::-1][:seats].sum()
+        total = cosine[sure].sum() + seats * last + 1
+        votes = (cosine[sure] * toxic[sure]).sum() + index.base
+        assert (votes + low * last) / total - 1e-9 <= got[i].score <= (votes + high * last) / total + 1e-9
+        assert got[i].evidence == (["vile"] if "vile" in counts[i] else [])
+
+
 def test_toxicity_scores(spark):
     rng = random.Random(8)
     docs = [(i, words(rng, 40) + (" vile awful" if i % 4 == 0 else "")) for i in range(400)]
