@@ -40,6 +40,7 @@ MAX_SAMPLE = 20_000  # labelled rows that evidence is learned from
 MAX_EXAMPLES = 4_000  # labelled rows in the index
 MIN_EXAMPLES = 5  # labelled examples that a term needs
 LIFT = 16.0  # weight of a term with label evidence
+COMMON = 1 / 8  # terms of a larger share of the examples are kept as whole rows
 WILSON_Z = 2.58
 K, BLOCK, SMOOTH, PRIOR = 25, 64, 1.0, 0.1
 FOLDS = 5
@@ -129,12 +130,15 @@ def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class BlockMaxIndex:
-    """Postings of the examples by term and block, with the largest weight of each."""
+    """Postings of the examples by term and block, with the largest weight of each;
+    the weights of common terms as rows over all examples."""
 
     idf: np.ndarray
     ids: np.ndarray
     toxic: np.ndarray
     base: float
+    row: np.ndarray  # by term: its row of ``common``, or -1
+    common: np.ndarray
     starts: np.ndarray  # by term: where its entries start
     blocks: np.ndarray  # by entry: block, largest weight, where its postings start
     most: np.ndarray
@@ -152,12 +156,18 @@ class BlockMaxIndex:
         example = np.repeat(np.arange(len(rows)), [len(r[2]) for r in rows])
         term = np.concatenate([r[2] for r in rows] or [none]).astype(np.int64)
         weight = np.concatenate([r[3] for r in rows] or [none])
+        row, often = np.full(len(idf), -1), np.flatnonzero(np.bincount(term, minlength=len(idf)) > COMMON * len(rows))
+        row[often] = np.arange(len(often))
+        is_common = row[term] >= 0
+        common = np.zeros((len(often), len(rows)))
+        common[row[term[is_common]], example[is_common]] = weight[is_common]
+        example, term, weight = example[~is_common], term[~is_common], weight[~is_common]
         order = np.lexsort((example, term))
         example, term, weight = example[order], term[order], weight[order]
         block = example // BLOCK
         first = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])]) if len(term) else none)
         return cls(
-            idf, np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.int64), base,
+            idf, np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.int64), base, row, common,
             np.searchsorted(term[first], np.arange(len(idf) + 1)), block[first].astype(np.int32),
             np.maximum.reduceat(weight, first) if len(first) else none, np.append(first, len(term)), example.astype(np.int32), weight,
         )
@@ -167,24 +177,33 @@ class BlockMaxIndex:
         those of the lower example number among the opened blocks come first."""
         if not len(self.ids) or not len(terms):
             return np.zeros(0, dtype=np.int64), np.zeros(0)
-        q = unit_weights(terms, tf, self.idf)
-        entries, n = _ranges(self.starts[terms], self.starts[terms + 1])
+        q, row = unit_weights(terms, tf, self.idf), self.row[terms]
+        known = np.zeros(len(self.common))
+        known[row[row >= 0]] = q[row >= 0]
+        scores = known @ self.common
+        rest, q = terms[row < 0], q[row < 0]
+        entries, n = _ranges(self.starts[rest], self.starts[rest + 1])
         share, of_block = np.repeat(q, n), self.blocks[entries]
-        bounds = np.bincount(of_block, share * self.most[entries], -(-len(self.ids) // BLOCK))
-        # a margin for the rounding of sums in another order
-        order, bounds = np.argsort(-bounds, kind="stable"), bounds + 1e-12
-        scores, opened, step = np.zeros(len(self.ids)), 0, 4
-        while opened < len(order):
+        # the cosine over common terms is known, the rest is bounded; a margin for the rounding of sums in another order
+        bounds = np.maximum.reduceat(scores, np.arange(0, len(scores), BLOCK)) + 1e-12
+        bounds += np.bincount(of_block, share * self.most[entries], len(bounds))
+        order = np.argsort(-bounds, kind="stable")
+        opened, exact = order[:4], scores
+        while len(opened):
+            if 2 * len(opened) > len(order):  # most blocks: the terms' postings as they lie
+                posts, m = _ranges(self.posts[self.starts[rest]], self.posts[self.starts[rest + 1]])
+                values = np.repeat(q, m)
+                scores = exact
+            else:
+                chosen = np.zeros(len(order), dtype=bool)
+                chosen[opened] = True
+                here = chosen[of_block]
+                posts, m = _ranges(self.posts[entries[here]], self.posts[entries[here] + 1])
+                values = np.repeat(share[here], m)
+            scores = scores + np.bincount(self.examples[posts], values * self.weights[posts], len(scores))
+            bounds[opened] = 0.0
             kth = np.partition(scores, -k)[-k] if len(scores) >= k else 0.0
-            if bounds[order[opened]] <= max(kth, 1e-12):
-                break
-            chosen = np.zeros(len(order), dtype=bool)
-            chosen[order[opened : opened + step]] = True
-            here = chosen[of_block]
-            e = entries[here]
-            posts, m = _ranges(self.posts[e], self.posts[e + 1])
-            scores += np.bincount(self.examples[posts], np.repeat(share[here], m) * self.weights[posts], len(scores))
-            opened, step = opened + step, step * 2
+            opened = np.flatnonzero(bounds > max(kth, 1e-12)) if 2 * len(opened) <= len(order) else opened[:0]
         near = np.argsort(-scores, kind="stable")[:k] if len(scores) <= 4 * k else self._largest(scores, k)
         near = near[scores[near] > 0]
         return near, scores[near]
