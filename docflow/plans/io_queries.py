@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docflow.functions.udf import decode_column, utf8_decode
+from docflow.operators import discover as D
 from docflow.operators import upsert as U
 from docflow.plans.bindings import DOCS_SQL, order_documents
 from docflow.plans.registry import query
@@ -204,3 +205,74 @@ def pandas_decode(spark, sf):
     c = Tables(spark, sf).customer.select("c_custkey", F.when(F.col("c_custkey") % 7 == 0, broken).otherwise(blob).alias("blob"))
     d = c.select("c_custkey", decode_column("blob", utf8_decode).alias("d"))
     return d.select("c_custkey", F.col("d.value").alias("decoded"), F.col("d.error").alias("error"))
+
+
+# Orders as a collection whose writers changed over time: prices as texts in some
+# documents, a late sub-document, items of mixed kinds.
+_DRIFT_SQL = """d AS (SELECT o_orderkey AS id, o_orderstatus AS st, CAST(o_totalprice AS DECIMAL(15, 2)) AS price, o_orderkey % 7 = 0 AS as_text,
+                             o_orderkey % 5 <> 0 AS late, o_orderkey % 11 = 0 AS mixed, left(o_orderpriority, 1) AS code FROM orders)"""
+
+
+def _drifting_documents(t):
+    k = F.col("o_orderkey")
+    price = F.col("o_totalprice").cast("decimal(15, 2)").cast("string")
+    fields = F.concat_ws(
+        ", ",
+        F.concat(F.lit('"id": '), k.cast("string")),
+        F.concat(F.lit('"price": '), F.when(k % 7 == 0, F.concat(F.lit('"'), price, F.lit('"'))).otherwise(price)),
+        F.concat(F.lit('"tags": ["'), "o_orderstatus", F.when(k % 11 == 0, F.lit('", 1]')).otherwise(F.lit('"]'))),
+        F.when(k % 5 != 0, F.concat(F.lit('"priority": {"code": '), F.left("o_orderpriority", F.lit(1)), F.lit("}"))),
+    )
+    return t.orders.select(F.concat(F.lit("{"), fields, F.lit("}")).alias("body"))
+
+
+@query(
+    "discover_value_kinds",
+    f"""WITH {_DRIFT_SQL},
+            v AS (SELECT unnest([{{'path': '$', 'kind': 'OBJECT'}}, {{'path': 'id', 'kind': 'BIGINT'}},
+                                 {{'path': 'price', 'kind': CASE WHEN as_text THEN 'STRING' ELSE 'DECIMAL' END}},
+                                 {{'path': 'tags', 'kind': 'ARRAY'}}, {{'path': 'tags[]', 'kind': 'STRING'}}]
+                                || CASE WHEN mixed THEN [{{'path': 'tags[]', 'kind': 'BIGINT'}}] ELSE [] END
+                                || CASE WHEN late THEN [{{'path': 'priority', 'kind': 'OBJECT'}}, {{'path': 'priority.code', 'kind': 'BIGINT'}}] ELSE [] END)
+                  AS x FROM d)
+       SELECT x.path AS path, x.kind AS kind, count(*) AS n FROM v GROUP BY 1, 2""",
+)
+def discover_value_kinds(spark, sf):
+    """Kinds of value at every path of a drifting collection, with their counts."""
+    return D.value_kinds(_drifting_documents(Tables(spark, sf)), "body")
+
+
+@query(
+    "discover_conflicts",
+    f"""WITH {_DRIFT_SQL},
+            p AS (SELECT count(*) FILTER (as_text) AS s, count(*) FILTER (NOT as_text) AS r, count(*) AS n, count(*) FILTER (mixed) AS m FROM d)
+       SELECT 'price' AS path, 'NUMBER,STRING' AS kinds, n, least(s, r) AS n_minority FROM p WHERE s > 0 AND r > 0
+       UNION ALL SELECT 'tags[]', 'NUMBER,STRING', n + m, least(n, m) FROM p WHERE m > 0""",
+)
+def discover_conflicts(spark, sf):
+    """Paths whose values no one type holds, with the number of values to mend."""
+    kinds = D.value_kinds(_drifting_documents(Tables(spark, sf)), "body")
+    return D.kind_conflicts(kinds).withColumn("kinds", F.array_join("kinds", ","))
+
+
+@query(
+    "scan_discovered_types",
+    f"""WITH {_DRIFT_SQL}
+       SELECT st AS status, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids, CAST(sum(price) AS DOUBLE) AS price,
+              count(*) FILTER (as_text) AS text_prices, CAST(coalesce(sum(CAST(code AS BIGINT)) FILTER (late), 0) AS BIGINT) AS codes,
+              CAST(sum(CASE WHEN mixed THEN 2 ELSE 1 END) AS BIGINT) AS tags FROM d GROUP BY 1""",
+)
+def scan_discovered_types(spark, sf):
+    """The drifting collection written as text files and read without a given schema:
+    typed fields as they are, the conflicting price through its variant."""
+    path = scratch_path(spark, "drifting-json")
+    _drifting_documents(Tables(spark, sf)).withColumnRenamed("body", "value").write.text(path)
+    doc = D.read_discovered(spark.read.text(path), "value").select("doc.*")
+    return doc.groupBy(F.variant_get(F.col("tags")[0], "$", "string").alias("status")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("id").alias("ids"),
+        F.sum(F.variant_get("price", "$", "decimal(15, 2)")).cast("double").alias("price"),
+        F.count_if(F.schema_of_variant("price") == "STRING").alias("text_prices"),
+        F.coalesce(F.sum("priority.code"), F.lit(0)).alias("codes"),
+        F.sum(F.size("tags")).alias("tags"),
+    )
