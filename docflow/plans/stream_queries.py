@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from docflow.functions.exprs import wall_text
 from docflow.operators import batches as B
 from docflow.operators import joins as J
+from docflow.operators import report as R
 from docflow.plans.batching import monthly_ledger
 from docflow.plans.bindings import target_orders
 from docflow.plans.registry import query
@@ -103,3 +104,31 @@ def stream_ledger_poll(spark, sf):
     out = scratch_path(spark, "ledger-results")
     S.stream_process_batches(stream, process, out, scratch_path(spark, "ckpt-ledger"))
     return spark.read.parquet(out).select("batch_id", "source_count", "target_count", "count_status")
+
+
+LATE_DELAY = "2 days"
+
+
+@query(
+    "stream_late_events",
+    """WITH wm AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 2 DAY AS t FROM events WHERE event_id % 50 <> 0)
+       SELECT strftime(time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '1970-01-01'), '%Y-%m-%d %H:%M:%S') AS bucket,
+              count(*) FILTER (NOT coalesce(event_id % 50 = 0 AND ts <= wm.t, false)) AS on_time,
+              count(*) FILTER (coalesce(event_id % 50 = 0 AND ts <= wm.t, false)) AS late
+       FROM events, wm GROUP BY 1""",
+)
+def stream_late_events(spark, sf):
+    """Six-hour counts of events on time and late. Every fiftieth event comes in a
+    second delivery, with repeats of every twentieth of the first; the second run
+    starts from the checkpoint of the first."""
+    e = Tables(spark, sf).events
+    src, out, ckpt = (scratch_path(spark, n) for n in ("late-src", "late-on-time", "ckpt-late"))
+    held_back = F.col("event_id") % 50 == 0
+    for delivery in (e.where(~held_back), e.where(held_back | (F.col("event_id") % 20 == 0))):
+        delivery.write.mode("append").parquet(src)
+        on_time = S.on_time_events(S.file_stream(spark, src, e.schema), "event_id", "ts", LATE_DELAY, out, ckpt)
+    late = S.late_events(spark.read.schema(e.schema).parquet(src), on_time, "event_id")
+    both = on_time.select("ts", F.lit(1).alias("in_time")).unionByName(late.select("ts", F.lit(0).alias("in_time")))
+    return both.groupBy(wall_text(R.bucket_start("ts", "6 hours")).alias("bucket")).agg(
+        F.sum("in_time").alias("on_time"), F.sum(1 - F.col("in_time")).alias("late")
+    )

@@ -120,3 +120,35 @@ def stream_process_batches(stream: DataFrame, process: Callable[[DataFrame], Dat
         process(batch).write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch={epoch}")
 
     run_available_now(stream, handle, checkpoint)
+
+
+def on_time_events(stream: DataFrame, id_col: str, ts: str, delay: str, path: str, checkpoint: str) -> DataFrame:
+    """Drain a stream of events into ``<path>/__epoch=<micro-batch>``: each event once,
+    and only if it is no more than ``delay`` behind the latest event time of the
+    micro-batches before its own. Repeats are dropped by the state store, which holds
+    an id until the watermark has passed its time by ``delay``. A micro-batch that is
+    replayed overwrites its own folder; a later call with the same checkpoint goes on
+    with the files that came since. Returns all on-time events so far.
+
+    Events without an id or time cannot be judged and never pass."""
+    spark, schema = stream.sparkSession, stream.schema
+    et = wall_clock_instant(ts) if dict(stream.dtypes)[ts] == "timestamp_ntz" else F.col(ts)
+    known = stream.where(F.col(id_col).isNotNull() & F.col(ts).isNotNull()).withColumn("__event_time", et)
+    once = known.withWatermark("__event_time", delay).dropDuplicatesWithinWatermark([id_col])
+
+    def handle(batch: DataFrame, epoch: int) -> None:
+        batch.drop("__event_time").write.mode("overwrite").parquet(f"{path}/__epoch={epoch}")
+
+    # a folder to read from where no event ever came
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/__epoch=-1")
+    run_available_now(once, handle, checkpoint)
+    return spark.read.schema(schema).parquet(path).drop("__epoch")
+
+
+def late_events(delivered: DataFrame, on_time: DataFrame, id_col: str) -> DataFrame:
+    """The delivered events that are not on time, repeats once: those that came behind
+    the watermark, and every row without an id. With ``on_time_events`` each delivered
+    id is in exactly one of both tables."""
+    missed = delivered.join(on_time.select(id_col), id_col, "left_anti")
+    with_id = missed.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
+    return with_id.unionByName(missed.where(F.col(id_col).isNull()))
