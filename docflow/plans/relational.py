@@ -616,6 +616,22 @@ def field_value_profile(spark, sf):
     ).select("field", "value", "n")
 
 
+_WIDE_FIELDS = ("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
+
+
+@query(
+    "heavy_field_values",
+    "WITH c AS ("
+    + " UNION ALL ".join(f"SELECT '{f}' AS field, CAST({f} AS VARCHAR) AS value, count(*) AS n FROM lineitem GROUP BY 2" for f in _WIDE_FIELDS)
+    + """)
+       SELECT field, value, n, row_number() OVER (PARTITION BY field ORDER BY n DESC, value NULLS FIRST) AS rank
+       FROM c QUALIFY rank <= 20""",
+)
+def heavy_field_values(spark, sf):
+    """The 20 most frequent values of fields with many values, counted exactly."""
+    return P.heavy_values(Tables(spark, sf).lineitem, _WIDE_FIELDS, 20)
+
+
 @query(
     "collection_counts",
     "SELECT * FROM (VALUES "
