@@ -190,8 +190,9 @@ def _overlapping(spark, sf, **form):
         .otherwise(F.col("at") + F.make_dt_interval(F.lit(0), F.lit(0), (k % 60).cast("int")))
     )
     w = t.part.select("p_partkey", at.alias("at")).select("p_partkey", (F.col("at") - years).alias("s"), end.alias("e"))
-    j = interval_join(t.events.select("event_id", "ts"), "ts", w, "s", "e", "(]", **form)
-    return j.groupBy("p_partkey").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event"))
+    totals = {"n": ("count", None), "first_event": ("min", "event_id"), "last_event": ("max", "event_id")}
+    j = interval_join(t.events.select("event_id", "ts"), "ts", w, "s", "e", "(]", totals=totals, **form)
+    return j.groupBy("p_partkey").agg(F.sum("n").alias("n"), F.min("first_event").alias("first_event"), F.max("last_event").alias("last_event"))
 
 
 @query("interval_join_overlapping", _OVERLAP_SQL)

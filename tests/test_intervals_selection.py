@@ -49,6 +49,42 @@ def test_interval_join(spark, data, bounds, form):
     assert sorted((x.i, x.w) for x in got.collect()) == pairs(rows, windows, bounds)
 
 
+@pytest.mark.parametrize("bounds", ["(]", "[)"])
+@pytest.mark.parametrize("form", [{}, {"max_windows": 0}, {"max_windows": 0, "ranges": 9}, {"max_windows": 0, "ranges": 64}])
+def test_interval_totals(spark, data, bounds, form):
+    """Totals of each window row equal those of its pairs; windows that come twice stay two,
+    null values are passed over, windows without rows are left out."""
+    rows, windows = data
+    windows = windows + windows[:5]
+    value = {i: None if i % 7 == 0 else (i * 31) % 101 - 50 for i, _ in rows}
+    r = spark.createDataFrame([(i, t, value[i]) for i, t in rows], "i long, t timestamp_ntz, v int")
+    w = spark.createDataFrame([(*x, {"w": x[0]}) for x in windows], "w long, s timestamp_ntz, e timestamp_ntz, m map<string,long>")
+    totals = {"n": ("count", None), "least": ("min", "v"), "most": ("max", "v"), "last": ("max", "t")}
+    got = interval_join(r, "t", w, "s", "e", bounds, totals=totals, **form)
+    assert got.columns == ["w", "s", "e", "m", "n", "least", "most", "last"]
+    assert dict(got.dtypes)["least"] == "int" and dict(got.dtypes)["last"] == "timestamp_ntz"
+    want, times = [], dict(rows)
+    for x in windows:
+        met = [i for i, _ in pairs(rows, [x], bounds)]
+        values = [value[i] for i in met if value[i] is not None]
+        if met:
+            want.append((x[0], len(met), min(values, default=None), max(values, default=None), max(times[i] for i in met)))
+    key = lambda x: tuple(str(v) for v in x)
+    assert sorted([(x.w, x.n, x.least, x.most, x["last"]) for x in got.collect()], key=key) == sorted(want, key=key)
+
+
+def test_interval_totals_make_no_pairs(spark):
+    """200 million pairs of 20,000 rows and as many windows that hold half of them each."""
+    rows = spark.range(20_000)
+    w = rows.select(F.col("id").alias("w"), (F.col("id") - 10_000).alias("lo"))
+    w = w.select("w", F.greatest("lo", F.lit(0)).alias("lo"), F.greatest("w", F.lit(10_000)).alias("hi"))
+    for form in ({"max_windows": 0, "ranges": 16}, {}):
+        got = interval_join(rows, "id", w, "lo", "hi", "[)", totals={"n": ("count", None), "a": ("min", "id"), "b": ("max", "id")}, **form)
+        assert got.where("n <> hi - lo OR a <> lo OR b <> hi - 1").count() == 0 and got.count() == 20_000
+    with pytest.raises(ValueError):
+        interval_join(rows, "id", w, "lo", "hi", totals={"n": ("mean", "id")})
+
+
 def test_interval_join_over_clock_changes_and_types(spark, data):
     """Zone-free times are joined by the wall clock in any session zone."""
     rows, windows = data
@@ -76,6 +112,8 @@ def test_interval_join_of_empty_sides(spark):
     for form in ({}, {"max_windows": 0}):
         assert interval_join(n, "id", w, "lo", "hi", **form).collect() == []
         assert interval_join(spark.range(5), "id", w.limit(0), "lo", "hi", **form).collect() == []
+        for a, b in ((n, w), (spark.range(5), w.limit(0))):
+            assert interval_join(a, "id", b, "lo", "hi", totals={"k": ("count", None)}, **form).collect() == []
 
 
 def test_no_row_per_day_and_no_nested_loop(spark):
