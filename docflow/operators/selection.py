@@ -2,13 +2,13 @@
 over several columns, without sorting or moving the rows.
 
 Each pass counts the rows of the cells that still hold a wanted rank (counted in the
-task, summed by Spark) and cuts these cells into smaller ones, until a cell is one
-value; then the next order column is searched among the rows with that value.
+task, summed by Spark), notes their least and largest values and cuts these cells into
+smaller ones, until a cell is one value; then the next order column is searched among the rows with that value.
 """
 
 from __future__ import annotations
 
-import struct
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,39 +40,59 @@ class _Cell:
         return (*self.fixed, self.lo)
 
 
-def _counts(keys: DataFrame, cells: list[_Cell], column: int) -> dict[tuple[int, int], int]:
-    """(cell, sub-cell) -> rows, for sub-cells of the cells' widths in ``column``."""
-    lows = np.array([c.lo for c in cells], dtype=object)
-    fixed = [np.array([c.fixed[i] for c in cells], dtype=np.int64) for i in range(column)]
-    lo, hi = np.array(lows, dtype=np.int64), np.array([c.hi for c in cells], dtype=np.int64)
+def _before(limits: np.ndarray, keys: np.ndarray, or_equal: bool = False) -> np.ndarray:
+    """How many of the sorted limits lie before each key (or are equal to it); rows of
+    longs, compared column by column. One step of all binary searches at a time."""
+    lo = np.zeros(len(keys), dtype=np.int64)
+    hi = np.full(len(keys), len(limits), dtype=np.int64)
+    while (lo < hi).any():
+        mid = (lo + hi) // 2
+        at = np.minimum(mid, len(limits) - 1)
+        before = np.zeros(len(keys), dtype=bool)
+        same = np.ones(len(keys), dtype=bool)
+        for j in range(keys.shape[1]):
+            limit = limits[at, j]
+            before |= same & (limit < keys[:, j])
+            same &= limit == keys[:, j]
+        if or_equal:
+            before |= same
+        open_ = lo < hi
+        lo = np.where(open_ & before, mid + 1, lo)
+        hi = np.where(open_ & ~before, mid, hi)
+    return lo
+
+
+def _counts(keys: DataFrame, cells: list[_Cell], column: int) -> dict[int, list[tuple[int, int, int]]]:
+    """cell -> (rows, least, largest value) of its sub-cells that have rows, in order; the
+    sub-cells are of the cells' widths in ``column``, the cells are sorted by key."""
+    limits = np.array([c.key for c in cells], dtype=np.int64).reshape(len(cells), column + 1)
+    lo, hi = limits[:, column], np.array([c.hi for c in cells], dtype=np.int64)
     width = np.array([c.width for c in cells], dtype=np.uint64)
-    prefix = {f: [i for i, c in enumerate(cells) if c.fixed == f] for f in {c.fixed for c in cells}}
+    starts = np.concatenate([[0], np.cumsum([-(-(c.hi - c.lo + 1) // c.width) for c in cells])]).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[tuple[int, int], int] = {}
+        n = np.zeros(starts[-1], dtype=np.int64)
+        least, most = np.full(len(n), _HIGH), np.full(len(n), _LOW)
         for b in batches:
-            k = [b.column(i).to_numpy() for i in range(column + 1)]
-            if column == 0:
-                groups = [(np.arange(b.num_rows), prefix.get((), []))]
-            else:
-                maybe = np.flatnonzero(np.isin(k[0], fixed[0]))
-                frame = pd.DataFrame({i: k[i][maybe] for i in range(column)})
-                groups = [(maybe[at], prefix[f if isinstance(f, tuple) else (f,)]) for f, at in frame.groupby(list(range(column))).indices.items() if (f if isinstance(f, tuple) else (f,)) in prefix]
-            for at, mine in groups:
-                v = k[column][at]
-                c = np.array(mine)[np.maximum(np.searchsorted(lo[mine], v, "right") - 1, 0)]
-                ok = (v >= lo[c]) & (v <= hi[c])
-                v, c = v[ok], c[ok]
-                sub = ((v.astype(np.uint64) - lo[c].astype(np.uint64)) // width[c]).astype(np.int64)
-                pairs, n = np.unique(np.stack([c.astype(np.int64), sub]), axis=1, return_counts=True)
-                for i, j, m in zip(*pairs.tolist(), n.tolist(), strict=True):
-                    total[i, j] = total.get((i, j), 0) + m
-        if total:
-            i, j = zip(*total, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(j, pa.int64()), pa.array(total.values(), pa.int64())], names=["cell", "sub", "n"])
-
-    rows = keys.select(*[f"k{i}" for i in range(column + 1)]).mapInArrow(run, "cell long, sub long, n long").groupBy("cell", "sub").agg(F.sum("n"))
-    return {(c, s): n for c, s, n in rows.collect()}  # at most CELLS rows and one per cell
+            k = np.stack([c.to_numpy() for c in b.columns], axis=1)
+            c = _before(limits, k, or_equal=True) - 1 if len(limits) > 1 else np.zeros(len(k), dtype=np.int64)
+            v, held = k[:, column], c >= 0
+            held &= (limits[c, :column] == k[:, :column]).all(axis=1) & (v >= lo[c]) & (v <= hi[c])
+            v, c = v[held], c[held]
+            at = starts[c] + ((v.astype(np.uint64) - lo[c].astype(np.uint64)) // width[c]).astype(np.int64)
+            n += np.bincount(at, minlength=len(n))
+            np.minimum.at(least, at, v)
+            np.maximum.at(most, at, v)
+        at = np.flatnonzero(n)
+        if len(at):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (at, n[at], least[at], most[at])], names=["at", "n", "least", "most"])
+
+    rows = keys.select(*[f"k{i}" for i in range(column + 1)]).mapInArrow(run, "at long, n long, least long, most long")
+    rows = rows.groupBy("at").agg(F.sum("n"), F.min("least"), F.max("most"))
+    found: dict[int, list[tuple[int, int, int]]] = {}
+    for at, *held in sorted(map(tuple, rows.collect())):  # at most CELLS rows and one per cell
+        found.setdefault(int(np.searchsorted(starts, at, "right")) - 1, []).append(tuple(held))
+    return found
 
 
 def select_keys(df: DataFrame, order: list[str], ranks: list[int]) -> list[tuple[tuple[int, ...], int]]:
@@ -97,25 +117,22 @@ def select_keys(df: DataFrame, order: list[str], ranks: list[int]) -> list[tuple
         share = max(2, CELLS // len(now))
         for c in now:
             c.width = max(1, -(-(c.hi - c.lo + 1) // share))
-        found: dict[int, list[tuple[int, int]]] = {}
-        for (i, j), m in _counts(keys, now, column).items():
-            found.setdefault(i, []).append((j, m))
+        found = _counts(keys, now, column)
         for i, c in enumerate(now):
-            below, todo = c.below, list(c.ranks)
-            for j, m in sorted(found.get(i, [])):
-                mine = [r for r in todo if r <= below + m]
+            below, taken = c.below, 0
+            for m, lo, hi in found.get(i, []):
+                mine = c.ranks[taken : bisect_right(c.ranks, below + m, taken)]
                 if mine:
-                    todo = todo[len(mine) :]
-                    lo = c.lo + j * c.width
-                    part = _Cell(c.fixed, lo, min(c.hi, lo + c.width - 1), below, m, mine)
-                    if part.lo < part.hi:
+                    taken += len(mine)
+                    part = _Cell(c.fixed, lo, hi, below, m, mine)
+                    if lo < hi:
                         later.append(part)
                     elif column + 1 < len(order) and (m > 1):
                         later.append(_Cell((*c.fixed, lo), *spans[column + 1], below, m, mine))
                     else:
                         done.append(part)
                 below += m
-                if not todo:
+                if taken == len(c.ranks):
                     break
         active = later
     return _whole_keys(keys, done, len(order))
@@ -140,28 +157,10 @@ def range_number(df: DataFrame, order: list[str], cuts: list[tuple[int, ...]]) -
     """How many of the sorted cut keys lie before a row's key (binary search in Arrow batches)."""
     if not cuts:
         return F.lit(0)
-    # big-endian bytes with the sign bit turned sort as the longs do
-    packed = np.array([b"".join(struct.pack(">Q", v + (1 << 63)) for v in c) for c in cuts], dtype=f"S{8 * len(order)}").view(f"V{8 * len(order)}")
-    table = packed.tobytes()
-    width = 8 * len(order)
+    limits = np.array(cuts, dtype=np.int64).reshape(len(cuts), len(order))
 
     def number(*columns: pd.Series) -> pd.Series:
-        ks = np.stack([c.to_numpy(dtype=np.int64).view(np.uint64) ^ np.uint64(1 << 63) for c in columns], axis=1)
-        limits = np.frombuffer(table, dtype=">u8").reshape(-1, len(columns)).astype(np.uint64)
-        lo = np.zeros(len(ks), dtype=np.int64)
-        hi = np.full(len(ks), len(limits), dtype=np.int64)
-        while (lo < hi).any():  # one step of all binary searches
-            mid = (lo + hi) // 2
-            before = np.zeros(len(ks), dtype=bool)
-            same = np.ones(len(ks), dtype=bool)
-            at = np.minimum(mid, len(limits) - 1)
-            for j in range(ks.shape[1]):
-                before |= same & (limits[at, j] < ks[:, j])
-                same &= limits[at, j] == ks[:, j]
-            open_ = lo < hi
-            lo = np.where(open_ & before, mid + 1, lo)
-            hi = np.where(open_ & ~before, mid, hi)
-        return pd.Series(lo.astype(np.int32))
-
-    assert width * len(cuts) == len(table)
+        ks = np.stack([c.to_numpy(dtype=np.int64) for c in columns], axis=1)
+        return pd.Series(_before(limits, ks).astype(np.int32))
+
     return F.pandas_udf(number, "int")(*[k for k in key_columns(df, order)])

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docflow.operators import batches as B
+from docflow.operators import selection
 from docflow.operators.intervals import interval_join
 from docflow.operators.selection import range_number, select_keys
 
@@ -179,3 +180,16 @@ def test_ledger_by_selection_equals_the_numbered_one(spark, size):
     b = B.batch_ledger(B.number_batches(df, ["ts", "k"], size), "batch_no", "ts")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect()))
     assert B.ledger_by_selection(df.limit(0), ["ts", "k"], size).collect() == []
+
+
+def test_selection_reads_the_rows_a_few_times(spark, monkeypatch):
+    """Cells shrink to the least and largest value found in them: sparse days of far-off
+    years are settled by one pass, their keys by few more, whatever the number of ranks."""
+    days = F.timestamp_micros(F.col("id") % 50 * 86_400_000_000 * 97).cast("timestamp_ntz")
+    df = spark.range(5000).select(days.alias("d"), (F.col("id") * 1_000_000_007).alias("k"))
+    passes, counts = [], selection._counts
+    monkeypatch.setattr(selection, "_counts", lambda *a: passes.append(a[2]) or counts(*a))
+    cuts = select_keys(df, ["d", "k"], list(range(10, 5001, 10)))
+    want = sorted((i % 50 * 86_400_000_000 * 97, i * 1_000_000_007) for i in range(5000))
+    assert cuts == [(want[r - 1], r) for r in range(10, 5001, 10)]
+    assert passes.count(0) == 1 and passes.count(1) <= 2
