@@ -149,12 +149,12 @@ class BlockMaxIndex:
     @classmethod
     def build(cls, examples: list[tuple[int, int, list[int], list[int]]], idf: np.ndarray, base: float) -> BlockMaxIndex:
         """``examples``: (id, toxic, terms, tf) of the examples that have terms."""
-        rows = [(i, y, np.asarray(ts), unit_weights(np.asarray(ts), np.asarray(tf), idf)) for i, y, ts, tf in examples]
+        rows = [(i, y, np.asarray(ts, dtype=np.int32), unit_weights(np.asarray(ts, dtype=np.int32), np.asarray(tf), idf)) for i, y, ts, tf in examples]
         # examples of the same strongest terms share blocks, which makes bounds tight
         rows.sort(key=lambda r: (*r[2][np.argsort(-r[3], kind="stable")][:3].tolist(), r[0]))
         none = np.zeros(0)
-        example = np.repeat(np.arange(len(rows)), [len(r[2]) for r in rows])
-        term = np.concatenate([r[2] for r in rows] or [none]).astype(np.int64)
+        example = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[2]) for r in rows])
+        term = np.concatenate([r[2] for r in rows] or [none]).astype(np.int32)
         weight = np.concatenate([r[3] for r in rows] or [none])
         row, often = np.full(len(idf), -1), np.flatnonzero(np.bincount(term, minlength=len(idf)) > COMMON * len(rows))
         row[often] = np.arange(len(often))
@@ -227,9 +227,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[BlockMaxIndex, list[str], n
     sample = written(sample.withColumn("__h", F.xxhash64("id", F.lit(11))), "toxicity-sample")
     rate = min(1.0, MAX_EXAMPLES / max(1, sample.count()))
     sample = sample.withColumn("indexed", F.pmod("__h", F.lit(1 << 30)) < int(rate * (1 << 30)))
-    # the terms of a bounded sample of rows
-    found = sorted(map(tuple, example_terms(sample).collect()))
-    terms, evidence = [t for t, _ in found], np.array([e for _, e in found], dtype=bool)
+    # the terms of a bounded sample of rows, as columns: rows of Python values take many times the memory
+    found = example_terms(sample).toArrow()
+    terms, evidence = found.column(0).to_pylist(), found.column(1).to_numpy().astype(bool)
+    order = sorted(range(len(terms)), key=terms.__getitem__)
+    terms, evidence = [terms[k] for k in order], evidence[order]
+    del found, order
     counted = written(term_counts(docs, terms), "toxicity-terms")
     n = counted.count()
 
