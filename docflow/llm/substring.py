@@ -25,7 +25,9 @@ one document are not reported. Rows that repeat an id are one document. Null ids
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -71,18 +73,48 @@ def compact_windows(hashes: np.ndarray, span: int) -> np.ndarray:
 _WINDOW = "key long, doc long, n int, c int, before int, after int"
 
 
-def _windows_of(doc: int, s: np.ndarray) -> list[np.ndarray]:
-    """Columns of ``_WINDOW`` for all hash functions of one document."""
-    padded = np.concatenate([np.zeros(NEXT_TO, dtype=np.uint64), s, np.zeros(NEXT_TO, dtype=np.uint64)])
-    around = window_hashes(padded, 2 * NEXT_TO + 1, seed=23)
+def capped_windows(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(c, c - l, r - c), both up to ``span``, of the compact windows of each stretch
+    [start, end) of ``hashes``: c is the first minimum of all runs of ``span`` tokens
+    that begin between two places, which give its window."""
+    n = len(hashes)
+    bits = np.uint64(n.bit_length())
+    low = np.arange(n, dtype=np.uint64)
+    ranked = hashes >> bits << bits | low  # of equal hashes the first is the least
+    least, width = ranked, 1
+    while 2 * width <= span:
+        least, width = np.minimum(least[:-width], least[width:]), 2 * width
+    least = np.minimum(least[: n - span + 1], least[span - width :][: n - span + 1])
+    first = np.concatenate([[0], np.cumsum(np.maximum(ends - starts - span + 1, 0))])
+    begins = np.arange(first[-1]) + np.repeat(starts - first[:-1], np.diff(first))
+    if not len(begins):
+        return (np.zeros(0, dtype=np.int64),) * 3
+    at = (least[begins] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    edge = np.flatnonzero(at[1:] != at[:-1])
+    c, i, j = at[np.concatenate([edge, [len(at) - 1]])], begins[np.concatenate([[0], edge + 1])], begins[np.concatenate([edge, [len(at) - 1]])]
+    before = c - i
+    further = np.flatnonzero(before == span - 1)
+    start = starts[np.searchsorted(starts, c[further], side="right") - 1]
+    more = (c[further] - span >= start) & (ranked[np.maximum(c[further] - span, 0)] > ranked[c[further]])
+    before[further[more]] = span
+    return c, before, j + span - c
+
+
+def _windows_of(docs: list[int], held: list[np.ndarray]) -> list[np.ndarray]:
+    """Columns of ``_WINDOW`` for all hash functions of several documents' shingles."""
+    sizes = np.array([len(s) for s in held], dtype=np.int64)
+    gap = np.zeros(NEXT_TO, dtype=np.uint64)
+    s = np.concatenate([gap, *(x for h in held for x in (h, gap))])
+    ends = np.cumsum(sizes + NEXT_TO)
+    starts = ends - sizes
+    around = window_hashes(s, 2 * NEXT_TO + 1, seed=23)
     parts = []
     for k in range(HASHES):
-        w = compact_windows(mix64(s * _SEEDS[k]), SPAN)
-        parts.append((around[w[:, 1]] ^ _SEEDS[k], w))
-    key = np.concatenate([p[0] for p in parts]).view(np.int64)
-    w = np.concatenate([p[1] for p in parts])
-    c = w[:, 1]
-    return [key, np.full(len(key), doc), np.full(len(key), len(s), np.int32), c.astype(np.int32), np.minimum(c - w[:, 0], SPAN).astype(np.int32), np.minimum(w[:, 2] - c, SPAN).astype(np.int32)]
+        c, before, after = capped_windows(mix64(s * _SEEDS[k]), starts, ends, SPAN)
+        parts.append((around[c - NEXT_TO] ^ _SEEDS[k], c, before, after))
+    key, c, before, after = (np.concatenate(x) for x in zip(*parts, strict=True))
+    whose = np.searchsorted(starts, c, side="right") - 1
+    return [key.view(np.int64), np.array(docs, dtype=np.int64)[whose], *(x.astype(np.int32) for x in (sizes[whose], c - starts[whose], before, after))]
 
 
 def window_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -93,18 +125,18 @@ def window_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            held, size = [], 0
+            ids, held, size = [], [], 0
             for i, t in zip(b.column(0), b.column(1), strict=True):
                 s = shingles(t.as_py())
-                if len(s) < SPAN:
-                    continue
-                held.append(_windows_of(i.as_py(), s))
-                size += len(held[-1][0])
-                if size > 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), t) for c, t in zip(zip(*held), types, strict=True)], names=names)
-                    held, size = [], 0
+                if len(s) >= SPAN:
+                    ids.append(i.as_py())
+                    held.append(s)
+                    size += len(s)
+                if size > 250_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(_windows_of(ids, held), types, strict=True)], names=names)
+                    ids, held, size = [], [], 0
             if held:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), t) for c, t in zip(zip(*held), types, strict=True)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(_windows_of(ids, held), types, strict=True)], names=names)
 
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long"), text_col)
     return rows.mapInArrow(run, _WINDOW)
@@ -134,102 +166,129 @@ def with_heads(members: DataFrame) -> DataFrame:
     return members.join(heads, "key").where(F.col("doc") != F.col("head.doc"))
 
 
-def document_pairs(members: DataFrame) -> DataFrame:
-    """(doc, other, hits): documents and heads of their groups; hits are the
-    distinct (c, c of other, key of a group of more than two)."""
-    key = F.when(F.col("size") > 2, F.col("key"))
-    near = with_heads(members).where(_room())
-    return near.groupBy("doc", F.col("head.doc").alias("other")).agg(F.collect_set(F.struct(F.col("c"), F.col("head.c").alias("oc"), key.alias("key"))).alias("hits"))
+def document_pairs(headed: DataFrame) -> DataFrame:
+    """(doc, other, shifts, hits): documents and heads of their groups; shifts are
+    the distinct differences of their places, hits the distinct (c, c of other, key)
+    in groups of more than two."""
+    hit = F.when(F.col("size") > 2, F.struct("c", F.col("head.c").alias("oc"), "key"))
+    near = headed.where(_room()).select("doc", F.col("head.doc").alias("other"), (F.col("head.c") - F.col("c")).alias("shift"), hit.alias("hit"))
+    return near.groupBy("doc", "other").agg(F.sort_array(F.collect_set("shift")).alias("shifts"), F.collect_set("hit").alias("hits"))
+
+
+def stretch_pairs(parts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(doc, other, shifts, no hits) of the divided groups; those that ``pairs`` has
+    with the same shifts are left out."""
+    near = with_heads(parts).where(_room()).select("doc", F.col("head.doc").alias("other"), (F.col("head.c") - F.col("c")).alias("shift"))
+    found = near.groupBy("doc", "other").agg(F.sort_array(F.collect_set("shift")).alias("shifts"))
+    found = found.join(pairs, ["doc", "other", "shifts"], "left_anti")
+    return found.withColumn("hits", F.array().cast(pairs.schema["hits"].dataType))
 
 
 def _stretches(s: np.ndarray, key: np.ndarray, c: np.ndarray, before: np.ndarray, after: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(key, row): a key for each stretch of ``LEVELS`` shingles that holds the
     minimum of window ``row``, made of the window's key, the stretch and its place."""
-    at = np.arange(len(key))
     for level in LEVELS:
         hashes = window_hashes(s, level, seed=31)
-        for k in range(level):
-            fits = (k <= before) & (level - k <= after) & (c - k >= 0) & (c - k < len(hashes))
-            yield mix64(key[fits] ^ mix64(hashes[c[fits] - k] + np.uint64(level * SPAN + k))), at[fits]
+        k = np.arange(level)
+        at = c[:, None] - k
+        row, k = np.nonzero((k <= before[:, None]) & (level - k <= after[:, None]) & (at >= 0) & (at < len(hashes)))
+        yield mix64(key[row] ^ mix64(hashes[c[row] - k] + (level * SPAN + k).astype(np.uint64))), row
 
 
 def stretch_table(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Windows of smaller groups, one for each stretch of a member."""
     names = [x.split()[0] for x in _WINDOW.split(", ")]
+    types = [pa.int64(), pa.int64(), *[pa.int32()] * 4]
     per_doc = members.groupBy("doc", "n").agg(F.collect_set(F.struct("key", "c", "before", "after")).alias("w"))
     both = per_doc.join(texts.toDF("doc", "text"), "doc").select("doc", "n", "w", "text")
 
+    def batch(held: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), t) for x, t in zip(zip(*held), types, strict=True)], names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for b in batches:
             for doc, n, w, text in zip(*b.columns, strict=True):
-                key, c, before, after = (w.values.field(f).to_numpy() for f in ("key", "c", "before", "after"))
                 s = shingles(text.as_py())
-                for sub, at in _stretches(s, key.view(np.uint64), c, before, after) if len(s) == n.as_py() else ():
-                    if len(at):
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array(sub.view(np.int64)),
-                                pa.array(np.full(len(at), doc.as_py()), pa.int64()),
-                                pa.array(np.full(len(at), n.as_py()), pa.int32()),
-                                *(pa.array(x[at], pa.int32()) for x in (c, before, after)),
-                            ],
-                            names=names,
-                        )
-
-    return both.mapInArrow(lambda it: joined(run(it)), _WINDOW)
-
-
-def joined(batches: Iterator[pa.RecordBatch], rows: int = 100_000) -> Iterator[pa.RecordBatch]:
-    """Fewer, larger batches."""
-    held, size = [], 0
-    for b in batches:
-        held.append(b)
-        size += b.num_rows
-        if size >= rows:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-            held, size = [], 0
-    if held:
-        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-
-
-def _runs(a: np.ndarray, b: np.ndarray, hits: np.ndarray) -> list[tuple[int, int, int]]:
-    """Maximal equal runs (start in a, start in b, length) on the hits' alignments,
-    and those that go on from a run's ends within ``GAP`` on other alignments (a
-    word inserted or left out)."""
+                if len(s) != n.as_py():
+                    continue
+                key, c, before, after = (w.values.field(f).to_numpy() for f in ("key", "c", "before", "after"))
+                # so many windows at a time that long documents take no more memory
+                for lo in range(0, len(key), 1000):
+                    part = [x[lo : lo + 1000] for x in (key.view(np.uint64), c, before, after)]
+                    for sub, at in _stretches(s, *part):
+                        held.append((sub.view(np.int64), np.full(len(at), doc.as_py()), np.full(len(at), len(s), np.int32), *(x[at] for x in part[1:])))
+                        size += len(at)
+                    if size >= 100_000:
+                        yield batch(held)
+                        held, size = [], 0
+        if held:
+            yield batch(held)
+
+    return both.mapInArrow(run, _WINDOW)
+
+
+def _runs(a: np.ndarray, b: np.ndarray, shifts: list[int]) -> list[tuple[int, int, int]]:
+    """Maximal equal runs (start in a, start in b, length) on the alignments
+    ``shifts``, and those that go on from a run's ends within ``GAP`` on other
+    alignments (a word inserted or left out)."""
     out = set()
-    for shift in np.unique(hits[:, 1] - hits[:, 0]).tolist():
+    for shift in shifts:
         lo, hi = max(0, -shift), min(len(a), len(b) - shift)
-        same = np.concatenate([[False], a[lo:hi] == b[lo + shift : hi + shift], [False]])
-        edges = np.flatnonzero(same[1:] != same[:-1])
-        out.update((lo + int(s), lo + shift + int(s), int(e - s)) for s, e in zip(edges[::2], edges[1::2], strict=True))
+        same = np.zeros(max(0, hi - lo) + 2, dtype=bool)
+        np.equal(a[lo:hi], b[lo + shift : hi + shift], out=same[1:-1])
+        edges = (np.flatnonzero(same[1:] != same[:-1]) + lo).tolist()
+        out.update((s, shift + s, e - s) for s, e in zip(edges[::2], edges[1::2], strict=True))
     todo = list(out)
+    x, y = a.tolist(), b.tolist()
     while todo:
-        x, y, n = todo.pop()
-        for i, j, step in ((x + n, y + n, 1), (x - 1, y - 1, -1)):
-            run = _beside(a, b, i, j, step)
+        i, j, n = todo.pop()
+        for run in (_behind(a, b, x, y, i + n, j + n), _before(a, b, x, y, i - 1, j - 1)):
             if run and run not in out:
                 out.add(run)
                 todo.append(run)
     return sorted(out)
 
 
-def _beside(a: np.ndarray, b: np.ndarray, i: int, j: int, step: int) -> tuple[int, int, int] | None:
-    """The longest run that begins at most ``GAP`` from (i, j) in direction ``step``,
-    on any alignment; it reaches back no further than (i, j)."""
-    x, y = (a[i:], b[j:]) if step > 0 else (a[: i + 1][::-1], b[: j + 1][::-1])
-    if not np.isin(x[: GAP + 1], y[: GAP + 1]).any():
-        return None
-    firsts = {}
-    for p, q in np.argwhere(x[: GAP + 1, None] == y[None, : GAP + 1]).tolist():
-        firsts.setdefault(q - p, (p, q))
-    best = 0, 0, 0
-    for p, q in firsts.values():
-        n = min(len(x) - p, len(y) - q)
-        same = x[p : p + n] == y[q : q + n]
-        n = n if same.all() else int(same.argmin())
-        best = max(best, (n, p, q), key=lambda r: r[0])
-    n, p, q = best
-    return (i + p, j + q, n) if step > 0 else (i - p - n + 1, j - q - n + 1, n)
+def _firsts(x: list[int], y: list[int]) -> list[tuple[int, int]]:
+    """The first equal places (p, q) on each alignment of two short lists."""
+    if set(x).isdisjoint(y):
+        return []
+    firsts, place = {}, dict(zip(y, range(len(y)), strict=True))
+    for p, v in enumerate(x):
+        if v in place:
+            for q in (place[v],) if len(place) == len(y) else [q for q, w in enumerate(y) if v == w]:
+                firsts.setdefault(q - p, (p, q))
+    return list(firsts.values())
+
+
+def _equal(x: np.ndarray, y: np.ndarray) -> int:
+    """How many values two arrays have in common from their starts on."""
+    n = min(len(x), len(y))
+    same = x[:n] == y[:n]
+    k = int(same.argmin())
+    return n if same[k] else k
+
+
+def _behind(a: np.ndarray, b: np.ndarray, x: list[int], y: list[int], i: int, j: int) -> tuple[int, int, int] | None:
+    """The longest run that begins at most ``GAP`` behind (i, j), on any alignment.
+    ``x`` and ``y`` are the lists of ``a`` and ``b``."""
+    best = None
+    for p, q in _firsts(x[i : i + GAP + 1], y[j : j + GAP + 1]):
+        n = _equal(a[i + p :], b[j + q :])
+        if best is None or n > best[2]:
+            best = i + p, j + q, n
+    return best
+
+
+def _before(a: np.ndarray, b: np.ndarray, x: list[int], y: list[int], i: int, j: int) -> tuple[int, int, int] | None:
+    """The longest run that ends at most ``GAP`` before (i, j), on any alignment."""
+    best = None
+    for p, q in _firsts(x[max(0, i - GAP) : i + 1][::-1], y[max(0, j - GAP) : j + 1][::-1]):
+        n = _equal(a[: i - p + 1][::-1], b[: j - q + 1][::-1])
+        if best is None or n > best[2]:
+            best = i - p - n + 1, j - q - n + 1, n
+    return best
 
 
 def _chains(runs: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
@@ -238,15 +297,18 @@ def _chains(runs: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]
     what is skipped. Where chains part, the one with most equal shingles goes on."""
     equal, behind, near = [], [], []
     for k, (x, y, n) in enumerate(runs):
-        near = [j for j in near if x - runs[j][0] - runs[j][2] <= GAP]
-        best = None
-        for j in near:
-            gap, other_gap = x - runs[j][0] - runs[j][2], y - runs[j][1] - runs[j][2]
-            if gap >= 0 and 0 <= other_gap <= GAP and (best is None or equal[j] - gap - other_gap > best[0]):
-                best = equal[j] - gap - other_gap, j
-        behind.append(best and best[1])
-        equal.append(n + (equal[best[1]] if best else 0))
-        near.append(k)
+        kept, best, after = [], 0, None
+        for run in near:
+            j, end, other_end = run
+            gap, other_gap = x - end, y - other_end
+            if gap <= GAP:
+                kept.append(run)
+                if gap >= 0 and 0 <= other_gap <= GAP and (after is None or equal[j] - gap - other_gap > best):
+                    best, after = equal[j] - gap - other_gap, j
+        behind.append(after)
+        equal.append(n + (0 if after is None else equal[after]))
+        kept.append((k, x + n, y + n))
+        near = kept
     out, used = [], set()
     for k in sorted(set(range(len(runs))) - set(behind), key=lambda k: -equal[k]):
         chain = []
@@ -262,30 +324,39 @@ def _longest(chain: list[tuple[int, int, int]]) -> tuple[int, int]:
     """The runs [i, j) of a chain that are 0.8 similar by their aligned shingles and
     span most. Equal / (all of both - equal) >= 0.8 is a sum over runs and gaps: a
     run adds 0.2 of its length, a gap takes 0.8 of its shingles on both sides."""
-    r = np.array(chain, dtype=np.int64)
-    ends = r[:, :2] + r[:, 2:]
-    gaps = (r[1:, :2] - ends[:-1]).sum(axis=1)
-    start = np.concatenate([[0], np.cumsum(r[:-1, 2] - 4 * gaps)])  # in fifths
-    most = np.maximum.accumulate((start + r[:, 2])[::-1])  # the highest end from each run on, last run first
-    last = len(r) - 1 - np.searchsorted(most, start)
-    i = int((ends[last, 0] - r[:, 0]).argmax())
-    return i, int(last[i]) + 1
+    start, at = [0], chain[0]  # in fifths
+    for run in chain[1:]:
+        start.append(start[-1] + at[2] - 4 * (run[0] + run[1] - at[0] - at[1] - 2 * at[2]))
+        at = run
+    # the highest end from each run on, last run first
+    most = list(accumulate((x + run[2] for x, run in zip(reversed(start), reversed(chain), strict=True)), max))
+    last = [len(chain) - 1 - bisect_left(most, x) for x in start]
+    i = max(range(len(chain)), key=lambda k: chain[last[k]][0] + chain[last[k]][2] - chain[k][0])
+    return i, last[i] + 1
 
 
 def passages(a: np.ndarray, b: np.ndarray, hits: np.ndarray) -> list[tuple[int, int, int, int, float]]:
     """(start, end, other start, other end, similarity) of the near-equal passages,
-    in words, from the shingles of two documents. A chain that is not similar
+    in words, from the shingles of two documents and hits (c, c of the other)."""
+    return aligned_passages(a, b, np.unique(hits[:, 1] - hits[:, 0]).tolist())
+
+
+def aligned_passages(a: np.ndarray, b: np.ndarray, shifts: list[int]) -> list[tuple[int, int, int, int, float]]:
+    """``passages`` on the alignments ``shifts``. A chain that is not similar
     enough is cut into its longest similar parts, so that every run of ``SPAN``
     shingles is in one."""
-    found, todo = [], _chains(_runs(a, b, hits))
+    found, todo = [], _chains(_runs(a, b, shifts))
     while todo:
         part = todo.pop()
         s, os_ = part[0][0], part[0][1]
         e, oe = part[-1][0] + part[-1][2], part[-1][1] + part[-1][2]
         if min(e - s, oe - os_) < SPAN:
             continue
-        x, y = np.unique(a[s:e]), np.unique(b[os_:oe])
-        inter = len(np.intersect1d(x, y, assume_unique=True))
+        if len(part) == 1:
+            found.append((s, e + WIDTH - 1, os_, oe + WIDTH - 1, 1.0))
+            continue
+        x, y = set(a[s:e].tolist()), set(b[os_:oe].tolist())
+        inter = len(x & y)
         similarity = inter / max(1, len(x) + len(y) - inter)
         if similarity >= 0.8:
             found.append((s, e + WIDTH - 1, os_, oe + WIDTH - 1, similarity))
@@ -308,9 +379,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """Verified pairs of passages: doc_id, its words [start_word, end_word), the
     document with the same passage, its words, and the shingles' similarity."""
     members = shared_windows(written(window_table(docs, id_col, text_col), "compact-windows"), "window")
-    pairs = written(document_pairs(members), "passage-pairs")
+    headed = written(with_heads(members), "window-heads")
+    pairs = written(document_pairs(headed), "passage-pairs")
     # members of larger groups whose head leaves no room for a passage
-    apart = written(with_heads(members).where(~_room() & (F.col("size") > 2)).select("key").distinct(), "groups-without-room")
+    apart = written(headed.where(~_room() & (F.col("size") > 2)).select("key").distinct(), "groups-without-room")
     ids = pairs.select(F.col("doc").alias("id")).unionByName(pairs.select(F.col("other").alias("id")))
     ids = ids.unionByName(members.join(apart, "key", "left_semi").select(F.col("doc").alias("id"))).distinct()
     bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(ids, "id"))
@@ -324,14 +396,14 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     first = written(verified(pairs, texts), "verified-passages")
     open_keys = first.where(F.col("open_key").isNotNull()).select(F.col("open_key").alias("key")).unionByName(apart).distinct()
     parts = written(stretch_table(members.join(open_keys, "key", "left_semi"), texts), "stretches")
-    second = verified(written(document_pairs(shared_windows(parts, "stretch")), "stretch-pairs"), texts)
+    second = verified(written(stretch_pairs(parts, pairs), "stretch-pairs"), texts)
     return first.unionByName(second).where(F.col("open_key").isNull()).drop("open_key").distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Passages of the pairs, and rows with the key of each larger group that has a
     member whose hit is in none of them (``open_key``)."""
-    both = pairs.join(texts.toDF("doc", "text"), "doc").join(texts.toDF("other", "other_text"), "other").select("doc", "other", "hits", "text", "other_text")
+    both = pairs.join(texts.toDF("doc", "text"), "doc").join(texts.toDF("other", "other_text"), "other").select("doc", "other", "shifts", "hits", "text", "other_text")
     names = [*(x.split()[0] for x in _PASSAGE.split(", ")), "open_key"]
     types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int64()]
 
@@ -339,15 +411,18 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         held_id, held = None, None
         for b in batches:
             out, opened = [], set()
-            for doc, other, hits, text, other_text in zip(*b.columns, strict=True):
+            hits, ends = b.column(3).values, b.column(3).offsets.to_numpy()
+            places = [hits.field(f).to_numpy() for f in ("c", "oc", "key")]
+            for k, (doc, other, shifts, text, other_text) in enumerate(zip(*(b.column(i) for i in (0, 1, 2, 4, 5)), strict=True)):
                 if other.as_py() != held_id:
                     held_id, held = other.as_py(), shingles(other_text.as_py())
-                hits = hits.as_py()
-                found = passages(shingles(text.as_py()), held, np.array([(h["c"], h["oc"]) for h in hits], dtype=np.int64))
+                found = aligned_passages(shingles(text.as_py()), held, shifts.as_py())
                 out += [(doc.as_py(), s, e, held_id, os_, oe, x, None) for s, e, os_, oe, x in found]
-                opened.update(
-                    h["key"] for h in hits if h["key"] is not None and not any(s <= h["c"] <= e - WIDTH and os_ <= h["oc"] <= oe - WIDTH for s, e, os_, oe, _ in found)
-                )
+                c, oc, key = (x[ends[k] : ends[k + 1]] for x in places)
+                inside = np.zeros(len(c), dtype=bool)
+                for s, e, os_, oe, _ in found:
+                    inside |= (s <= c) & (c <= e - WIDTH) & (os_ <= oc) & (oc <= oe - WIDTH)
+                opened.update(key[~inside].tolist())
             out += [(*[None] * 7, k) for k in opened]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types, strict=True)], names=names)
