@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from docflow.llm.common import docs_of, query
+from docflow.llm.common import bounded_batches, docs_of, query
 
 CACHE_WORDS = 300_000  # encoded words kept by a worker
 PAIRS = 1_000_000  # pair decisions kept by a worker
@@ -83,7 +83,8 @@ class WordCodec(dict):
         self.byte_of = {c: b for b, c in byte_symbols().items()}
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_re = re.compile("(" + "|".join(re.escape(s) for s in self.specials) + ")")
-        self.library = Tokenizer.from_file(path)
+        # the library's steps before its model, whose tables stay out of memory
+        self.library = Tokenizer.from_str(json.dumps(spec | {"added_tokens": [], "model": model | {"vocab": {}, "merges": []}}))
         symbols = {tok: self._symbols(tok) for tok in model["vocab"]}
         self.id_of = {symbols[tok]: i for tok, i in model["vocab"].items()}
         self.rank: dict[tuple[int, int], int] = {}
@@ -265,6 +266,8 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     """id and ``ids``: the text's ids as little-endian unsigned 32-bit integers."""
     pairs = docs.select(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
+    bounded_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
         rows = ((i.as_py(), c.encode(t.as_py())) for b in batches for i, t in zip(b.column(0), b.column(1), strict=True))
@@ -289,6 +292,8 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     """Encoding and decoding in one pass: id, ``decoded`` and ``ids``."""
     pairs = docs.select(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
+    bounded_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = codec(path), offset_table(path)
         raws = ((i.as_py(), encoder.encode(t.as_py())) for b in batches for i, t in zip(b.column(0), b.column(1), strict=True))

@@ -155,6 +155,7 @@ _SCHEMA = "id long, pos int, windows int, h long, slots array<long>"
 def _rows(batches: Iterator[pa.RecordBatch], cut) -> Iterator[pa.RecordBatch]:
     """A row per window that ``cut(words)`` gives as (width, hashes, values, places)."""
     names = ["id", "pos", "windows", "h", "slots"]
+    _KNOWN.clear()  # a worker keeps the words of one task
     for b in batches:
         for ids, texts in _slices(b):
             words = Tokens(texts)
@@ -174,6 +175,7 @@ def _rows(batches: Iterator[pa.RecordBatch], cut) -> Iterator[pa.RecordBatch]:
                         ],
                         names=names,
                     )
+    _KNOWN.clear()
 
 
 def _joined(batches: Iterator[pa.RecordBatch], rows: int = 20_000) -> Iterator[pa.RecordBatch]:
