@@ -26,7 +26,7 @@ one document are not reported. Rows that repeat an id are one document. Null ids
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from docflow.llm.common import bitmap_of, docs_of, in_bitmap, mix64, odd_keys, query, window_hashes, written
+from docflow.llm.common import bitmap_of, docs_of, in_bitmap, mix64, odd_keys, query, window_hashes, without_shuffles, written
 
 WIDTH = 5
 MIN_WORDS = 50
@@ -126,13 +126,13 @@ def window_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, held, size = [], [], 0
-            for i, t in zip(b.column(0), b.column(1), strict=True):
+            for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 s = shingles(t.as_py())
                 if len(s) >= SPAN:
-                    ids.append(i.as_py())
+                    ids.append(i)
                     held.append(s)
                     size += len(s)
-                if size > 250_000:
+                if size > 20_000:  # whole arrays that stay in the processor's cache
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(_windows_of(ids, held), types, strict=True)], names=names)
                     ids, held, size = [], [], 0
             if held:
@@ -175,11 +175,14 @@ def document_pairs(headed: DataFrame) -> DataFrame:
     return near.groupBy("doc", "other").agg(F.sort_array(F.collect_set("shift")).alias("shifts"), F.collect_set("hit").alias("hits"))
 
 
-def stretch_pairs(parts: DataFrame, pairs: DataFrame) -> DataFrame:
+def stretch_pairs(parts: DataFrame, pairs: DataFrame, members: DataFrame | None = None) -> DataFrame:
     """(doc, other, shifts, no hits) of the divided groups; those that ``pairs`` has
-    with the same shifts are left out."""
-    near = with_heads(parts).where(_room()).select("doc", F.col("head.doc").alias("other"), (F.col("head.c") - F.col("c")).alias("shift"))
-    found = near.groupBy("doc", "other").agg(F.sort_array(F.collect_set("shift")).alias("shifts"))
+    with the same shifts are left out. ``members`` are all windows of the ``part``s
+    whose stretches are in ``parts``; if none are given, those in ``parts``."""
+    heads = parts.groupBy("key").agg(F.min(F.struct("n", "doc", "c", "before", "after")).alias("head"))
+    near = parts.join(heads, "key").where(_room()).select("part", F.col("head.doc").alias("other"), F.col("head.c").alias("oc")).distinct()
+    near = near.join((members or parts).select("part", "doc", "c").distinct(), "part").where("doc <> other")
+    found = near.groupBy("doc", "other").agg(F.sort_array(F.collect_set(F.col("oc") - F.col("c"))).alias("shifts"))
     found = found.join(pairs, ["doc", "other", "shifts"], "left_anti")
     return found.withColumn("hits", F.array().cast(pairs.schema["hits"].dataType))
 
@@ -195,10 +198,22 @@ def _stretches(s: np.ndarray, key: np.ndarray, c: np.ndarray, before: np.ndarray
         yield mix64(key[row] ^ mix64(hashes[c[row] - k] + (level * SPAN + k).astype(np.uint64))), row
 
 
-def stretch_table(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Windows of smaller groups, one for each stretch of a member."""
-    names = [x.split()[0] for x in _WINDOW.split(", ")]
-    types = [pa.int64(), pa.int64(), *[pa.int32()] * 4]
+_PART = f"{_WINDOW}, part long"
+
+
+def _parts_of(s: np.ndarray, key: np.ndarray, c: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """A number for each window, the same for windows of a group that hold the same
+    shingles, and so have the same stretches."""
+    ends = zip((c - before).tolist(), (c + after).tolist(), strict=True)
+    held = np.fromiter((xxh3_64_intdigest(s[lo:hi].tobytes()) for lo, hi in ends), dtype=np.uint64, count=len(c))
+    return mix64(key ^ mix64(held + (before * (SPAN + 1) + after).astype(np.uint64)))
+
+
+def _per_document(members: DataFrame, texts: DataFrame, rows: Callable[..., Iterator[tuple]]) -> DataFrame:
+    """Rows of ``_PART``: for the windows of each document what ``rows`` makes of its
+    shingles and the windows' columns, (key, row, part) arrays."""
+    names = [x.split()[0] for x in _PART.split(", ")]
+    types = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.int64()]
     per_doc = members.groupBy("doc", "n").agg(F.collect_set(F.struct("key", "c", "before", "after")).alias("w"))
     both = per_doc.join(texts.toDF("doc", "text"), "doc").select("doc", "n", "w", "text")
 
@@ -216,8 +231,8 @@ def stretch_table(members: DataFrame, texts: DataFrame) -> DataFrame:
                 # so many windows at a time that long documents take no more memory
                 for lo in range(0, len(key), 1000):
                     part = [x[lo : lo + 1000] for x in (key.view(np.uint64), c, before, after)]
-                    for sub, at in _stretches(s, *part):
-                        held.append((sub.view(np.int64), np.full(len(at), doc.as_py()), np.full(len(at), len(s), np.int32), *(x[at] for x in part[1:])))
+                    for sub, at, number in rows(s, *part):
+                        held.append((sub.view(np.int64), np.full(len(at), doc.as_py()), np.full(len(at), len(s), np.int32), *(x[at] for x in part[1:]), number.view(np.int64)))
                         size += len(at)
                     if size >= 100_000:
                         yield batch(held)
@@ -225,90 +240,208 @@ def stretch_table(members: DataFrame, texts: DataFrame) -> DataFrame:
         if held:
             yield batch(held)
 
-    return both.mapInArrow(run, _WINDOW)
-
-
-def _runs(a: np.ndarray, b: np.ndarray, shifts: list[int]) -> list[tuple[int, int, int]]:
-    """Maximal equal runs (start in a, start in b, length) on the alignments
-    ``shifts``, and those that go on from a run's ends within ``GAP`` on other
-    alignments (a word inserted or left out)."""
-    out = set()
-    for shift in shifts:
-        lo, hi = max(0, -shift), min(len(a), len(b) - shift)
-        same = np.zeros(max(0, hi - lo) + 2, dtype=bool)
-        np.equal(a[lo:hi], b[lo + shift : hi + shift], out=same[1:-1])
-        edges = (np.flatnonzero(same[1:] != same[:-1]) + lo).tolist()
-        out.update((s, shift + s, e - s) for s, e in zip(edges[::2], edges[1::2], strict=True))
-    todo = list(out)
-    x, y = a.tolist(), b.tolist()
-    while todo:
-        i, j, n = todo.pop()
-        for run in (_behind(a, b, x, y, i + n, j + n), _before(a, b, x, y, i - 1, j - 1)):
-            if run and run not in out:
-                out.add(run)
-                todo.append(run)
-    return sorted(out)
-
-
-def _firsts(x: list[int], y: list[int]) -> list[tuple[int, int]]:
-    """The first equal places (p, q) on each alignment of two short lists."""
-    if set(x).isdisjoint(y):
-        return []
-    firsts, place = {}, dict(zip(y, range(len(y)), strict=True))
-    for p, v in enumerate(x):
-        if v in place:
-            for q in (place[v],) if len(place) == len(y) else [q for q, w in enumerate(y) if v == w]:
-                firsts.setdefault(q - p, (p, q))
-    return list(firsts.values())
-
-
-def _equal(x: np.ndarray, y: np.ndarray) -> int:
-    """How many values two arrays have in common from their starts on."""
-    n = min(len(x), len(y))
-    same = x[:n] == y[:n]
-    k = int(same.argmin())
-    return n if same[k] else k
-
-
-def _behind(a: np.ndarray, b: np.ndarray, x: list[int], y: list[int], i: int, j: int) -> tuple[int, int, int] | None:
-    """The longest run that begins at most ``GAP`` behind (i, j), on any alignment.
-    ``x`` and ``y`` are the lists of ``a`` and ``b``."""
-    best = None
-    for p, q in _firsts(x[i : i + GAP + 1], y[j : j + GAP + 1]):
-        n = _equal(a[i + p :], b[j + q :])
-        if best is None or n > best[2]:
-            best = i + p, j + q, n
-    return best
-
-
-def _before(a: np.ndarray, b: np.ndarray, x: list[int], y: list[int], i: int, j: int) -> tuple[int, int, int] | None:
-    """The longest run that ends at most ``GAP`` before (i, j), on any alignment."""
-    best = None
-    for p, q in _firsts(x[max(0, i - GAP) : i + 1][::-1], y[max(0, j - GAP) : j + 1][::-1]):
-        n = _equal(a[: i - p + 1][::-1], b[: j - q + 1][::-1])
-        if best is None or n > best[2]:
-            best = i - p - n + 1, j - q - n + 1, n
-    return best
-
-
-def _chains(runs: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
-    """Each run in one chain: behind the run that ends at most ``GAP`` before it in
-    both documents, whatever its alignment, and brings most equal shingles for
-    what is skipped. Where chains part, the one with most equal shingles goes on."""
-    equal, behind, near = [], [], []
-    for k, (x, y, n) in enumerate(runs):
-        kept, best, after = [], 0, None
-        for run in near:
-            j, end, other_end = run
-            gap, other_gap = x - end, y - other_end
-            if gap <= GAP:
-                kept.append(run)
-                if gap >= 0 and 0 <= other_gap <= GAP and (after is None or equal[j] - gap - other_gap > best):
-                    best, after = equal[j] - gap - other_gap, j
-        behind.append(after)
-        equal.append(n + (0 if after is None else equal[after]))
-        kept.append((k, x + n, y + n))
-        near = kept
+    return both.mapInArrow(run, _PART)
+
+
+def part_table(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """The windows with their ``part``: windows of a group that hold the same shingles."""
+    return _per_document(members, texts, lambda s, *w: [(w[0], np.arange(len(w[0])), _parts_of(s, *w))])
+
+
+def part_heads(members: DataFrame) -> DataFrame:
+    """One window of each part, that of the shortest document (then the smallest id)."""
+    heads = members.groupBy("part").agg(F.min(F.struct("n", "doc", "c", "key", "before", "after")).alias("w"))
+    return heads.select(*(f"w.{x.split()[0]}" for x in _WINDOW.split(", ")))
+
+
+def stretch_table(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Windows of smaller groups, one for each stretch of a member."""
+
+    def rows(s: np.ndarray, *w: np.ndarray) -> Iterator[tuple]:
+        number = _parts_of(s, *w)
+        return ((sub, at, number[at]) for sub, at in _stretches(s, *w))
+
+    return _per_document(members, texts, rows)
+
+
+def _parts(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Slices of rows whose sizes come to about ``most``, one row at least."""
+    ends, lo = np.cumsum(sizes), 0
+    while lo < len(ends):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, side="right")))
+        yield slice(lo, hi)
+        lo = hi
+
+
+class _Pairs:
+    """Pairs of documents that are compared together. ``held`` are their shingles
+    one after the other, pair k has those of [a, a_end) and [b, b_end)."""
+
+    def __init__(self, docs: list[np.ndarray], pairs: list[tuple[int, int]]):
+        ends = np.cumsum([len(d) for d in docs], dtype=np.int64)
+        starts = np.concatenate([[0], ends])
+        # equal shingles have equal numbers
+        self.held = pa.array(np.concatenate([*docs, np.zeros(1, dtype=np.uint64)])).dictionary_encode().indices.to_numpy()
+        self._last = np.zeros(len(self.held), dtype=np.int32)
+        left, right = np.array(pairs, dtype=np.int64).reshape(-1, 2).T
+        self.a, self.a_end, self.b, self.b_end = starts[left], ends[left], starts[right], ends[right]
+
+    def similarity(self, i: int, i_end: int, j: int, j_end: int) -> float:
+        """Jaccard similarity of the shingles [i, i_end) and [j, j_end)."""
+        x, y, last = self.held[i:i_end], self.held[j:j_end], self._last
+        place = np.arange(1, max(len(x), len(y)) + 1, dtype=np.int32)
+        last[x] = place[: len(x)]
+        once = x[last[x] == place[: len(x)]]
+        last[x] = 0
+        last[y] = place[: len(y)]
+        held = last[y]
+        inter, others = np.count_nonzero(last[once]), np.count_nonzero(held == place[: len(y)])
+        last[y] = 0
+        return inter / max(1, len(once) + others - inter)
+
+    def common(self, i: np.ndarray, j: np.ndarray, most: np.ndarray, step: int) -> np.ndarray:
+        """How many shingles are equal from each (i, j) on, ``most`` at most."""
+        n, todo = np.zeros(len(i), dtype=np.int64), np.flatnonzero(most)
+        width = 16
+        while len(todo):
+            width = max(16, min(2 * width, 500_000 // len(todo)))
+            at = n[todo][:, None] + np.arange(width)
+            within = at < most[todo][:, None]
+            at[~within] = 0
+            at *= step
+            same = (self.held[i[todo][:, None] + at] == self.held[j[todo][:, None] + at]) & within
+            k = same.argmin(axis=1)
+            k[same[np.arange(len(todo)), k]] = width
+            n[todo] += k
+            todo = todo[k == width]
+        return n
+
+    def aligned(self, pair: np.ndarray, shift: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """(pair, i, j, n): the maximal equal runs on the alignments ``shift``."""
+        lo = np.maximum(0, -shift)
+        size = np.maximum(0, np.minimum(self.a_end[pair] - self.a[pair], self.b_end[pair] - self.b[pair] - shift) - lo) + 1
+        i, j = self.a[pair] + lo, self.b[pair] + lo + shift
+        for part in _parts(size, 500_000):
+            end = np.cumsum(size[part])
+            start = end - size[part]
+            at = np.arange(end[-1])
+            x, y = (at + np.repeat(k[part] - start, size[part]) for k in (i, j))
+            x[end - 1] = y[end - 1] = 0  # a place between two alignments
+            same = np.zeros(len(at) + 1, dtype=bool)
+            np.equal(self.held[x], self.held[y], out=same[1:])
+            same[end] = False
+            edges = np.flatnonzero(same[1:] != same[:-1])
+            s, e = edges[::2], edges[1::2]
+            row = np.searchsorted(start, s, side="right") - 1
+            yield pair[part][row], i[part][row] + s - start[row], j[part][row] + s - start[row], e - s
+
+    def beside(self, pair: np.ndarray, i: np.ndarray, j: np.ndarray, step: int) -> tuple[np.ndarray, ...]:
+        """(pair, i, j, n): the longest run on any alignment that begins at most
+        ``GAP`` behind each (i, j), or for step -1 ends at most ``GAP`` before it;
+        of equally long ones the nearest in the first document."""
+        if step > 0:
+            left, right = self.a_end[pair] - i, self.b_end[pair] - j
+        else:
+            left, right = i - self.a[pair] + 1, j - self.b[pair] + 1
+        far = np.arange(GAP + 1)
+        out = [(np.zeros(0, dtype=np.int64),) * 4]
+        for lo in range(0, len(i), 4096):
+            part = slice(lo, lo + 4096)
+            in_x, in_y = far < left[part][:, None], far < right[part][:, None]
+            x = self.held[np.where(in_x, i[part][:, None] + step * far, 0)]
+            y = self.held[np.where(in_y, j[part][:, None] + step * far, 0)]
+            k, p, q = np.nonzero((x[:, :, None] == y[:, None, :]) & in_x[:, :, None] & in_y[:, None, :])
+            first = np.sort(np.unique(k * (2 * GAP + 1) + q - p + GAP, return_index=True)[1])  # on each alignment
+            k, p, q = k[first] + lo, p[first], q[first]
+            n = self.common(i[k] + step * p, j[k] + step * q, np.minimum(left[k] - p, right[k] - q), step)
+            order = np.lexsort((-n, k))
+            best = order[np.concatenate([[True], k[order][1:] != k[order][:-1]])[: len(order)]]
+            k, p, q, n = k[best], p[best], q[best], n[best]
+            back = 0 if step > 0 else n - 1
+            out.append((pair[k], i[k] + step * p - back, j[k] + step * q - back, n))
+        return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+    def runs(self, pair: np.ndarray, shift: np.ndarray) -> np.ndarray:
+        """Rows (pair, i, j, n) in order: the equal runs on the alignments ``shift``,
+        and those that go on from a run's ends within ``GAP`` on other alignments (a
+        word inserted or left out)."""
+        found = [np.stack(part, axis=1) for part in self.aligned(pair, shift)]
+        new = np.unique(np.concatenate([np.zeros((0, 4), dtype=np.int64), *found]), axis=0)
+        seen = set(map(tuple, new.tolist()))
+        out = [new]
+        while len(new):
+            k, i, j, n = new.T
+            both = zip(self.beside(k, i + n, j + n, 1), self.beside(k, i - 1, j - 1, -1), strict=True)
+            more = set(zip(*(np.concatenate(c).tolist() for c in both), strict=True)) - seen
+            seen |= more
+            new = np.array(sorted(more), dtype=np.int64).reshape(-1, 4)
+            out.append(new)
+        runs = np.concatenate(out)
+        return runs[np.lexsort(runs.T[::-1])]
+
+    def links(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(run, run before it) of one pair where at most ``GAP`` shingles are
+        skipped in either document, in order."""
+        pair, x, y, n = runs.T
+        room = len(self.held) + GAP + 1
+        ends = pair * room + x + n
+        by_end = np.argsort(ends, kind="stable")
+        lo = np.searchsorted(ends[by_end], pair * room + x - GAP)
+        size = np.searchsorted(ends[by_end], pair * room + x, side="right") - lo
+        out = [(np.zeros(0, dtype=np.int64),) * 2]
+        for part in _parts(size, 500_000):
+            k = np.repeat(np.arange(part.start, part.stop), size[part])
+            first = np.cumsum(size[part]) - size[part]
+            before = by_end[np.arange(len(k)) + np.repeat(lo[part] - first, size[part])]
+            gap = y[k] - y[before] - n[before]
+            near = (gap >= 0) & (gap <= GAP)
+            out.append((k[near], before[near]))
+        k, before = (np.concatenate(c) for c in zip(*out, strict=True))
+        order = np.lexsort((before, k))
+        return k[order], before[order]
+
+    def passages(self, a: int, b: int, chains: list[list[tuple[int, int, int]]]) -> list[tuple[int, int, int, int, float]]:
+        """The passages of the chains of the documents that begin at ``a`` and ``b``. A chain that is not similar enough is cut into
+        its longest similar parts, so that every run of ``SPAN`` shingles is in one."""
+        found, todo = [], chains
+        while todo:
+            part = todo.pop()
+            s, os_ = part[0][0], part[0][1]
+            e, oe = part[-1][0] + part[-1][2], part[-1][1] + part[-1][2]
+            if min(e - s, oe - os_) < SPAN:
+                continue
+            if len(part) == 1:
+                found.append((s, e + WIDTH - 1, os_, oe + WIDTH - 1, 1.0))
+                continue
+            similarity = self.similarity(a + s, a + e, b + os_, b + oe)
+            if similarity >= 0.8:
+                found.append((s, e + WIDTH - 1, os_, oe + WIDTH - 1, similarity))
+                continue
+            i, j = _longest(part)
+            if (i, j) == (0, len(part)):  # similar but for repeated shingles: cut at the widest gap
+                j = 1 + max(range(len(part) - 1), key=lambda k: part[k + 1][0] + part[k + 1][1] - part[k][0] - part[k][1] - 2 * part[k][2])
+            todo += [p for p in (part[:i], part[i:j], part[j:]) if p]
+        found.sort(key=lambda f: (f[0], -f[1], f[2], -f[3]))
+        if len(found) < 2:
+            return found
+        _, e, os_, oe, _ = np.array(found).T
+        out = []
+        for k, f in enumerate(found):
+            if not ((e[:k] >= f[1]) & (os_[:k] <= f[2]) & (oe[:k] >= f[3])).any():  # not inside another
+                out.append(f)
+        return out
+
+
+def _chains(runs: list[tuple[int, int, int]], links: list[tuple[int, int]]) -> list[list[tuple[int, int, int]]]:
+    """Each run in one chain: behind the run of ``links`` (run, run before it) that
+    brings most equal shingles for what is skipped, whatever its alignment. Where
+    chains part, the one with most equal shingles goes on."""
+    equal, behind, best = [n for _, _, n in runs], [None] * len(runs), [0] * len(runs)
+    for k, j in links:
+        (x, y, n), (i, o, m) = runs[k], runs[j]
+        worth = equal[j] - (x - i - m) - (y - o - m)
+        if behind[k] is None or worth > best[k]:
+            best[k], behind[k], equal[k] = worth, j, n + equal[j]
     out, used = [], set()
     for k in sorted(set(range(len(runs))) - set(behind), key=lambda k: -equal[k]):
         chain = []
@@ -342,33 +475,29 @@ def passages(a: np.ndarray, b: np.ndarray, hits: np.ndarray) -> list[tuple[int,
 
 
 def aligned_passages(a: np.ndarray, b: np.ndarray, shifts: list[int]) -> list[tuple[int, int, int, int, float]]:
-    """``passages`` on the alignments ``shifts``. A chain that is not similar
-    enough is cut into its longest similar parts, so that every run of ``SPAN``
-    shingles is in one."""
-    found, todo = [], _chains(_runs(a, b, shifts))
-    while todo:
-        part = todo.pop()
-        s, os_ = part[0][0], part[0][1]
-        e, oe = part[-1][0] + part[-1][2], part[-1][1] + part[-1][2]
-        if min(e - s, oe - os_) < SPAN:
-            continue
-        if len(part) == 1:
-            found.append((s, e + WIDTH - 1, os_, oe + WIDTH - 1, 1.0))
-            continue
-        x, y = set(a[s:e].tolist()), set(b[os_:oe].tolist())
-        inter = len(x & y)
-        similarity = inter / max(1, len(x) + len(y) - inter)
-        if similarity >= 0.8:
-            found.append((s, e + WIDTH - 1, os_, oe + WIDTH - 1, similarity))
-            continue
-        i, j = _longest(part)
-        if (i, j) == (0, len(part)):  # similar but for repeated shingles: cut at the widest gap
-            j = 1 + max(range(len(part) - 1), key=lambda k: part[k + 1][0] + part[k + 1][1] - part[k][0] - part[k][1] - 2 * part[k][2])
-        todo += [p for p in (part[:i], part[i:j], part[j:]) if p]
-    out = []
-    for f in sorted(found, key=lambda f: (f[0], -f[1], f[2], -f[3])):
-        if not any(k[1] >= f[1] and k[2] <= f[2] and f[3] <= k[3] for k in out):  # not inside another
-            out.append(f)
+    """``passages`` on the alignments ``shifts``."""
+    return passages_of([a, b], [(0, 1)], [np.array(shifts, dtype=np.int64)])[0]
+
+
+def passages_of(docs: list[np.ndarray], pairs: list[tuple[int, int]], shifts: list[np.ndarray]) -> list[list[tuple[int, int, int, int, float]]]:
+    """``aligned_passages`` of many pairs of ``docs``."""
+    both = _Pairs(docs, pairs)
+    runs = both.runs(np.repeat(np.arange(len(pairs)), [len(x) for x in shifts]), np.concatenate([np.zeros(0, dtype=np.int64), *shifts]))
+    ks, befores = both.links(runs)
+    # without a run that reaches SPAN, and without links, a pair has no passage
+    linked = np.zeros(len(pairs), dtype=bool)
+    linked[runs[ks, 0]] = True
+    own = np.flatnonzero(linked[runs[:, 0]] | (runs[:, 3] >= SPAN))
+    out: list[list[tuple[int, int, int, int, float]]] = [[] for _ in pairs]
+    for part in np.split(own, np.flatnonzero(np.diff(runs[own, 0])) + 1) if len(own) else []:
+        k = int(runs[part[0], 0])
+        at = [(i, j, n) for i, j, n in (runs[part, 1:] - (both.a[k], both.b[k], 0)).tolist()]
+        if linked[k]:
+            lo, hi = np.searchsorted(ks, (part[0], part[-1] + 1))
+            chains = _chains(at, list(zip((ks[lo:hi] - part[0]).tolist(), (befores[lo:hi] - part[0]).tolist(), strict=True)))
+        else:
+            chains = [[run] for run in at]
+        out[k] = both.passages(int(both.a[k]), int(both.b[k]), chains)
     return out
 
 
@@ -378,6 +507,11 @@ _PASSAGE = "doc_id long, start_word int, end_word int, other_id long, other_star
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Verified pairs of passages: doc_id, its words [start_word, end_word), the
     document with the same passage, its words, and the shingles' similarity."""
+    with without_shuffles(docs.sparkSession):
+        return _repeated_passages(docs, id_col, text_col)
+
+
+def _repeated_passages(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     members = shared_windows(written(window_table(docs, id_col, text_col), "compact-windows"), "window")
     headed = written(with_heads(members), "window-heads")
     pairs = written(document_pairs(headed), "passage-pairs")
@@ -395,8 +529,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     texts = written(rows.mapInArrow(pick, "id long, text string"), "passage-texts")
     first = written(verified(pairs, texts), "verified-passages")
     open_keys = first.where(F.col("open_key").isNotNull()).select(F.col("open_key").alias("key")).unionByName(apart).distinct()
-    parts = written(stretch_table(members.join(open_keys, "key", "left_semi"), texts), "stretches")
-    second = verified(written(stretch_pairs(parts, pairs), "stretch-pairs"), texts)
+    open_members = written(part_table(members.join(open_keys, "key", "left_semi"), texts), "window-parts")
+    parts = written(stretch_table(part_heads(open_members), texts), "stretches")
+    second = written(verified(written(stretch_pairs(parts, pairs, open_members), "stretch-pairs"), texts), "verified-stretches")
     return first.unionByName(second).where(F.col("open_key").isNull()).drop("open_key").distinct()
 
 
@@ -408,19 +543,19 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int64()]
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_id, held = None, None
         for b in batches:
             out, opened = [], set()
             hits, ends = b.column(3).values, b.column(3).offsets.to_numpy()
             places = [hits.field(f).to_numpy() for f in ("c", "oc", "key")]
-            for k, (doc, other, shifts, text, other_text) in enumerate(zip(*(b.column(i) for i in (0, 1, 2, 4, 5)), strict=True)):
-                if other.as_py() != held_id:
-                    held_id, held = other.as_py(), shingles(other_text.as_py())
-                found = aligned_passages(shingles(text.as_py()), held, shifts.as_py())
-                out += [(doc.as_py(), s, e, held_id, os_, oe, x, None) for s, e, os_, oe, x in found]
+            shifts, cuts = b.column(2).values.to_numpy().astype(np.int64), b.column(2).offsets.to_numpy()
+            texts = pa.concat_arrays([b.column(4), b.column(5)]).dictionary_encode()
+            pairs = list(zip(*texts.indices.to_numpy().reshape(2, -1).tolist(), strict=True))
+            all_found = passages_of([shingles(t) for t in texts.dictionary.to_pylist()], pairs, [shifts[lo:hi] for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)])
+            for k, (doc, other, found) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), all_found, strict=True)):
+                out += [(doc, s, e, other, os_, oe, x, None) for s, e, os_, oe, x in found]
                 c, oc, key = (x[ends[k] : ends[k + 1]] for x in places)
                 inside = np.zeros(len(c), dtype=bool)
-                for s, e, os_, oe, _ in found:
+                for s, e, os_, oe, _ in found if len(c) else []:
                     inside |= (s <= c) & (c <= e - WIDTH) & (os_ <= oc) & (oc <= oe - WIDTH)
                 opened.update(key[~inside].tolist())
             out += [(*[None] * 7, k) for k in opened]
