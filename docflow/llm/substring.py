@@ -538,7 +538,8 @@ def _repeated_passages(docs: DataFrame, id_col: str, text_col: str) -> DataFrame
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Passages of the pairs, and rows with the key of each larger group that has a
     member whose hit is in none of them (``open_key``)."""
-    both = pairs.join(texts.toDF("doc", "text"), "doc").join(texts.toDF("other", "other_text"), "other").select("doc", "other", "shifts", "hits", "text", "other_text")
+    # both columns renamed both times: then Spark deals the texts out once for the two joins
+    both = pairs.join(texts.toDF("doc", "doc_text"), "doc").join(texts.toDF("other", "other_text"), "other").select("doc", "other", "shifts", "hits", "doc_text", "other_text")
     names = [*(x.split()[0] for x in _PASSAGE.split(", ")), "open_key"]
     types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int64()]
 
